@@ -25,12 +25,17 @@ def first_non_null(value: str, order: Column) -> Column:
     return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), order))
 
 
-def dedup_payments(payments: DataFrame, key: str = "order_id", order_col: str = "payment_sequential") -> DataFrame:
-    """One row per order; each column keeps its own first non-null value (rows can mix)."""
-    order = F.col(order_col)
-    others = [c for c in payments.columns if c not in (key, order_col)]
+def dedup_payments(payments: DataFrame, key: str = "order_id", order_cols=("payment_sequential",)) -> DataFrame:
+    """One row per order; each column keeps its own first non-null value (rows can mix).
+
+    ``order_cols`` give the row order (file order in the source); extra tie-breaking
+    columns listed there are dropped from the output.
+    """
+    order_cols = list(order_cols)
+    order = F.struct(*[F.col(c) for c in order_cols])
+    others = [c for c in payments.columns if c != key and c not in order_cols]
     return payments.groupBy(key).agg(
-        F.min(order_col).alias(order_col), *[first_non_null(c, order).alias(c) for c in others]
+        F.min(order_cols[0]).alias(order_cols[0]), *[first_non_null(c, order).alias(c) for c in others]
     )
 
 

@@ -27,6 +27,44 @@ SQL: dict[str, str] = {}
 USER, ITEM, CAT, TS = pr.USER, pr.ITEM, pr.CAT, pr.TS
 
 
+def nudge_rounds(sql: str) -> str:
+    """Rewrite every ``round(e, d)`` as ``round((e) * NUDGE, d)``.
+
+    Inputs with 4 decimals averaged over a few rows land exactly on a rounding tie;
+    the engines sum in different orders, so the tie falls either way by one ulp. A
+    relative nudge far above summation error (1e-12) and far below the data's own
+    resolution puts both engines on the same side. Spark's ``rounded`` does the same.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 6, None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        inner = nudge_rounds(sql[j + 6:comma])
+        out.append(sql[i:j] + f"round(({inner}) * {NUDGE!r}, {sql[comma + 1:k].strip()})")
+        i = k + 1
+
+
+NUDGE = 1.0 + 1e-12
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +74,7 @@ def query(name: str, sql: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            SQL[name] = sql
+            SQL[name] = nudge_rounds(sql)
         return run
 
     return deco
@@ -46,7 +84,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            out.append(F.round(F.col(f"`{f.name}`").cast("double") * F.lit(NUDGE), digits).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
@@ -134,3 +172,321 @@ def q_parse_ts(spark, sf):
 def q_interactions(spark, sf):
     """Flagship prepare stage: joins → delivered → clean → one group-by."""
     return inter(spark, sf)
+
+
+# ====================================================================== 2.3 joins
+R_CUST = "raw_customers AS (SELECT c_custkey AS customer_id, c_custkey AS customer_unique_id FROM customer)"
+R_PROD = "raw_products AS (SELECT p_partkey AS product_id, p_brand AS product_category_name FROM part)"
+J_OI = "SELECT * FROM raw_orders JOIN raw_items USING (order_id)"
+
+
+@query("join_orders_items", with_(R_ORDERS, R_ITEMS, body=J_OI))
+def q_join_orders_items(spark, sf):
+    t = raw(spark, sf)
+    return pr.join_orders_items(t["orders"], t["items"])
+
+
+@query("join_customers", with_(R_ORDERS, R_ITEMS, R_CUST, body=f"SELECT * FROM ({J_OI}) JOIN raw_customers USING (customer_id)"))
+def q_join_customers(spark, sf):
+    t = raw(spark, sf)
+    return pr.join_customers(pr.join_orders_items(t["orders"], t["items"]), t["customers"])
+
+
+@query(
+    "join_products",
+    with_(R_ORDERS, R_ITEMS, R_CUST, R_PROD,
+          body=f"SELECT * FROM ({J_OI}) JOIN raw_customers USING (customer_id) JOIN raw_products USING (product_id)"),
+)
+def q_join_products(spark, sf):
+    t = raw(spark, sf)
+    return pr.join_products(pr.join_customers(pr.join_orders_items(t["orders"], t["items"]), t["customers"]), t["products"])
+
+
+def _order_reviews(spark, sf):
+    li = tbl(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    return li.select(F.col("l_orderkey").alias("order_id"), supplied.line_review(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag")).alias("review_score"))
+
+
+@query(
+    "join_reviews_left",
+    with_(R_ORDERS, body="""SELECT o.order_id, o.customer_id, r.review_score FROM raw_orders o LEFT JOIN
+      (SELECT l_orderkey AS order_id, CAST(1 + (l_orderkey + l_linenumber) % 5 AS DOUBLE) AS review_score
+       FROM lineitem WHERE l_returnflag = 'R') r USING (order_id)"""),
+)
+def q_join_reviews_left(spark, sf):
+    """Order-level reviews, several per order: rows multiply, as in the source."""
+    o = raw(spark, sf)["orders"].select("order_id", "customer_id")
+    return pr.join_reviews_left(o, _order_reviews(spark, sf))
+
+
+@query(
+    "join_translation_left",
+    """SELECT p_partkey AS product_id, p_brand AS product_category_name, t.product_category_name_english
+       FROM part LEFT JOIN (SELECT DISTINCT p_brand AS product_category_name, upper(p_brand) AS product_category_name_english
+                            FROM part WHERE p_brand NOT LIKE '%5') t ON part.p_brand = t.product_category_name""",
+)
+def q_join_translation_left(spark, sf):
+    """Translation table missing some categories: those rows keep a null name."""
+    t = raw(spark, sf)
+    tr = (
+        tbl(spark, sf, "part").filter(~F.col("p_brand").like("%5"))
+        .select(F.col("p_brand").alias("product_category_name"), F.upper("p_brand").alias("product_category_name_english"))
+        .distinct()
+    )
+    return pr.join_translation_left(t["products"], tr)
+
+
+@query(
+    "join_payments_left",
+    with_(R_ORDERS, body="""SELECT o.*, p.payment_type FROM raw_orders o LEFT JOIN
+      (SELECT o_orderkey AS order_id, 1 AS payment_sequential, o_orderpriority AS payment_type FROM orders
+       WHERE o_orderpriority <> '5-LOW') p USING (order_id)"""),
+)
+def q_join_payments_left(spark, sf):
+    t = raw(spark, sf)
+    pay = t["payments"].filter(F.col("payment_type") != "5-LOW")
+    return pr.join_payments_left(t["orders"], pay).drop("payment_sequential")
+
+
+B_MERGED = f"""SELECT * FROM ({J_OI}) LEFT JOIN (SELECT o_orderkey AS order_id, 1 AS payment_sequential, o_orderpriority AS payment_type FROM orders) USING (order_id)
+  JOIN raw_customers USING (customer_id) JOIN raw_products USING (product_id)
+  LEFT JOIN (SELECT DISTINCT p_brand AS product_category_name, p_brand AS product_category_name_english FROM part) USING (product_category_name)"""
+
+
+@query("build_merged", with_(R_ORDERS, R_ITEMS, R_CUST, R_PROD, body=B_MERGED))
+def q_build_merged(spark, sf):
+    return pr.merge_tables(raw(spark, sf))
+
+
+def _line_payments(spark, sf):
+    li = tbl(spark, sf, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("payment_sequential"),
+        F.col("l_partkey").alias("_p"), F.col("l_suppkey").alias("_s"), F.col("l_extendedprice").alias("_e"),
+        F.when(F.col("l_returnflag") == "N", F.lit(None).cast("string"))
+        .otherwise(F.concat_ws("-", "l_linestatus", "l_returnflag")).alias("payment_type"),
+        F.col("l_quantity").alias("payment_value"),
+    )
+
+
+@query(
+    "dedup_payments",
+    """SELECT l_orderkey AS order_id, min(l_linenumber) AS payment_sequential,
+         arg_min(CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_linestatus || '-' || l_returnflag END,
+                 CASE WHEN l_returnflag <> 'N' THEN (l_linenumber, l_partkey, l_suppkey, l_extendedprice) END) AS payment_type,
+         arg_min(l_quantity, (l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS payment_value
+       FROM lineitem GROUP BY 1""",
+)
+def q_dedup_payments(spark, sf):
+    """First non-null per column in payment order; a null first type takes the next one."""
+    pay = _line_payments(spark, sf)
+    return pr.dedup_payments(pay, order_cols=("payment_sequential", "_p", "_s", "_e"))
+
+
+INTER_ALL = INTER.replace("WHERE o.o_orderstatus = 'F'", "")
+
+
+@query(
+    "aggregate_interactions",
+    with_(INTER_ALL, body="SELECT * REPLACE (round(review_score, 6) AS review_score, round(freight_value, 6) AS freight_value) FROM inter"),
+)
+def q_aggregate_interactions(spark, sf):
+    """The group-by alone, over every order status."""
+    merged = pr.clean(pr.merge_tables(raw(spark, sf)))
+    return pr.aggregate_interactions(merged, order_cols=supplied.ITEM_ORDER)
+
+
+@query(
+    "validation_report",
+    with_(INTER, body="""SELECT count(*) AS n_rows, count(DISTINCT customer_unique_id) AS n_users,
+      count(DISTINCT product_id) AS n_products, count(DISTINCT product_category_name_english) AS n_categories,
+      count(*) FILTER (WHERE review_score IS NULL) AS null_reviews, round(avg(purchase_count), 6) AS mean_purchase_count,
+      min(order_purchase_timestamp) AS min_date, max(order_purchase_timestamp) AS max_date,
+      round(1 - count(*) / (CAST(count(DISTINCT customer_unique_id) AS DOUBLE) * count(DISTINCT product_id)), 6) AS sparsity
+      FROM inter"""),
+)
+def q_validation_report(spark, sf):
+    return pr.validation_report(inter(spark, sf))
+
+
+@query(
+    "sparsity",
+    with_(INTER, body="""SELECT count(*) AS n_interactions, count(DISTINCT customer_unique_id) AS n_users,
+      count(DISTINCT product_id) AS n_items,
+      round(CAST(count(DISTINCT customer_unique_id) AS DOUBLE) * count(DISTINCT product_id), 6) AS n_cells,
+      round(1 - count(*) / (CAST(count(DISTINCT customer_unique_id) AS DOUBLE) * count(DISTINCT product_id)), 6) AS sparsity,
+      round(count(*) / (CAST(count(DISTINCT customer_unique_id) AS DOUBLE) * count(DISTINCT product_id)), 6) AS density
+      FROM inter"""),
+)
+def q_sparsity(spark, sf):
+    return pr.sparsity(inter(spark, sf))
+
+
+def _r(cols: str) -> str:
+    """round(c, 6) AS c for each listed column."""
+    return ", ".join(f"round({c.strip()}, 6) AS {c.strip()}" for c in cols.split(","))
+
+
+UF_COLS = "customer_unique_id, user_total_purchases, user_unique_products, " + _r(
+    "user_avg_review_score, user_avg_price, user_avg_freight") + ", user_purchase_span_days, user_recency_days, " + _r(
+    "user_diversity_index, user_review_rate")
+PF_COLS = "product_id, product_popularity, product_unique_buyers, " + _r(
+    "product_avg_review_score, product_avg_price, product_avg_freight, product_review_rate, product_buyer_diversity")
+
+
+@query("user_features", with_(INTER, FEATS, body=f"SELECT {UF_COLS} FROM uf2"))
+def q_user_features(spark, sf):
+    return fe.user_features(inter(spark, sf))
+
+
+@query("product_features", with_(INTER, FEATS, body=f"SELECT {PF_COLS} FROM pf"))
+def q_product_features(spark, sf):
+    return fe.product_features(inter(spark, sf))
+
+
+@query("join_user_stats", with_(INTER, FEATS, body=f"SELECT i.customer_unique_id, i.product_id, i.product_category_name_english, u.* EXCLUDE (customer_unique_id) FROM inter i LEFT JOIN (SELECT {UF_COLS} FROM uf2) u USING (customer_unique_id)"))
+def q_join_user_stats(spark, sf):
+    df = inter(spark, sf)
+    return df.select(USER, ITEM, CAT).join(fe.user_features(df), USER, "left")
+
+
+@query("join_product_stats", with_(INTER, FEATS, body=f"SELECT i.customer_unique_id, i.product_id, i.product_category_name_english, p.* EXCLUDE (product_id) FROM inter i LEFT JOIN (SELECT {PF_COLS} FROM pf) p USING (product_id)"))
+def q_join_product_stats(spark, sf):
+    df = inter(spark, sf)
+    return df.select(USER, ITEM, CAT).join(fe.product_features(df), ITEM, "left")
+
+
+@query("target_encoding", with_(INTER, FEATS, body="SELECT product_category_name_english, round(category_target_enc, 6) AS category_target_enc FROM cat2"))
+def q_target_encoding(spark, sf):
+    return fe.target_encoding(inter(spark, sf))
+
+
+@query("category_frequency", with_(INTER, FEATS, body="SELECT product_category_name_english, round(category_frequency, 6) AS category_frequency FROM cat2"))
+def q_category_frequency(spark, sf):
+    return fe.freq_encode(inter(spark, sf)).drop("_cnt")
+
+
+@query("category_is_rare", with_(INTER, FEATS, body="SELECT product_category_name_english, category_is_rare FROM cat2"))
+def q_category_is_rare(spark, sf):
+    return fe.rare_flag(fe.freq_encode(inter(spark, sf)))
+
+
+@query("category_is_top10", with_(INTER, FEATS, body="SELECT product_category_name_english, category_is_top10 FROM cat2"))
+def q_category_is_top10(spark, sf):
+    return fe.top_flag(fe.freq_encode(inter(spark, sf)))
+
+
+@query(
+    "map_category_stats",
+    with_(INTER, FEATS, body="""SELECT i.customer_unique_id, i.product_id, i.product_category_name_english,
+      round(coalesce(c.category_frequency, 0.0), 6) AS category_frequency
+      FROM inter i LEFT JOIN (SELECT * FROM cat2 WHERE product_category_name_english NOT LIKE '%1') c USING (product_category_name_english)"""),
+)
+def q_map_category_stats(spark, sf):
+    """Dictionary lookup with a default: left join on a partial table, coalesce to 0."""
+    df = inter(spark, sf)
+    table = fe.freq_encode(df).filter(~F.col(CAT).like("%1")).drop("_cnt")
+    return df.select(USER, ITEM, CAT).join(table, CAT, "left").withColumn("category_frequency", F.coalesce("category_frequency", F.lit(0.0)))
+
+
+KEYS3 = "customer_unique_id, product_id, product_category_name_english"
+
+
+@query(
+    "semi_isin",
+    with_(INTER, body=f"""SELECT {KEYS3}, purchase_count FROM inter WHERE customer_unique_id IN
+      (SELECT customer_unique_id FROM inter GROUP BY 1 HAVING count(*) >= 15)"""),
+)
+def q_semi_isin(spark, sf):
+    df = inter(spark, sf)
+    valid = df.groupBy(USER).count().filter(F.col("count") >= 15).select(USER)
+    return df.select(USER, ITEM, CAT, "purchase_count").join(valid, USER, "left_semi")
+
+
+FEAT_TAIL = ("price_log, freight_value_log, price_to_freight_ratio, total_cost")
+
+
+@query(
+    "numeric_features",
+    with_(INTER, FEATS, body=f"SELECT {KEYS3}, {_r(FEAT_TAIL)}, has_price_outlier FROM feat_all"),
+)
+def q_numeric_features(spark, sf):
+    return fe.numeric_features(inter(spark, sf)).select(USER, ITEM, CAT, *FEAT_TAIL.replace(" ", "").split(","), "has_price_outlier")
+
+
+TEMPORAL = ("purchase_year, purchase_month, purchase_day_of_week, purchase_hour, purchase_day_of_month, "
+            "is_weekend, is_holiday_season, days_since_reference, purchase_quarter")
+
+
+@query("temporal_features", with_(INTER, FEATS, body=f"SELECT {KEYS3}, {TEMPORAL} FROM feat_all"))
+def q_temporal_features(spark, sf):
+    return fe.temporal_features(inter(spark, sf)).select(USER, ITEM, CAT, *TEMPORAL.replace(" ", "").split(","))
+
+
+PAY = ("payment_type_credit_card, payment_type_boleto, payment_type_voucher, payment_type_debit_card, payment_type_not_defined")
+
+
+@query("payment_one_hot", with_(INTER, FEATS, body=f"SELECT {KEYS3}, coalesce(payment_type, 'not_defined') AS payment_type, {PAY} FROM feat_all"))
+def q_payment_one_hot(spark, sf):
+    return fe.payment_one_hot(inter(spark, sf)).select(USER, ITEM, CAT, "payment_type", *PAY.replace(" ", "").split(","))
+
+
+CATF = "category_target_enc, category_frequency"
+
+
+@query(
+    "categorical_features",
+    with_(INTER, FEATS, body=f"SELECT {KEYS3}, {_r(CATF)}, category_is_top10, category_is_rare, {PAY} FROM feat_all"),
+)
+def q_categorical_features(spark, sf):
+    return fe.categorical_features(inter(spark, sf)).select(
+        USER, ITEM, CAT, *CATF.replace(" ", "").split(","), "category_is_top10", "category_is_rare", *PAY.replace(" ", "").split(",")
+    )
+
+
+def _feat_sql(drop_price_log: bool) -> str:
+    cols = [c for c in fe.FINAL_COLUMNS if not (drop_price_log and c == "price_log")]
+    dbl = {"review_score", "price", "freight_value", "price_log", "freight_value_log", "price_to_freight_ratio",
+           "category_target_enc", "category_frequency", "user_avg_price", "user_avg_freight", "user_review_rate",
+           "product_avg_review_score", "product_avg_price", "product_avg_freight", "product_review_rate"}
+    sel = ", ".join(f"round({c}, 6) AS {c}" if c in dbl else c for c in cols)
+    return with_(INTER, FEATS, body=f"SELECT {sel} FROM feat")
+
+
+@query("features", _feat_sql(False))
+def q_features(spark, sf):
+    """Full 42-column feature table."""
+    return fe.features(inter(spark, sf), drop_price_log=False)
+
+
+@query("select_final", _feat_sql(True))
+def q_select_final(spark, sf):
+    """Final selection with the price_log drop decided by the correlation job."""
+    df = inter(spark, sf)
+    return fe.select_final(fe.featurize(df), drop_price_log=fe.price_log_redundant(df, 0.90))
+
+
+@query("dense_ids", with_(INTER, FEATS, body="SELECT * FROM uid"))
+def q_dense_ids(spark, sf):
+    return fe.dense_ids(inter(spark, sf), USER, "user_id")
+
+
+# ====================================================================== 2.5 windows / splits
+@query("temporal_split", with_(INTER, SPLIT, body=f"SELECT {KEYS3}, order_purchase_timestamp, split FROM labelled"))
+def q_temporal_split(spark, sf):
+    return labelled(spark, sf).select(USER, ITEM, CAT, TS, "split")
+
+
+@query(
+    "split_bounds",
+    with_(INTER, SPLIT, body="SELECT split, count(*) AS n_rows, min(order_purchase_timestamp) AS min_time, max(order_purchase_timestamp) AS max_time FROM labelled GROUP BY 1"),
+)
+def q_split_bounds(spark, sf):
+    return sp.split_bounds(labelled(spark, sf))
+
+
+@query("random_split")
+def q_random_split(spark, sf):
+    """Seeded hash split; exact sizes (rows-only check: the hash has no DuckDB twin)."""
+    return sp.random_split(inter(spark, sf)).select(USER, ITEM, CAT, "split")

@@ -112,8 +112,8 @@ feat AS (
     payment_type_credit_card, payment_type_boleto, payment_type_voucher, payment_type_debit_card,
     user_total_purchases, user_avg_price, user_avg_freight, user_purchase_span_days,
     user_recency_days, user_review_rate,
-    product_popularity, product_unique_buyers, product_avg_review_score, product_avg_price,
-    product_avg_freight, product_review_rate
+    product_popularity, product_unique_buyers, coalesce(product_avg_review_score, 0.0) AS product_avg_review_score,
+    product_avg_price, product_avg_freight, product_review_rate
   FROM feat_all)"""
 
 
