@@ -141,3 +141,30 @@ def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
     """Put two one-row aggregates side by side (keyed join on a constant, both sides one row)."""
     out = a.withColumn("_j", F.lit(1)).join(b.withColumn("_j", F.lit(1)), "_j").drop("_j")
     return out.withColumn("coverage", F.try_divide(F.col(out.columns[0]).cast("double"), F.col(out.columns[1])))
+
+
+def cold_warm(train: DataFrame, test: DataFrame, user: str = USER) -> DataFrame:
+    """Test users split into cold (no train history) and warm, with the cold share."""
+    tu = test.select(user).distinct()
+    flagged = tu.join(train.select(user).distinct().withColumn("_warm", F.lit(1)), user, "left")
+    return flagged.agg(
+        F.count(F.lit(1)).alias("n_test_users"),
+        F.count_if(F.col("_warm").isNull()).alias("n_cold"),
+        F.count_if(F.col("_warm").isNotNull()).alias("n_warm"),
+        (F.count_if(F.col("_warm").isNull()) * 100.0 / F.count(F.lit(1))).alias("pct_cold"),
+    )
+
+
+def seen_pairs(*frames: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
+    """History as distinct (user, item) pairs over several splits."""
+    out = frames[0].select(user, item)
+    for f in frames[1:]:
+        out = out.union(f.select(user, item))
+    return out.distinct()
+
+
+def user_items(df: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
+    """User → item set, long form: a member per row plus the set size (no per-user arrays)."""
+    pairs = df.select(user, item).distinct()
+    sizes = pairs.groupBy(user).agg(F.count(F.lit(1)).alias("n_items"))
+    return pairs.join(sizes, user)

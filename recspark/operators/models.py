@@ -45,3 +45,14 @@ def expand_shared(shared_list: DataFrame, users: DataFrame, user: str = USER) ->
     Evaluation never calls this (see metrics.hits_shared); the list side is k rows.
     """
     return users.select(user).distinct().join(F.broadcast(shared_list), how="cross")
+
+
+def first_per_key(df: DataFrame, key: str, order_cols) -> DataFrame:
+    """First row per key under an explicit order (row_number = 1; per-group limit runs map-side)."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order_cols])
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def last_item(df: DataFrame, user: str = USER, item: str = ITEM, ts: str = "order_purchase_timestamp") -> DataFrame:
+    """Latest item per user (ties by item id) as one aggregate — no sort of the user's rows."""
+    return df.groupBy(user).agg(F.max_by(F.col(item), F.struct(F.col(ts), F.col(item))).alias(item))

@@ -32,7 +32,7 @@ def nudge_rounds(sql: str) -> str:
 
     Inputs with 4 decimals averaged over a few rows land exactly on a rounding tie;
     the engines sum in different orders, so the tie falls either way by one ulp. A
-    relative nudge far above summation error (1e-12) and far below the data's own
+    relative nudge far above summation error (1e-14) and far below the data's own
     resolution puts both engines on the same side. Spark's ``rounded`` does the same.
     """
     out, i, low = [], 0, sql.lower()
@@ -62,7 +62,7 @@ def nudge_rounds(sql: str) -> str:
         i = k + 1
 
 
-NUDGE = 1.0 + 1e-12
+NUDGE = 1.0 + 1e-14
 
 
 def query(name: str, sql: str | None = None):
@@ -490,3 +490,381 @@ def q_split_bounds(spark, sf):
 def q_random_split(spark, sf):
     """Seeded hash split; exact sizes (rows-only check: the hash has no DuckDB twin)."""
     return sp.random_split(inter(spark, sf)).select(USER, ITEM, CAT, "split")
+
+
+# ====================================================================== 2.4 profile aggregates
+from recspark.functions import scalar as sc  # noqa: E402
+from recspark.operators import profile as pf  # noqa: E402
+
+
+@query(
+    "value_counts",
+    with_(INTER, body="SELECT review_score, count(*) AS count, round(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM inter), 6) AS share FROM inter GROUP BY 1"),
+)
+def q_value_counts(spark, sf):
+    """Counts per rating value, nulls kept as their own value."""
+    return pf.value_counts(inter(spark, sf), "review_score", normalize=True, dropna=False)
+
+
+DESCRIBE_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+        round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+        round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM (SELECT CAST({c} AS DOUBLE) AS {c} FROM inter)"""
+    for c in ("price", "freight_value", "review_score", "purchase_count")
+)
+
+
+@query("describe", with_(INTER, body=DESCRIBE_SQL))
+def q_describe(spark, sf):
+    return pf.describe(inter(spark, sf), ["price", "freight_value", "review_score", "purchase_count"])
+
+
+@query(
+    "sentiment_share",
+    with_(INTER, body="""SELECT round(avg(CASE WHEN review_score >= 4 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_positive,
+      round(avg(CASE WHEN review_score = 3 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_neutral,
+      round(avg(CASE WHEN review_score <= 2 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_negative,
+      round(avg(CASE WHEN review_score IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_missing FROM inter"""),
+)
+def q_sentiment_share(spark, sf):
+    return pf.sentiment_share(inter(spark, sf))
+
+
+@query(
+    "cumulative_top_share",
+    with_(INTER, body="""SELECT product_category_name_english, count, rank, round(pct, 6) AS pct, round(cum_pct, 6) AS cum_pct FROM (
+      SELECT *, sum(pct) OVER (ORDER BY count DESC, product_category_name_english ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pct
+      FROM (SELECT product_category_name_english, count(*) AS count,
+                   CAST(row_number() OVER (ORDER BY count(*) DESC, product_category_name_english) AS INTEGER) AS rank,
+                   count(*) * 100.0 / (SELECT count(*) FROM inter) AS pct
+            FROM inter GROUP BY 1)) WHERE rank <= 15"""),
+)
+def q_cumulative_top_share(spark, sf):
+    return pf.top_share(inter(spark, sf), CAT, (5, 10), 15)
+
+
+MISSING_COLS = ["customer_unique_id", "product_id", "product_category_name_english", "review_score", "price",
+                "freight_value", "payment_type", "order_purchase_timestamp", "has_review", "purchase_count"]
+_DT = {"customer_unique_id": "bigint", "product_id": "bigint", "product_category_name_english": "string",
+       "review_score": "double", "price": "double", "freight_value": "double", "payment_type": "string",
+       "order_purchase_timestamp": "timestamp_ntz", "has_review": "int", "purchase_count": "bigint"}
+MISSING_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS n_null,
+        round(count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*), 6) AS pct_null, '{_DT[c]}' AS dtype,
+        count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM inter)) AS n_duplicate_rows FROM inter"""
+    for c in MISSING_COLS
+)
+
+
+@query("missing_report", with_(INTER, body=MISSING_SQL))
+def q_missing_report(spark, sf):
+    return pf.missing_report(inter(spark, sf))
+
+
+@query("monthly_volume", with_(INTER, body="SELECT strftime(order_purchase_timestamp, '%Y-%m') AS year_month, count(*) AS n FROM inter GROUP BY 1"))
+def q_monthly_volume(spark, sf):
+    return pf.volume_by_month(inter(spark, sf))
+
+
+@query("year_month", with_(INTER, body=f"SELECT {KEYS3}, strftime(order_purchase_timestamp, '%Y-%m') AS year_month FROM inter"))
+def q_year_month(spark, sf):
+    return inter(spark, sf).select(USER, ITEM, CAT, sc.year_month(F.col(TS)).alias("year_month"))
+
+
+@query("day_name", "SELECT event_id, dayname(ts) AS day_name FROM events")
+def q_day_name(spark, sf):
+    return tbl(spark, sf, "events").select("event_id", sc.day_name(F.col("ts")).alias("day_name"))
+
+
+@query(
+    "hour_dow_volume",
+    """SELECT 'hour' AS kind, CAST(hour(ts) AS INTEGER) AS bucket, count(*) AS n FROM events GROUP BY 2
+       UNION ALL SELECT 'day_of_week', CAST(isodow(ts) - 1 AS INTEGER), count(*) FROM events GROUP BY 2""",
+)
+def q_hour_dow_volume(spark, sf):
+    """Hour-of-day and weekday volume from the timestamped event stream."""
+    return pf.volume_by_hour_dow(tbl(spark, sf, "events"), "ts")
+
+
+@query(
+    "year_month_pivot",
+    with_(INTER, body="SELECT CAST(year(order_purchase_timestamp) AS INTEGER) AS year, "
+          + ", ".join(f"count(*) FILTER (WHERE month(order_purchase_timestamp) = {m}) AS m{m:02d}" for m in range(1, 13))
+          + " FROM inter GROUP BY 1"),
+)
+def q_year_month_pivot(spark, sf):
+    return pf.pivot_year_month(inter(spark, sf))
+
+
+@query(
+    "review_crosstab",
+    with_(INTER, body="""SELECT least(purchase_count, 5) AS purchase_count_capped,
+      round(count(*) FILTER (WHERE has_review = 0) * 100.0 / count(*), 6) AS has_review_0,
+      round(count(*) FILTER (WHERE has_review = 1) * 100.0 / count(*), 6) AS has_review_1 FROM inter GROUP BY 1"""),
+)
+def q_review_crosstab(spark, sf):
+    df = inter(spark, sf)
+    return pf.crosstab_pct(df, sc.clip_upper(F.col("purchase_count"), 5), "has_review", (0, 1), "purchase_count_capped")
+
+
+def _bucket_sql(x: str, edges, labels) -> str:
+    parts = []
+    for (a, b), lab in zip(zip(edges, edges[1:]), labels):
+        cond = f"{x} > {a}" + ("" if b == float("inf") else f" AND {x} <= {b}")
+        parts.append(f"WHEN {cond} THEN '{lab}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _hist_sql(entity, key, edges, labels):
+    return f"""SELECT '{entity}' AS entity, bucket, count(*) AS n_entities,
+      round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct FROM (
+      SELECT {_bucket_sql('n', edges, labels)} AS bucket FROM (SELECT {key}, count(*) AS n FROM inter GROUP BY 1)) GROUP BY 2"""
+
+
+@query(
+    "cold_start_histogram",
+    with_(INTER, body=_hist_sql("user", "customer_unique_id", *pf.USER_BINS) + " UNION ALL "
+          + _hist_sql("product", "product_id", *pf.PRODUCT_BINS) + " UNION ALL "
+          + f"""SELECT 'purchase_count', bucket, count(*), round(count(*) * 100.0 / sum(count(*)) OVER (), 6) FROM (
+                SELECT {_bucket_sql('purchase_count', *pf.COUNT_BINS)} AS bucket FROM inter) GROUP BY 2"""),
+)
+def q_cold_start_histogram(spark, sf):
+    df = inter(spark, sf)
+    return (
+        pf.entity_histogram(df, USER, *pf.USER_BINS, "user")
+        .unionByName(pf.entity_histogram(df, ITEM, *pf.PRODUCT_BINS, "product"))
+        .unionByName(pf.value_histogram(df, "purchase_count", *pf.COUNT_BINS, "purchase_count"))
+    )
+
+
+@query("bucketize", with_(INTER, body=f"SELECT customer_unique_id, n, {_bucket_sql('n', *pf.USER_BINS)} AS bucket FROM (SELECT customer_unique_id, count(*) AS n FROM inter GROUP BY 1)"))
+def q_bucketize(spark, sf):
+    per = inter(spark, sf).groupBy(USER).agg(F.count(F.lit(1)).alias("n"))
+    return per.select(USER, "n", sc.bucketize(F.col("n"), *pf.USER_BINS).alias("bucket"))
+
+
+@query("repeat_share", with_(INTER, body="SELECT round(avg(CASE WHEN purchase_count > 1 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_repeat FROM inter"))
+def q_repeat_share(spark, sf):
+    return pf.repeat_share(inter(spark, sf))
+
+
+@query(
+    "one_time_buyers",
+    with_(INTER, body="""SELECT count(*) FILTER (WHERE n = 1) AS one_time_buyers, count(*) FILTER (WHERE n >= 2) AS repeat_buyers,
+      round(avg(CASE WHEN n = 1 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_one_time
+      FROM (SELECT customer_unique_id, count(*) AS n FROM inter GROUP BY 1)"""),
+)
+def q_one_time_buyers(spark, sf):
+    return pf.buyer_split(inter(spark, sf))
+
+
+@query(
+    "pearson_pair",
+    with_(INTER, body="SELECT round(corr(price, review_score), 6) AS pearson, count(*) AS n FROM inter WHERE price IS NOT NULL AND review_score IS NOT NULL"),
+)
+def q_pearson_pair(spark, sf):
+    return pf.pearson(inter(spark, sf), "price", "review_score")
+
+
+@query(
+    "skewness",
+    with_(INTER, body="""SELECT 'price' AS feature, round(skewness(price), 6) AS skew FROM inter
+      UNION ALL SELECT 'price_log', round(skewness(ln(1 + price)), 6) FROM inter
+      UNION ALL SELECT 'freight_value', round(skewness(freight_value), 6) FROM inter
+      UNION ALL SELECT 'freight_value_log', round(skewness(ln(1 + freight_value)), 6) FROM inter"""),
+)
+def q_skewness(spark, sf):
+    """Bias-adjusted skewness before and after log1p."""
+    df = inter(spark, sf).select("price", "freight_value", F.log1p("price").alias("price_log"), F.log1p("freight_value").alias("freight_value_log"))
+    return pf.skew_report(df, ["price", "price_log", "freight_value", "freight_value_log"])
+
+
+@query(
+    "histogram",
+    with_(INTER, body="""SELECT bin, round(lo + bin * w, 6) AS bin_lo, round(lo + (bin + 1) * w, 6) AS bin_hi, count(*) AS n FROM (
+      SELECT CAST(least(floor((price - lo) / w), 49) AS INTEGER) AS bin, lo, w FROM inter,
+        (SELECT min(price) AS lo, (max(price) - min(price)) / 50 AS w FROM inter)) GROUP BY bin, lo, w"""),
+)
+def q_histogram(spark, sf):
+    return pf.histogram(inter(spark, sf), "price", 50)
+
+
+@query(
+    "boxplot_stats",
+    with_(INTER, body="""SELECT review_score, count(*) AS n, round(quantile_cont(ln(1 + price), 0.25), 6) AS p25,
+      round(quantile_cont(ln(1 + price), 0.5), 6) AS p50, round(quantile_cont(ln(1 + price), 0.75), 6) AS p75
+      FROM inter WHERE review_score IS NOT NULL AND price IS NOT NULL GROUP BY 1"""),
+)
+def q_boxplot_stats(spark, sf):
+    return pf.group_quantiles(inter(spark, sf), "review_score", F.log1p("price"))
+
+
+IQR_SQL = """SELECT customer_unique_id, product_id, product_category_name_english, price FROM inter,
+  (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM inter)
+  WHERE price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)"""
+
+
+@query("filter_iqr_outliers", with_(INTER, body=IQR_SQL.replace("price", "freight_value")))
+def q_filter_iqr_outliers(spark, sf):
+    return pf.iqr_outliers(inter(spark, sf), "freight_value").select(USER, ITEM, CAT, "freight_value")
+
+
+@query(
+    "filter_p99_cap",
+    with_(INTER, body=f"SELECT {KEYS3}, price FROM inter WHERE price <= (SELECT quantile_cont(price, 0.99) FROM inter)"),
+)
+def q_filter_p99_cap(spark, sf):
+    return pf.cap_quantile(inter(spark, sf), "price", 0.99).select(USER, ITEM, CAT, "price")
+
+
+@query(
+    "category_score_rank",
+    with_(INTER, FEATS, body="""SELECT product_category_name_english, round(avg(category_target_enc), 6) AS mean_value, count(*) AS n
+      FROM feat_all GROUP BY 1 ORDER BY avg(category_target_enc) DESC, 1 LIMIT 10"""),
+)
+def q_category_score_rank(spark, sf):
+    """Top categories by their target encoding (a top-N report: the limit is the feature)."""
+    return pf.category_rank(fe.categorical_features(inter(spark, sf)), CAT, "category_target_enc", 10)
+
+
+@query(
+    "sort_limit",
+    with_(INTER, body="SELECT product_id, count(*) AS n FROM inter GROUP BY 1 ORDER BY n DESC, product_id LIMIT 20"),
+)
+def q_sort_limit(spark, sf):
+    """Most bought products: order by measure, take n (TakeOrderedAndProject)."""
+    return inter(spark, sf).groupBy(ITEM).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(ITEM)).limit(20)
+
+
+@query("clip_upper", with_(INTER, body=f"SELECT {KEYS3}, least(purchase_count, 5) AS purchase_count_capped FROM inter"))
+def q_clip_upper(spark, sf):
+    return inter(spark, sf).select(USER, ITEM, CAT, sc.clip_upper(F.col("purchase_count"), 5).alias("purchase_count_capped"))
+
+
+@query("cast_fill", with_(INTER, body=f"SELECT {KEYS3}, coalesce(CAST(review_score AS DOUBLE), 0.0) AS review_score FROM inter"))
+def q_cast_fill(spark, sf):
+    return inter(spark, sf).select(USER, ITEM, CAT, sc.cast_fill(F.col("review_score")).alias("review_score"))
+
+
+@query(
+    "median_fill",
+    with_(INTER, body=f"SELECT {KEYS3}, round(coalesce(review_score, (SELECT quantile_cont(review_score, 0.5) FROM inter)), 6) AS review_score FROM inter"),
+)
+def q_median_fill(spark, sf):
+    df = inter(spark, sf)
+    from recspark.operators.order import exact_quantiles
+
+    med = exact_quantiles(df, "review_score", [0.5])[1][0]
+    return df.select(USER, ITEM, CAT, F.coalesce(F.col("review_score"), F.lit(med)).alias("review_score"))
+
+
+@query(
+    "safe_ratio",
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(coalesce(l_extendedprice / CASE WHEN l_discount <> 0 THEN l_discount END, 0.0), 6) AS price_per_discount FROM lineitem",
+)
+def q_safe_ratio(spark, sf):
+    li = tbl(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", sc.safe_ratio(F.col("l_extendedprice"), F.col("l_discount")).alias("price_per_discount"))
+
+
+# ====================================================================== sets and windows on splits
+TRAIN_USERS = "SELECT DISTINCT customer_unique_id FROM train"
+TEST_USERS = "SELECT DISTINCT customer_unique_id FROM test"
+
+
+@query("users_in_both", with_(INTER, SPLIT, body=f"SELECT * FROM ({TEST_USERS}) SEMI JOIN ({TRAIN_USERS}) USING (customer_unique_id)"))
+def q_users_in_both(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return me.users_in_both(tr, te)
+
+
+@query("intersect_users", with_(INTER, SPLIT, body=f"SELECT * FROM ({TEST_USERS} INTERSECT {TRAIN_USERS})"))
+def q_intersect_users(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return te.select(USER).intersect(tr.select(USER))
+
+
+@query("except_users", with_(INTER, SPLIT, body=f"SELECT * FROM ({TEST_USERS} EXCEPT {TRAIN_USERS})"))
+def q_except_users(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return te.select(USER).subtract(tr.select(USER))
+
+
+@query(
+    "cold_warm_split",
+    with_(INTER, SPLIT, body=f"""SELECT count(*) AS n_test_users,
+      count(*) FILTER (WHERE customer_unique_id NOT IN ({TRAIN_USERS})) AS n_cold,
+      count(*) FILTER (WHERE customer_unique_id IN ({TRAIN_USERS})) AS n_warm,
+      round(count(*) FILTER (WHERE customer_unique_id NOT IN ({TRAIN_USERS})) * 100.0 / count(*), 6) AS pct_cold
+      FROM ({TEST_USERS})"""),
+)
+def q_cold_warm_split(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return me.cold_warm(tr, te)
+
+
+@query("filter_warm_users", with_(INTER, SPLIT, body=f"SELECT {KEYS3} FROM test SEMI JOIN ({TRAIN_USERS}) USING (customer_unique_id)"))
+def q_filter_warm_users(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return te.select(USER, ITEM, CAT).join(tr.select(USER).distinct(), USER, "left_semi")
+
+
+@query("anti_seen", with_(INTER, SPLIT, body="SELECT DISTINCT customer_unique_id, product_id FROM test ANTI JOIN train USING (customer_unique_id, product_id)"))
+def q_anti_seen(spark, sf):
+    """Test pairs the user had not already bought in train."""
+    tr, _, te = splits(spark, sf)
+    return te.select(USER, ITEM).distinct().join(tr.select(USER, ITEM), [USER, ITEM], "left_anti")
+
+
+@query("merge_seen", with_(INTER, SPLIT, body="SELECT customer_unique_id, product_id FROM train UNION SELECT customer_unique_id, product_id FROM val"))
+def q_merge_seen(spark, sf):
+    tr, va, _ = splits(spark, sf)
+    return me.seen_pairs(tr, va)
+
+
+@query(
+    "user_item_sets",
+    with_(INTER, SPLIT, body="""SELECT p.customer_unique_id, p.product_id, n.n_items FROM (SELECT DISTINCT customer_unique_id, product_id FROM train) p
+      JOIN (SELECT customer_unique_id, count(DISTINCT product_id) AS n_items FROM train GROUP BY 1) n USING (customer_unique_id)"""),
+)
+def q_user_item_sets(spark, sf):
+    """User → item set kept in long form (one row per member) with the set size."""
+    tr, _, _ = splits(spark, sf)
+    return me.user_items(tr)
+
+
+@query(
+    "union_splits",
+    with_(INTER, SPLIT, body=f"SELECT {KEYS3}, 'train' AS split FROM train UNION ALL SELECT {KEYS3}, 'val' FROM val UNION ALL SELECT {KEYS3}, 'test' FROM test"),
+)
+def q_union_splits(spark, sf):
+    tr, va, te = splits(spark, sf)
+    parts = [d.select(USER, ITEM, CAT).withColumn("split", F.lit(n)) for d, n in ((tr, "train"), (va, "val"), (te, "test"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "first_row_per_item",
+    with_(INTER, body=f"""SELECT product_id, customer_unique_id, order_purchase_timestamp, round(price, 6) AS price FROM inter
+      QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY order_purchase_timestamp, customer_unique_id) = 1"""),
+)
+def q_first_row_per_item(spark, sf):
+    return mo.first_per_key(inter(spark, sf), ITEM, [TS, USER]).select(ITEM, USER, TS, "price")
+
+
+@query(
+    "last_item_per_user",
+    with_(INTER, body="SELECT customer_unique_id, arg_max(product_id, (order_purchase_timestamp, product_id)) AS product_id FROM inter GROUP BY 1"),
+)
+def q_last_item_per_user(spark, sf):
+    return mo.last_item(inter(spark, sf))
+
+
+@query(
+    "topk_per_user",
+    with_(INTER, body="""SELECT customer_unique_id, product_id, round(price, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY customer_unique_id ORDER BY price DESC, product_id) AS rank FROM inter) WHERE rank <= 3"""),
+)
+def q_topk_per_user(spark, sf):
+    df = inter(spark, sf).select(USER, ITEM, F.col("price").alias("score"))
+    return mo.topk_per_user(df, 3)
