@@ -168,3 +168,41 @@ def user_items(df: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
     pairs = df.select(user, item).distinct()
     sizes = pairs.groupBy(user).agg(F.count(F.lit(1)).alias("n_items"))
     return pairs.join(sizes, user)
+
+
+def lift(candidate: DataFrame, baseline: DataFrame) -> DataFrame:
+    """candidate ÷ baseline per (metric, k); null where the baseline is 0."""
+    b = baseline.select("metric", "k", F.col("value").alias("baseline"))
+    c = candidate.select("metric", "k", "value")
+    return c.join(b, ["metric", "k"]).withColumn("lift", F.try_divide(F.col("value"), F.when(F.col("baseline") != 0, F.col("baseline"))))
+
+
+def eval_counts(train: DataFrame, test: DataFrame, user: str = USER) -> DataFrame:
+    c = cold_warm(train, test, user)
+    return c.select("n_test_users", F.col("n_warm").alias("n_evaluated"), (F.col("n_cold") / F.col("n_test_users")).alias("cold_start_rate"))
+
+
+def mean_std(per_user: DataFrame, metric: str, k: int, min_users: int = 30) -> DataFrame:
+    """Mean, and sample std only when at least ``min_users`` users were scored."""
+    col = F.col(f"`{metric}@{k}`")
+    return per_user.agg(
+        F.lit(metric).alias("metric"), F.lit(k).alias("k"), F.avg(col).alias("mean"),
+        F.when(F.count(F.lit(1)) >= min_users, F.stddev_samp(col)).alias("std"), F.count(F.lit(1)).alias("n_users"),
+    )
+
+
+def segment_metrics(per_user: DataFrame, train: DataFrame, user: str = USER) -> DataFrame:
+    """NDCG@10 / HitRate@10 per activity segment (train rows: 1, 2-5, 6+)."""
+    act = train.groupBy(user).agg(F.count(F.lit(1)).alias("n_train"))
+    seg = F.when(F.col("n_train") == 1, "1").when(F.col("n_train") <= 5, "2-5").otherwise("6+")
+    return per_user.join(act, user).groupBy(seg.alias("segment")).agg(
+        F.count(F.lit(1)).alias("n_users"), F.avg(F.col("`NDCG@10`")).alias("ndcg_10"), F.avg(F.col("`HitRate@10`")).alias("hit_rate_10")
+    )
+
+
+def recs_inventory(recs: DataFrame) -> DataFrame:
+    return recs.groupBy("model", "variant", "k").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def melt(wide: DataFrame, ids, value_cols, var: str = "metric_k", val: str = "value") -> DataFrame:
+    return wide.unpivot(ids, [F.col(f"`{c}`").alias(c) for c in value_cols], var, val)

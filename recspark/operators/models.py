@@ -35,7 +35,7 @@ def popularity(train: DataFrame, k: int = 10, item: str = ITEM) -> DataFrame:
 
 def top_rated(train: DataFrame, k: int = 10, min_reviews: int = 5, item: str = ITEM, rating: str = "review_score") -> DataFrame:
     """Best mean rating among items with at least ``min_reviews`` non-null ratings."""
-    stats = train.groupBy(item).agg(F.avg(rating).alias("score"), F.count(rating).alias("n_reviews"))
+    stats = train.groupBy(item).agg(F.round(F.avg(rating), 9).alias("score"), F.count(rating).alias("n_reviews"))
     return shared_topk(stats.filter(F.col("n_reviews") >= min_reviews), k, item)
 
 
@@ -56,3 +56,114 @@ def first_per_key(df: DataFrame, key: str, order_cols) -> DataFrame:
 def last_item(df: DataFrame, user: str = USER, item: str = ITEM, ts: str = "order_purchase_timestamp") -> DataFrame:
     """Latest item per user (ties by item id) as one aggregate — no sort of the user's rows."""
     return df.groupBy(user).agg(F.max_by(F.col(item), F.struct(F.col(ts), F.col(item))).alias(item))
+
+
+# ---------------------------------------------------------------- item-item cosine
+def interaction_counts(train: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
+    """User × item matrix in long form: value = number of rows (duplicates summed)."""
+    return train.groupBy(user, item).agg(F.count(F.lit(1)).cast("double").alias("v"))
+
+
+def item_cooccurrence(train: DataFrame, block_items: int = 512, user: str = USER, item: str = ITEM) -> DataFrame:
+    """(item_i, item_j, dot, co_users) for i < j over users holding both.
+
+    Salted self-join: a user's items are hashed into ceil(n_u / block_items) blocks and
+    the join key is (user, left block, right block). Every join task therefore sees at
+    most block_items² pairs, however many items one user holds; each row is replicated
+    once per block of its user (1 for ordinary users). Partial aggregation on the pair
+    runs before the shuffle.
+    """
+    a = interaction_counts(train, user, item)
+    deg = a.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+    nb = F.greatest(F.ceil(F.col("_n") / F.lit(block_items)), F.lit(1)).cast("int")
+    a = a.join(deg, user).select(
+        user, item, "v", nb.alias("_B"), F.pmod(F.xxhash64(F.col(item)), nb.cast("bigint")).cast("int").alias("_blk")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("_B") - 1))
+    left = a.select(F.col(user), F.col(item).alias("item_i"), F.col("v").alias("vi"), F.col("_blk").alias("bl"), other.alias("br"))
+    right = a.select(F.col(user), F.col(item).alias("item_j"), F.col("v").alias("vj"), other.alias("bl"), F.col("_blk").alias("br"))
+    pairs = left.join(right, [user, "bl", "br"]).filter(F.col("item_i") < F.col("item_j"))
+    return pairs.groupBy("item_i", "item_j").agg(
+        F.sum(F.col("vi") * F.col("vj")).alias("dot"), F.count(F.lit(1)).alias("co_users")
+    )
+
+
+def item_norms(train: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
+    a = interaction_counts(train, user, item)
+    return a.groupBy(item).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+
+
+def item_cosine(train: DataFrame, min_support: int = 1, block_items: int = 512, user: str = USER, item: str = ITEM) -> DataFrame:
+    """Cosine between item columns of the user × item count matrix, both directions, no diagonal.
+
+    ``min_support`` keeps pairs bought together by at least that many users (1 = all).
+    """
+    co = item_cooccurrence(train, block_items, user, item).filter(F.col("co_users") >= min_support)
+    nrm = item_norms(train, user, item)
+    ni = nrm.select(F.col(item).alias("item_i"), F.col("norm").alias("ni"))
+    nj = nrm.select(F.col(item).alias("item_j"), F.col("norm").alias("nj"))
+    half = co.join(ni, "item_i").join(nj, "item_j").select(
+        "item_i", "item_j", (F.col("dot") / (F.col("ni") * F.col("nj"))).alias("cosine"), "co_users"
+    )
+    mirror = half.select(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), "cosine", "co_users")
+    return half.unionByName(mirror)
+
+
+SCORE_DIGITS = 9  # scores equal to 9 decimals are ties (then broken by item id)
+
+
+def similar_items(sim: DataFrame, k: int = 10) -> DataFrame:
+    """Top-k neighbours of every item, self excluded (the pair table has no diagonal)."""
+    s = sim.select(F.col("item_i").alias("item"), F.col("item_j").alias("neighbor"), F.round("cosine", SCORE_DIGITS).alias("score"))
+    return topk_per_user(s, k, user="item", item="neighbor")
+
+
+def recommend_item_cf(train: DataFrame, sim: DataFrame, k: int = 10, user: str = USER, item: str = ITEM) -> DataFrame:
+    """score(u, c) = Σ cos(i, c) over the user's train items i; seen items dropped; top k.
+
+    Users without history get nothing (no zero-score padding).
+    """
+    seen = train.select(user, item).distinct()
+    contrib = seen.join(sim.select(F.col("item_i").alias(item), "item_j", "cosine"), item)
+    scores = contrib.groupBy(user, F.col("item_j").alias(item)).agg(F.sum("cosine").alias("score"))
+    scores = scores.join(seen, [user, item], "left_anti").withColumn("score", F.round("score", SCORE_DIGITS))
+    return topk_per_user(scores, k, user, item)
+
+
+def union_recs(lists) -> DataFrame:
+    """Stack (recs, model, variant, k) lists; shared lists lack the user column (null there)."""
+    out = None
+    for df, model, variant, k in lists:
+        d = df.withColumn("model", F.lit(model)).withColumn("variant", F.lit(variant)).withColumn("k", F.lit(k))
+        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
+    return out
+
+
+def exclude_categories(recs: DataFrame, catalog: DataFrame, categories, item: str = ITEM, cat: str = "product_category_name_english") -> DataFrame:
+    """Drop recommended items that belong to any of the given categories."""
+    banned = catalog.filter(F.col(cat).isin(list(categories))).select(item).distinct()
+    return recs.join(banned, item, "left_anti")
+
+
+def enrich(recs: DataFrame, train: DataFrame, item: str = ITEM) -> DataFrame:
+    """Attach category (first row per item by time, user) and popularity to recommended items."""
+    dim = first_per_key(train, item, ["order_purchase_timestamp", USER]).select(item, "product_category_name_english")
+    pop = train.groupBy(item).agg(F.count(F.lit(1)).alias("product_popularity"))
+    return recs.join(dim.join(pop, item), item, "left")
+
+
+def dummy_rating(train: DataFrame, test: DataFrame, y: str = "review_score", constant: float = 3.0) -> DataFrame:
+    """Mean / median / constant rating predictors scored by RMSE and MAE in one pass over test."""
+    from recspark.operators.order import exact_quantiles
+
+    mean = train.agg(F.avg(y)).first()[0]
+    median = exact_quantiles(train, y, [0.5])[1][0]
+    preds = {"mean": mean, "median": median, "constant": constant}
+    t = test.filter(F.col(y).isNotNull())
+    aggs = []
+    for how, p in preds.items():
+        e = F.col(y) - F.lit(p)
+        aggs += [F.sqrt(F.avg(e * e)).alias(f"rmse_{how}"), F.avg(F.abs(e)).alias(f"mae_{how}")]
+    wide = t.agg(F.count(F.lit(1)).alias("n"), *aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(h).alias("how"), F.col(f"rmse_{h}").alias("rmse"), F.col(f"mae_{h}").alias("mae")) for h in preds]))
+    return wide.select("n", rows.alias("r")).select("r.how", "r.rmse", "r.mae", "n")

@@ -868,3 +868,322 @@ def q_last_item_per_user(spark, sf):
 def q_topk_per_user(spark, sf):
     df = inter(spark, sf).select(USER, ITEM, F.col("price").alias("score"))
     return mo.topk_per_user(df, 3)
+
+
+# ====================================================================== 2.9 recommenders
+from recspark.operators import factor as fa  # noqa: E402
+from recspark.operators import sampling as sa  # noqa: E402
+
+POP = """pop_counts AS (SELECT product_id, CAST(count(*) AS DOUBLE) AS score FROM train GROUP BY 1),
+pop10 AS (SELECT product_id, score, CAST(row_number() OVER (ORDER BY score DESC, product_id) AS INTEGER) AS rank FROM pop_counts QUALIFY rank <= 10),
+pop20 AS (SELECT product_id, score, CAST(row_number() OVER (ORDER BY score DESC, product_id) AS INTEGER) AS rank FROM pop_counts QUALIFY rank <= 20)"""
+
+
+def _top_rated_sql(min_reviews: int, name: str) -> str:
+    return f"""{name} AS (SELECT product_id, score, CAST(row_number() OVER (ORDER BY score DESC, product_id) AS INTEGER) AS rank FROM
+      (SELECT product_id, round(avg(review_score), 9) AS score FROM train GROUP BY 1 HAVING count(review_score) >= {min_reviews})
+      QUALIFY rank <= 10)"""
+
+
+COS = """ma AS (SELECT customer_unique_id AS u, product_id AS i, CAST(count(*) AS DOUBLE) AS v FROM train GROUP BY 1, 2),
+mnorm AS (SELECT i, sqrt(sum(v * v)) AS n FROM ma GROUP BY 1),
+mpairs AS (SELECT x.i AS item_i, y.i AS item_j, sum(x.v * y.v) AS dot, count(*) AS co_users
+           FROM ma x JOIN ma y ON x.u = y.u AND x.i <> y.i GROUP BY 1, 2),
+cos AS (SELECT item_i, item_j, dot / (n1.n * n2.n) AS cosine, co_users FROM mpairs
+        JOIN mnorm n1 ON n1.i = item_i JOIN mnorm n2 ON n2.i = item_j)"""
+
+ITEMCF = COS + """,
+seen AS (SELECT DISTINCT customer_unique_id, product_id FROM train),
+cf_scores AS (SELECT s.customer_unique_id, c.item_j AS product_id, round(sum(c.cosine), 9) AS score
+              FROM seen s JOIN cos c ON c.item_i = s.product_id GROUP BY 1, 2),
+cf AS (SELECT customer_unique_id, product_id, score, CAST(row_number() OVER (PARTITION BY customer_unique_id ORDER BY score DESC, product_id) AS INTEGER) AS rank
+       FROM cf_scores ANTI JOIN seen USING (customer_unique_id, product_id) QUALIFY rank <= {k})"""
+
+
+@query("rec_popularity", with_(INTER, SPLIT, POP, body="SELECT * FROM pop10"))
+def q_rec_popularity(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return mo.popularity(tr, 10)
+
+
+@query("rec_top_rated", with_(INTER, SPLIT, _top_rated_sql(5, "tr5"), body="SELECT * FROM tr5"))
+def q_rec_top_rated(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return mo.top_rated(tr, 10, 5).select(ITEM, "score", "rank")
+
+
+@query("item_cosine", with_(INTER, SPLIT, COS, body="SELECT item_i, item_j, round(cosine, 6) AS cosine, co_users FROM cos"))
+def q_item_cosine(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return mo.item_cosine(tr)
+
+
+@query(
+    "similar_items",
+    with_(INTER, SPLIT, COS, body="""SELECT item_i AS item, item_j AS neighbor, round(round(cosine, 9), 6) AS score,
+      CAST(row_number() OVER (PARTITION BY item_i ORDER BY round(cosine, 9) DESC, item_j) AS INTEGER) AS rank FROM cos QUALIFY rank <= 10"""),
+)
+def q_similar_items(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return mo.similar_items(mo.item_cosine(tr), 10)
+
+
+@query("rec_item_cf", with_(INTER, SPLIT, ITEMCF.format(k=10), body="SELECT customer_unique_id, product_id, round(score, 6) AS score, rank FROM cf"))
+def q_rec_item_cf(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return mo.recommend_item_cf(tr, mo.item_cosine(tr), 10)
+
+
+@query("rec_svd")
+def q_rec_svd(spark, sf):
+    """Truncated SVD (50 components) scores x·V·Vᵀ, seen masked, top 10 (rows-only check)."""
+    tr, _, _ = splits(spark, sf)
+    return fa.recommend_svd(tr, 50, 10)
+
+
+@query("rec_als")
+def q_rec_als(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return fa.recommend_als(tr, 10, rank=16)
+
+
+@query("rec_random")
+def q_rec_random(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return sa.recommend_random(te.select(USER), tr.select(ITEM), 10)
+
+
+@query("negative_samples")
+def q_negative_samples(spark, sf):
+    """4 unseen items per train positive, hash-seeded."""
+    tr, _, _ = splits(spark, sf)
+    return sa.sample_negatives(tr, tr, tr, 4)
+
+
+@query("sampled_candidates")
+def q_sampled_candidates(spark, sf):
+    tr, va, te = splits(spark, sf)
+    return sa.sampled_candidates(te, tr, me.seen_pairs(tr, va), 99)
+
+
+@query("sample_rows")
+def q_sample_rows(spark, sf):
+    return sa.sample_rows(inter(spark, sf), 2000, 42, [USER, ITEM, CAT])
+
+
+# ====================================================================== 2.10 metrics
+METRICS5 = ("MAP", "NDCG", "Precision", "Recall", "HitRate")
+
+
+def _eval_sql(rec_ctes: str, hits: str, metrics=METRICS5, eval_users: str = EVAL_USERS) -> str:
+    return with_(INTER, SPLIT, rec_ctes, metric_ctes(hits, eval_users), body=mean_long(metrics))
+
+
+@query("evaluate_full", _eval_sql(POP, shared_hits("pop10")))
+def q_evaluate_full(spark, sf):
+    """Popularity (K=10 list) scored at K = 5, 10, 20 on users in train and test."""
+    tr, _, te = splits(spark, sf)
+    return me.evaluate(tr, te, mo.popularity(tr, 10), shared=True, metrics=METRICS5)
+
+
+@query("evaluate_full_top_rated", _eval_sql(_top_rated_sql(5, "tr5"), shared_hits("tr5")))
+def q_evaluate_full_top_rated(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return me.evaluate(tr, te, mo.top_rated(tr, 10, 5), shared=True, metrics=METRICS5)
+
+
+@query("evaluate_full_item_cf", _eval_sql(ITEMCF.format(k=40), personal_hits("cf")))
+def q_evaluate_full_item_cf(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return me.evaluate(tr, te, mo.recommend_item_cf(tr, mo.item_cosine(tr), 40), metrics=METRICS5)
+
+
+def _single_metric(name: str, metric: str, k: int = 10):
+    sql = with_(INTER, SPLIT, POP, metric_ctes(shared_hits("pop20"), EVAL_USERS),
+                body=f'SELECT CAST({k} AS INTEGER) AS k, round(avg("{metric}@{k}"), 6) AS value, count(*) AS n_users FROM pu')
+
+    @query(name, sql)
+    def run(spark, sf):
+        tr, _, te = splits(spark, sf)
+        per = me.per_user_metrics(
+            me.hits_shared(mo.popularity(tr, 20), me.relevant_sets(te)), me.eval_users_frame(tr, te), (5, 10, 20)
+        )
+        return per.agg(F.lit(k).alias("k"), F.avg(F.col(f"`{metric}@{k}`")).alias("value"), F.count(F.lit(1)).alias("n_users"))
+
+    return run
+
+
+for _name, _metric in [
+    ("hit_rate_at_k", "HitRate"), ("precision_at_k", "Precision"), ("recall_at_k", "Recall"), ("map_at_k", "MAP"),
+    ("map_at_k_hits", "MAP_hits"), ("ndcg_at_k", "NDCG"), ("ndcg_at_k_list", "NDCG_list"), ("dcg_at_k", "DCG"),
+]:
+    _single_metric(_name, _metric)
+
+
+@query(
+    "cum_hits",
+    with_(INTER, SPLIT, POP, body=f"""SELECT customer_unique_id, rank, CAST(row_number() OVER (PARTITION BY customer_unique_id ORDER BY rank) AS BIGINT) AS cum_hits
+      FROM ({shared_hits('pop20')}) SEMI JOIN ({EVAL_USERS}) USING (customer_unique_id)"""),
+)
+def q_cum_hits(spark, sf):
+    tr, _, te = splits(spark, sf)
+    hits = me.hits_shared(mo.popularity(tr, 20), me.relevant_sets(te)).join(me.eval_users_frame(tr, te), USER, "left_semi")
+    return me.cum_hits(hits)
+
+
+ALL_TEST_USERS = "SELECT customer_unique_id, count(DISTINCT product_id) AS n_rel FROM test GROUP BY 1"
+
+
+@query("popularity_eval", _eval_sql(POP, shared_hits("pop10"), eval_users=ALL_TEST_USERS))
+def q_popularity_eval(spark, sf):
+    """Popularity scored on every test user, cold ones included."""
+    tr, _, te = splits(spark, sf)
+    rel = me.relevant_sets(te)
+    eu = te.groupBy(USER).agg(F.count_distinct(ITEM).alias("n_rel"))
+    per = me.per_user_metrics(me.hits_shared(mo.popularity(tr, 10), rel), eu)
+    return me.mean_metrics(per, metrics=METRICS5)
+
+
+@query(
+    "lift_table",
+    with_(INTER, SPLIT, POP, _top_rated_sql(5, "tr5"), metric_ctes(shared_hits("pop10"), EVAL_USERS),
+          body=f"""SELECT b.metric, b.k, round(a.value, 6) AS value, round(b.value, 6) AS baseline,
+            round(CASE WHEN b.value <> 0 THEN a.value / b.value END, 6) AS lift FROM
+            ({mean_long(METRICS5, rounded=False)}) b JOIN (
+              WITH {metric_ctes(shared_hits("tr5"), EVAL_USERS)} {mean_long(METRICS5, rounded=False)}) a USING (metric, k)"""),
+)
+def q_lift_table(spark, sf):
+    """Top-rated metrics divided by the popularity baseline, per metric and K."""
+    tr, _, te = splits(spark, sf)
+    base = me.evaluate(tr, te, mo.popularity(tr, 10), shared=True, metrics=METRICS5)
+    cand = me.evaluate(tr, te, mo.top_rated(tr, 10, 5), shared=True, metrics=METRICS5)
+    return me.lift(cand, base)
+
+
+@query(
+    "eval_counts",
+    with_(INTER, SPLIT, body=f"""SELECT count(*) AS n_test_users, count(*) FILTER (WHERE customer_unique_id IN ({TRAIN_USERS})) AS n_evaluated,
+      round(count(*) FILTER (WHERE customer_unique_id NOT IN ({TRAIN_USERS})) / CAST(count(*) AS DOUBLE), 6) AS cold_start_rate FROM ({TEST_USERS})"""),
+)
+def q_eval_counts(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return me.eval_counts(tr, te)
+
+
+@query(
+    "metric_mean_std",
+    with_(INTER, SPLIT, POP, metric_ctes(shared_hits("pop20"), EVAL_USERS),
+          body="""SELECT 'NDCG' AS metric, CAST(10 AS INTEGER) AS k, round(avg("NDCG@10"), 6) AS mean,
+            round(CASE WHEN count(*) >= 30 THEN stddev_samp("NDCG@10") END, 6) AS std, count(*) AS n_users FROM pu"""),
+)
+def q_metric_mean_std(spark, sf):
+    tr, _, te = splits(spark, sf)
+    per = me.per_user_metrics(me.hits_shared(mo.popularity(tr, 20), me.relevant_sets(te)), me.eval_users_frame(tr, te))
+    return me.mean_std(per, "NDCG", 10)
+
+
+@query(
+    "catalog_coverage",
+    with_(INTER, SPLIT, ITEMCF.format(k=10), body="""SELECT n_recommended, n_catalog, round(n_recommended / CAST(n_catalog AS DOUBLE), 6) AS coverage FROM
+      (SELECT count(DISTINCT product_id) AS n_recommended FROM cf), (SELECT count(DISTINCT product_id) AS n_catalog FROM train)"""),
+)
+def q_catalog_coverage(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return me.catalog_coverage(mo.recommend_item_cf(tr, mo.item_cosine(tr), 10), tr)
+
+
+SEG = "CASE WHEN n_train = 1 THEN '1' WHEN n_train <= 5 THEN '2-5' ELSE '6+' END"
+
+
+@query(
+    "segment_metrics",
+    with_(INTER, SPLIT, POP, metric_ctes(shared_hits("pop20"), EVAL_USERS),
+          body=f"""SELECT {SEG} AS segment, count(*) AS n_users, round(avg("NDCG@10"), 6) AS ndcg_10, round(avg("HitRate@10"), 6) AS hit_rate_10
+            FROM pu JOIN (SELECT customer_unique_id, count(*) AS n_train FROM train GROUP BY 1) USING (customer_unique_id) GROUP BY 1"""),
+)
+def q_segment_metrics(spark, sf):
+    tr, _, te = splits(spark, sf)
+    per = me.per_user_metrics(me.hits_shared(mo.popularity(tr, 20), me.relevant_sets(te)), me.eval_users_frame(tr, te))
+    return me.segment_metrics(per, tr)
+
+
+@query(
+    "recs_inventory",
+    with_(INTER, SPLIT, POP, _top_rated_sql(5, "tr5"), _top_rated_sql(15, "tr15"), ITEMCF.format(k=10),
+          body="""SELECT model, variant, k, count(*) AS n_rows FROM (
+            SELECT 'popularity' AS model, 'all' AS variant, CAST(10 AS INTEGER) AS k FROM pop10
+            UNION ALL SELECT 'popularity', 'all', 20 FROM pop20
+            UNION ALL SELECT 'top_rated', 'min5', 10 FROM tr5
+            UNION ALL SELECT 'top_rated', 'min15', 10 FROM tr15
+            UNION ALL SELECT 'item_cf', 'cosine', 10 FROM cf) GROUP BY 1, 2, 3"""),
+)
+def q_recs_inventory(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    lists = [
+        (mo.popularity(tr, 10), "popularity", "all", 10), (mo.popularity(tr, 20), "popularity", "all", 20),
+        (mo.top_rated(tr, 10, 5), "top_rated", "min5", 10), (mo.top_rated(tr, 10, 15), "top_rated", "min15", 10),
+        (mo.recommend_item_cf(tr, mo.item_cosine(tr), 10), "item_cf", "cosine", 10),
+    ]
+    return me.recs_inventory(mo.union_recs(lists))
+
+
+@query(
+    "union_recs",
+    with_(INTER, SPLIT, POP, _top_rated_sql(5, "tr5"), body="""SELECT NULL::BIGINT AS customer_unique_id, product_id, round(score, 6) AS score, rank, 'popularity' AS model, 'all' AS variant, CAST(10 AS INTEGER) AS k FROM pop10
+      UNION ALL SELECT NULL, product_id, round(score, 6), rank, 'top_rated', 'min5', 10 FROM tr5"""),
+)
+def q_union_recs(spark, sf):
+    """Stack lists with different columns (shared lists have no user): unionByName with missing columns."""
+    tr, _, _ = splits(spark, sf)
+    out = mo.union_recs([(mo.popularity(tr, 10), "popularity", "all", 10), (mo.top_rated(tr, 10, 5).drop("n_reviews"), "top_rated", "min5", 10)])
+    if USER not in out.columns:
+        out = out.withColumn(USER, F.lit(None).cast("bigint"))
+    return out.select(USER, ITEM, "score", "rank", "model", "variant", "k")
+
+
+@query(
+    "melt_metrics",
+    with_(INTER, SPLIT, POP, metric_ctes(shared_hits("pop10"), EVAL_USERS),
+          body=" UNION ALL ".join(f"""SELECT 'popularity' AS model, '{m}@{k}' AS metric_k, round(avg("{m}@{k}"), 6) AS value FROM pu"""
+                                  for m in METRICS5 for k in (5, 10, 20))),
+)
+def q_melt_metrics(spark, sf):
+    """Wide per-model metrics → (model, metric_k, value) with unpivot."""
+    tr, _, te = splits(spark, sf)
+    per = me.per_user_metrics(me.hits_shared(mo.popularity(tr, 10), me.relevant_sets(te)), me.eval_users_frame(tr, te))
+    names = [f"{m}@{k}" for m in METRICS5 for k in (5, 10, 20)]
+    wide = per.agg(*[F.avg(F.col(f"`{n}`")).alias(n) for n in names]).withColumn("model", F.lit("popularity"))
+    return me.melt(wide, ["model"], names)
+
+
+@query(
+    "exclude_categories",
+    with_(INTER, SPLIT, POP, body="""SELECT product_id, rank FROM pop20 ANTI JOIN
+      (SELECT DISTINCT product_id FROM train WHERE product_category_name_english IN ('Brand#13', 'Brand#22', 'Brand#35')) USING (product_id)"""),
+)
+def q_exclude_categories(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return mo.exclude_categories(mo.popularity(tr, 20), tr, ["Brand#13", "Brand#22", "Brand#35"]).select(ITEM, "rank")
+
+
+@query(
+    "enrich_recs",
+    with_(INTER, SPLIT, POP, body="""SELECT p.product_id, p.rank, d.product_category_name_english, d.product_popularity FROM pop10 p LEFT JOIN
+      (SELECT product_id, product_category_name_english, count(*) OVER (PARTITION BY product_id) AS product_popularity FROM train
+       QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY order_purchase_timestamp, customer_unique_id) = 1) d USING (product_id)"""),
+)
+def q_enrich_recs(spark, sf):
+    tr, _, _ = splits(spark, sf)
+    return mo.enrich(mo.popularity(tr, 10), tr).select(ITEM, "rank", CAT, "product_popularity")
+
+
+@query(
+    "dummy_rating",
+    with_(INTER, SPLIT, body="""SELECT how, round(sqrt(avg((t.review_score - pred) * (t.review_score - pred))), 6) AS rmse,
+      round(avg(abs(t.review_score - pred)), 6) AS mae, count(*) AS n FROM test t,
+      (SELECT 'mean' AS how, avg(review_score) AS pred FROM train UNION ALL SELECT 'median', quantile_cont(review_score, 0.5) FROM train
+       UNION ALL SELECT 'constant', 3.0) WHERE t.review_score IS NOT NULL GROUP BY how"""),
+)
+def q_dummy_rating(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return mo.dummy_rating(tr, te)

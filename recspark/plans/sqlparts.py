@@ -133,8 +133,8 @@ def metric_ctes(hits_sql: str, eval_users_sql: str, ks=KS, cap: int | None = Non
         ]
     cols = ["customer_unique_id", "n_rel"]
     for k in ks:
-        idcg_rel = f"list_sum(list_transform(range(1, least(n_rel, {k}) + 1), i -> 1 / log2(i + 1)))"
-        idcg_list = f"list_sum(list_transform(range(1, least(h_all, {k}) + 1), i -> 1 / log2(i + 1)))"
+        idcg_rel = f"list_sum(list_transform(range(1, least(n_rel, {k}) + 1), lambda i: 1 / log2(i + 1)))"
+        idcg_list = f"list_sum(list_transform(range(1, least(h_all, {k}) + 1), lambda i: 1 / log2(i + 1)))"
         cols += [
             f'CASE WHEN h_{k} > 0 THEN 1.0 ELSE 0.0 END AS "HitRate@{k}"',
             f'h_{k} / {float(k)} AS "Precision@{k}"',
@@ -165,13 +165,15 @@ EVAL_USERS = """SELECT customer_unique_id, count(DISTINCT product_id) AS n_rel F
 RELEVANT = "SELECT DISTINCT customer_unique_id, product_id FROM test"
 
 
-def mean_long(metrics, ks=KS) -> str:
+def mean_long(metrics, ks=KS, rounded: bool = True) -> str:
     """Long (metric, k, value, n_users) from pu."""
     parts = []
     for m in metrics:
         for k in ks:
+            v = f'coalesce(avg("{m}@{k}"), 0.0)'
+            v = f"round({v}, 6)" if rounded else v
             parts.append(
-                f"SELECT '{m}' AS metric, CAST({k} AS INTEGER) AS k, round(coalesce(avg(\"{m}@{k}\"), 0.0), 6) AS value, "
+                f"SELECT '{m}' AS metric, CAST({k} AS INTEGER) AS k, {v} AS value, "
                 f"count(*) AS n_users FROM pu"
             )
     return "\nUNION ALL ".join(parts)
