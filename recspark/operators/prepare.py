@@ -167,3 +167,37 @@ def sparsity(df: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
         (F.lit(1.0) - F.col("n_interactions") / cells).alias("sparsity"),
         (F.col("n_interactions") / cells).alias("density"),
     )
+
+
+def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int = 50, user: str = USER, item: str = ITEM):
+    """Repeat (drop users with < min_user rows, then items with < min_item rows) until stable.
+
+    Each round is a group-by + semi join; the surviving rows are checkpointed into the
+    shared checkpoint folder so the plan does not grow with the rounds. Returns (df, stats).
+    """
+    from recspark.session import cut_lineage
+
+    def counts(d):
+        r = d.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(user).alias("u"), F.count_distinct(item).alias("i")).first()
+        return r["n"], r["u"], r["i"]
+
+    n0, u0, i0 = counts(df)
+    cur, prev, rounds = df, n0, 0
+    while rounds < max_iter:
+        rounds += 1
+        ok_u = cur.groupBy(user).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_user).select(user)
+        cur = cur.join(ok_u, user, "left_semi")
+        ok_i = cur.groupBy(item).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_item).select(item)
+        cur = cut_lineage(cur.join(ok_i, item, "left_semi"))
+        n = cur.count()
+        if n == prev:
+            break
+        prev = n
+    n1, u1, i1 = counts(cur)
+    stats = {
+        "initial_rows": n0, "initial_users": u0, "initial_products": i0, "iterations": rounds,
+        "final_rows": n1, "final_users": u1, "final_products": i1,
+        "initial_sparsity": 1 - n0 / (u0 * i0) if u0 and i0 else 0.0,
+        "final_sparsity": 1 - n1 / (u1 * i1) if u1 and i1 else 0.0,
+    }
+    return cur, stats

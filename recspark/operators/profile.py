@@ -144,6 +144,13 @@ def buyer_split(df: DataFrame, user: str = USER) -> DataFrame:
     )
 
 
+def safe_corr(a, b):
+    """Pearson on rows where both are present; null (not an error) when either is constant."""
+    x = F.when(b.isNotNull(), a.cast("double"))
+    y = F.when(a.isNotNull(), b.cast("double"))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
     """Correlation on rows where both are present."""
     return df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).agg(
@@ -151,14 +158,47 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def correlation_matrix(df: DataFrame, cols) -> dict[tuple[str, str], float | None]:
+    """Pearson r for every column pair.
+
+    Columns without nulls go through one MLlib correlation job (a distributed Gramian);
+    pairs touching a column with nulls are computed pairwise-complete, as pandas does,
+    with plain aggregates. Constant columns give None.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    cols = list(cols)
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    full = [c for c in cols if nulls[c] == 0]
+    out: dict[tuple[str, str], float | None] = {}
+    if len(full) > 1:
+        data = df.select(*[F.col(c).cast("double").alias(c) for c in full])
+        vec = VectorAssembler(inputCols=full, outputCol="_v").transform(data).select("_v")
+        m = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+        for i, a in enumerate(full):
+            for j in range(i + 1, len(full)):
+                v = float(m[i, j])
+                out[(a, full[j])] = None if math.isnan(v) else v
+    partial = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if nulls[a] > 0 or nulls[b] > 0]
+    if partial:
+        r = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"p{i}") for i, (a, b) in enumerate(partial)]).first()
+        for i, key in enumerate(partial):
+            out[key] = r[f"p{i}"]
+    return out
+
+
 def correlation_pairs(df: DataFrame, cols, threshold: float = 0.95) -> DataFrame:
-    """|Pearson| above threshold for every column pair, pairwise-complete, in one aggregate job."""
+    """Column pairs (in the given column order) with |Pearson r| above the threshold."""
     spark = df.sparkSession
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
-    r = df.agg(*aggs).first()
-    rows = [(a, b, float(r[f"{i}"])) for i, (a, b) in enumerate(pairs) if r[f"{i}"] is not None and abs(r[f"{i}"]) > threshold]
+    m = correlation_matrix(df, cols)
+    rows = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            r = m.get((a, b))
+            if r is not None and abs(r) > threshold:
+                rows.append((a, b, float(r)))
     return spark.createDataFrame(rows, "feature_a string, feature_b string, r double")
 
 
