@@ -1338,3 +1338,105 @@ def q_k_core_filter(spark, sf):
     """
     out, _ = pr.k_core(inter(spark, sf), 5, 5)
     return out.select(USER, ITEM, CAT, "purchase_count")
+
+
+# ====================================================================== learned rankers, sampled evaluation, grids
+from recspark.operators import ranking as rk  # noqa: E402
+from recspark.plans import grid as gr  # noqa: E402
+
+
+def _triples(spark, sf, n_neg=4):
+    tr, _, _ = splits(spark, sf)
+    feats = rk.item_feature_table(tr)
+    negs = sa.sample_negatives(tr, tr, tr, n_neg)
+    return tr, feats, rk.bpr_triples(negs, feats)
+
+
+@query("bpr_triples")
+def q_bpr_triples(spark, sf):
+    return _triples(spark, sf)[2]
+
+
+@query("bpr_loss")
+def q_bpr_loss(spark, sf):
+    """BPR loss of the fitted linear pairwise ranker on its training triples."""
+    _, _, t = _triples(spark, sf)
+    return rk.bpr_loss(rk.score_pairs_linear(t, rk.fit_bpr_linear(t)))
+
+
+@query("rec_bpr_linear")
+def q_rec_bpr_linear(spark, sf):
+    tr, feats, t = _triples(spark, sf)
+    scores = rk.linear_scores(feats, rk.fit_bpr_linear(t))
+    _, _, te = splits(spark, sf)
+    return rk.personalize_shared(scores, te.select(USER), tr.select(USER, ITEM).distinct(), 10)
+
+
+def _mlp_eval(spark, sf, use_aux: bool):
+    tr, va, te = splits(spark, sf)
+    feats = rk.item_feature_table(tr)
+    factors = fa.fit_als(tr, rank=8)
+    negs = sa.sample_negatives(tr, tr, tr, 4)
+    pos = tr.select(USER, F.col(ITEM).alias("candidate")).distinct().withColumn("label", F.lit(1.0))
+    neg = negs.select(USER, F.col("neg_item").alias("candidate"), F.lit(0.0).alias("label"))
+    rows, size = rk.mlp_inputs(pos.unionByName(neg), factors, feats, use_aux)
+    scaler, model = rk.fit_mlp(rows, size, max_iter=30)
+    cands = sa.sampled_candidates(te, tr, me.seen_pairs(tr, va), 99)
+    crow, _ = rk.mlp_inputs(cands, factors, feats, use_aux)
+    scored = rk.mlp_score(scaler, model, crow).select(USER, "candidate", "score")
+    return scored, te, tr
+
+
+@query("rec_mlp")
+def q_rec_mlp(spark, sf):
+    """ALS factors + side features → MLP; top 10 of each user's sampled candidate pool."""
+    scored, _, _ = _mlp_eval(spark, sf, True)
+    pool = scored.groupBy(USER, F.col("candidate").alias(ITEM)).agg(F.max("score").alias("score"))
+    return mo.topk_per_user(pool.withColumn("score", F.round("score", 9)), 10)
+
+
+@query("evaluate_sampled")
+def q_evaluate_sampled(spark, sf):
+    """MLP scored on 1 positive + 99 sampled negatives per test pair, warm users."""
+    scored, te, tr = _mlp_eval(spark, sf, True)
+    return rk.evaluate_sampled(scored, te, tr, 10)
+
+
+@query("ablation_no_aux")
+def q_ablation_no_aux(spark, sf):
+    a, te, tr = _mlp_eval(spark, sf, True)
+    b, _, _ = _mlp_eval(spark, sf, False)
+    ma = rk.evaluate_sampled(a, te, tr, 10).withColumn("use_aux", F.lit(True))
+    mb = rk.evaluate_sampled(b, te, tr, 10).withColumn("use_aux", F.lit(False))
+    return ma.unionByName(mb)
+
+
+@query("batch_recommend")
+def q_batch_recommend(spark, sf):
+    """Top 10 for every test user: ALS for known users, popularity for cold ones."""
+    tr, _, te = splits(spark, sf)
+    return rk.batch_recommend(te.select(USER), fa.fit_als(tr, rank=16), tr, mo.popularity(tr, 10), 10)
+
+
+@query("run_grid")
+def q_run_grid(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return gr.run_grid(tr, te)
+
+
+@query("early_stop_select")
+def q_early_stop_select(spark, sf):
+    tr, va, _ = splits(spark, sf)
+    return gr.early_stop_select(tr, va, ranks=(4, 8, 16))
+
+
+@query("classifier_report")
+def q_classifier_report(spark, sf):
+    """Rating classes (rounded score) from the selected features: accuracy, F1, CV mean/std."""
+    return rk_classifiers(_feats(spark, sf))
+
+
+def rk_classifiers(feats):
+    from recspark.operators.classify import classifier_report
+
+    return classifier_report(feats, se.SELECTED_NUMERIC)
