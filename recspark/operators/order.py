@@ -116,13 +116,14 @@ def _resolve(df: DataFrame, cols, wanted: list[int], stats, max_local: int, dept
     return found
 
 
-def kth_keys(df: DataFrame, cols, positions_fn, max_local: int = MAX_LOCAL_ROWS):
+def kth_keys(df: DataFrame, cols, positions_fn, max_local: int | None = None):
     """Keys at 0-based positions of the ascending order on ``cols``.
 
     ``positions_fn(n)`` receives the row count (known after the first pass) and returns
     the wanted positions. Returns (n, {position: key tuple}).
     """
     cols = list(cols)
+    max_local = max_local or MAX_LOCAL_ROWS
     stats = range_stats(df, cols)
     n = stats[-1][0] + stats[-1][1] if stats else 0
     wanted = sorted({p for p in positions_fn(n) if 0 <= p < n})

@@ -188,7 +188,7 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int =
         ok_u = cur.groupBy(user).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_user).select(user)
         cur = cur.join(ok_u, user, "left_semi")
         ok_i = cur.groupBy(item).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_item).select(item)
-        cur = cut_lineage(cur.join(ok_i, item, "left_semi"))
+        cur = cut_lineage(cur.join(ok_i, item, "left_semi").select(*df.columns))
         n = cur.count()
         if n == prev:
             break
