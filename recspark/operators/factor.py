@@ -37,17 +37,24 @@ def _check_cells(n_items: int, rank: int) -> None:
         raise TooLargeForBroadcast(f"{n_items} items × {rank} factors exceeds {MAX_FACTOR_CELLS} cells")
 
 
-def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: str = ITEM) -> FactorModel:
-    """Truncated SVD of X (users × items, cell = row count) through XᵀX = V Σ² Vᵀ.
-
-    XᵀX is assembled from the distributed co-occurrence job (sparse, one entry per
-    co-bought pair) and decomposed on the driver, bounded by MAX_GRAM_ITEMS items.
-    User factors X·V are a distributed join + group-by.
+def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: str = ITEM,
+            oversample: int = 10, power_iters: int = 5, seed: int = 42) -> FactorModel:
+    """Truncated SVD of X (users × items, cell = row count).
+
+    Small catalogues (≤ MAX_GRAM_ITEMS): exact, through XᵀX = V Σ² Vᵀ assembled from the
+    distributed co-occurrence job and decomposed on the driver. Larger ones: randomized
+    range finder with power iterations (the algorithm of the source's TruncatedSVD), every
+    product with X a distributed join + group-by; only items × (rank + oversample) and
+    (rank + oversample)² matrices reach the driver.
     """
     counts = interaction_counts(train, user, item)
     n_items = counts.select(item).distinct().count()
-    if n_items > MAX_GRAM_ITEMS:
-        raise TooLargeForBroadcast(f"{n_items} items: use fit_als for catalogues beyond {MAX_GRAM_ITEMS}")
+    if n_items <= MAX_GRAM_ITEMS:
+        return _fit_svd_gram(counts, train, n_items, n_components, user, item)
+    return _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, power_iters, seed)
+
+
+def _fit_svd_gram(counts, train, n_items, n_components, user, item) -> FactorModel:
     norms = counts.groupBy(item).agg(F.sum(F.col("v") * F.col("v")).alias("sq")).orderBy(item).collect()
     items = [r[item] for r in norms]
     pos = {it: j for j, it in enumerate(items)}
@@ -66,6 +73,66 @@ def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: st
     return FactorModel(items, v, _user_factors(counts, items, v, user, item), sv)
 
 
+def _long_items(spark, items, mat, item, item_type) -> DataFrame:
+    return spark.createDataFrame(
+        [(items[j], int(c), float(mat[j, c])) for j in range(len(items)) for c in range(mat.shape[1])],
+        f"{item} {item_type}, comp int, val double",
+    )
+
+
+def _x_times(counts: DataFrame, z: DataFrame, user: str, item: str) -> DataFrame:
+    """X · Z for Z in long form (item, comp, val) → (user, comp, val)."""
+    return counts.join(z, item).groupBy(user, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("val"))
+
+
+def _xt_times(counts: DataFrame, q: DataFrame, user: str, item: str) -> DataFrame:
+    """Xᵀ · Q for Q in long form (user, comp, val) → (item, comp, val)."""
+    return counts.join(q, user).groupBy(item, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("val"))
+
+
+def _orthonormalize(y: DataFrame, user: str, width: int) -> DataFrame:
+    """Q = Y·W·Λ^-1/2 from the width × width Gram matrix YᵀY (eigen form, tolerant of rank loss)."""
+    spark = y.sparkSession
+    yy = y.alias("a").join(y.alias("b"), user).groupBy(F.col("a.comp").alias("r"), F.col("b.comp").alias("c")).agg(
+        F.sum(F.col("a.val") * F.col("b.val")).alias("g")
+    )
+    g = np.zeros((width, width))
+    for r in yy.collect():
+        g[r["r"], r["c"]] = r["g"]
+    lam, w = np.linalg.eigh(g)
+    keep = lam > lam.max() * 1e-12
+    t = w[:, keep] / np.sqrt(lam[keep])
+    tl = spark.createDataFrame([(int(a), int(b), float(t[a, b])) for a in range(t.shape[0]) for b in range(t.shape[1])],
+                               "comp int, out int, t double")
+    return y.join(F.broadcast(tl), "comp").groupBy(user, F.col("out").alias("comp")).agg(F.sum(F.col("val") * F.col("t")).alias("val"))
+
+
+def _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, power_iters, seed) -> FactorModel:
+    from recspark.session import cut_lineage
+
+    spark = counts.sparkSession
+    rank = max(1, min(n_components, n_items - 1))
+    width = min(n_items, rank + oversample)
+    _check_cells(n_items, width)
+    item_type = dict(counts.dtypes)[item]
+    items = [r[item] for r in counts.select(item).distinct().orderBy(item).collect()]
+    omega = np.random.default_rng(seed).standard_normal((len(items), width))
+    counts = counts.persist()
+    q = _orthonormalize(cut_lineage(_x_times(counts, _long_items(spark, items, omega, item, item_type), user, item)), user, width)
+    for _ in range(power_iters):
+        z = cut_lineage(_xt_times(counts, cut_lineage(q), user, item))
+        q = _orthonormalize(cut_lineage(_x_times(counts, z, user, item)), user, width)
+    q = cut_lineage(q)
+    b = np.zeros((len(items), q.select("comp").distinct().count()))
+    pos = {it: j for j, it in enumerate(items)}
+    for r in _xt_times(counts, q, user, item).toLocalIterator():  # Bᵀ = Xᵀ Q, items × width
+        b[pos[r[item]], r["comp"]] = r["val"]
+    _, sv, vt = np.linalg.svd(b.T, full_matrices=False)
+    v = vt[:rank].T
+    counts.unpersist()
+    return FactorModel(items, v, _user_factors(counts, items, v, user, item), sv[:rank])
+
+
 def _user_factors(counts: DataFrame, items: list, v: np.ndarray, user: str, item: str) -> DataFrame:
     """x_u · V as a join with V in long form (items × rank rows, broadcast) and a group-by."""
     spark = counts.sparkSession
