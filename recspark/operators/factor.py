@@ -38,7 +38,7 @@ def _check_cells(n_items: int, rank: int) -> None:
 
 
 def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: str = ITEM,
-            oversample: int = 10, power_iters: int = 5, seed: int = 42) -> FactorModel:
+            oversample: int = 10, power_iters: int = 2, seed: int = 42) -> FactorModel:
     """Truncated SVD of X (users × items, cell = row count).
 
     Small catalogues (≤ MAX_GRAM_ITEMS): exact, through XᵀX = V Σ² Vᵀ assembled from the
@@ -61,9 +61,10 @@ def _fit_svd_gram(counts, train, n_items, n_components, user, item) -> FactorMod
     gram = np.zeros((n_items, n_items))
     for j, r in enumerate(norms):
         gram[j, j] = r["sq"]
-    for r in item_cooccurrence(train, user=user, item=item).select("item_i", "item_j", "dot").toLocalIterator():
-        a, b = pos[r["item_i"]], pos[r["item_j"]]
-        gram[a, b] = gram[b, a] = r["dot"]
+    co = item_cooccurrence(train, user=user, item=item).select("item_i", "item_j", "dot").toPandas()
+    ia, ib = pd.Index(items).get_indexer(co["item_i"]), pd.Index(items).get_indexer(co["item_j"])
+    gram[ia, ib] = co["dot"].to_numpy()
+    gram[ib, ia] = co["dot"].to_numpy()
     rank = max(1, min(n_components, n_items - 1))
     _check_cells(n_items, rank)
     w, vecs = np.linalg.eigh(gram)
@@ -74,14 +75,23 @@ def _fit_svd_gram(counts, train, n_items, n_components, user, item) -> FactorMod
 
 
 def _long_items(spark, items, mat, item, item_type) -> DataFrame:
-    return spark.createDataFrame(
-        [(items[j], int(c), float(mat[j, c])) for j in range(len(items)) for c in range(mat.shape[1])],
-        f"{item} {item_type}, comp int, val double",
-    )
+    """items × width matrix as (item, comp, val) rows, shipped through Arrow."""
+    n, w = mat.shape
+    pdf = pd.DataFrame({item: np.repeat(np.asarray(items), w), "comp": np.tile(np.arange(w, dtype="int32"), n),
+                        "val": np.ascontiguousarray(mat, dtype=float).ravel()})
+    return spark.createDataFrame(pdf, f"{item} {item_type}, comp int, val double")
+
+
+BROADCAST_CELLS = 4_000_000  # items × width below which the dense side is broadcast (~100 MB of rows)
 
 
-def _x_times(counts: DataFrame, z: DataFrame, user: str, item: str) -> DataFrame:
-    """X · Z for Z in long form (item, comp, val) → (user, comp, val)."""
+def _x_times(counts: DataFrame, z: DataFrame, user: str, item: str, cells: int | None = None) -> DataFrame:
+    """X · Z for Z in long form (item, comp, val) → (user, comp, val).
+
+    Z has items × width rows; it is broadcast only when that product is known to be small.
+    """
+    if cells is not None and cells <= BROADCAST_CELLS:
+        z = F.broadcast(z)
     return counts.join(z, item).groupBy(user, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("val"))
 
 
@@ -90,21 +100,48 @@ def _xt_times(counts: DataFrame, q: DataFrame, user: str, item: str) -> DataFram
     return counts.join(q, user).groupBy(item, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("val"))
 
 
+def _wide(long: DataFrame, key: str) -> DataFrame:
+    """(key, comp, val) → (key, vals array in comp order); arrays are rank-wide, not data-wide."""
+    return long.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("comp", "val"))), lambda s: s["val"]).alias("vals"))
+
+
+def _long(wide: DataFrame, key: str) -> DataFrame:
+    return wide.select(key, F.posexplode("vals").alias("comp", "val"))
+
+
 def _orthonormalize(y: DataFrame, user: str, width: int) -> DataFrame:
-    """Q = Y·W·Λ^-1/2 from the width × width Gram matrix YᵀY (eigen form, tolerant of rank loss)."""
+    """Q = Y·W·Λ^-1/2 from the width × width Gram matrix YᵀY (eigen form, tolerant of rank loss).
+
+    YᵀY is summed from per-partition partial products (mapInPandas), so only width² numbers
+    per task travel; Q is returned wide (user, vals).
+    """
     spark = y.sparkSession
-    yy = y.alias("a").join(y.alias("b"), user).groupBy(F.col("a.comp").alias("r"), F.col("b.comp").alias("c")).agg(
-        F.sum(F.col("a.val") * F.col("b.val")).alias("g")
-    )
-    g = np.zeros((width, width))
-    for r in yy.collect():
-        g[r["r"], r["c"]] = r["g"]
-    lam, w = np.linalg.eigh(g)
+    yw = _wide(y, user)
+
+    def partial(batches):
+        acc = np.zeros((width, width))
+        for b in batches:
+            if len(b):
+                m = np.vstack(b["vals"].to_numpy())
+                acc[: m.shape[1], : m.shape[1]] += m.T @ m
+        yield pd.DataFrame({"idx": np.arange(width * width), "g": acc.ravel()})
+
+    g = np.zeros(width * width)
+    for r in yw.select("vals").mapInPandas(partial, "idx long, g double").groupBy("idx").agg(F.sum("g").alias("g")).collect():
+        g[r["idx"]] = r["g"]
+    lam, w = np.linalg.eigh(g.reshape(width, width))
     keep = lam > lam.max() * 1e-12
-    t = w[:, keep] / np.sqrt(lam[keep])
-    tl = spark.createDataFrame([(int(a), int(b), float(t[a, b])) for a in range(t.shape[0]) for b in range(t.shape[1])],
-                               "comp int, out int, t double")
-    return y.join(F.broadcast(tl), "comp").groupBy(user, F.col("out").alias("comp")).agg(F.sum(F.col("val") * F.col("t")).alias("val"))
+    t = spark.sparkContext.broadcast(w[:, keep] / np.sqrt(lam[keep]))
+    key_type = dict(yw.dtypes)[user]
+
+    def project(batches):
+        tm = t.value
+        for b in batches:
+            if len(b):
+                m = np.vstack(b["vals"].to_numpy())
+                yield pd.DataFrame({user: b[user].to_numpy(), "vals": list(m @ tm)})
+
+    return yw.mapInPandas(project, f"{user} {key_type}, vals array<double>")
 
 
 def _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, power_iters, seed) -> FactorModel:
@@ -118,31 +155,37 @@ def _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, p
     items = [r[item] for r in counts.select(item).distinct().orderBy(item).collect()]
     omega = np.random.default_rng(seed).standard_normal((len(items), width))
     counts = counts.persist()
-    q = _orthonormalize(cut_lineage(_x_times(counts, _long_items(spark, items, omega, item, item_type), user, item)), user, width)
+    # the loop keeps each Q persisted (recomputable from its short lineage); one
+    # checkpoint after the loop cuts the plan before the final products
+    cells = len(items) * width
+    qw = _orthonormalize(_x_times(counts, _long_items(spark, items, omega, item, item_type), user, item, cells), user, width).persist()
     for _ in range(power_iters):
-        z = cut_lineage(_xt_times(counts, cut_lineage(q), user, item))
-        q = _orthonormalize(cut_lineage(_x_times(counts, z, user, item)), user, width)
-    q = cut_lineage(q)
-    b = np.zeros((len(items), q.select("comp").distinct().count()))
-    pos = {it: j for j, it in enumerate(items)}
-    for r in _xt_times(counts, q, user, item).toLocalIterator():  # Bᵀ = Xᵀ Q, items × width
-        b[pos[r[item]], r["comp"]] = r["val"]
+        z = _xt_times(counts, _long(qw, user), user, item)
+        nxt = _orthonormalize(_x_times(counts, z, user, item, cells), user, width).persist()
+        nxt.count()
+        qw.unpersist()
+        qw = nxt
+    qw = cut_lineage(qw)
+    q = _long(qw, user)
+    cols = len(qw.first()["vals"])
+    b = np.zeros((len(items), cols))
+    bt = _xt_times(counts, q, user, item).toPandas()  # Bᵀ = Xᵀ Q, items × width
+    rows = pd.Index(items).get_indexer(bt[item])
+    b[rows, bt["comp"].to_numpy()] = bt["val"].to_numpy()
     _, sv, vt = np.linalg.svd(b.T, full_matrices=False)
     v = vt[:rank].T
-    counts.unpersist()
-    return FactorModel(items, v, _user_factors(counts, items, v, user, item), sv[:rank])
+    out = FactorModel(items, v, _user_factors(counts, items, v, user, item), sv[:rank])
+    return out
 
 
 def _user_factors(counts: DataFrame, items: list, v: np.ndarray, user: str, item: str) -> DataFrame:
     """x_u · V as a join with V in long form (items × rank rows, broadcast) and a group-by."""
     spark = counts.sparkSession
-    rank = v.shape[1]
     item_type = dict(counts.dtypes)[item]
-    vlong = spark.createDataFrame(
-        [(items[j], int(c), float(v[j, c])) for j in range(len(items)) for c in range(rank)],
-        f"{item} {item_type}, comp int, val double",
-    )
-    per = counts.join(F.broadcast(vlong), item).groupBy(user, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("p"))
+    vlong = _long_items(spark, items, v, item, item_type)
+    if v.size <= BROADCAST_CELLS:
+        vlong = F.broadcast(vlong)
+    per = counts.join(vlong, item).groupBy(user, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("p"))
     return per.groupBy(user).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("comp", "p"))), lambda s: s["p"]).alias("factors")
     )
@@ -201,9 +244,9 @@ def fit_als(train: DataFrame, rank: int = 16, reg: float = 0.1, alpha: float = 1
     m = als.fit(data)
     n_items = m.itemFactors.count()
     _check_cells(n_items, rank)
-    rows = m.itemFactors.join(iid.select(F.col("_i").cast("int").alias("id"), item), "id").orderBy(item).collect()
-    items = [r[item] for r in rows]
-    mat = np.array([r["features"] for r in rows], dtype=float).reshape(len(rows), rank)
+    pdf = m.itemFactors.join(iid.select(F.col("_i").cast("int").alias("id"), item), "id").orderBy(item).toPandas()
+    items = pdf[item].tolist()
+    mat = np.vstack(pdf["features"].to_numpy()).astype(float).reshape(len(pdf), rank)
     uf = m.userFactors.join(uid.select(F.col("_u").cast("int").alias("id"), user), "id").select(
         user, F.col("features").cast("array<double>").alias("factors")
     )

@@ -142,7 +142,21 @@ def exact_quantiles(df: DataFrame, col: str, probs) -> tuple[int, list[float | N
             ps += [math.floor(pos), math.ceil(pos)]
         return ps
 
-    n, keys = kth_keys(x, [col], positions)
+    # few distinct values (ratings, counts): one histogram job answers every quantile
+    hist = x.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_LOCAL_ROWS + 1).collect()
+    if len(hist) <= MAX_LOCAL_ROWS:
+        hist.sort(key=lambda r: r[col])
+        vals, cum = [r[col] for r in hist], []
+        run = 0
+        for r in hist:
+            run += r["_n"]
+            cum.append(run)
+        n = run
+        import bisect
+
+        keys = {p: (vals[bisect.bisect_right(cum, p)],) for p in positions(n) if 0 <= p < n}
+    else:
+        n, keys = kth_keys(x, [col], positions)
     out = []
     for q in probs:
         if n == 0:

@@ -39,15 +39,16 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True, dropna: bool =
 def describe(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std (sample), min, quantiles, max — one row per column."""
     spark = df.sparkSession
-    rows = []
-    for c in cols:
+    aggs = []
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        base = df.agg(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), F.max(x).alias("max"),
-        ).first()
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    base = df.agg(*aggs).first()
+    rows = []
+    for i, c in enumerate(cols):
         qs = exact_quantiles(df, c, probs)[1]
-        rows.append((c, base["count"], base["mean"], base["std"], base["min"], *qs, base["max"]))
+        rows.append((c, base[f"n{i}"], base[f"m{i}"], base[f"s{i}"], base[f"lo{i}"], *qs, base[f"hi{i}"]))
     names = ["column", "count", "mean", "std", "min", *[f"p{int(round(p * 100))}" for p in probs], "max"]
     schema = "column string, count bigint, mean double, std double, min double, " + ", ".join(
         f"p{int(round(p * 100))} double" for p in probs

@@ -468,8 +468,8 @@ def _feat_sql(drop_price_log: bool) -> str:
 
 @query("features", _feat_sql(False))
 def q_features(spark, sf):
-    """Full 42-column feature table."""
-    return fe.features(inter(spark, sf), drop_price_log=False)
+    """Full 42-column feature table (persisted for the selection queries that read it)."""
+    return _feats(spark, sf)
 
 
 @query("select_final", _feat_sql(True))
