@@ -9,7 +9,7 @@ from recspark.sources import supplied
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.build_interactions(supplied.raw_tables(spark, sf_dir), order_cols=supplied.ITEM_ORDER)
+    return prepare.build_interactions(supplied.raw_tables(spark, sf_dir), order_cols=supplied.ITEM_ORDER, status=supplied.DELIVERED)
 
 
 def popularity_eval_at_k(spark: SparkSession, sf_dir: str, k: int = 10, ks=(5, 10, 20)) -> DataFrame:

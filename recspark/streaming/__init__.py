@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The system being re-expressed has no streams, watermarks, windows over time or
+stateful operators; every stage is a batch job over files. Nothing is built here
+so as not to invent operators it does not have.
+"""

@@ -61,3 +61,25 @@ def test_oracle_keys_are_queries():
 def test_entry_runs(spark):
     rows = entry.entry(spark).collect()
     assert {r["metric"] for r in rows} == {"MAP", "NDCG", "Precision", "Recall", "HitRate"}
+
+
+def test_writers_and_shape_checks(spark):
+    from recspark.operators import select as se
+
+    d = tempfile.mkdtemp(prefix="recspark-w-", dir="/tmp")
+    df = spark.createDataFrame([(1, 10, None), (2, 20, 4.0)], "customer_unique_id long, product_id long, review_score double")
+    assert files.write_interactions(df, f"{d}/inter") > 0
+    files.write_features(df, f"{d}/feat", {"rows": 2})
+    assert spark.read.json(f"{d}/feat_metadata").first()["n_columns"] == "3"
+    recs = spark.createDataFrame([(1, 10, 0.5, 1, "pop", 10)], "customer_unique_id long, product_id long, score double, rank int, model string, k int")
+    files.write_recs(recs, f"{d}/recs")
+    assert spark.read.parquet(f"{d}/recs").filter("model = 'pop' AND k = 10").count() == 1
+    files.write_id_mappings({"user_id": df.select("customer_unique_id")}, f"{d}/maps")
+    assert spark.read.parquet(f"{d}/maps/user_id").count() == 2
+    assert se.expect_shape(df, rows=2, cols=3, max_null=2)["nulls"] == 1
+    with pytest.raises(se.ShapeError):
+        se.expect_shape(df, rows=3)
+    with pytest.raises(se.ShapeError):
+        se.expect_shape(df, max_null=1)
+    diff = se.column_diff(df, df.drop("review_score").withColumn("x", df.product_id))
+    assert diff == {"kept": ["customer_unique_id", "product_id"], "new": ["x"], "dropped": ["review_score"]}
