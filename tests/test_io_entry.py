@@ -70,7 +70,7 @@ def test_writers_and_shape_checks(spark):
     df = spark.createDataFrame([(1, 10, None), (2, 20, 4.0)], "customer_unique_id long, product_id long, review_score double")
     assert files.write_interactions(df, f"{d}/inter") > 0
     files.write_features(df, f"{d}/feat", {"rows": 2})
-    assert spark.read.json(f"{d}/feat_metadata").first()["n_columns"] == "3"
+    assert spark.read.json(f"{d}/feat_metadata").first()["n_columns"] == 3
     recs = spark.createDataFrame([(1, 10, 0.5, 1, "pop", 10)], "customer_unique_id long, product_id long, score double, rank int, model string, k int")
     files.write_recs(recs, f"{d}/recs")
     assert spark.read.parquet(f"{d}/recs").filter("model = 'pop' AND k = 10").count() == 1
