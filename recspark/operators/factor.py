@@ -74,15 +74,14 @@ def _fit_svd_gram(counts, train, n_items, n_components, user, item) -> FactorMod
     return FactorModel(items, v, _user_factors(counts, items, v, user, item), sv)
 
 
-def _long_items(spark, items, mat, item, item_type) -> DataFrame:
-    """items × width matrix as (item, comp, val) rows, shipped through Arrow."""
-    n, w = mat.shape
-    pdf = pd.DataFrame({item: np.repeat(np.asarray(items), w), "comp": np.tile(np.arange(w, dtype="int32"), n),
-                        "val": np.ascontiguousarray(mat, dtype=float).ravel()})
-    return spark.createDataFrame(pdf, f"{item} {item_type}, comp int, val double")
-
-
-BROADCAST_CELLS = 4_000_000  # items × width below which the dense side is broadcast (~100 MB of rows)
+def _hash_gaussian(items: DataFrame, item: str, width: int, seed: int) -> DataFrame:
+    """Standard-normal (item, comp, val) rows from key hashes (Box-Muller): reproducible on
+    every retry and never shipped from the driver."""
+    rows = items.select(item, F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("comp"))
+    two53 = F.lit(float(2 ** 53))
+    u1 = (F.shiftrightunsigned(F.xxhash64(F.col(item), F.col("comp"), F.lit(seed)), 11).cast("double") + 1.0) / two53
+    u2 = F.shiftrightunsigned(F.xxhash64(F.col(item), F.col("comp"), F.lit(seed + 1)), 11).cast("double") / two53
+    return rows.select(item, F.col("comp").cast("int"), (F.sqrt(-2.0 * F.log(u1)) * F.cos(2 * np.pi * u2)).alias("val"))
 
 
 def _x_times(counts: DataFrame, z: DataFrame, user: str, item: str, cells: int | None = None) -> DataFrame:
@@ -151,14 +150,13 @@ def _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, p
     rank = max(1, min(n_components, n_items - 1))
     width = min(n_items, rank + oversample)
     _check_cells(n_items, width)
-    item_type = dict(counts.dtypes)[item]
     items = [r[item] for r in counts.select(item).distinct().orderBy(item).collect()]
-    omega = np.random.default_rng(seed).standard_normal((len(items), width))
     counts = counts.persist()
+    omega = _hash_gaussian(counts.select(item).distinct(), item, width, seed)
     # the loop keeps each Q persisted (recomputable from its short lineage); one
     # checkpoint after the loop cuts the plan before the final products
     cells = len(items) * width
-    qw = _orthonormalize(_x_times(counts, _long_items(spark, items, omega, item, item_type), user, item, cells), user, width).persist()
+    qw = _orthonormalize(_x_times(counts, omega, user, item, cells), user, width).persist()
     for _ in range(power_iters):
         z = _xt_times(counts, _long(qw, user), user, item)
         nxt = _orthonormalize(_x_times(counts, z, user, item, cells), user, width).persist()
@@ -179,13 +177,30 @@ def _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, p
 
 
 def _user_factors(counts: DataFrame, items: list, v: np.ndarray, user: str, item: str) -> DataFrame:
-    """x_u · V as a join with V in long form (items × rank rows, broadcast) and a group-by."""
+    """x_u · V: V (items × rank, size-checked) is broadcast as an array; each Arrow batch of
+    (user, item, v) rows adds its products per user, and one group-by sums the partials."""
     spark = counts.sparkSession
-    item_type = dict(counts.dtypes)[item]
-    vlong = _long_items(spark, items, v, item, item_type)
-    if v.size <= BROADCAST_CELLS:
-        vlong = F.broadcast(vlong)
-    per = counts.join(vlong, item).groupBy(user, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("p"))
+    rank = v.shape[1]
+    vb = spark.sparkContext.broadcast(np.ascontiguousarray(v, dtype=float))
+    ib = spark.sparkContext.broadcast(pd.Index(items))
+    key_type = dict(counts.dtypes)[user]
+
+    def partial(batches):
+        mat, index = vb.value, ib.value
+        for b in batches:
+            if b.empty:
+                continue
+            contrib = pd.DataFrame(b["v"].to_numpy()[:, None] * mat[index.get_indexer(b[item])])
+            contrib[user] = b[user].to_numpy()
+            g = contrib.groupby(user).sum()
+            yield pd.DataFrame({
+                user: np.repeat(g.index.to_numpy(), rank),
+                "comp": np.tile(np.arange(rank, dtype="int32"), len(g)),
+                "p": g.to_numpy().ravel(),
+            })
+
+    per = counts.select(user, item, "v").mapInPandas(partial, f"{user} {key_type}, comp int, p double")
+    per = per.groupBy(user, "comp").agg(F.sum("p").alias("p"))
     return per.groupBy(user).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("comp", "p"))), lambda s: s["p"]).alias("factors")
     )
