@@ -132,15 +132,13 @@ def evaluate(
 
 
 def catalog_coverage(recs: DataFrame, catalog: DataFrame, item: str = ITEM) -> DataFrame:
-    a = recs.agg(F.count_distinct(item).alias("n_recommended"))
-    b = catalog.agg(F.count_distinct(item).alias("n_catalog"))
-    return _one_row_pair(a, b)
-
-
-def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put two one-row aggregates side by side (keyed join on a constant, both sides one row)."""
-    out = a.withColumn("_j", F.lit(1)).join(b.withColumn("_j", F.lit(1)), "_j").drop("_j")
-    return out.withColumn("coverage", F.try_divide(F.col(out.columns[0]).cast("double"), F.col(out.columns[1])))
+    """Distinct recommended items over distinct catalogue items, in one aggregate (no join)."""
+    tagged = recs.select(F.col(item), F.lit(True).alias("_rec")).unionByName(catalog.select(F.col(item), F.lit(False).alias("_rec")))
+    out = tagged.agg(
+        F.count_distinct(F.when(F.col("_rec"), F.col(item))).alias("n_recommended"),
+        F.count_distinct(F.when(~F.col("_rec"), F.col(item))).alias("n_catalog"),
+    )
+    return out.withColumn("coverage", F.try_divide(F.col("n_recommended").cast("double"), F.col("n_catalog")))
 
 
 def cold_warm(train: DataFrame, test: DataFrame, user: str = USER) -> DataFrame:

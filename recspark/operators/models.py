@@ -39,14 +39,6 @@ def top_rated(train: DataFrame, k: int = 10, min_reviews: int = 5, item: str = I
     return shared_topk(stats.filter(F.col("n_reviews") >= min_reviews), k, item)
 
 
-def expand_shared(shared_list: DataFrame, users: DataFrame, user: str = USER) -> DataFrame:
-    """Give a shared list to a set of users — only for exporting bounded user lists.
-
-    Evaluation never calls this (see metrics.hits_shared); the list side is k rows.
-    """
-    return users.select(user).distinct().join(F.broadcast(shared_list), how="cross")
-
-
 def first_per_key(df: DataFrame, key: str, order_cols) -> DataFrame:
     """First row per key under an explicit order (row_number = 1; per-group limit runs map-side)."""
     w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order_cols])

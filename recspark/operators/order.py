@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from recspark.session import cut_lineage
 
 MAX_LOCAL_ROWS = 200_000
+HISTOGRAM_FIRST = 200_000  # distinct values up to which one histogram job (≤ 200k small rows to the driver) answers a quantile
 
 
 def _lit(value, dtype) -> Column:
@@ -143,8 +144,8 @@ def exact_quantiles(df: DataFrame, col: str, probs) -> tuple[int, list[float | N
         return ps
 
     # few distinct values (ratings, counts): one histogram job answers every quantile
-    hist = x.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_LOCAL_ROWS + 1).collect()
-    if len(hist) <= MAX_LOCAL_ROWS:
+    hist = x.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).limit(HISTOGRAM_FIRST + 1).collect()
+    if len(hist) <= HISTOGRAM_FIRST:
         hist.sort(key=lambda r: r[col])
         vals, cum = [r[col] for r in hist], []
         run = 0

@@ -94,7 +94,11 @@ def mlp_inputs(pairs: DataFrame, factors, item_feats: DataFrame, use_aux: bool =
     rank = factors.item_matrix.shape[1]
     it = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in zip(factors.items, factors.item_matrix)],
                                f"candidate {dict(pairs.dtypes)['candidate']}, _if array<double>")
-    df = pairs.join(uf, USER).join(F.broadcast(it), "candidate")
+    from recspark.operators.factor import BROADCAST_CELLS
+
+    # item factors are items × rank (checked when fitted); broadcast only below the small bound
+    it = F.broadcast(it) if len(factors.items) * rank <= BROADCAST_CELLS else it
+    df = pairs.join(uf, USER).join(it, "candidate")
     parts = [F.col("_uf"), F.col("_if")]
     if use_aux:
         side = item_feats.select(F.col(ITEM).alias("candidate"), F.array(*[F.col(c) for c in cols]).alias("_side"))

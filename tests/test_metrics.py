@@ -72,8 +72,8 @@ def test_shared_list_equals_expanded_list(spark):
     rel = spark.createDataFrame([(1, 10), (2, 23), (3, 39)], "customer_unique_id long, product_id long")
     eu = rel.groupBy("customer_unique_id").agg(F.count("*").alias("n_rel"))
     a = me.per_user_metrics(me.hits_shared(shared, rel), eu, (2,)).orderBy("customer_unique_id").collect()
-    users = spark.createDataFrame([(1,), (2,), (3,)], "customer_unique_id long")
-    expanded = users.crossJoin(shared)
+    expanded = spark.createDataFrame([(u, i, r) for u in (1, 2, 3) for i, r in ((10, 1), (23, 2), (31, 3))],
+                                     "customer_unique_id long, product_id long, rank int")
     b = me.per_user_metrics(me.hits_personal(expanded, rel), eu, (2,)).orderBy("customer_unique_id").collect()
     assert a == b
 
