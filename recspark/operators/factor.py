@@ -18,6 +18,7 @@ from recspark.operators.prepare import ITEM, USER
 
 MAX_FACTOR_CELLS = 50_000_000  # items × rank doubles allowed in the broadcast factor matrix (400 MB)
 MAX_GRAM_ITEMS = 6_000  # items² Gram matrix assembled on the driver for the SVD
+BROADCAST_CELLS = 4_000_000  # items × width below which a dense factor side is broadcast (~100 MB of rows)
 
 
 class TooLargeForBroadcast(ValueError):

@@ -98,3 +98,19 @@ def test_popularity_ties_by_id(spark):
     df = _df(spark, [(1, 5), (2, 5), (1, 3), (2, 3), (3, 9)])
     top = [r["product_id"] for r in mo.popularity(df, 2).orderBy("rank").collect()]
     assert top == [3, 5]
+
+
+def test_randomized_svd_path_matches_numpy(spark, monkeypatch):
+    """Force the distributed randomized path; with width ≥ items the range is exact."""
+    rng = np.random.default_rng(5)
+    x = (rng.random((12, 6)) < 0.5).astype(float)
+    x[0, :] = 1
+    rows = [(u, i) for u in range(12) for i in range(6) if x[u, i]]
+    monkeypatch.setattr(fa, "MAX_GRAM_ITEMS", 2)
+    model = fa.fit_svd(_df(spark, rows), n_components=3)
+    _, s, vt = np.linalg.svd(x)
+    assert model.singular_values == pytest.approx(s[:3], rel=1e-6)
+    v = vt[:3].T
+    assert model.item_matrix @ model.item_matrix.T == pytest.approx(v @ v.T, abs=1e-6)
+    recs = fa.score_topk(model, _df(spark, rows), 2).collect()
+    assert all((r["customer_unique_id"], r["product_id"]) not in set(rows) for r in recs)
