@@ -10,13 +10,21 @@ PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"
 # Fixed value: months flagged as holiday season (November, December).
 HOLIDAY_MONTHS = [11, 12]
 
-DAY_MICROS = 86_400_000_000
+
+
+def _micros_of_day(ts: Column) -> Column:
+    frac = F.date_format(ts, "SSSSSS").cast("long")
+    return ((F.hour(ts).cast("long") * 60 + F.minute(ts)) * 60 + F.second(ts)) * 1_000_000 + frac
 
 
 def elapsed_days(start: Column, end: Column) -> Column:
-    """Whole elapsed days (23:00 → 01:00 next day is 0), floor for negative spans."""
-    diff = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return F.floor(diff / F.lit(DAY_MICROS)).cast("int")
+    """Whole elapsed days (23:00 → 01:00 next day is 0), floor for negative spans.
+
+    Calendar-day difference minus one when the end's time of day is earlier: no time-zone
+    conversion is involved, so a DST change in the session zone cannot shift the count.
+    """
+    d = F.datediff(F.to_date(end), F.to_date(start))
+    return (d - F.when(_micros_of_day(end) < _micros_of_day(start), 1).otherwise(0)).cast("int")
 
 
 def weekday_mon0(ts: Column) -> Column:
