@@ -17,6 +17,11 @@ def _micros_of_day(ts: Column) -> Column:
     return ((F.hour(ts).cast("long") * 60 + F.minute(ts)) * 60 + F.second(ts)) * 1_000_000 + frac
 
 
+def wall_clock_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a wall-clock (zone-less) timestamp."""
+    return F.unix_date(F.to_date(ts)).cast("long") * 86_400_000_000 + _micros_of_day(ts)
+
+
 def elapsed_days(start: Column, end: Column) -> Column:
     """Whole elapsed days (23:00 → 01:00 next day is 0), floor for negative spans.
 

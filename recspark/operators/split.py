@@ -55,7 +55,9 @@ def temporal_split(
     work = df
     if descending:
         # reverse the time order by ordering on the negated epoch; keys stay ascending
-        work = df.withColumn("_neg_t", -F.unix_micros(F.col(time_col).cast("timestamp")))
+        from recspark.functions.scalar import wall_clock_micros
+
+        work = df.withColumn("_neg_t", -wall_clock_micros(F.col(time_col)))
         order_cols = ["_neg_t", *keys]
     t_frac, v_frac = float(train), float(train) + float(val)
     out = _label_by_cuts(

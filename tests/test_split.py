@@ -54,3 +54,13 @@ def test_random_split_exact_sizes_and_deterministic(spark):
     assert counts == {"train": 140, "val": 29, "test": 31}
     b = sp.random_split(df.repartition(3))
     assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_descending_puts_latest_first(spark):
+    df = _frame(spark)
+    out = sp.temporal_split(df, descending=True).collect()
+    n = len(out)
+    order = sorted(out, key=lambda r: (-r["order_purchase_timestamp"].timestamp(), r["customer_unique_id"], r["product_id"]))
+    t = math.floor(n * 0.7)
+    assert [r["split"] for r in order][:t] == ["train"] * t
+    assert {r["split"] for r in order[t:]} <= {"val", "test"}
