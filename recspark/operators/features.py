@@ -189,13 +189,45 @@ def dense_ids(df: DataFrame, col: str, name: str) -> DataFrame:
     return global_index(df.select(col).distinct(), [col], name)
 
 
+def dense_ids_many(df: DataFrame, pairs) -> dict[str, DataFrame]:
+    """Dense ids for several integer / string columns with one range shuffle and one checkpoint.
+
+    Distinct values of every column are stacked as (kind, number, text) rows, indexed once in
+    that order, and each kind's first index is subtracted (a K-row table).
+    """
+    types = dict(df.dtypes)
+    parts = []
+    for k, (col, _) in enumerate(pairs):
+        is_text = types[col] == "string"
+        parts.append(df.select(
+            F.lit(k).alias("_k"),
+            (F.lit(None).cast("long") if is_text else F.col(col).cast("long")).alias("_num"),
+            (F.col(col) if is_text else F.lit(None).cast("string")).alias("_txt"),
+        ).distinct())
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    indexed = global_index(stacked, ["_k", "_num", "_txt"], "_idx")
+    first = indexed.groupBy("_k").agg(F.min("_idx").alias("_first"))
+    ided = indexed.join(F.broadcast(first), "_k").withColumn("_id", F.col("_idx") - F.col("_first"))
+    out = {}
+    for k, (col, name) in enumerate(pairs):
+        src = F.col("_txt") if types[col] == "string" else F.col("_num").cast(types[col])
+        out[col] = ided.filter(F.col("_k") == k).select(src.alias(col), F.col("_id").alias(name))
+    return out
+
+
 def with_ids(df: DataFrame) -> DataFrame:
     df = df.withColumn(CAT, F.coalesce(F.col(CAT), F.lit("unknown")))
-    return (
-        df.join(dense_ids(df, USER, "user_id"), USER, "left")
-        .join(dense_ids(df, ITEM, "product_id_idx"), ITEM, "left")
-        .join(dense_ids(df, CAT, "category_id"), CAT, "left")
-    )
+    pairs = [(USER, "user_id"), (ITEM, "product_id_idx"), (CAT, "category_id")]
+    types = dict(df.dtypes)
+    if all(types[c] in ("string", "bigint", "int") for c, _ in pairs):
+        ids = dense_ids_many(df, pairs)
+    else:
+        ids = {c: dense_ids(df, c, n) for c, n in pairs}
+    for c, _ in pairs:
+        df = df.join(ids[c], c, "left")
+    return df
 
 
 # ---------------------------------------------------------------- stage
