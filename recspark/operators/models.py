@@ -97,8 +97,14 @@ def item_cosine(train: DataFrame, min_support: int = 1, block_items: int = 512,
     half = co.join(ni, "item_i").join(nj, "item_j").select(
         "item_i", "item_j", (F.col("dot") / (F.col("ni") * F.col("nj"))).alias("cosine"), "co_users"
     )
-    mirror = half.select(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), "cosine", "co_users")
-    return half.unionByName(mirror)
+    # both directions from the one computed half (an explode, not a union that would recompute it)
+    both = F.explode(F.array(
+        F.struct(F.col("item_i").alias("a"), F.col("item_j").alias("b")),
+        F.struct(F.col("item_j").alias("a"), F.col("item_i").alias("b")),
+    ))
+    return half.select(both.alias("p"), "cosine", "co_users").select(
+        F.col("p.a").alias("item_i"), F.col("p.b").alias("item_j"), "cosine", "co_users"
+    )
 
 
 SCORE_DIGITS = 9  # scores equal to 9 decimals are ties (then broken by item id)
