@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from recspark.functions import scalar
 from recspark.operators.order import exact_quantiles
-from recspark.operators.prepare import CAT, ITEM, TS, USER
+from recspark.operators.prepare import CAT, TS, USER
 
 # Right-closed bins and labels for entity histograms.
 USER_BINS = ([0, 1, 2, 3, 4, math.inf], ["1", "2", "3", "4", "5+"])

@@ -17,7 +17,7 @@ from recspark.operators import prepare as pr
 from recspark.operators import split as sp
 from recspark.plans import flagship
 from recspark.plans.sqlparts import (
-    EVAL_USERS, FEATS, INTER, RELEVANT, SPLIT, days, mean_long, metric_ctes, personal_hits, shared_hits, with_,
+    EVAL_USERS, FEATS, INTER, SPLIT, mean_long, metric_ctes, personal_hits, shared_hits, with_,
 )
 from recspark.sources import supplied
 
