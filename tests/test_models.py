@@ -114,3 +114,26 @@ def test_randomized_svd_path_matches_numpy(spark, monkeypatch):
     assert model.item_matrix @ model.item_matrix.T == pytest.approx(v @ v.T, abs=1e-6)
     recs = fa.score_topk(model, _df(spark, rows), 2).collect()
     assert all((r["customer_unique_id"], r["product_id"]) not in set(rows) for r in recs)
+
+
+def test_personalize_shared_skips_seen(spark):
+    from recspark.operators import ranking as rk
+
+    scores = spark.createDataFrame([(i, float(10 - i)) for i in range(10)], "product_id long, score double")
+    seen = _df(spark, [(1, 0), (1, 1), (1, 5), (2, 3)])
+    users = spark.createDataFrame([(1,), (2,), (3,)], "customer_unique_id long")
+    got = {}
+    for r in rk.personalize_shared(scores, users, seen, 3).collect():
+        got.setdefault(r["customer_unique_id"], []).append((r["rank"], r["product_id"]))
+    assert [i for _, i in sorted(got[1])] == [2, 3, 4]
+    assert [i for _, i in sorted(got[2])] == [0, 1, 2]
+    assert [i for _, i in sorted(got[3])] == [0, 1, 2]
+
+
+def test_bpr_loss_matches_formula(spark):
+    from recspark.operators import ranking as rk
+
+    d = [0.5, -1.0, 3.0]
+    df = spark.createDataFrame([(x, 0.0) for x in d], "pos_score double, neg_score double")
+    want = float(np.mean([np.log1p(np.exp(-x)) for x in d]))
+    assert rk.bpr_loss(df).first()["bpr_loss"] == pytest.approx(want)
