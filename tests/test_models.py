@@ -137,3 +137,11 @@ def test_bpr_loss_matches_formula(spark):
     df = spark.createDataFrame([(x, 0.0) for x in d], "pos_score double, neg_score double")
     want = float(np.mean([np.log1p(np.exp(-x)) for x in d]))
     assert rk.bpr_loss(df).first()["bpr_loss"] == pytest.approx(want)
+
+
+def test_negatives_same_rows_after_repartition(spark):
+    rows = [(u, i) for u in range(15) for i in range(0, 40, (u % 4) + 2)]
+    df = _df(spark, rows)
+    a = sa.sample_negatives(df, df.select("product_id").distinct(), df, 3, seed=11).collect()
+    b = sa.sample_negatives(df.repartition(5), df.select("product_id").distinct(), df.repartition(2), 3, seed=11).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
