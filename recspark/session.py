@@ -39,7 +39,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a fresh scratch folder is made.
+    Only a local session without the setting (tests) gets a fresh scratch folder; on a
+    cluster a machine-local folder would lose the data, so that is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -47,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="recspark-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return configured
