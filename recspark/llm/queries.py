@@ -30,3 +30,27 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recspark.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op6_bpe_pair_index")
+def bpe_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.bpe import decode, encode
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = encode(docs, vocabulary_path())
+    # both digests come from one pass: the ids travel on beside the id into the decoder
+    text = decode(ids.select(F.struct("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256")).alias("doc_id"), "ids"), vocabulary_path())
+    return text.select("doc_id.*", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op7_mixture_packing")
+def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), vocabulary_path())
