@@ -124,7 +124,7 @@ def _sets(batches: Iterable[pa.RecordBatch], width: int, chunk: int) -> Iterator
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5,
-                    bands: int = 32, rows: int = 4, chunk: int = 4 << 20, block: int = 1024) -> DataFrame:
+                    bands: int = 32, rows: int = 4, chunk: int = 4 << 20, block: int = 256) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, component_id, kept``.
 
     Texts are linked when 100 * |A & B| >= percent * |A | B| over their distinct word
@@ -133,12 +133,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     * rows of equal sets (size and two 64-bit sums over the set) become one class,
       named by its smallest id; all further work is on classes;
-    * each class is first linked with the smallest class it shares a bucket with, and
+    * each class is first linked with the class of its buckets that meets most others, and
       the link is verified on full sets; that settles most groups of copies without
       enumerating pairs;
-    * buckets that still hold different components are compared member by member
-      (in blocks of ``block``, so that a large bucket spreads over tasks): pairs of
-      different components, of fitting sizes and with two equal bands are verified.
+    * buckets that still hold different components are compared block by block of
+      ``block`` members, so that a large bucket spreads over tasks: pairs of different
+      components, of fitting sizes and with two equal bands are verified there, on full
+      sets, and a spanning forest of the links found is returned rather than all pairs.
       Nothing is capped. Of 32 bands of 4 rows, a pair at a similarity of 0.85 shares
       fewer than two with probability 2e-9, at 0.8 with 1e-6.
 
@@ -154,27 +155,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = usable.groupBy(same).agg(F.min("id").alias("rep"))
     classes = cut(usable.join(first, same).where("id = rep").select("rep", "n", "s1", "bands").dropDuplicates(["rep", "n", "s1"]))
     buckets = classes.select("rep", "n", "s1", F.explode("bands").alias("key"))
+    met = buckets.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = cut(buckets.join(met, "key"))
 
-    hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    star = buckets.join(hubs, "key").where("rep <> hub").groupBy("rep", "n", "s1").agg(F.min("hub").alias("hub"))
+    # one link a class: with the member of its buckets that meets most others, as an original meets its copies
+    weight = shared.groupBy("rep").agg(F.sum("members").alias("weight"))
+    hubs = shared.join(weight, "rep").groupBy("key").agg(F.max_by("rep", "weight").alias("hub"), F.max("weight").alias("weight"))
+    star = shared.join(hubs, "key").where("rep <> hub").groupBy("rep", "n", "s1").agg(F.max_by("hub", "weight").alias("hub"))
     other = classes.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("s1").alias("b1"))
     star = star.join(other, "hub").where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
     linked = cut(_verified(source, star.select(F.col("rep").alias("a"), F.col("s1").alias("a1"), F.col("hub").alias("b"), "b1"), percent, width, chunk))
     label = components(linked).withColumnRenamed("node", "rep")
 
-    named = buckets.join(label, "rep", "left").select("key", "rep", "n", "s1", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo < hi")
-    mixed = mixed.select("key", F.ceil(F.col("members") / block).cast("int").alias("parts"))
-    members = cut(named.join(mixed, "key").join(classes.select("rep", "s1", "bands"), ["rep", "s1"]))
-    side = lambda p: [F.col(c).alias(p + c) for c in ("rep", "n", "s1", "component", "bands")]
-    left = members.select("key", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), *side("l_"))
-    right = members.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("r_"))
-    common = "array_intersect(l_bands, r_bands)"
-    pair = (f"l_component < r_component and 100 * least(l_n, r_n) >= {percent} * greatest(l_n, r_n) "
-            f"and size({common}) >= 2 and key = array_min({common})")
-    rest = left.join(right, ["key", "part"]).where(pair)
-    rest = rest.select(F.col("l_rep").alias("a"), F.col("l_s1").alias("a1"), F.col("r_rep").alias("b"), F.col("r_s1").alias("b1"))
-    more = _verified(source, rest, percent, width, chunk)
+    # what is left: buckets of several components, in blocks that meet block by block
+    named = shared.join(label, "rep", "left").select("key", "rep", "n", "s1", "members", F.coalesce("component", "rep").alias("component"))
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    own, parts = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"), F.ceil(F.col("members") / block).cast("int")
+    blocks = named.join(mixed, "key").withColumn("parts", parts).withColumn("own", own)
+    blocks = blocks.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    blocks = blocks.join(classes.select("rep", "s1", "bands"), ["rep", "s1"]).select(
+        "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "rep", "n", "s1", "component", "bands")
+    cell = ["key", "i", "j"]
+    fields = "key long, i int, j int, own int, rep long, n long, s1 long, component long, bands array<long>"
+    near = cut(blocks.groupBy(cell).applyInArrow(lambda t: _candidates(t, percent), fields))
+    sets = _full_sets(source, near.select("rep").distinct(), near.count(), width, chunk).withColumnRenamed("id", "rep")
+    more = near.join(sets, ["rep", "s1"]).select(*near.columns, "elements").groupBy(cell).applyInArrow(lambda t: _links(t, percent), "a long, b long")
 
     equal = usable.join(first, same).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     node = components(linked.union(more).union(equal)).withColumnRenamed("node", "id")
@@ -188,11 +193,84 @@ def _verified(source: DataFrame, pairs: DataFrame, percent: int, width: int, chu
     """Of pairs ``a, a1, b, b1`` (id and set sum of either side), those linked on full sets: ``a, b``."""
     pairs = cut(pairs)
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    ends = small_side(ends, 2 * pairs.count(), 16)
-    sets = source.join(ends, "id", "left_semi").mapInArrow(lambda it: _sets(it, width, chunk), "id long, s1 long, elements array<long>")
-    sets = cut(sets.dropDuplicates(["id", "s1"]))
+    sets = cut(_full_sets(source, ends, 2 * pairs.count(), width, chunk))
     one = sets.select(F.col("id").alias("a"), F.col("s1").alias("a1"), F.col("elements").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("s1").alias("b1"), F.col("elements").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     held = pairs.join(one, ["a", "a1"]).join(two, ["b", "b1"])
     return held.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
+
+
+def _full_sets(source: DataFrame, ids: DataFrame, rows: int, width: int, chunk: int) -> DataFrame:
+    """``id, s1, elements`` of the texts of the given ids, one row per set."""
+    ids = small_side(ids.toDF("id"), rows, 16)
+    sets = source.join(ids, "id", "left_semi").mapInArrow(lambda it: _sets(it, width, chunk), "id long, s1 long, elements array<long>")
+    return sets.dropDuplicates(["id", "s1"])
+
+
+def _pairs(cell: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the two blocks of a cell (the same rows on its diagonal), and which pairs to verify here."""
+    col = {c: cell.column(c).combine_chunks() for c in ("key", "i", "j", "own", "rep", "n", "component", "bands")}
+    own, i, j, n, component, rep = (col[c].to_numpy() for c in ("own", "i", "j", "n", "component", "rep"))
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    bands = col["bands"].flatten().to_numpy().reshape(len(rep), -1)
+    size = n.astype(np.int64)
+    ok = component[left, None] != component[None, right]
+    ok &= 100 * np.minimum(size[left, None], size[None, right]) >= percent * np.maximum(size[left, None], size[None, right])
+    if i[0] == j[0]:
+        ok &= np.arange(len(left))[:, None] < np.arange(len(right))
+    equal = np.zeros(ok.shape, dtype=np.int16)
+    for b in range(bands.shape[1]):
+        same = bands[left, b][:, None] == bands[right, b]
+        first = same & (equal == 0)  # a pair is verified in the first bucket that it shares
+        ok &= ~first | (bands[left, b][:, None] == col["key"][0].as_py())
+        equal += same
+    return left, right, ok & (equal >= 2)
+
+
+def _candidates(cell: pa.Table, percent: int) -> pa.Table:
+    left, right, ok = _pairs(cell, percent)
+    keep = np.zeros(cell.num_rows, dtype=bool)
+    keep[left[ok.any(axis=1)]] = True
+    keep[right[ok.any(axis=0)]] = True
+    return cell.filter(pa.array(keep))
+
+
+def _links(cell: pa.Table, percent: int) -> pa.Table:
+    """A spanning forest, over components, of the pairs whose full sets are linked."""
+    left, right, ok = _pairs(cell, percent)
+    elements = cell.column("elements").combine_chunks()
+    rep, n, component = (cell.column(c).to_numpy() for c in ("rep", "n", "component"))
+    off = elements.offsets.to_numpy()
+    flat = elements.values.to_numpy()
+    who = np.repeat(np.arange(len(n)), np.diff(off))
+    order = np.argsort(flat[off[0]:off[-1]], kind="stable")
+    value, who = flat[off[0]:off[-1]][order], who[order]
+    number = np.cumsum(np.concatenate([[0], value[1:] != value[:-1]]))
+    often = np.bincount(number)[number] > 1  # elements of one set add to no intersection
+    number, who = np.unique(number[often], return_inverse=True)[1], who[often]
+    inter = np.zeros((len(left), len(right)), dtype=np.float64)
+    total = int(number[-1]) + 1 if len(number) else 0
+    for at in range(0, total, 4096):  # 0/1 matrices of bounded width
+        lo, hi = np.searchsorted(number, [at, at + 4096])
+        part = np.zeros((len(n), 4096), dtype=np.float32)
+        part[who[lo:hi], number[lo:hi] - at] = 1
+        inter += part[left] @ part[right].T
+    union = n[left][:, None] + n[right][None, :] - inter
+    found = np.argwhere(ok & (100 * inter >= percent * union))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    out = []
+    for x, y in found.tolist():
+        x, y = int(left[x]), int(right[y])
+        a, b = root(int(component[x])), root(int(component[y]))
+        if a != b:
+            parent[a] = b
+            out.append((int(rep[x]), int(rep[y])))
+    return pa.table({"a": pa.array([a for a, _ in out], type=pa.int64()), "b": pa.array([b for _, b in out], type=pa.int64())})
