@@ -54,3 +54,12 @@ def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recspark.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query("op5_crf_language_id")
+def crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.crf import fit, held_out, identify
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    model = fit(docs.where(~F.col("held_out")))
+    return identify(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches")
