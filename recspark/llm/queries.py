@@ -63,3 +63,10 @@ def crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
     model = fit(docs.where(~F.col("held_out")))
     return identify(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches")
+
+
+@query("op1_kneser_ney_quality")
+def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.kneser_ney import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
