@@ -70,3 +70,11 @@ def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recspark.llm.kneser_ney import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.suffix_dedup import remove_repeats
+
+    out = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
