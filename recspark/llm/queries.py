@@ -78,3 +78,27 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op4_pivot_top_k", TOP_K_SQL)
+def pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.pivots import quantised_top_k
+
+    return quantised_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op9_cross_polytope_ann")
+def cross_polytope_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.cross_polytope import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
