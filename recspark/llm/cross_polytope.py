@@ -63,6 +63,7 @@ def _rerank(key: tuple, quer: pa.Table, cand: pa.Table, k: int) -> pa.Table:
     fields = pa.schema([("q_uid", pa.int64()), ("query_id", pa.int64()), ("uid", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     if not quer.num_rows or not cand.num_rows:
         return fields.empty_table()
+    quer = quer.rename_columns([c.removeprefix("q_") for c in quer.schema.names])
     cand, quer = (t.combine_chunks().to_batches()[0] for t in (cand, quer))
     (_, _, x), (_, _, q) = matrices(cand, np.float64)[0], matrices(quer, np.float64)[0]
     ids, uids = ids_of(cand), cand.column(cand.schema.names.index("uid")).to_numpy()
@@ -131,5 +132,6 @@ def _met(filed: DataFrame, asked: DataFrame, block: int, k: int) -> DataFrame:
     filed = filed.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
     asked = asked.join(parts, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cols, key = ["bucket", "part", "uid", "id", "vec"], ["bucket", "part"]
-    met = asked.select(cols).groupBy(key).cogroup(filed.select(cols).groupBy(key))
+    asked = asked.select(*(F.col(c).alias("q_" + c) for c in cols))
+    met = asked.groupBy("q_bucket", "q_part").cogroup(filed.select(cols).groupBy(key))
     return met.applyInArrow(lambda kk, a, b: _rerank(kk, a, b, k), "q_uid long, query_id long, uid long, vec_id long, score double")
