@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.llm.licences import oracle as licence_oracle
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -102,3 +104,39 @@ def cross_polytope_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recspark.llm.cross_polytope import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op2_licence_sentences", licence_oracle())
+def licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.licences import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("hits")
+
+
+CHAT_SQL = """
+WITH t AS (SELECT *, last_value(CASE WHEN role = 'system' THEN turn END IGNORE NULLS) OVER w AS system, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER w AS "user"
+           FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT conv_id, turn, conv_id || '-' || turn AS call_id, CASE WHEN role = 'user' AND system IS NOT NULL THEN 1 ELSE 0 END AS level, text IS NULL AS bad,
+        CASE WHEN role = 'system' THEN '{"arguments":{' || coalesce('"settings":' || CAST(to_json(text) AS VARCHAR), '') || '},"id":"' || conv_id || '-' || turn || '","name":"configure"}'
+             ELSE '{"arguments":{' || coalesce('"prompt":' || CAST(to_json(text) AS VARCHAR) || ',', '') || '"turn":' || turn || '},"id":"' || conv_id || '-' || turn || '","name":"reply"}' END AS line,
+        CASE WHEN text IS NULL THEN 'missing ' || CASE WHEN role = 'system' THEN 'settings' ELSE 'prompt' END END AS missing
+      FROM t WHERE role IN ('system', 'user')),
+r AS (SELECT conv_id, turn, CASE WHEN "user" IS NOT NULL THEN conv_id || '-' || "user" END AS call_id,
+        '{' || coalesce('"content":' || CAST(to_json(text) AS VARCHAR), '') || CASE WHEN text IS NOT NULL AND "user" IS NOT NULL THEN ',' ELSE '' END
+            || coalesce('"tool_call_id":"' || conv_id || '-' || "user" || '"', '') || '}' AS line
+      FROM t WHERE role IS NULL OR role NOT IN ('system', 'user')),
+a AS (SELECT conv_id, turn, 0 AS part, CAST(NULL AS BIGINT) AS since, 'call' AS kind, call_id, level,
+        concat_ws(';', missing, CASE WHEN call_id NOT IN (SELECT call_id FROM r WHERE call_id IS NOT NULL) THEN 'no result' END) AS errors, line FROM c
+      UNION ALL
+      SELECT r.conv_id, c.turn, 1, r.turn, CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'result' END, r.call_id, c.level, '', r.line FROM r LEFT JOIN c ON c.call_id = r.call_id)
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY kind = 'orphan', level NULLS LAST, turn NULLS LAST, call_id, part, since, line) AS INTEGER) AS position,
+       kind, call_id, CAST(level AS INTEGER) AS level, errors, line FROM a
+"""
+
+
+@query("op8_tool_call_linking", CHAT_SQL)
+def tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.chat import conversation_calls, conversation_schemas, formatted
+
+    calls, results = conversation_calls(table(spark, sf_dir, "conversations"))
+    return formatted(calls, results, conversation_schemas(spark)).withColumn("errors", F.array_join("errors", ";"))
