@@ -226,36 +226,40 @@ def quantiles(scored: DataFrame, lang: str, low: float, high: float) -> DataFram
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", low: float = 0.005, high: float = 0.995,
-             slack: float = 0.1, folds: int = 5, least_rows: int = 20, errors: float = 3.0, head_rows: int = 1 << 19) -> DataFrame:
-    """``id_col, lang_col, n_bytes, perplexity, low, high, trusted, kept`` of every row of ``docs``.
+             slack: float = 0.1, folds: int = 5, least_rows: int = 20, errors: float = 3.0, unsure: float = 2.0, head_rows: int = 1 << 19, keep: list[str] | None = None) -> DataFrame:
+    """``id_col, lang_col, n_bytes, perplexity, low, high, trusted, kept`` and columns ``keep`` of every row of ``docs``.
 
     Trusted texts are those whose id is labelled quality 1 and never quality 0 or
     toxic. One in ``folds`` of them, by a hash of the text (so copies stay together),
     calibrates: the model is trained on all others, whose own perplexities would be too
     low, and each text's perplexity is held against the quantiles of the calibrating
     texts of its language (of all languages where these are fewer than ``least_rows``). A text goes if its mean log probability is beyond the
-    quantiles by more than ``slack`` and ``errors`` standard errors, so a short text
-    needs a clearer case: too unlikely is noise, too likely is repetition. Texts without
+    quantiles by more than ``slack``, ``unsure`` over the root of the number of calibrating
+    texts of its language, and ``errors`` standard errors, so a short text or a little known
+    language needs a clearer case: too unlikely is noise, too likely is repetition. Texts without
     a non-blank character go. Without trusted texts nothing else goes. Null ids are never trusted;
     repeated rows are judged one by one; an empty table gives no rows.
     """
     marks = labels.groupBy(plain("doc_id").cast("long").alias("t_id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("t_id is not null and q = 1 and coalesce(t, 0) = 0")
     marks = cut(marks.select("t_id"))
     side = small_side(marks, marks.count(), 16)
-    rows = docs.select(plain(id_col).alias("id"), plain(text_col).alias("text"), plain(lang_col).cast("string").alias("lang"))
+    more = [plain(c).alias(f"m{i}") for i, c in enumerate(keep or [])]
+    named = [f"m{i}" for i in range(len(more))]
+    rows = docs.select(plain(id_col).alias("id"), plain(text_col).alias("text"), plain(lang_col).cast("string").alias("lang"), *more)
     rows = rows.join(side, F.col("id").cast("long") == F.col("t_id"), "left")
-    rows = rows.select("id", "text", "lang", F.col("t_id").isNotNull().alias("trusted"), F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)).alias("visible"))
+    rows = rows.select("id", "text", "lang", F.col("t_id").isNotNull().alias("trusted"), F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)).alias("visible"), *named)
     tested = F.col("trusted") & (F.pmod(F.xxhash64("text"), F.lit(folds)) == 0)
     rows = rows.withColumn("tested", F.coalesce(tested, F.lit(False)))
     model = fit(rows.where("trusted and not tested"))
-    scored = cut(perplexity(rows, model, ["id", "lang", "trusted", "tested", "visible"], head_rows=head_rows))
+    scored = cut(perplexity(rows, model, ["id", "lang", "trusted", "tested", "visible", *named], head_rows=head_rows))
     edges = quantiles(scored.where("tested and n_bytes > 0"), "lang", low, high)
-    by_lang = edges.where(~F.col("overall") & (F.col("rows") >= least_rows)).select(F.col("lang").alias("e_lang"), "low", "high")
+    enough = F.col("rows") >= least_rows
+    by_lang = edges.where(~F.col("overall")).select(F.col("lang").alias("e_lang"), F.when(enough, F.col("low")).alias("low"), F.when(enough, F.col("high")).alias("high"), F.col("rows").alias("e_rows"))
     overall = edges.where("overall").select("low", "high").collect()
     all_low, all_high = (overall[0]["low"], overall[0]["high"]) if overall else (float("-inf"), float("inf"))
     out = scored.join(F.broadcast(by_lang) if by_lang.count() <= 10_000 else by_lang, F.col("lang").eqNullSafe(F.col("e_lang")), "left")
     low_, high_ = F.coalesce("low", F.lit(all_low)), F.coalesce("high", F.lit(all_high))
-    margin = slack + errors * F.col("error")
+    margin = slack + unsure / F.sqrt(F.coalesce("e_rows", F.lit(1))) + errors * F.col("error")
     inside = (F.col("mean") + margin >= low_) & (F.col("mean") - margin <= high_)
     return out.select(F.col("id").alias(id_col), F.col("lang").alias(lang_col), "n_bytes", "perplexity", low_.alias("low"), high_.alias("high"), "trusted",
-                      (inside & F.col("visible")).alias("kept"))
+                      (inside & F.col("visible")).alias("kept"), *(F.col(n).alias(c) for n, c in zip(named, keep or [])))

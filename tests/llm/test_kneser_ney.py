@@ -90,3 +90,14 @@ def test_keeps_clean_and_rejects_noise(spark):
     none = classify(spark.createDataFrame(rows[:3] + odd, schema), labels.where("doc_id > 1000")).collect()
     assert [g.kept for g in sorted(none, key=lambda g: str(g.doc_id))] == [True, True, True, False, False, False, True, True]
     assert classify(spark.createDataFrame([], schema), labels).count() == 0
+
+
+def test_query_keeps_trusted_and_rejects_most_of_the_rest(spark):
+    from recspark.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = {r.doc_id: r.kept for r in QUERIES["op1_kneser_ney_quality"](spark, sf).collect()}
+    assert all(got[i] for i, r in labels.items() if r.quality == 1)
+    bad = [got[i] for i, r in labels.items() if r.quality == 0]
+    assert sum(bad) <= len(bad) / 5
