@@ -16,6 +16,7 @@ from recspark.llm.vectors import finite, id_array, ids_of, matrices, numbered
 
 #: Sums of products below this are exact in double precision.
 EXACT = float(1 << 53)
+SALTS = 64
 
 
 @dataclass
@@ -158,8 +159,10 @@ def quantised_top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec
     quer = cut(rows.where("query").select(cols).mapInArrow(lambda it: _blocks(it, shared.value, 256, k, True), fields))
     quer = quer.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("uids").alias("q_uids"), F.col("vecs").alias("q_vecs"), F.col("dist").alias("q_dist"), "least")
     size = quer.agg(F.sum(F.length("q_vecs") + F.length("q_dist"))).first()[0] or 0
-    pairs = cand.select("dim", "block").join(quer.select("dim", "q_block"), "dim")
-    pairs = pairs.repartition(F.col("block"), F.col("q_block"))
+    # pairs of block numbers, listed in SALTS tasks a dimension
+    salt = F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int").alias("salt")
+    lists = quer.select("dim", "q_block", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    pairs = cand.select("dim", "block", salt).join(lists, ["dim", "salt"]).select("block", "q_block").repartition("block", "q_block")
     met = pairs.join(cand.drop("least", "dim"), "block").join(small_side(quer.drop("dim"), int(size), 1), "q_block")
     found = met.mapInArrow(lambda it: _search(it, k), "q_uid long, query_id long, uid long, vec_id long, score long")
     order = Window.partitionBy("q_uid").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "uid")
