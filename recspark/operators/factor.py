@@ -1,243 +1,216 @@
-"""Latent-factor recommenders: truncated SVD of the binary interaction matrix and
-implicit ALS. Both end in the same scorer: user factors stay distributed, the item
-factor matrix (items × rank, size-checked) is broadcast, and ``mapInPandas`` scores
-each Arrow batch of users against it keeping only k + |seen| best per user.
+"""Latent-factor recommenders: truncated SVD of the interaction matrix and implicit ALS.
+
+Both factor tables stay distributed and both models end in the same scorer: users and
+items are packed into blocks, every block of users meets every block of items, and a
+task keeps the best k + |seen| items of its block per user. One path at every size; only
+width × width matrices reach the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.operators.models import SCORE_DIGITS, interaction_counts, item_cooccurrence, topk_per_user
+from recspark.operators.models import SCORE_DIGITS, interaction_counts, topk_per_user
 from recspark.operators.prepare import ITEM, USER
+from recspark.session import cut_lineage
 
-MAX_FACTOR_CELLS = 50_000_000  # items × rank doubles allowed in the broadcast factor matrix (400 MB)
-MAX_GRAM_ITEMS = 6_000  # items² Gram matrix assembled on the driver for the SVD
-BROADCAST_CELLS = 4_000_000  # items × width below which a dense factor side is broadcast (~100 MB of rows)
-
-
-class TooLargeForBroadcast(ValueError):
-    pass
+BROADCAST_BYTES = 64 << 20  # a measured side up to this size is broadcast, a larger one is joined by shuffle
+SALTS = 64  # tasks that list the pairs of blocks
 
 
 @dataclass
 class FactorModel:
-    items: list  # item ids, row order of ``item_matrix``
-    item_matrix: np.ndarray  # items × rank
+    item_factors: DataFrame  # (item, factors array<double>)
     user_factors: DataFrame  # (user, factors array<double>)
+    rank: int
     singular_values: np.ndarray | None = None
 
 
-def _check_cells(n_items: int, rank: int) -> None:
-    if n_items * rank > MAX_FACTOR_CELLS:
-        raise TooLargeForBroadcast(f"{n_items} items × {rank} factors exceeds {MAX_FACTOR_CELLS} cells")
-
-
-def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: str = ITEM,
-            oversample: int = 10, power_iters: int = 2, seed: int = 42) -> FactorModel:
-    """Truncated SVD of X (users × items, cell = row count).
+def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
-    Small catalogues (≤ MAX_GRAM_ITEMS): exact, through XᵀX = V Σ² Vᵀ assembled from the
-    distributed co-occurrence job and decomposed on the driver. Larger ones: randomized
-    range finder with power iterations (the algorithm of the source's TruncatedSVD), every
-    product with X a distributed join + group-by; only items × (rank + oversample) and
-    (rank + oversample)² matrices reach the driver.
-    """
-    counts = interaction_counts(train, user, item)
-    n_items = counts.select(item).distinct().count()
-    if n_items <= MAX_GRAM_ITEMS:
-        return _fit_svd_gram(counts, train, n_items, n_components, user, item)
-    return _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, power_iters, seed)
-
-
-def _fit_svd_gram(counts, train, n_items, n_components, user, item) -> FactorModel:
-    norms = counts.groupBy(item).agg(F.sum(F.col("v") * F.col("v")).alias("sq")).orderBy(item).collect()
-    items = [r[item] for r in norms]
-    pos = {it: j for j, it in enumerate(items)}
-    gram = np.zeros((n_items, n_items))
-    for j, r in enumerate(norms):
-        gram[j, j] = r["sq"]
-    co = item_cooccurrence(train, user=user, item=item).select("item_i", "item_j", "dot").toPandas()
-    ia, ib = pd.Index(items).get_indexer(co["item_i"]), pd.Index(items).get_indexer(co["item_j"])
-    gram[ia, ib] = co["dot"].to_numpy()
-    gram[ib, ia] = co["dot"].to_numpy()
-    rank = max(1, min(n_components, n_items - 1))
-    _check_cells(n_items, rank)
-    w, vecs = np.linalg.eigh(gram)
-    order = np.argsort(w)[::-1][:rank]
-    v = vecs[:, order]
-    sv = np.sqrt(np.clip(w[order], 0.0, None))
-    return FactorModel(items, v, _user_factors(counts, items, v, user, item), sv)
-
-
-def _hash_gaussian(items: DataFrame, item: str, width: int, seed: int) -> DataFrame:
-    """Standard-normal (item, comp, val) rows from key hashes (Box-Muller): reproducible on
-    every retry and never shipped from the driver."""
-    rows = items.select(item, F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("comp"))
-    two53 = F.lit(float(2 ** 53))
-    u1 = (F.shiftrightunsigned(F.xxhash64(F.col(item), F.col("comp"), F.lit(seed)), 11).cast("double") + 1.0) / two53
-    u2 = F.shiftrightunsigned(F.xxhash64(F.col(item), F.col("comp"), F.lit(seed + 1)), 11).cast("double") / two53
-    return rows.select(item, F.col("comp").cast("int"), (F.sqrt(-2.0 * F.log(u1)) * F.cos(2 * np.pi * u2)).alias("val"))
-
-
-def _x_times(counts: DataFrame, z: DataFrame, user: str, item: str, cells: int | None = None) -> DataFrame:
-    """X · Z for Z in long form (item, comp, val) → (user, comp, val).
-
-    Z has items × width rows; it is broadcast only when that product is known to be small.
-    """
-    if cells is not None and cells <= BROADCAST_CELLS:
-        z = F.broadcast(z)
-    return counts.join(z, item).groupBy(user, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("val"))
 
+def _vectors(col: pa.Array) -> np.ndarray:
+    """A list column of equal lengths as a matrix."""
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(col), -1)
 
-def _xt_times(counts: DataFrame, q: DataFrame, user: str, item: str) -> DataFrame:
-    """Xᵀ · Q for Q in long form (user, comp, val) → (item, comp, val)."""
-    return counts.join(q, user).groupBy(item, "comp").agg(F.sum(F.col("v") * F.col("val")).alias("val"))
 
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(np.ascontiguousarray(x).reshape(-1)))
 
-def _wide(long: DataFrame, key: str) -> DataFrame:
-    """(key, comp, val) → (key, vals array in comp order); arrays are rank-wide, not data-wide."""
-    return long.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("comp", "val"))), lambda s: s["val"]).alias("vals"))
 
+def _combined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per key and batch: the sum of v · vals."""
+    for b in batches:
+        if b.num_rows:
+            code, keys = pd.factorize(b.column(0).to_numpy(zero_copy_only=False))
+            x = _vectors(b.column(2)) * b.column(1).to_numpy()[:, None]
+            order = np.argsort(code, kind="stable")
+            sums = np.add.reduceat(x[order], np.searchsorted(code[order], np.arange(len(keys))), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, type=b.schema.field(0).type), pa.array(np.ones(len(keys))), _lists(sums)], names=b.schema.names)
 
-def _long(wide: DataFrame, key: str) -> DataFrame:
-    return wide.select(key, F.posexplode("vals").alias("comp", "val"))
 
+def _product(cells: DataFrame, side: DataFrame, on: str, key: str, rows: int, width: int) -> DataFrame:
+    """X · Z (or its transpose): per ``key`` the sum of v · vals over ``side`` (on, vals).
 
-def _orthonormalize(y: DataFrame, user: str, width: int) -> DataFrame:
-    """Q = Y·W·Λ^-1/2 from the width × width Gram matrix YᵀY (eigen form, tolerant of rank loss).
-
-    YᵀY is summed from per-partition partial products (mapInPandas), so only width² numbers
-    per task travel; Q is returned wide (user, vals).
+    Partial sums are formed per Arrow batch before and after the shuffle on ``key``; the
+    rest of the sum is a plain aggregate per component, so a hot key is many partial rows.
     """
-    spark = y.sparkSession
-    yw = _wide(y, user)
+    kind = dict(cells.dtypes)[key]
+    schema = f"{key} {kind}, v double, vals array<double>"
+    part = cells.join(_small(side, rows, 8 * width + 32), on).select(key, "v", "vals").mapInArrow(_combined, schema)
+    part = part.repartition(F.col(key)).sortWithinPartitions(key).mapInArrow(_combined, schema)
+    return cut_lineage(part.groupBy(key).agg(*[F.sum(F.get("vals", F.lit(j))).alias(f"x{j}") for j in range(width)]).select(key, F.array(*[f"x{j}" for j in range(width)]).alias("vals")))
+
 
+def _gram(rows: DataFrame, width: int) -> np.ndarray:
+    """VᵀV of the ``vals`` rows, summed from one width × width part per task."""
     def partial(batches):
         acc = np.zeros((width, width))
         for b in batches:
-            if len(b):
-                m = np.vstack(b["vals"].to_numpy())
-                acc[: m.shape[1], : m.shape[1]] += m.T @ m
-        yield pd.DataFrame({"idx": np.arange(width * width), "g": acc.ravel()})
+            if b.num_rows:
+                x = _vectors(b.column(0))
+                acc += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(acc.ravel())], names=["idx", "g"])
 
     g = np.zeros(width * width)
-    for r in yw.select("vals").mapInPandas(partial, "idx long, g double").groupBy("idx").agg(F.sum("g").alias("g")).collect():
+    for r in rows.select("vals").mapInArrow(partial, "idx long, g double").groupBy("idx").agg(F.sum("g").alias("g")).collect():
         g[r["idx"]] = r["g"]
-    lam, w = np.linalg.eigh(g.reshape(width, width))
-    keep = lam > lam.max() * 1e-12
-    t = spark.sparkContext.broadcast(w[:, keep] / np.sqrt(lam[keep]))
-    key_type = dict(yw.dtypes)[user]
+    return g.reshape(width, width)
+
 
+def _projected(rows: DataFrame, key: str, t: np.ndarray) -> DataFrame:
+    """(key, vals · t); t is width × width at most."""
     def project(batches):
-        tm = t.value
         for b in batches:
-            if len(b):
-                m = np.vstack(b["vals"].to_numpy())
-                yield pd.DataFrame({user: b[user].to_numpy(), "vals": list(m @ tm)})
-
-    return yw.mapInPandas(project, f"{user} {key_type}, vals array<double>")
-
-
-def _fit_svd_randomized(counts, n_items, n_components, user, item, oversample, power_iters, seed) -> FactorModel:
-    from recspark.session import cut_lineage
-
-    spark = counts.sparkSession
-    rank = max(1, min(n_components, n_items - 1))
-    width = min(n_items, rank + oversample)
-    _check_cells(n_items, width)
-    items = [r[item] for r in counts.select(item).distinct().orderBy(item).collect()]
-    counts = counts.persist()
-    omega = _hash_gaussian(counts.select(item).distinct(), item, width, seed)
-    # the loop keeps each Q persisted (recomputable from its short lineage); one
-    # checkpoint after the loop cuts the plan before the final products
-    cells = len(items) * width
-    qw = _orthonormalize(_x_times(counts, omega, user, item, cells), user, width).persist()
-    for _ in range(power_iters):
-        z = _xt_times(counts, _long(qw, user), user, item)
-        nxt = _orthonormalize(_x_times(counts, z, user, item, cells), user, width).persist()
-        nxt.count()
-        qw.unpersist()
-        qw = nxt
-    qw = cut_lineage(qw)
-    q = _long(qw, user)
-    cols = len(qw.first()["vals"])
-    b = np.zeros((len(items), cols))
-    bt = _xt_times(counts, q, user, item).toPandas()  # Bᵀ = Xᵀ Q, items × width
-    rows = pd.Index(items).get_indexer(bt[item])
-    b[rows, bt["comp"].to_numpy()] = bt["val"].to_numpy()
-    _, sv, vt = np.linalg.svd(b.T, full_matrices=False)
-    v = vt[:rank].T
-    out = FactorModel(items, v, _user_factors(counts, items, v, user, item), sv[:rank])
-    return out
-
-
-def _user_factors(counts: DataFrame, items: list, v: np.ndarray, user: str, item: str) -> DataFrame:
-    """x_u · V: V (items × rank, size-checked) is broadcast as an array; each Arrow batch of
-    (user, item, v) rows adds its products per user, and one group-by sums the partials."""
-    spark = counts.sparkSession
-    rank = v.shape[1]
-    vb = spark.sparkContext.broadcast(np.ascontiguousarray(v, dtype=float))
-    ib = spark.sparkContext.broadcast(pd.Index(items))
-    key_type = dict(counts.dtypes)[user]
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column(0), _lists(_vectors(b.column(1)) @ t)], names=[key, "vals"])
 
-    def partial(batches):
-        mat, index = vb.value, ib.value
+    return rows.select(key, "vals").mapInArrow(project, f"{key} {dict(rows.dtypes)[key]}, vals array<double>")
+
+
+def _orthonormal(rows: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
+    """Rows turned into an orthonormal basis of their columns (Gram eigenvectors), and its size."""
+    lam, w = np.linalg.eigh(_gram(rows, width))
+    keep = lam > max(lam.max(), 0.0) * 1e-12
+    if not keep.any():
+        keep[-1] = True
+    return _projected(rows, key, w[:, keep] / np.sqrt(np.maximum(lam[keep], 1e-300))), int(keep.sum())
+
+
+def _gaussian(items: DataFrame, item: str, width: int, seed: int) -> DataFrame:
+    """Standard-normal (item, vals) from key hashes (Box-Muller): the same on every retry."""
+    two53 = float(2**53)
+    def normal(j):
+        u1 = (F.shiftrightunsigned(F.xxhash64(F.col(item), F.lit(j), F.lit(seed)), 11).cast("double") + 1.0) / two53
+        u2 = F.shiftrightunsigned(F.xxhash64(F.col(item), F.lit(j), F.lit(seed + 1)), 11).cast("double") / two53
+        return F.sqrt(-2.0 * F.log(u1)) * F.cos(2 * np.pi * u2)
+
+    return items.select(item, F.array(*[normal(j) for j in range(width)]).alias("vals"))
+
+
+def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: str = ITEM,
+            oversample: int = 10, power_iters: int = 2, seed: int = 42) -> FactorModel:
+    """Truncated SVD of X (users × items, cell = row count) by a randomized range finder.
+
+    Q spans X·Ω after ``power_iters`` rounds of XᵀQ and XZ; B = QᵀX stays distributed by
+    item, B Bᵀ (width²) gives the singular values and rotates B into V; user factors are
+    X·V. With as many columns as items the range is whole and the result exact.
+    """
+    cells = cut_lineage(interaction_counts(train, user, item).select(user, item, F.col("v").cast("double").alias("v")))
+    items = cells.select(item).distinct()
+    sizes = cells.agg(F.count_distinct(user).alias("u"), F.count_distinct(item).alias("i")).first()
+    rank = max(1, min(n_components, sizes["i"] - 1))
+    width = max(1, min(sizes["i"], rank + oversample))
+    z, w = _gaussian(items, item, width, seed), width
+    for _ in range(power_iters + 1):
+        q, n = _orthonormal(_product(cells, z, item, user, sizes["i"], w), user, w)
+        z, w = _product(cells, q, user, item, sizes["u"], n), n
+    lam, u = np.linalg.eigh(_gram(z, w))
+    order = np.argsort(lam)[::-1][:rank]
+    order = order[lam[order] > max(lam.max(), 0.0) * 1e-12] if lam.max() > 0 else order[:1]
+    sv = np.sqrt(np.maximum(lam[order], 1e-300))
+    v = cut_lineage(_projected(z, item, u[:, order] / sv))
+    users = _product(cells, v, item, user, sizes["i"], len(order))
+    return FactorModel(v.withColumnRenamed("vals", "factors"), users.withColumnRenamed("vals", "factors"), len(order), sv)
+
+
+def _blocks(df: DataFrame, key: str, extra: list[str], size: int, name: str) -> DataFrame:
+    """Rows packed as ``name`` (block number), ``keys``, ``mat`` (doubles) and the extra columns as lists.
+
+    Rows keep their order; a block is a run of at most ``size`` rows of one partition.
+    """
+    from pyspark import TaskContext
+
+    kinds = dict(df.dtypes)
+
+    def pack(batches):
+        n = 0
         for b in batches:
-            if b.empty:
-                continue
-            contrib = pd.DataFrame(b["v"].to_numpy()[:, None] * mat[index.get_indexer(b[item])])
-            contrib[user] = b[user].to_numpy()
-            g = contrib.groupby(user).sum()
-            yield pd.DataFrame({
-                user: np.repeat(g.index.to_numpy(), rank),
-                "comp": np.tile(np.arange(rank, dtype="int32"), len(g)),
-                "p": g.to_numpy().ravel(),
-            })
-
-    per = counts.select(user, item, "v").mapInPandas(partial, f"{user} {key_type}, comp int, p double")
-    per = per.groupBy(user, "comp").agg(F.sum("p").alias("p"))
-    return per.groupBy(user).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("comp", "p"))), lambda s: s["p"]).alias("factors")
-    )
-
-
-def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, item: str = ITEM) -> DataFrame:
-    """Top k unseen items per user by factors · item_matrixᵀ."""
-    spark = train.sparkSession
+            for part in (b.slice(i, size) for i in range(0, b.num_rows, size)):
+                lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], type=pa.int32()), part.column(c)) for c in (0, *range(2, 2 + len(extra)))]
+                mat = np.ascontiguousarray(_vectors(part.column(1))).astype("<f8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 32) + n]), lists[0], pa.array([mat], type=pa.binary()), *lists[1:]], names=[name, "keys", "mat", *extra])
+                n += 1
+
+    schema = ", ".join([f"{name} long, keys array<{kinds[key]}>, mat binary", *(f"{c} array<{kinds[c]}>" for c in extra)])
+    return df.select(key, "factors", *extra).mapInArrow(pack, schema)
+
+
+def _best(scores: np.ndarray, take: int) -> np.ndarray:
+    """Positions of the ``take`` largest scores, ties to the earlier position."""
+    if take >= len(scores):
+        return np.arange(len(scores))
+    least = np.partition(scores, len(scores) - take)[len(scores) - take]
+    above = np.flatnonzero(scores > least)
+    return np.concatenate([above, np.flatnonzero(scores == least)[: take - len(above)]])
+
+
+def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, item: str = ITEM,
+               user_block: int = 1024, item_block: int = 4096) -> DataFrame:
+    """Top k unseen items per user by factors · item factors; ties go to the smaller item.
+
+    Scores are rounded before they are compared. Items are sorted by id inside a block,
+    a block gives its best k + |seen| per user, so no unseen item of the top k is lost.
+    """
     seen = train.select(user, item).distinct()
-    n_seen = seen.groupBy(user).agg(F.count(F.lit(1)).alias("_n_seen"))
-    users = model.user_factors.join(n_seen, user, "left").na.fill(0, ["_n_seen"])
-    mat = spark.sparkContext.broadcast(np.ascontiguousarray(model.item_matrix))
-    ids = spark.sparkContext.broadcast(np.asarray(model.items))
-    dtypes = dict(train.dtypes)
-    schema = f"{user} {dtypes[user]}, {item} {dtypes[item]}, score double"
+    n_seen = seen.groupBy(user).agg(F.count(F.lit(1)).alias("n_seen"))
+    users = model.user_factors.join(n_seen, user, "left").select(user, "factors", F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
+    mine = cut_lineage(_blocks(users, user, ["n_seen"], user_block, "ub"))
+    ordered = model.item_factors.repartitionByRange(F.col(item)).sortWithinPartitions(item)
+    theirs = cut_lineage(_blocks(ordered, item, [], item_block, "ib").select("ib", F.col("keys").alias("i_keys"), F.col("mat").alias("i_mat")))
+    size = theirs.agg(F.coalesce(F.sum(F.length("i_mat")), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
+    # every pair of block numbers is one row, made in SALTS tasks; blocks are then fetched by number
+    salted = mine.select("ub", F.pmod(F.xxhash64("ub"), F.lit(SALTS)).alias("salt"))
+    pairs = salted.join(theirs.select("ib", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt")), "salt").select("ub", "ib")
+    pairs = pairs.repartition("ub", "ib")
+    met = pairs.join(mine, "ub").join(_small(theirs, 1, 2 * size["b"]), "ib")
+    kinds, rank = dict(train.dtypes), model.rank
 
     def scorer(batches):
-        m, item_ids = mat.value, ids.value
         for b in batches:
-            if b.empty:
-                continue
-            p = np.vstack(b["factors"].to_numpy())
-            s = p @ m.T
-            out_u, out_i, out_s = [], [], []
-            for r in range(s.shape[0]):
-                take = min(s.shape[1], k + int(b["_n_seen"].iat[r]))
-                row = s[r]
-                top = np.argpartition(-row, take - 1)[:take] if take < row.size else np.arange(row.size)
-                out_u.append(np.repeat(b[user].iat[r], top.size))
-                out_i.append(item_ids[top])
-                out_s.append(row[top])
-            yield pd.DataFrame({user: np.concatenate(out_u), item: np.concatenate(out_i), "score": np.concatenate(out_s)})
-
-    cand = users.select(user, "factors", "_n_seen").mapInPandas(scorer, schema)
-    cand = cand.join(seen, [user, item], "left_anti").withColumn("score", F.round("score", SCORE_DIGITS))
-    return topk_per_user(cand, k, user, item)
+            col = {c: b.column(j) for j, c in enumerate(b.schema.names)}
+            for r in range(b.num_rows):
+                p = np.frombuffer(col["mat"][r].as_py(), dtype="<f8").reshape(-1, rank)
+                m = np.frombuffer(col["i_mat"][r].as_py(), dtype="<f8").reshape(-1, rank)
+                keys, items, have = col["keys"][r].values, col["i_keys"][r].values, col["n_seen"][r].values.to_numpy()
+                for i in range(0, len(p), 128):
+                    s = np.round(p[i:i + 128] @ m.T, SCORE_DIGITS)
+                    top = [_best(row, k + int(h)) for row, h in zip(s, have[i:i + 128])]
+                    n = [len(t) for t in top]
+                    own, flat = np.repeat(np.arange(len(s)), n), np.concatenate(top)
+                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(own + i)), items.take(pa.array(flat)), pa.array(s[own, flat])], names=[user, item, "score"])
+
+    cand = met.select("keys", "mat", "n_seen", "i_keys", "i_mat").mapInArrow(scorer, f"{user} {kinds[user]}, {item} {kinds[item]}, score double")
+    return topk_per_user(cand.join(seen, [user, item], "left_anti"), k, user, item)
 
 
 def recommend_svd(train: DataFrame, n_components: int = 50, k: int = 10, user: str = USER, item: str = ITEM) -> DataFrame:
@@ -258,15 +231,12 @@ def fit_als(train: DataFrame, rank: int = 16, reg: float = 0.1, alpha: float = 1
     als = ALS(rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter, seed=seed, implicitPrefs=True,
               userCol="_u", itemCol="_i", ratingCol="v", coldStartStrategy="drop", nonnegative=False)
     m = als.fit(data)
-    n_items = m.itemFactors.count()
-    _check_cells(n_items, rank)
-    pdf = m.itemFactors.join(iid.select(F.col("_i").cast("int").alias("id"), item), "id").orderBy(item).toPandas()
-    items = pdf[item].tolist()
-    mat = np.vstack(pdf["features"].to_numpy()).astype(float).reshape(len(pdf), rank)
-    uf = m.userFactors.join(uid.select(F.col("_u").cast("int").alias("id"), user), "id").select(
-        user, F.col("features").cast("array<double>").alias("factors")
-    )
-    return FactorModel(items, mat, uf)
+
+    def factors(table, ids, dense, key):
+        named = ids.select(F.col(dense).cast("int").alias("id"), key)
+        return table.join(named, "id").select(key, F.col("features").cast("array<double>").alias("factors"))
+
+    return FactorModel(factors(m.itemFactors, iid, "_i", item), factors(m.userFactors, uid, "_u", user), rank)
 
 
 def recommend_als(train: DataFrame, k: int = 10, rank: int = 16, reg: float = 0.1, alpha: float = 1.0, seed: int = 42,

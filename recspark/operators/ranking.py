@@ -7,6 +7,8 @@ embedding MLP becomes ALS factors + side features → MultilayerPerceptronClassi
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,15 +91,9 @@ def mlp_inputs(pairs: DataFrame, factors, item_feats: DataFrame, use_aux: bool =
     """(user, candidate) rows → feature vector [user factors, item factors, item side features]."""
     from pyspark.ml.functions import array_to_vector
 
-    spark = pairs.sparkSession
     uf = factors.user_factors.select(USER, F.col("factors").alias("_uf"))
-    rank = factors.item_matrix.shape[1]
-    it = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in zip(factors.items, factors.item_matrix)],
-                               f"candidate {dict(pairs.dtypes)['candidate']}, _if array<double>")
-    from recspark.operators.factor import BROADCAST_CELLS
-
-    # item factors are items × rank (checked when fitted); broadcast only below the small bound
-    it = F.broadcast(it) if len(factors.items) * rank <= BROADCAST_CELLS else it
+    it = factors.item_factors.select(F.col(ITEM).alias("candidate"), F.col("factors").alias("_if"))
+    rank = factors.rank
     df = pairs.join(uf, USER).join(it, "candidate")
     parts = [F.col("_uf"), F.col("_if")]
     if use_aux:
@@ -149,7 +145,7 @@ def batch_recommend(users: DataFrame, factors, train: DataFrame, fallback: DataF
     from recspark.operators.factor import score_topk
 
     known = users.select(USER).distinct().join(factors.user_factors.select(USER), USER, "left_semi")
-    sub = factors.__class__(factors.items, factors.item_matrix, factors.user_factors.join(known, USER, "left_semi"))
+    sub = replace(factors, user_factors=factors.user_factors.join(known, USER, "left_semi"))
     recs = score_topk(sub, train.join(known, USER, "left_semi"), k).withColumn("score", F.round("score", 4))
     unknown = users.select(USER).distinct().join(factors.user_factors.select(USER), USER, "left_anti")
     fb = fallback.filter(F.col("rank") <= k).select(ITEM, F.round("score", 4).alias("score"), "rank")

@@ -74,7 +74,7 @@ def test_svd_scores_match_numpy(spark):
     want = x @ v @ v.T
     got = {r["customer_unique_id"]: np.array(r["factors"]) for r in model.user_factors.collect()}
     for u in range(10):
-        assert got[u] @ model.item_matrix.T == pytest.approx(want[u], abs=1e-8)
+        assert got[u] @ _items(model).T == pytest.approx(want[u], abs=1e-8)
 
 
 def test_negative_samples_never_seen_and_exact_count(spark):
@@ -100,18 +100,50 @@ def test_popularity_ties_by_id(spark):
     assert top == [3, 5]
 
 
-def test_randomized_svd_path_matches_numpy(spark, monkeypatch):
-    """Force the distributed randomized path; with width ≥ items the range is exact."""
+def _items(model):
+    rows = sorted(model.item_factors.collect(), key=lambda r: r["product_id"])
+    return np.array([r["factors"] for r in rows])
+
+
+def test_svd_of_fewer_columns_than_items_matches_numpy(spark):
+    """A sketch narrower than the catalogue, on a matrix whose spectrum falls off."""
+    rng = np.random.default_rng(8)
+    group = rng.integers(0, 3, 80)
+    rows = [(u, i) for u in range(80) for i in range(40) if i % 3 == group[u] or (u * 31 + i * 17) % 97 == 0]
+    x = np.zeros((80, 40))
+    for u, i in rows:
+        x[u, i] = 1
+    model = fa.fit_svd(_df(spark, rows), n_components=3, oversample=5, power_iters=3)
+    _, s, vt = np.linalg.svd(x)
+    assert model.singular_values == pytest.approx(s[:3], rel=1e-4)
+    got = {r["customer_unique_id"]: np.array(r["factors"]) for r in model.user_factors.collect()}
+    want = x @ vt[:3].T @ vt[:3]
+    assert np.stack([got[u] for u in range(80)]) @ _items(model).T == pytest.approx(want, abs=2e-2)
+
+
+def test_equal_scores_go_to_smaller_items(spark):
+    """Items 1-29 are alike: of the equal ones the smallest ids come first, in blocks or not."""
+
+    users = spark.createDataFrame([(u, [1.0, 0.5]) for u in range(5)], "customer_unique_id long, factors array<double>")
+    items = spark.createDataFrame([(i, [0.25, 0.5]) for i in range(30)], "product_id long, factors array<double>")
+    seen = _df(spark, [(u, 0) for u in range(5)] + [(4, 2), (4, 3)])
+    for ub, ib in ((1024, 4096), (2, 4)):
+        recs = fa.score_topk(fa.FactorModel(items.repartition(3), users, 2), seen, 5, user_block=ub, item_block=ib).collect()
+        got = {u: [r["product_id"] for r in sorted(recs, key=lambda r: r["rank"]) if r["customer_unique_id"] == u] for u in range(5)}
+        assert got == {0: [1, 2, 3, 4, 5], 1: [1, 2, 3, 4, 5], 2: [1, 2, 3, 4, 5], 3: [1, 2, 3, 4, 5], 4: [1, 4, 5, 6, 7]}
+
+
+def test_randomized_svd_path_matches_numpy(spark):
+    """With width ≥ items the range is exact."""
     rng = np.random.default_rng(5)
     x = (rng.random((12, 6)) < 0.5).astype(float)
     x[0, :] = 1
     rows = [(u, i) for u in range(12) for i in range(6) if x[u, i]]
-    monkeypatch.setattr(fa, "MAX_GRAM_ITEMS", 2)
     model = fa.fit_svd(_df(spark, rows), n_components=3)
     _, s, vt = np.linalg.svd(x)
     assert model.singular_values == pytest.approx(s[:3], rel=1e-6)
     v = vt[:3].T
-    assert model.item_matrix @ model.item_matrix.T == pytest.approx(v @ v.T, abs=1e-6)
+    assert _items(model) @ _items(model).T == pytest.approx(v @ v.T, abs=1e-6)
     recs = fa.score_topk(model, _df(spark, rows), 2).collect()
     assert all((r["customer_unique_id"], r["product_id"]) not in set(rows) for r in recs)
 
