@@ -189,8 +189,8 @@ def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, i
     theirs = cut_lineage(_blocks(ordered, item, [], item_block, "ib").select("ib", F.col("keys").alias("i_keys"), F.col("mat").alias("i_mat")))
     size = theirs.agg(F.coalesce(F.sum(F.length("i_mat")), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
     # every pair of block numbers is one row, made in SALTS tasks; blocks are then fetched by number
-    salted = mine.select("ub", F.pmod(F.xxhash64("ub"), F.lit(SALTS)).alias("salt"))
-    pairs = salted.join(theirs.select("ib", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt")), "salt").select("ub", "ib")
+    salted = mine.select("ub", F.pmod(F.xxhash64("ub"), F.lit(SALTS)).cast("int").alias("salt"))
+    pairs = salted.join(theirs.select("ib", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")), "salt").select("ub", "ib")
     pairs = pairs.repartition("ub", "ib")
     met = pairs.join(mine, "ub").join(_small(theirs, 1, 2 * size["b"]), "ib")
     kinds, rank = dict(train.dtypes), model.rank

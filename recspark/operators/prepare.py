@@ -169,7 +169,7 @@ def sparsity(df: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
     )
 
 
-def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int = 50, user: str = USER, item: str = ITEM):
+def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, user: str = USER, item: str = ITEM):
     """Repeat (drop users with < min_user rows, then items with < min_item rows) until stable.
 
     Each round is a group-by + semi join; the surviving rows are checkpointed into the
@@ -183,7 +183,7 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, max_iter: int =
 
     n0, u0, i0 = counts(df)
     cur, prev, rounds = df, n0, 0
-    while rounds < max_iter:
+    while True:
         rounds += 1
         ok_u = cur.groupBy(user).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_user).select(user)
         cur = cur.join(ok_u, user, "left_semi")

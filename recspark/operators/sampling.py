@@ -1,18 +1,21 @@
 """Seeded draws: negative items, sampled candidate pools, random lists, row samples.
 
-No ``rand()``: every draw is ``xxhash64(keys, j, seed)``, so retries, speculative
-tasks and repartitioning reproduce the same rows.
+No ``rand()``: every draw is the leading 60 bits of the MD5 of its keys and seed, so
+retries and repartitioning reproduce the same rows and any engine can recompute them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.operators.prepare import ITEM, USER
 
-SLACK = 0.5  # extra draws per round, as a fraction of the missing ones
-MAX_ROUNDS = 6
+
+def draw(*keys: Column, seed: int) -> Column:
+    """A 60-bit number from the keys' text and the seed, joined by '|'."""
+    text = F.concat_ws("|", *[k.cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def catalog_index(items: DataFrame, item: str = ITEM) -> DataFrame:
@@ -25,54 +28,39 @@ def sample_negatives(pos: DataFrame, catalog: DataFrame, seen: DataFrame, n: int
                      user: str = USER, item: str = ITEM, exclude: DataFrame | None = None) -> DataFrame:
     """``n`` uniform items per positive (user, item) row, never one the user has seen.
 
-    Drawn with replacement from the catalogue by hashing (user, item, j, seed) into the
-    dense item index; draws that hit a seen item are rejected and the shortfall is drawn
-    again in later rounds. Rows still short after MAX_ROUNDS (users who have seen almost
-    the whole catalogue) get their negatives from an explicit complement of their history.
+    With replacement: draw j of a pair is a number r below the count of the user's unseen
+    items, and means the r-th unseen item in id order. As the user's i-th seen index s_i
+    (from 0) has s_i - i unseen ones below it, the r-th unseen index is r plus the number
+    of seen indices with s_i - i <= r, a running count over draws and seen indices of the
+    user. No rejection, no rounds, no complement. A user who has seen the whole catalogue
+    has no negatives: their pairs give no rows (``without_negatives`` lists them).
     Returns (user, item, neg_item, j) with j = 0 … n-1.
     """
     idx = catalog_index(catalog, item)
     n_items = idx.count()
-    banned = seen.select(user, item)
-    if exclude is not None:
-        banned = banned.union(exclude.select(user, item))
-    banned = banned.distinct().join(idx, item).select(user, "_idx")
-    pos = pos.select(user, item).distinct()
-    got = None
-    need = pos.withColumn("_need", F.lit(n)).withColumn("_base", F.lit(0))
-    for rnd in range(MAX_ROUNDS):
-        draws = need.select(
-            user, item, "_need", "_base",
-            F.explode(F.sequence(F.lit(0), (F.ceil(F.col("_need") * (1 + SLACK)) + 2).cast("int") - 1)).alias("_d"),
-        ).withColumn("_idx", F.pmod(F.xxhash64(F.col(user), F.col(item), F.lit(rnd), F.col("_d"), F.lit(seed)), F.lit(n_items)))
-        ok = draws.join(banned, [user, "_idx"], "left_anti")
-        w = Window.partitionBy(user, item).orderBy("_d")
-        ok = ok.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("_need"))
-        ok = ok.select(user, item, "_idx", (F.col("_base") + F.col("_r") - 1).alias("j"))
-        got = ok if got is None else got.unionByName(ok)
-        got = _materialise(got)
-        have = got.groupBy(user, item).agg(F.count(F.lit(1)).alias("_have"))
-        need = pos.join(have, [user, item], "left").na.fill(0, ["_have"]).filter(F.col("_have") < n).select(
-            user, item, (F.lit(n) - F.col("_have")).alias("_need"), F.col("_have").alias("_base")
-        )
-        if need.isEmpty():
-            break
-    else:
-        # exact complement for the few rows left: every unseen index, then cycle with replacement
-        comp = need.select(user, item, "_need", "_base", F.explode(F.sequence(F.lit(0), F.lit(n_items - 1))).alias("_idx"))
-        comp = comp.join(banned, [user, "_idx"], "left_anti")
-        w = Window.partitionBy(user, item).orderBy(F.xxhash64(F.col("_idx"), F.lit(seed)))
-        comp = comp.withColumn("_r", F.row_number().over(w)).withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy(user, item)))
-        reps = comp.select(user, item, "_idx", "_r", "_m", "_need", "_base", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_need") / F.col("_m")).cast("int"))).alias("_c"))
-        reps = reps.withColumn("_k", F.col("_c") * F.col("_m") + F.col("_r") - 1).filter(F.col("_k") < F.col("_need"))
-        got = got.unionByName(reps.select(user, item, "_idx", (F.col("_base") + F.col("_k")).alias("j")))
-    return got.join(idx.select("_idx", F.col(item).alias("neg_item")), "_idx").select(user, item, "neg_item", F.col("j").cast("int"))
-
-
-def _materialise(df: DataFrame) -> DataFrame:
-    from recspark.session import cut_lineage
-
-    return cut_lineage(df)
+    banned = _banned(seen, exclude, idx, user, item)
+    low = F.row_number().over(Window.partitionBy(user).orderBy("_idx")) - 1
+    steps = banned.select(user, (F.col("_idx") - low).alias("_at"))
+    free = banned.groupBy(user).agg((F.lit(n_items) - F.count(F.lit(1))).alias("_free"))
+    pairs = pos.select(user, item).distinct().join(free, user, "left").select(user, item, F.coalesce("_free", F.lit(n_items)).alias("_free")).where("_free > 0")
+    draws = pairs.select(user, item, "_free", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"))
+    draws = draws.select(user, item, "j", F.pmod(draw(F.col(user), F.col(item), F.col("j"), seed=seed), F.col("_free")).alias("_at"))
+    both = draws.withColumn("_seen", F.lit(0)).unionByName(steps.withColumn("_seen", F.lit(1)), allowMissingColumns=True)
+    upto = Window.partitionBy(user).orderBy(F.col("_at"), F.col("_seen").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    picked = both.withColumn("_idx", F.col("_at") + F.sum("_seen").over(upto)).where("_seen = 0")
+    return picked.join(idx.select("_idx", F.col(item).alias("neg_item")), "_idx").select(user, item, "neg_item", F.col("j").cast("int"))
+
+
+def _banned(seen: DataFrame, exclude: DataFrame | None, idx: DataFrame, user: str, item: str) -> DataFrame:
+    rows = seen.select(user, item) if exclude is None else seen.select(user, item).union(exclude.select(user, item))
+    return rows.distinct().join(idx, item).select(user, "_idx")
+
+
+def without_negatives(pos: DataFrame, catalog: DataFrame, seen: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
+    """Users of ``pos`` who have seen every catalogue item."""
+    idx = catalog_index(catalog, item)
+    full = _banned(seen, None, idx, user, item).groupBy(user).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= F.lit(idx.count()))
+    return pos.select(user).distinct().join(full, user, "left_semi")
 
 
 def sampled_candidates(test: DataFrame, catalog: DataFrame, seen: DataFrame, n_neg: int = 99, seed: int = 42,
@@ -86,20 +74,39 @@ def sampled_candidates(test: DataFrame, catalog: DataFrame, seen: DataFrame, n_n
 
 
 def recommend_random(users: DataFrame, catalog: DataFrame, k: int = 10, seed: int = 42, user: str = USER, item: str = ITEM) -> DataFrame:
-    """k distinct random catalogue items per user, by hash order (draws without replacement)."""
+    """min(k, catalogue) distinct random catalogue items per user.
+
+    Position d of a user's list is (a + d * b) modulo the catalogue size, with a start a
+    and a stride b drawn for the user; among b and the next numbers the first that shares
+    no divisor with the size is taken, so the walk repeats no item before it has met all.
+    """
     idx = catalog_index(catalog, item)
     n_items = idx.count()
     take = min(k, n_items)
-    draws = users.select(user).distinct().select(user, F.explode(F.sequence(F.lit(0), F.lit(3 * take + 5))).alias("_d"))
-    draws = draws.withColumn("_idx", F.pmod(F.xxhash64(F.col(user), F.col("_d"), F.lit(seed)), F.lit(n_items)))
-    first = draws.groupBy(user, "_idx").agg(F.min("_d").alias("_d"))
-    w = Window.partitionBy(user).orderBy("_d")
-    ranked = first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= take)
-    return ranked.join(idx, "_idx").select(user, item, F.lit(None).cast("double").alias("score"), "rank")
+    if not take:
+        return users.select(user).join(idx, F.lit(False)).select(user, item, F.lit(None).cast("double").alias("score"), F.lit(0).alias("rank"))
+    start = F.pmod(draw(F.col(user), F.lit("start"), seed=seed), F.lit(n_items))
+    strides = coprime_strides(n_items)
+    stride = F.element_at(F.array(*[F.lit(s).cast("long") for s in strides]), (F.pmod(draw(F.col(user), F.lit("stride"), seed=seed), F.lit(len(strides))) + 1).cast("int"))
+    slots = users.select(user).distinct().select(user, start.alias("_a"), stride.alias("_b"), F.explode(F.sequence(F.lit(0), F.lit(take - 1))).alias("_d"))
+    at = slots.select(user, F.pmod(F.col("_a") + F.col("_d") * F.col("_b"), F.lit(n_items)).alias("_idx"), (F.col("_d") + 1).alias("rank"))
+    return at.join(idx, "_idx").select(user, item, F.lit(None).cast("double").alias("score"), "rank")
+
+
+def coprime_strides(n: int, most: int = 64) -> list[int]:
+    """Up to ``most`` numbers below n without a common divisor with n, spread over its range."""
+    import math
+
+    found, step = [], max(1, n // most)
+    for lo in range(1, max(2, n), step):
+        s = next((x for x in range(lo, min(lo + step, max(2, n))) if math.gcd(x, n) == 1), None)
+        if s is not None:
+            found.append(s)
+    return found[:most] or [1]
 
 
 def sample_rows(df: DataFrame, n: int = 2000, seed: int = 42, keys=None) -> DataFrame:
-    """Seeded sample of min(n, rows): the n smallest hashes of the key columns (the limit is the feature)."""
+    """Seeded sample of min(n, rows): the n smallest draws of the key columns (the limit is the feature)."""
     keys = keys or df.columns
-    h = F.xxhash64(*[F.col(c) for c in keys], F.lit(seed))
+    h = draw(*[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in keys], seed=seed)
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")

@@ -177,3 +177,23 @@ def test_negatives_same_rows_after_repartition(spark):
     a = sa.sample_negatives(df, df.select("product_id").distinct(), df, 3, seed=11).collect()
     b = sa.sample_negatives(df.repartition(5), df.select("product_id").distinct(), df.repartition(2), 3, seed=11).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_random_lists_are_full_and_distinct(spark):
+    users = spark.createDataFrame([(u,) for u in range(200)], "customer_unique_id long")
+    for n in (1, 7, 10, 12, 30):
+        got = {}
+        for r in sa.recommend_random(users, spark.createDataFrame([(i,) for i in range(n)], "product_id long"), 10).collect():
+            got.setdefault(r["customer_unique_id"], {})[r["rank"]] = r["product_id"]
+        assert len(got) == 200
+        assert all(sorted(v) == list(range(1, min(10, n) + 1)) and len(set(v.values())) == len(v) for v in got.values())
+
+
+def test_negatives_cover_the_unseen_items_evenly(spark):
+    rows = [(1, i) for i in (0, 1, 4, 9)] + [(2, i) for i in range(9)]
+    negs = sa.sample_negatives(_df(spark, rows), spark.createDataFrame([(i,) for i in range(10)], "product_id long"), _df(spark, rows), 300).collect()
+    one = [r["neg_item"] for r in negs if r["customer_unique_id"] == 1]
+    assert {x: one.count(x) > 120 for x in set(one)} == {x: True for x in (2, 3, 5, 6, 7, 8)}
+    assert {r["neg_item"] for r in negs if r["customer_unique_id"] == 2} == {9}
+    full = sa.without_negatives(_df(spark, [(1, 0), (2, 0)]), spark.createDataFrame([(0,), (1,)], "product_id long"), _df(spark, [(1, 0), (2, 0), (2, 1)]))
+    assert [r["customer_unique_id"] for r in full.collect()] == [2]
