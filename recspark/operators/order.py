@@ -1,26 +1,20 @@
 """Exact positions in a global order without sorting everything in one task.
 
-Spark's range partitioner (sampled bounds) splits the data into P contiguous key
-ranges of similar size. One job counts each range and records its smallest and
-largest key; that table has P rows, so it is the only thing that reaches the driver.
-A position k then falls into one range, and only that range (about n/P rows) is
-looked at again — recursively if it is still large. Heavy duplicates of one key
-collapse to ``lo == hi`` and are answered without a sort.
+Distinct keys and their multiplicities are range-partitioned (Spark's sampled bounds)
+and checkpointed; sums per range give each range its offset, a running sum inside a
+range gives each key the number of rows before it. Nothing but the rows at the wanted
+positions reaches the driver, at every size and for any number of columns at once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.session import cut_lineage
 
-MAX_LOCAL_ROWS = 200_000
-HISTOGRAM_FIRST = 200_000  # distinct values up to which one histogram job (≤ 200k small rows to the driver) answers a quantile
-
 
 def _lit(value, dtype) -> Column:
     if value is None:
@@ -30,143 +24,83 @@ def _lit(value, dtype) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def order_key(cols) -> Column:
+    """A struct that compares like the columns in ascending order, nulls last."""
+    return F.struct(*[x for c in cols for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c))])
+
+
 def key_literal(df: DataFrame, cols, row) -> Column:
+    """The ``order_key`` of one row of values."""
     fields = {f.name: f.dataType for f in df.schema.fields}
-    return F.struct(*[_lit(row[i], fields[c]).alias(c) for i, c in enumerate(cols)])
+    return F.struct(*[x for i, c in enumerate(cols) for x in (F.lit(row[i] is None).alias(f"{c}_null"), _lit(row[i], fields[c]).alias(c))])
 
 
-def _key(cols) -> Column:
-    return F.struct(*[F.col(c) for c in cols])
+def running_counts(df: DataFrame, groups, cols) -> DataFrame:
+    """One row per group and distinct key: ``groups, cols, n, before, total``.
 
+    n is the key's multiplicity, before the number of the group's rows with a smaller key
+    (nulls last), total the group's rows.
+    """
+    groups, cols = list(groups), list(cols)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_last() for c in [*groups, *cols]]
+    keys = df.groupBy(*groups, *cols).agg(F.count(F.lit(1)).alias("n"))
+    keys = cut_lineage(keys.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id()))
+    sums = keys.groupBy("_pid", *groups).agg(F.sum("n").alias("_n"))
+    whole = Window.partitionBy(*groups)
+    ahead = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_pid", *groups, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_off"), F.sum("_n").over(whole).alias("total"))
+    inside = Window.partitionBy("_pid", *groups).orderBy(*[F.col(c).asc_nulls_last() for c in cols]).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_off") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return keys.join(sums, ["_pid", *groups]).select(*groups, *cols, "n", before.alias("before"), "total")
+
+
+def kth_keys(df: DataFrame, cols, positions_fn):
+    """Keys at 0-based positions of the ascending order on ``cols``, nulls last.
+
+    ``positions_fn(n)`` receives the row count and returns the wanted positions (a few).
+    Returns (n, {position: key tuple}).
+    """
+    cols = list(cols)
+    n = df.count()
+    wanted = sorted({p for p in positions_fn(n) if 0 <= p < n})
+    if not wanted:
+        return n, {}
+    keys = running_counts(df.select(*cols), [], cols)
+    hit = F.lit(False)
+    for p in wanted:
+        hit = hit | ((F.col("before") <= p) & (F.lit(p) < F.col("before") + F.col("n")))
+    rows = keys.where(hit).collect()
+    return n, {p: tuple(r[c] for c in cols) for p in wanted for r in rows if r["before"] <= p < r["before"] + r["n"]}
 
-def _between(df: DataFrame, cols, lo, hi) -> Column:
-    """lo ≤ key ≤ hi, plus a plain range on the first column so Parquet can skip row groups."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    first = F.col(cols[0])
-    cond = (first >= _lit(lo[0], fields[cols[0]])) & (first <= _lit(hi[0], fields[cols[0]]))
-    if len(cols) > 1:
-        k = _key(cols)
-        cond = cond & (k >= key_literal(df, cols, lo)) & (k <= key_literal(df, cols, hi))
-    return cond
-
-
-def range_stats(df: DataFrame, cols, parts: int | None = None) -> list[tuple[int, int, tuple, tuple]]:
-    """(offset, count, lo, hi) per non-empty key range, in key order. P rows at most."""
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.select(*cols).repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in cols]).select(
-        F.spark_partition_id().alias("_pid"), _key(cols).alias("_k")
-    )
-    rows = (
-        tagged.groupBy("_pid")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("lo"), F.max("_k").alias("hi"))
-        .orderBy("_pid")
-        .collect()
-    )
-    out, offset = [], 0
-    for r in rows:
-        out.append((offset, r["n"], tuple(r["lo"]), tuple(r["hi"])))
-        offset += r["n"]
-    return out
 
+def grouped_quantiles(long: DataFrame, group: str, value: str, probs) -> DataFrame:
+    """``group, n, q0, q1, …``: exact linear-interpolated quantiles of all groups in one pass.
 
-def _resolve(df: DataFrame, cols, wanted: list[int], stats, max_local: int, depth: int) -> dict[int, tuple]:
-    found: dict[int, tuple] = {}
-    local: list[tuple[int, int, tuple, tuple]] = []  # (position, offset, lo, hi)
-    deeper: dict[tuple, list[int]] = {}
-    for p in wanted:
-        for offset, n, lo, hi in stats:
-            if offset <= p < offset + n:
-                if lo == hi:
-                    found[p] = lo
-                elif n <= max_local or depth > 6:
-                    local.append((p, offset, lo, hi))
-                else:
-                    deeper.setdefault((offset, lo, hi), []).append(p - offset)
-                break
-    if local:
-        ranges = {(offset, lo, hi) for _, offset, lo, hi in local}
-        cond = None
-        for _, lo, hi in ranges:
-            c = _between(df, cols, lo, hi)
-            cond = c if cond is None else (cond | c)
-        # distinct keys with their multiplicity: duplicates never inflate what is collected
-        hist = (
-            df.filter(cond)
-            .groupBy(*cols)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .orderBy(*[F.col(c).asc_nulls_first() for c in cols])
-            .collect()
-        )
-        keys = [tuple(r[c] for c in cols) for r in hist]
-        counts = [r["_n"] for r in hist]
-        for p, offset, lo, hi in local:
-            start = next(i for i, k in enumerate(keys) if k >= lo) if keys else 0
-            run = offset
-            for i in range(start, len(keys)):
-                run += counts[i]
-                if p < run:
-                    found[p] = keys[i]
-                    break
-    for (offset, lo, hi), ps in deeper.items():
-        sub = df.filter(_between(df, cols, lo, hi))
-        sub_stats = range_stats(sub, cols)
-        res = _resolve(sub, cols, ps, sub_stats, max_local, depth + 1)
-        for q, v in res.items():
-            found[q + offset] = v
-    return found
-
-
-def kth_keys(df: DataFrame, cols, positions_fn, max_local: int | None = None):
-    """Keys at 0-based positions of the ascending order on ``cols``.
-
-    ``positions_fn(n)`` receives the row count (known after the first pass) and returns
-    the wanted positions. Returns (n, {position: key tuple}).
+    Null and NaN values are left out; a group without others gives no row.
     """
-    cols = list(cols)
-    max_local = max_local or MAX_LOCAL_ROWS
-    stats = range_stats(df, cols)
-    n = stats[-1][0] + stats[-1][1] if stats else 0
-    wanted = sorted({p for p in positions_fn(n) if 0 <= p < n})
-    return n, _resolve(df, cols, wanted, stats, max_local, 0)
+    x = F.col(value).cast("double")
+    rows = running_counts(long.select(group, x.alias("_x")).where("_x is not null and not isnan(_x)"), [group], ["_x"])
+    out = []
+    for j, q in enumerate(probs):
+        pos = (F.col("total") - 1) * F.lit(float(q))
+        at = lambda p: F.max(F.when((F.col("before") <= p) & (p < F.col("before") + F.col("n")), F.col("_x")))
+        out += [at(F.floor(pos)).alias(f"lo{j}"), at(F.ceil(pos)).alias(f"hi{j}"), F.max(pos - F.floor(pos)).alias(f"f{j}")]
+    agg = rows.groupBy(group).agg(F.max("total").alias("n"), *out)
+    return agg.select(group, "n", *[(F.col(f"lo{j}") + (F.col(f"hi{j}") - F.col(f"lo{j}")) * F.col(f"f{j}")).alias(f"q{j}") for j in range(len(probs))])
+
+
+def unpivoted(df: DataFrame, cols, name: str = "column", value: str = "value") -> DataFrame:
+    """(column name, value as double) rows of several numeric columns."""
+    pairs = F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in cols])
+    return df.select(F.explode(pairs).alias("_p")).select("_p.*")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs) -> tuple[int, list[float | None]]:
-    """Linear-interpolated quantiles (pandas / Spark ``percentile`` definition), exactly."""
+    """Linear-interpolated quantiles (pandas / Spark ``percentile`` definition) of one column."""
     probs = list(probs)
-    x = df.select(F.col(col).cast("double").alias(col)).filter(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
-
-    def positions(n):
-        ps = []
-        for q in probs:
-            pos = (n - 1) * q
-            ps += [math.floor(pos), math.ceil(pos)]
-        return ps
-
-    # few distinct values (ratings, counts): one histogram job answers every quantile
-    hist = x.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).limit(HISTOGRAM_FIRST + 1).collect()
-    if len(hist) <= HISTOGRAM_FIRST:
-        hist.sort(key=lambda r: r[col])
-        vals, cum = [r[col] for r in hist], []
-        run = 0
-        for r in hist:
-            run += r["_n"]
-            cum.append(run)
-        n = run
-        import bisect
-
-        keys = {p: (vals[bisect.bisect_right(cum, p)],) for p in positions(n) if 0 <= p < n}
-    else:
-        n, keys = kth_keys(x, [col], positions)
-    out = []
-    for q in probs:
-        if n == 0:
-            out.append(None)
-            continue
-        pos = (n - 1) * q
-        lo, hi = keys[math.floor(pos)][0], keys[math.ceil(pos)][0]
-        out.append(lo + (hi - lo) * (pos - math.floor(pos)))
-    return n, out
+    r = grouped_quantiles(unpivoted(df, [col]), "column", "value", probs).first()
+    return (0, [None] * len(probs)) if r is None else (r["n"], [r[f"q{j}"] for j in range(len(probs))])
 
 
 def global_index(df: DataFrame, cols, name: str = "idx") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.functions import scalar
-from recspark.operators.order import exact_quantiles
+from recspark.operators.order import exact_quantiles, grouped_quantiles, unpivoted
 from recspark.operators.prepare import CAT, TS, USER
 
 # Right-closed bins and labels for entity histograms.
@@ -38,22 +38,12 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True, dropna: bool =
 
 def describe(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std (sample), min, quantiles, max — one row per column."""
-    spark = df.sparkSession
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    base = df.agg(*aggs).first()
-    rows = []
-    for i, c in enumerate(cols):
-        qs = exact_quantiles(df, c, probs)[1]
-        rows.append((c, base[f"n{i}"], base[f"m{i}"], base[f"s{i}"], base[f"lo{i}"], *qs, base[f"hi{i}"]))
-    names = ["column", "count", "mean", "std", "min", *[f"p{int(round(p * 100))}" for p in probs], "max"]
-    schema = "column string, count bigint, mean double, std double, min double, " + ", ".join(
-        f"p{int(round(p * 100))} double" for p in probs
-    ) + ", max double"
-    return spark.createDataFrame(rows, schema).toDF(*names)
+    long = unpivoted(df, cols)
+    x = F.col("value")
+    base = long.groupBy("column").agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    qs = grouped_quantiles(long, "column", "value", probs).select("column", *[F.col(f"q{j}").alias(c) for j, c in enumerate(names)])
+    return base.join(qs, "column", "left").select("column", "count", "mean", "std", "min", *names, "max")
 
 
 def sentiment_share(df: DataFrame, col: str = "review_score") -> DataFrame:
@@ -206,11 +196,14 @@ def correlation_pairs(df: DataFrame, cols, threshold: float = 0.95) -> DataFrame
 def constant_features(df: DataFrame, cols) -> DataFrame:
     """Columns whose sample variance is 0 or that have at most one distinct value."""
     spark = df.sparkSession
+    # at most one distinct value is min = max: no distinct count, so no row is copied per column
     r = df.agg(
         *[F.var_samp(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)],
-        *[F.count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)],
+        *[(F.min(c) == F.max(c)).alias(f"same{i}") for i, c in enumerate(cols)],
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
     ).first()
-    rows = [(c, r[f"v{i}"], int(r[f"d{i}"])) for i, c in enumerate(cols) if (r[f"v{i}"] in (None, 0.0)) or r[f"d{i}"] <= 1]
+    one = lambda i: r[f"n{i}"] == 0 or r[f"same{i}"]
+    rows = [(c, r[f"v{i}"], 0 if r[f"n{i}"] == 0 else 1) for i, c in enumerate(cols) if one(i)]
     return spark.createDataFrame(rows, "feature string, variance double, n_distinct bigint")
 
 
@@ -221,11 +214,8 @@ def skewness_adjusted(c) -> F.Column:
 
 
 def skew_report(df: DataFrame, cols) -> DataFrame:
-    parts = [df.agg(F.lit(c).alias("feature"), skewness_adjusted(F.col(c).cast("double")).alias("skew")) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One aggregate over the unpivoted columns."""
+    return unpivoted(df, cols, "feature", "_x").groupBy("feature").agg(skewness_adjusted(F.col("_x")).alias("skew"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
@@ -242,33 +232,43 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, col: str):
+    """Q1 - 1.5 IQR and Q3 + 1.5 IQR; (None, None) without a value."""
     q1, q3 = exact_quantiles(df, col, [0.25, 0.75])[1]
+    if q1 is None:
+        return None, None
     iqr = q3 - q1
     return q1 - 1.5 * iqr, q3 + 1.5 * iqr
 
 
 def iqr_outliers(df: DataFrame, col: str) -> DataFrame:
+    """Rows outside the bounds; none where there are no bounds."""
     lo, hi = iqr_bounds(df, col)
+    if lo is None:
+        return df.limit(0)
     return df.filter((F.col(col) < F.lit(lo)) | (F.col(col) > F.lit(hi)))
 
 
+def iqr_outlier_share(df: DataFrame, cols) -> DataFrame:
+    """Per column: bounds, values, outliers and their percentage, all columns in one pass."""
+    long = unpivoted(df, cols).where("value is not null and not isnan(value)")
+    q = grouped_quantiles(long, "column", "value", [0.25, 0.75])
+    bounds = q.select("column", (F.col("q0") - 1.5 * (F.col("q1") - F.col("q0"))).alias("lower"), (F.col("q1") + 1.5 * (F.col("q1") - F.col("q0"))).alias("upper"))
+    out = F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
+    # one row per column: small whatever the table's size
+    return long.join(F.broadcast(bounds), "column").groupBy("column", "lower", "upper").agg(F.count("*").alias("n"), out.alias("n_outliers")).withColumn(
+        "outlier_pct", F.col("n_outliers") * 100.0 / F.col("n"))
+
+
 def cap_quantile(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
     cap = exact_quantiles(df, col, [q])[1][0]
     return df.filter(F.col(col) <= F.lit(cap))
 
 
 def group_quantiles(df: DataFrame, key: str, x, probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact quantiles of ``x`` per value of a low-cardinality ``key`` (one selection per group)."""
-    spark = df.sparkSession
-    base = df.select(F.col(key), x.alias("_x")).filter(F.col(key).isNotNull() & F.col("_x").isNotNull())
-    groups = [r[0] for r in base.select(key).distinct().collect()]
-    rows = []
-    for g in groups:
-        n, qs = exact_quantiles(base.filter(F.col(key) == F.lit(g)), "_x", probs)
-        rows.append((g, n, *qs))
-    key_type = dict(base.dtypes)[key]
-    schema = f"{key} {key_type}, n bigint, " + ", ".join(f"p{int(round(p * 100))} double" for p in probs)
-    return spark.createDataFrame(rows, schema)
+    """Exact quantiles of ``x`` per value of ``key``, all groups in one pass."""
+    base = df.select(F.col(key), x.cast("double").alias("_x")).filter(F.col(key).isNotNull() & F.col("_x").isNotNull())
+    q = grouped_quantiles(base, key, "_x", probs)
+    return q.select(key, F.col("n").cast("bigint").alias("n"), *[F.col(f"q{j}").alias(f"p{int(round(p * 100))}") for j, p in enumerate(probs)])
 
 
 def category_rank(df: DataFrame, key: str, value: str, n: int = 10) -> DataFrame:

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.operators.order import key_literal, kth_keys
+from recspark.operators.order import key_literal, kth_keys, order_key
 from recspark.operators.prepare import CAT, ITEM, TS, USER
 
 
@@ -22,7 +22,7 @@ class LeakageError(AssertionError):
 def _label_by_cuts(df: DataFrame, order_cols, n_train_fn, n_val_fn, split_col: str) -> DataFrame:
     order_cols = list(order_cols)
     n, keys = kth_keys(df, order_cols, lambda n: [n_train_fn(n), n_val_fn(n)])
-    key = F.struct(*[F.col(c) for c in order_cols])
+    key = order_key(order_cols)
 
     def below(pos):
         # rows before position ``pos``; pos == n means every row
@@ -48,7 +48,8 @@ def temporal_split(
 ) -> DataFrame:
     """First ⌊n·train⌋ rows by time are train, up to ⌊n·(train+val)⌋ val, the rest test.
 
-    Ties on time are broken by the interaction keys, so the cut is the same on every run.
+    Ties on time are broken by the interaction keys, so the cut is the same on every run;
+    rows without a time come last.
     ``descending`` puts the latest rows first.
     """
     order_cols = [time_col, *keys]
@@ -73,12 +74,14 @@ def temporal_split(
 def random_split(
     df: DataFrame, keys=(USER, ITEM, CAT), train: float = 0.70, val: float = 0.15, seed: int = 42, split_col="split"
 ) -> DataFrame:
-    """Seeded shuffle by a hash of the keys: exact sizes, same rows on every run and retry.
+    """Seeded shuffle by a draw from the keys: exact sizes, same rows on every run and retry.
 
     Sizes follow the two-step split: ⌊0.70·n⌋ train, then the rest halved by
     val/(1-train) with the val part rounded down.
     """
-    work = df.withColumn("_h", F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)))
+    from recspark.operators.sampling import draw
+
+    work = df.withColumn("_h", draw(*[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys], seed=seed))
     ratio = float(val) / (1.0 - float(train))
 
     def n_train(n):

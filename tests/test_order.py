@@ -20,17 +20,13 @@ def test_exact_quantiles_match_numpy(spark):
 def test_heavy_duplicates_do_not_need_a_sort(spark):
     vals = [5.0] * 3000 + [float(i) for i in range(1000)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    order.MAX_LOCAL_ROWS, saved = 50, order.MAX_LOCAL_ROWS
-    try:
-        n, got = order.exact_quantiles(df, "x", [0.1, 0.5, 0.9])
-    finally:
-        order.MAX_LOCAL_ROWS = saved
+    n, got = order.exact_quantiles(df, "x", [0.1, 0.5, 0.9])
     assert got == pytest.approx(list(np.quantile(vals, [0.1, 0.5, 0.9])))
 
 
-def test_recursive_selection_small_local_budget(spark):
+def test_selection_by_position(spark):
     df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("k"))
-    n, keys = order.kth_keys(df, ["k"], lambda n: [0, 123, 9999, n - 1], max_local=300)
+    n, keys = order.kth_keys(df, ["k"], lambda n: [0, 123, 9999, n - 1])
     assert n == 20000
     assert {p: v[0] for p, v in keys.items()} == {0: 0, 123: 123, 9999: 9999, 19999: 19999}
 
@@ -42,3 +38,20 @@ def test_global_index_is_row_number(spark):
     want = sorted(((r_a, r_b) for r_a, r_b in ((i % 37, f"u{i}") for i in range(500))))
     assert [g[0] for g in got] == list(range(500))
     assert [(g[1], g[2]) for g in got] == want
+
+
+def test_quantiles_of_groups_and_missing_values(spark):
+    rows = [("a", float(i)) for i in range(101)] + [("b", 3.0), ("c", None), ("c", float("nan"))]
+    got = {r["g"]: (r["n"], r["q0"], r["q1"]) for r in order.grouped_quantiles(spark.createDataFrame(rows, "g string, x double"), "g", "x", [0.1, 0.995]).collect()}
+    assert got == {"a": (101, pytest.approx(10.0), pytest.approx(99.5)), "b": (1, 3.0, 3.0)}
+    assert order.exact_quantiles(spark.createDataFrame(rows, "g string, x double").where("g = 'c'"), "x", [0.5]) == (0, [None])
+
+
+def test_iqr_without_values(spark):
+    from recspark.operators import profile
+
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 2.0), (None, 50.0)], "x double, y double")
+    assert profile.iqr_bounds(df, "x") == (None, None) and profile.iqr_outliers(df, "x").count() == 0
+    assert profile.iqr_bounds(df.limit(0), "y") == (None, None)
+    got = profile.iqr_outlier_share(df, ["x", "y"]).collect()
+    assert [(r["column"], r["n"], r["n_outliers"], r["outlier_pct"]) for r in got] == [("y", 4, 1, 25.0)]

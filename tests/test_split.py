@@ -66,16 +66,23 @@ def test_descending_puts_latest_first(spark):
     assert {r["split"] for r in order[t:]} <= {"val", "test"}
 
 
-def test_hot_day_split_is_exact(spark, monkeypatch):
-    """A third of the rows on one timestamp, and a tiny local budget so selection recurses."""
-    from recspark.operators import order
-
+def test_hot_day_split_is_exact(spark):
+    """A third of the rows on one timestamp."""
     base = dt.datetime(2021, 5, 1)
     rows = [(i, i % 50, "c", base) for i in range(300)] + [(1000 + i, i % 50, "c", base + dt.timedelta(hours=i)) for i in range(600)]
     df = spark.createDataFrame(rows, "customer_unique_id long, product_id long, product_category_name_english string, order_purchase_timestamp timestamp_ntz")
-    monkeypatch.setattr(order, "MAX_LOCAL_ROWS", 20)
     out = sp.temporal_split(df).collect()
     ordered = sorted(out, key=lambda r: (r["order_purchase_timestamp"], r["customer_unique_id"], r["product_id"]))
     n = len(ordered)
     t, v = math.floor(n * 0.7), math.floor(n * 0.85)
     assert [r["split"] for r in ordered] == ["train"] * t + ["val"] * (v - t) + ["test"] * (n - v)
+
+
+def test_rows_without_a_time_come_last(spark):
+    base = dt.datetime(2021, 5, 1)
+    rows = [(i, i, "c", base + dt.timedelta(hours=i) if i % 5 == 0 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "customer_unique_id long, product_id long, product_category_name_english string, order_purchase_timestamp timestamp_ntz")
+    for descending in (False, True):
+        out = sp.temporal_split(df, descending=descending).collect()
+        assert sorted(r["split"] for r in out) == ["test"] * 15 + ["train"] * 70 + ["val"] * 15
+        assert all(r["split"] == "train" for r in out if r["order_purchase_timestamp"] is not None)
