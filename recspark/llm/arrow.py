@@ -2,9 +2,38 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+#: Bytes of an Arrow batch between the JVM and Python, where the session has not set its own.
+BATCH_BYTES = 4 << 20
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` with small batches and workers that give their memory back.
+
+    Batches are bounded in bytes (texts differ in length by orders of magnitude), unless the
+    session's value is already smaller. Workers are reused by later stages, so what a task
+    has freed goes back to the system when the task ends.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_KEY, str(1 << 30)).rstrip("b")) > BATCH_BYTES:
+        conf.set(BATCH_KEY, str(BATCH_BYTES))
+    return df.mapInArrow(lambda it: _tidy(fn(it)), schema)
+
+
+def _tidy(rows: Iterator) -> Iterator:
+    try:
+        yield from rows
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
 
 
 def groups(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int, most_rows: int = 4096) -> Iterator[pa.RecordBatch]:

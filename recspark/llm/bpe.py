@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from recspark.llm import rolling as ro
-from recspark.llm.arrow import groups
+from recspark.llm.arrow import groups, in_arrow
 from recspark.llm.stages import plain
 
 U = np.uint64
@@ -348,7 +348,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     rows = docs.select(plain(id_col).alias("id"), plain(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(lambda it: _encode(it, path, most_bytes, most_words), f"id {kind}, ids array<int>")
+    out = in_arrow(rows, lambda it: _encode(it, path, most_bytes, most_words), f"id {kind}, ids array<int>")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -356,4 +356,4 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     """``id_col`` and ``text``: the tokens joined by one space, special ones included (null ids: null)."""
     rows = tokens.select(plain(id_col).alias("id"), plain(ids_col).alias("ids"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(lambda it: _decode(it, path), f"id {kind}, text string").withColumnRenamed("id", id_col)
+    return in_arrow(rows, lambda it: _decode(it, path), f"id {kind}, text string").withColumnRenamed("id", id_col)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark.llm import rolling as ro
-from recspark.llm.arrow import groups
+from recspark.llm.arrow import groups, in_arrow
 from recspark.llm.bpe import LETTER, classes
 from recspark.llm.stages import plain
 
@@ -287,5 +287,5 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample: hashed weights and its lexicon
     rows = docs.select(*(plain(c).alias(f"k{i}") for i, c in enumerate(keep)), plain(text_col).alias("text"))
     kinds = [f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    out = rows.mapInArrow(lambda it: _label(it, shared.value, most_bytes, most_words), ", ".join([*kinds, "lang_pred string, score double, n_words long, n_switches long, shares array<double>"]))
+    out = in_arrow(rows, lambda it: _label(it, shared.value, most_bytes, most_words), ", ".join([*kinds, "lang_pred string, score double, n_words long, n_switches long, shares array<double>"]))
     return out.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score", "n_words", "n_switches", "shares")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.llm.arrow import in_arrow
 from recspark.llm.stages import plain
 from recspark.llm.vectors import finite, id_array, ids_of, matrices, numbered
 
@@ -113,8 +114,8 @@ def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: st
     base = rows.select("uid", "id", "vec")
     queries = rows.where("query").select("uid", "id", "vec")
     fields = "bucket long, uid long, id long, vec array<double>"
-    filed = base.mapInArrow(lambda it: _hash(it, tables, 1, seed), fields)
-    asked = queries.mapInArrow(lambda it: _hash(it, tables, probes, seed), fields)
+    filed = in_arrow(base, lambda it: _hash(it, tables, 1, seed), fields)
+    asked = in_arrow(queries, lambda it: _hash(it, tables, probes, seed), fields)
     found = _met(filed, asked, block, k)
     # queries whose buckets held too few rows: against every row
     enough = found.select("q_uid", "uid").distinct().groupBy("q_uid").agg(F.count("*").alias("n")).where(F.col("n") >= k)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recspark.llm.arrow import groups, texts
+from recspark.llm.arrow import groups, in_arrow, texts
 from recspark.llm.stages import cut, plain, small_side
 
 ORDER = 5
@@ -83,7 +83,7 @@ def fit(trusted: DataFrame, text_col: str = "text", most_bytes: int = 2 << 20, m
     lowest with the uniform distribution. All tables stay sharded by key.
     """
     rows = trusted.select(plain(text_col).alias("text"))
-    counted = rows.mapInArrow(lambda it: _count(it, most_bytes, most_keys), "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    counted = in_arrow(rows, lambda it: _count(it, most_bytes, most_keys), "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
     table = {ORDER: cut(counted)}
     for m in range(ORDER - 1, 0, -1):
         table[m] = cut(table[m + 1].groupBy((F.col("key").bitwiseAND((1 << 8 * m) - 1)).alias("key")).agg(F.count("*").alias("c")))
@@ -200,7 +200,7 @@ def perplexity(docs: DataFrame, model: Model, keep: list[str], text_col: str = "
     shared = docs.sparkSession.sparkContext.broadcast(heads)
     rows = docs.select(*(plain(c).alias(f"k{i}") for i, c in enumerate(keep)), plain(text_col).alias("text"))
     kinds = [f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    scored = rows.mapInArrow(lambda it: _score(it, shared.value, most_bytes), ", ".join([*kinds, "n_bytes long, s1 double, s2 double, tail array<long>, times array<long>"]))
+    scored = in_arrow(rows, lambda it: _score(it, shared.value, most_bytes), ", ".join([*kinds, "n_bytes long, s1 double, s2 double, tail array<long>, times array<long>"]))
     scored = cut(scored).withColumn("row", F.monotonically_increasing_id())
     tail = scored.select("row", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("row", F.col("x.tail").alias("key"), F.col("x.times").alias("times"))
     value = _sharded(tail.select("key").distinct(), model)

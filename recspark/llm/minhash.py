@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.llm import rolling as ro
-from recspark.llm.arrow import groups, texts
+from recspark.llm.arrow import groups, in_arrow, texts
 from recspark.llm.components import components
 from recspark.llm.stages import cut, plain, small_side
 
@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives no rows; other columns are ignored.
     """
     source = docs.select(plain(id_col).cast("long").alias("id"), plain(text_col).alias("text"))
-    signed = cut(source.mapInArrow(lambda it: _signed(it, width, bands, rows, chunk), "id long, n long, s1 long, s2 long, bands array<long>"))
+    signed = cut(in_arrow(source, lambda it: _signed(it, width, bands, rows, chunk), "id long, n long, s1 long, s2 long, bands array<long>"))
     usable = signed.where("n > 0 and id is not null")
     same = ["n", "s1", "s2"]
     first = usable.groupBy(same).agg(F.min("id").alias("rep"))
@@ -204,7 +204,7 @@ def _verified(source: DataFrame, pairs: DataFrame, percent: int, width: int, chu
 def _full_sets(source: DataFrame, ids: DataFrame, rows: int, width: int, chunk: int) -> DataFrame:
     """``id, s1, elements`` of the texts of the given ids, one row per set."""
     ids = small_side(ids.toDF("id"), rows, 16)
-    sets = source.join(ids, "id", "left_semi").mapInArrow(lambda it: _sets(it, width, chunk), "id long, s1 long, elements array<long>")
+    sets = in_arrow(source.join(ids, "id", "left_semi"), lambda it: _sets(it, width, chunk), "id long, s1 long, elements array<long>")
     return sets.dropDuplicates(["id", "s1"])
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.llm.bpe import encode_batches
+from recspark.llm.arrow import in_arrow
 from recspark.llm.stages import cut, plain, small_side
 
 #: Sum of the integer weights of all queues, about.
@@ -173,7 +174,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     else:
         number, queues = F.pmod(F.xxhash64("source"), F.lit(most_queues)).cast("int"), most_queues
     kind = rows.schema["id"].dataType.simpleString()
-    coded = rows.select("id", number.cast("int").alias("queue"), "text").mapInArrow(
+    coded = in_arrow(rows.select("id", number.cast("int").alias("queue"), "text"), 
         lambda it: _tokens(it, path, end_id, queues, most_bytes, most_words), f"slice long, id {kind}, queue int, start long, n long, ids binary")
     coded = cut(coded)
     sums = coded.groupBy("slice", "queue").agg(F.sum("n").alias("tokens"))
@@ -189,6 +190,6 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     weights = [max(1, round(w * scale)) for w in wish]
     mixture = Mixture(totals, weights)
     placed = coded.join(small_side(base, base.count(), 32), ["slice", "queue"]).select("id", "queue", "start", "n", "ids", "base")
-    out = placed.mapInArrow(lambda it: _pieces(it, mixture, window),
+    out = in_arrow(placed, lambda it: _pieces(it, mixture, window),
                             f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int")
     return out.withColumnRenamed("id", id_col)

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recspark.llm.arrow import in_arrow
 from recspark.llm.stages import cut, plain, small_side
 from recspark.llm.vectors import finite, id_array, ids_of, matrices, numbered
 
@@ -155,15 +156,15 @@ def quantised_top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec
     shared = df.sparkSession.sparkContext.broadcast(known)
     fields = "dim int, block long, ids binary, uids binary, vecs binary, dist binary, least binary"
     cols = ["uid", "id", "vec"]
-    cand = cut(rows.select(cols).mapInArrow(lambda it: _blocks(it, shared.value, block, k, False), fields))
-    quer = cut(rows.where("query").select(cols).mapInArrow(lambda it: _blocks(it, shared.value, 256, k, True), fields))
+    cand = cut(in_arrow(rows.select(cols), lambda it: _blocks(it, shared.value, block, k, False), fields))
+    quer = cut(in_arrow(rows.where("query").select(cols), lambda it: _blocks(it, shared.value, 256, k, True), fields))
     quer = quer.select("dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("uids").alias("q_uids"), F.col("vecs").alias("q_vecs"), F.col("dist").alias("q_dist"), "least")
     size = quer.agg(F.sum(F.length("q_vecs") + F.length("q_dist"))).first()[0] or 0
     # pairs of block numbers, listed in SALTS tasks a dimension
     salt = F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int").alias("salt")
     lists = quer.select("dim", "q_block", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     pairs = cand.select("dim", "block", salt).join(lists, ["dim", "salt"]).select("block", "q_block").repartition("block", "q_block")
-    met = pairs.join(cand.drop("least", "dim"), "block").join(small_side(quer.drop("dim"), int(size), 1), "q_block")
-    found = met.mapInArrow(lambda it: _search(it, k), "q_uid long, query_id long, uid long, vec_id long, score long")
+    met = pairs.join(cand.drop("least"), "block").join(small_side(quer.drop("dim"), int(size), 1), "q_block")
+    found = in_arrow(met, lambda it: _search(it, k), "q_uid long, query_id long, uid long, vec_id long, score long")
     order = Window.partitionBy("q_uid").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "uid")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
