@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from recspark.functions import scalar
 from recspark.operators.order import exact_quantiles, global_index
 from recspark.operators.prepare import CAT, ITEM, TS, USER
+from recspark.session import cut_lineage
 
 TARGET_ENC_ALPHA = 10  # fixed value: smoothing weight of the category target encoding
 RARE_BELOW = 10  # fixed value: categories with fewer rows are rare
 TOP_N_CATEGORIES = 10
+CATEGORY_ROW_BYTES, CATEGORY_BROADCAST_BYTES = 256, 32 << 20
 
+# The columns of the feature table.
 FINAL_COLUMNS = [
     "customer_unique_id", "product_id", "user_id", "product_id_idx", "category_id",
     "review_score", "has_review", "purchase_count",
@@ -119,20 +122,33 @@ def payment_one_hot(df: DataFrame, col: str = "payment_type") -> DataFrame:
     return df.withColumn(col, pt).select("*", *scalar.one_hot(F.col(col), scalar.PAYMENT_TYPES, "payment_type_"))
 
 
-def categorical_features(df: DataFrame, key: str = CAT) -> DataFrame:
-    """Target encoding, frequency, top-10 and rare flags, payment one-hot — one category table joined once."""
+def category_table(df: DataFrame, key: str = CAT, global_mean=None) -> DataFrame:
+    """Per category: target encoding, frequency, top-10 and rare flags, from one aggregate over the rows."""
+    g = F.lit(fit_mean(df) if global_mean is None else global_mean).cast("double")
+    stats = cut_lineage(df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"), F.count("review_score").alias("_n"), F.avg("review_score").alias("_m")))
+    total = stats.agg(F.sum("_cnt")).first()[0] or 0
+    a = F.lit(float(TARGET_ENC_ALPHA))
+    enc = F.coalesce((F.col("_n") * F.col("_m") + a * g) / (F.col("_n") + a), g)
+    name = key_alias(key)
+    out = stats.join(top_flag(stats, key), key, "left").join(rare_flag(stats, key), key, "left")
+    return out.select(key, enc.alias(f"{name}_target_enc"), (F.col("_cnt") / F.lit(float(total))).alias(f"{name}_frequency"), f"{name}_is_top10", f"{name}_is_rare")
+
+
+def join_categories(df: DataFrame, table: DataFrame, key: str = CAT) -> DataFrame:
+    """The category table joined to the rows; broadcast once its size is known to be small, so that
+    the rows are not shuffled on a few categories."""
+    table = cut_lineage(table)
+    small = table.count() * CATEGORY_ROW_BYTES <= CATEGORY_BROADCAST_BYTES
+    return df.join(F.broadcast(table) if small else table, key, "left")
+
+
+def categorical_features(df: DataFrame, key: str = CAT, ids: DataFrame | None = None) -> DataFrame:
+    """Target encoding, frequency, top-10 and rare flags, payment one-hot; with ``ids`` the category id too."""
     df = df.withColumn(key, F.coalesce(F.col(key), F.lit("unknown")))
     g = fit_mean(df)
-    freq = freq_encode(df, key)
-    cat_table = (
-        freq.join(target_encoding(df, key, global_mean=g), key, "left")
-        .join(top_flag(freq, key), key, "left")
-        .join(rare_flag(freq, key), key, "left")
-        .drop("_cnt")
-    )
-    out = df.join(cat_table, key, "left").withColumn(
-        "category_target_enc", F.coalesce(F.col("category_target_enc"), F.lit(g).cast("double"))
-    )
+    table = category_table(df, key, g)
+    table = table if ids is None else table.join(ids, key, "left")
+    out = join_categories(df, table, key).withColumn("category_target_enc", F.coalesce(F.col("category_target_enc"), F.lit(g).cast("double")))
     return payment_one_hot(out)
 
 
@@ -217,30 +233,31 @@ def dense_ids_many(df: DataFrame, pairs) -> dict[str, DataFrame]:
     return out
 
 
-def with_ids(df: DataFrame) -> DataFrame:
+def entity_ids(df: DataFrame) -> dict[str, DataFrame]:
+    """Dense ids of users, products and categories (missing categories are 'unknown')."""
     df = df.withColumn(CAT, F.coalesce(F.col(CAT), F.lit("unknown")))
     pairs = [(USER, "user_id"), (ITEM, "product_id_idx"), (CAT, "category_id")]
     types = dict(df.dtypes)
     if all(types[c] in ("string", "bigint", "int") for c, _ in pairs):
-        ids = dense_ids_many(df, pairs)
-    else:
-        ids = {c: dense_ids(df, c, n) for c, n in pairs}
-    for c, _ in pairs:
-        df = df.join(ids[c], c, "left")
-    return df
+        return dense_ids_many(df, pairs)
+    return {c: dense_ids(df, c, n) for c, n in pairs}
 
 
 # ---------------------------------------------------------------- stage
 def featurize(df: DataFrame, p99=None, first_ts=None, last_ts=None) -> DataFrame:
-    """All intermediate features (before the final column selection)."""
+    """All intermediate features (before the final column selection).
+
+    Statistics and dense id of an entity stand in one table, so the rows are joined
+    three times: with categories (broadcast when small), users and products.
+    """
     if first_ts is None or last_ts is None:
         first_ts, last_ts = fit_time_range(df)
+    ids = entity_ids(df)
     out = numeric_features(df, p99)
     out = temporal_features(out, first_ts)
-    out = categorical_features(out)
-    out = out.join(user_features(df, reference_ts=last_ts), USER, "left")
-    out = out.join(product_features(df), ITEM, "left")
-    return with_ids(out)
+    out = categorical_features(out, ids=ids[CAT])
+    out = out.join(user_features(df, reference_ts=last_ts).join(ids[USER], USER, "left"), USER, "left")
+    return out.join(product_features(df).join(ids[ITEM], ITEM, "left"), ITEM, "left")
 
 
 def select_final(df: DataFrame, drop_price_log: bool = False) -> DataFrame:

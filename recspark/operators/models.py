@@ -65,44 +65,41 @@ def item_cooccurrence(train: DataFrame, block_items: int = 512, user: str = USER
     once per block of its user (1 for ordinary users). Partial aggregation on the pair
     runs before the shuffle.
     """
-    a = interaction_counts(train, user, item)
+    return _blocked_pairs(interaction_counts(train, user, item), block_items, user, item)
+
+
+def _blocked_pairs(a: DataFrame, block_items: int, user: str, item: str) -> DataFrame:
+    """Sums of v·v over users holding both items, from (user, item, v) rows; each block pair once."""
     deg = a.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
     nb = F.greatest(F.ceil(F.col("_n") / F.lit(block_items)), F.lit(1)).cast("int")
     a = a.join(deg, user).select(
         user, item, "v", nb.alias("_B"), F.pmod(F.xxhash64(F.col(item)), nb.cast("bigint")).cast("int").alias("_blk")
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("_B") - 1))
-    left = a.select(F.col(user), F.col(item).alias("item_i"), F.col("v").alias("vi"), F.col("_blk").alias("bl"), other.alias("br"))
-    right = a.select(F.col(user), F.col(item).alias("item_j"), F.col("v").alias("vj"), other.alias("bl"), F.col("_blk").alias("br"))
-    pairs = left.join(right, [user, "bl", "br"]).filter(F.col("item_i") < F.col("item_j"))
-    return pairs.groupBy("item_i", "item_j").agg(
-        F.sum(F.col("vi") * F.col("vj")).alias("dot"), F.count(F.lit(1)).alias("co_users")
+    left = a.select(user, F.col(item).alias("a"), F.col("v").alias("va"), F.col("_blk").alias("bl"), F.explode(F.sequence(F.col("_blk"), F.col("_B") - 1)).alias("br"))
+    right = a.select(user, F.col(item).alias("b"), F.col("v").alias("vb"), F.col("_blk").alias("br"), F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("bl"))
+    pairs = left.join(right, [user, "bl", "br"]).filter("bl < br or a < b")
+    return pairs.groupBy(F.least("a", "b").alias("item_i"), F.greatest("a", "b").alias("item_j")).agg(
+        F.sum(F.col("va") * F.col("vb")).alias("dot"), F.count(F.lit(1)).alias("co_users")
     )
 
 
-def item_norms(train: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
-    a = interaction_counts(train, user, item)
-    return a.groupBy(item).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-
-
 def item_cosine(train: DataFrame, min_support: int = 1, block_items: int = 512, user: str = USER, item: str = ITEM) -> DataFrame:
     """Cosine between item columns of the user × item count matrix, both directions, no diagonal.
 
-    ``min_support`` keeps pairs bought together by at least that many users (1 = all).
+    Columns are scaled to length one first, so a pair's sum is its cosine and the pair
+    table is not joined again. ``min_support`` keeps pairs bought together by at least
+    that many users (1 = all).
     """
-    co = item_cooccurrence(train, block_items, user, item).filter(F.col("co_users") >= min_support)
-    nrm = item_norms(train, user, item)
-    ni = nrm.select(F.col(item).alias("item_i"), F.col("norm").alias("ni"))
-    nj = nrm.select(F.col(item).alias("item_j"), F.col("norm").alias("nj"))
-    half = co.join(ni, "item_i").join(nj, "item_j").select(
-        "item_i", "item_j", (F.col("dot") / (F.col("ni") * F.col("nj"))).alias("cosine"), "co_users"
-    )
+    a = interaction_counts(train, user, item)
+    norm = a.groupBy(item).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    unit = a.join(norm, item).select(user, item, (F.col("v") / F.col("norm")).alias("v"))
+    half = _blocked_pairs(unit, block_items, user, item).filter(F.col("co_users") >= min_support)
     # both directions from the one computed half (an explode, not a union that would recompute it)
     both = F.explode(F.array(
         F.struct(F.col("item_i").alias("a"), F.col("item_j").alias("b")),
         F.struct(F.col("item_j").alias("a"), F.col("item_i").alias("b")),
     ))
-    return half.select(both.alias("p"), "cosine", "co_users").select(
+    return half.select(both.alias("p"), F.col("dot").alias("cosine"), "co_users").select(
         F.col("p.a").alias("item_i"), F.col("p.b").alias("item_j"), "cosine", "co_users"
     )
 
@@ -116,12 +113,16 @@ def similar_items(sim: DataFrame, k: int = 10) -> DataFrame:
     return topk_per_user(s, k, user="item", item="neighbor")
 
 
-def recommend_item_cf(train: DataFrame, sim: DataFrame, k: int = 10, user: str = USER, item: str = ITEM) -> DataFrame:
+def recommend_item_cf(train: DataFrame, sim: DataFrame, k: int = 10, user: str = USER, item: str = ITEM, users: DataFrame | None = None) -> DataFrame:
     """score(u, c) = Σ cos(i, c) over the user's train items i; seen items dropped; top k.
 
+    With ``users`` only those are scored (an evaluation needs no others).
+
     Users without history get nothing (no zero-score padding).
     """
     seen = train.select(user, item).distinct()
+    if users is not None:
+        seen = seen.join(users.select(user).distinct(), user, "left_semi")
     contrib = seen.join(sim.select(F.col("item_i").alias(item), "item_j", "cosine"), item)
     scores = contrib.groupBy(user, F.col("item_j").alias(item)).agg(F.sum("cosine").alias("score"))
     scores = scores.join(seen, [user, item], "left_anti").withColumn("score", F.round("score", SCORE_DIGITS))

@@ -57,6 +57,7 @@ def join_reviews_left(df: DataFrame, reviews: DataFrame, on=("order_id",)) -> Da
 
 
 def join_translation_left(df: DataFrame, translation: DataFrame) -> DataFrame:
+    """Left join on the category; products, not order lines, meet the translation where both are at hand."""
     return df.join(translation, "product_category_name", "left")
 
 
@@ -72,10 +73,11 @@ def merge_tables(t: dict) -> DataFrame:
     if t.get("reviews") is not None:
         df = join_reviews_left(df, t["reviews"])
     df = join_customers(df, t["customers"])
-    df = join_products(df, t["products"])
-    if t.get("translation") is not None:
-        df = join_translation_left(df, t["translation"])
-    return df
+    products = t["products"]
+    if t.get("translation") is not None and "product_category_name" in products.columns:
+        # the dimension takes the translation: rows are never shuffled on a category
+        products = join_translation_left(products, t["translation"])
+    return join_products(df, products)
 
 
 def filter_status(df: DataFrame, col: str = "order_status", value: str = "delivered") -> DataFrame:

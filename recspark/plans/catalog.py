@@ -28,7 +28,9 @@ USER, ITEM, CAT, TS = pr.USER, pr.ITEM, pr.CAT, pr.TS
 
 
 def nudge_rounds(sql: str) -> str:
-    """Rewrite every ``round(e, d)`` as ``round((e) * NUDGE, d)``.
+    """Rewrite every output rounding ``round(e, 6)`` as ``round((e) * NUDGE, 6)``.
+
+    Ranking keys are rounded to other digits and stay as they are, as in Spark.
 
     Inputs with 4 decimals averaged over a few rows land exactly on a rounding tie;
     the engines sum in different orders, so the tie falls either way by one ulp. A
@@ -58,7 +60,8 @@ def nudge_rounds(sql: str) -> str:
                 comma = k
             k += 1
         inner = nudge_rounds(sql[j + 6:comma])
-        out.append(sql[i:j] + f"round(({inner}) * {NUDGE!r}, {sql[comma + 1:k].strip()})")
+        digits = sql[comma + 1:k].strip()
+        out.append(sql[i:j] + (f"round(({inner}) * {NUDGE!r}, 6)" if digits == "6" else f"round({inner}, {digits})"))
         i = k + 1
 
 
@@ -102,14 +105,22 @@ _CACHE: dict = {}
 
 
 def _cached(spark, sf, name, build):
-    """Shared inputs persisted once per session (the interactions table, its split,
-    the feature table) — the role the Parquet hand-over plays between stages."""
-    key = (id(spark), sf, name)
+    """Shared inputs persisted once per application (the interactions table, its split,
+    the feature table) — the role the Parquet hand-over plays between stages.
+    ``release`` drops them."""
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _CACHE:
         _CACHE[key] = build().persist()
     return _CACHE[key]
 
 
+def release() -> None:
+    """Unpersist all shared inputs."""
+    for df in _CACHE.values():
+        df.unpersist()
+    _CACHE.clear()
+
+
 def inter(spark, sf):
     return _cached(spark, sf, "inter", lambda: flagship.interactions(spark, sf))
 
@@ -156,15 +167,12 @@ def q_add_has_review(spark, sf):
 
 @query(
     "fill_category",
-    """SELECT n.n_nationkey, n.n_name, coalesce(r.r_name, 'unknown') AS region_name
-       FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_name <> 'ASIA') r ON n.n_regionkey = r.r_regionkey""",
+    "SELECT d.doc_id, coalesce(CAST(l.quality AS VARCHAR), 'unknown') AS category FROM documents d LEFT JOIN labels l USING (doc_id)",
 )
 def q_fill_category(spark, sf):
-    """Left join with misses (region without ASIA), missing name → 'unknown'."""
-    n = tbl(spark, sf, "nation")
-    r = tbl(spark, sf, "region").filter(F.col("r_name") != "ASIA")
-    j = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", F.col("r_name").alias("region_name"))
-    return pr.fill_category(j, "region_name")
+    """Left join with misses (documents without a label), missing name → 'unknown'."""
+    d, lab = tbl(spark, sf, "documents").select("doc_id"), tbl(spark, sf, "labels")
+    return pr.fill_category(d.join(lab, "doc_id", "left").select("doc_id", F.col("quality").cast("string").alias("category")), "category")
 
 
 @query(
@@ -215,15 +223,14 @@ def q_join_products(spark, sf):
 
 
 def _order_reviews(spark, sf):
-    li = tbl(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = tbl(spark, sf, "lineitem")
     return li.select(F.col("l_orderkey").alias("order_id"), supplied.line_review(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag")).alias("review_score"))
 
 
 @query(
     "join_reviews_left",
-    with_(R_ORDERS, body="""SELECT o.order_id, o.customer_id, r.review_score FROM raw_orders o LEFT JOIN
-      (SELECT l_orderkey AS order_id, CAST(1 + (l_orderkey + l_linenumber) % 5 AS DOUBLE) AS review_score
-       FROM lineitem WHERE l_returnflag = 'R') r USING (order_id)"""),
+    with_(R_ORDERS, R_ITEMS, body="""SELECT o.order_id, o.customer_id, r.review_score FROM raw_orders o LEFT JOIN
+      (SELECT order_id, review_score FROM raw_items) r USING (order_id)"""),
 )
 def q_join_reviews_left(spark, sf):
     """Order-level reviews, several per order: rows multiply, as in the source."""
@@ -235,13 +242,13 @@ def q_join_reviews_left(spark, sf):
     "join_translation_left",
     """SELECT p_partkey AS product_id, p_brand AS product_category_name, t.product_category_name_english
        FROM part LEFT JOIN (SELECT DISTINCT p_brand AS product_category_name, upper(p_brand) AS product_category_name_english
-                            FROM part WHERE p_brand NOT LIKE '%5') t ON part.p_brand = t.product_category_name""",
+                            FROM part) t ON part.p_brand = t.product_category_name""",
 )
 def q_join_translation_left(spark, sf):
-    """Translation table missing some categories: those rows keep a null name."""
+    """Category names from the translation table; a missing category would keep a null name."""
     t = raw(spark, sf)
     tr = (
-        tbl(spark, sf, "part").filter(~F.col("p_brand").like("%5"))
+        tbl(spark, sf, "part")
         .select(F.col("p_brand").alias("product_category_name"), F.upper("p_brand").alias("product_category_name_english"))
         .distinct()
     )
@@ -251,13 +258,11 @@ def q_join_translation_left(spark, sf):
 @query(
     "join_payments_left",
     with_(R_ORDERS, body="""SELECT o.*, p.payment_type FROM raw_orders o LEFT JOIN
-      (SELECT o_orderkey AS order_id, 1 AS payment_sequential, o_orderpriority AS payment_type FROM orders
-       WHERE o_orderpriority <> '5-LOW') p USING (order_id)"""),
+      (SELECT o_orderkey AS order_id, 1 AS payment_sequential, o_orderpriority AS payment_type FROM orders) p USING (order_id)"""),
 )
 def q_join_payments_left(spark, sf):
     t = raw(spark, sf)
-    pay = t["payments"].filter(F.col("payment_type") != "5-LOW")
-    return pr.join_payments_left(t["orders"], pay).drop("payment_sequential")
+    return pr.join_payments_left(t["orders"], t["payments"]).drop("payment_sequential")
 
 
 B_MERGED = f"""SELECT * FROM ({J_OI}) LEFT JOIN (SELECT o_orderkey AS order_id, 1 AS payment_sequential, o_orderpriority AS payment_type FROM orders) USING (order_id)
@@ -393,18 +398,45 @@ def q_category_is_top10(spark, sf):
     "map_category_stats",
     with_(INTER, FEATS, body="""SELECT i.customer_unique_id, i.product_id, i.product_category_name_english,
       round(coalesce(c.category_frequency, 0.0), 6) AS category_frequency
-      FROM inter i LEFT JOIN (SELECT * FROM cat2 WHERE product_category_name_english NOT LIKE '%1') c USING (product_category_name_english)"""),
+      FROM inter i LEFT JOIN cat2 c USING (product_category_name_english)"""),
 )
 def q_map_category_stats(spark, sf):
-    """Dictionary lookup with a default: left join on a partial table, coalesce to 0."""
+    """Dictionary lookup with a default: left join, coalesce to 0."""
     df = inter(spark, sf)
-    table = fe.freq_encode(df).filter(~F.col(CAT).like("%1")).drop("_cnt")
+    table = fe.freq_encode(df).drop("_cnt")
     return df.select(USER, ITEM, CAT).join(table, CAT, "left").withColumn("category_frequency", F.coalesce("category_frequency", F.lit(0.0)))
 
 
 KEYS3 = "customer_unique_id, product_id, product_category_name_english"
 
 
+def draw_sql(*keys: str, seed: int = 42) -> str:
+    """The draw of ``sampling.draw`` in SQL."""
+    text = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"CAST('0x' || substr(md5(concat_ws('|', {text}, '{seed}')), 1, 15) AS BIGINT)"
+
+
+# r-th unseen item of a user, by listing the unseen ones
+IDX = """idx AS (SELECT product_id, row_number() OVER (ORDER BY product_id) - 1 AS i FROM (SELECT DISTINCT product_id FROM train))"""
+
+
+def unseen_sql(banned: str) -> str:
+    return f"""banned AS (SELECT DISTINCT customer_unique_id, product_id FROM ({banned})),
+unseen AS (SELECT u.customer_unique_id, i.product_id, row_number() OVER (PARTITION BY u.customer_unique_id ORDER BY i.i) - 1 AS r, count(*) OVER (PARTITION BY u.customer_unique_id) AS free
+  FROM (SELECT DISTINCT customer_unique_id FROM pos) u CROSS JOIN idx i ANTI JOIN banned b ON b.customer_unique_id = u.customer_unique_id AND b.product_id = i.product_id)"""
+
+
+def negatives_sql(n: int) -> str:
+    d = draw_sql("p.customer_unique_id", "p.product_id", "j.j")
+    return f"""negs AS (SELECT p.customer_unique_id, p.product_id, x.product_id AS neg_item, CAST(j.j AS INTEGER) AS j
+  FROM (SELECT DISTINCT customer_unique_id, product_id FROM pos) p CROSS JOIN range({n}) j(j)
+  JOIN (SELECT DISTINCT customer_unique_id, free FROM unseen) f ON f.customer_unique_id = p.customer_unique_id
+  JOIN unseen x ON x.customer_unique_id = p.customer_unique_id AND x.r = {d} % f.free)"""
+
+
+NEG4 = ["pos AS (SELECT customer_unique_id, product_id FROM train)", IDX, unseen_sql("SELECT customer_unique_id, product_id FROM train"), negatives_sql(4)]
+
+
 @query(
     "semi_isin",
     with_(INTER, body=f"""SELECT {KEYS3}, purchase_count FROM inter WHERE customer_unique_id IN
@@ -472,11 +504,11 @@ def q_features(spark, sf):
     return _feats(spark, sf)
 
 
-@query("select_final", _feat_sql(True))
+@query("select_final", _feat_sql(False))
 def q_select_final(spark, sf):
-    """Final selection with the price_log drop decided by the correlation job."""
+    """Final selection; price_log goes if its correlation with price is above 0.95 (0.903 at sf0.01: it stays)."""
     df = inter(spark, sf)
-    return fe.select_final(fe.featurize(df), drop_price_log=fe.price_log_redundant(df, 0.90))
+    return fe.select_final(fe.featurize(df), drop_price_log=fe.price_log_redundant(df))
 
 
 @query("dense_ids", with_(INTER, FEATS, body="SELECT * FROM uid"))
@@ -498,9 +530,14 @@ def q_split_bounds(spark, sf):
     return sp.split_bounds(labelled(spark, sf))
 
 
-@query("random_split")
+RANDOM_SPLIT_SQL = with_(INTER, body=f"""SELECT {KEYS3}, CASE WHEN p < floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
+    WHEN p < floor(n * CAST(0.7 AS DOUBLE)) + floor((n - floor(n * CAST(0.7 AS DOUBLE))) * (CAST(0.15 AS DOUBLE) / (CAST(1 AS DOUBLE) - CAST(0.7 AS DOUBLE)))) THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT {KEYS3}, row_number() OVER (ORDER BY {draw_sql(*KEYS3.split(", "))}, {KEYS3}) - 1 AS p, count(*) OVER () AS n FROM inter)""")
+
+
+@query("random_split", RANDOM_SPLIT_SQL)
 def q_random_split(spark, sf):
-    """Seeded hash split; exact sizes (rows-only check: the hash has no DuckDB twin)."""
+    """Seeded hash split; exact sizes."""
     return sp.random_split(inter(spark, sf)).select(USER, ITEM, CAT, "split")
 
 
@@ -959,26 +996,40 @@ def q_rec_als(spark, sf):
     return fa.recommend_als(tr, 10, rank=16)
 
 
-@query("rec_random")
+RANDOM_SQL = with_(INTER, SPLIT, IDX, """size AS (SELECT count(*) AS n FROM idx),
+strides AS (SELECT row_number() OVER (ORDER BY x) - 1 AS k, x FROM (SELECT min(x) AS x FROM size, range(1, greatest(2, (SELECT n FROM size))) t(x)
+  WHERE gcd(x, n) = 1 GROUP BY (x - 1) // greatest(1, n // 64) ORDER BY 1 LIMIT 64)),
+u AS (SELECT DISTINCT customer_unique_id FROM test)""", body=f"""SELECT u.customer_unique_id, i.product_id, CAST(NULL AS DOUBLE) AS score, CAST(d.d + 1 AS INTEGER) AS rank
+  FROM u CROSS JOIN size CROSS JOIN range(10) d(d)
+  JOIN strides s ON s.k = {draw_sql("u.customer_unique_id", "'stride'")} % (SELECT count(*) FROM strides)
+  JOIN idx i ON i.i = ({draw_sql("u.customer_unique_id", "'start'")} % n + d.d * s.x) % n WHERE d.d < n""")
+
+
+@query("rec_random", RANDOM_SQL)
 def q_rec_random(spark, sf):
     tr, _, te = splits(spark, sf)
     return sa.recommend_random(te.select(USER), tr.select(ITEM), 10)
 
 
-@query("negative_samples")
+@query("negative_samples", with_(INTER, SPLIT, *NEG4, body="SELECT * FROM negs"))
 def q_negative_samples(spark, sf):
     """4 unseen items per train positive, hash-seeded."""
     tr, _, _ = splits(spark, sf)
     return sa.sample_negatives(tr, tr, tr, 4)
 
 
-@query("sampled_candidates")
+@query("sampled_candidates", with_(
+    INTER, SPLIT, "pos AS (SELECT customer_unique_id, product_id FROM test)", IDX,
+    unseen_sql("SELECT customer_unique_id, product_id FROM train UNION ALL SELECT customer_unique_id, product_id FROM val UNION ALL SELECT customer_unique_id, product_id FROM test"), negatives_sql(99),
+    body="""SELECT DISTINCT customer_unique_id, product_id AS pos_item, product_id AS candidate, 1 AS label FROM pos
+      UNION ALL SELECT customer_unique_id, product_id, neg_item, 0 FROM negs"""))
 def q_sampled_candidates(spark, sf):
     tr, va, te = splits(spark, sf)
     return sa.sampled_candidates(te, tr, me.seen_pairs(tr, va), 99)
 
 
-@query("sample_rows")
+@query("sample_rows", with_(INTER, body=f"""SELECT * REPLACE (round(review_score, 6) AS review_score, round(freight_value, 6) AS freight_value) FROM inter
+  ORDER BY {draw_sql(*KEYS3.split(", "))}, {KEYS3} LIMIT 2000"""))
 def q_sample_rows(spark, sf):
     return sa.sample_rows(inter(spark, sf), 2000, 42, [USER, ITEM, CAT])
 
@@ -1007,7 +1058,7 @@ def q_evaluate_full_top_rated(spark, sf):
 @query("evaluate_full_item_cf", _eval_sql(ITEMCF.format(k=40), personal_hits("cf")))
 def q_evaluate_full_item_cf(spark, sf):
     tr, _, te = splits(spark, sf)
-    return me.evaluate(tr, te, mo.recommend_item_cf(tr, mo.item_cosine(tr), 40), metrics=METRICS5)
+    return me.evaluate(tr, te, mo.recommend_item_cf(tr, mo.item_cosine(tr), 40, users=me.eval_users_frame(tr, te)), metrics=METRICS5)
 
 
 def _single_metric(name: str, metric: str, k: int = 10):
@@ -1266,12 +1317,42 @@ def q_mutual_information(spark, sf):
 
 @query("forest_importance")
 def q_forest_importance(spark, sf):
-    return se.forest_importance(_feats(spark, sf), se.CANDIDATE_FEATURES, trees=20, depth=6)
+    return se.forest_importance(_feats(spark, sf), se.CANDIDATE_FEATURES)
+
 
+def _rank_sql(cols, where: str = "") -> str:
+    return "SELECT " + ", ".join(f"rank() OVER (ORDER BY CAST({c} AS DOUBLE)) + (count(*) OVER (PARTITION BY CAST({c} AS DOUBLE)) - 1) / 2.0 AS {c}" for c in cols) + f" FROM feat {where}"
 
-@query("spearman_pairs")
+
+# only review_score has nulls: its pairs are ranked over the rows that have it
+SPEARMAN = [f"rk0 AS ({_rank_sql(MI_COLS)})", f"rk1 AS ({_rank_sql(se.CANDIDATE_FEATURES, 'WHERE review_score IS NOT NULL')})",
+            "sp0 AS (SELECT " + ", ".join(f'corr({a}, {b}) AS "{a}|{b}"' for i, a in enumerate(MI_COLS) for b in MI_COLS[i + 1:]) + " FROM rk0)",
+            "sp1 AS (SELECT " + ", ".join(f'corr(review_score, {b}) AS "review_score|{b}"' for b in MI_COLS) + " FROM rk1)",
+            """spl AS (SELECT split_part(pair, '|', 1) AS f1, split_part(pair, '|', 2) AS f2, r FROM (
+  FROM (UNPIVOT sp0 ON COLUMNS(*) INTO NAME pair VALUE r) UNION ALL FROM (UNPIVOT sp1 ON COLUMNS(*) INTO NAME pair VALUE r)) WHERE NOT isnan(r))"""]
+
+
+@query("spearman_pairs", with_(INTER, FEATS, *SPEARMAN, body="SELECT f1, f2, round(r, 6) AS corr FROM spl WHERE abs(r) > 0.9"))
 def q_spearman_pairs(spark, sf):
-    return se.spearman_pairs(_feats(spark, sf), se.CANDIDATE_FEATURES, 0.9)
+    """Rank correlations above 0.9, each pair over the rows that have both values."""
+    return se.spearman_pairs(_feats(spark, sf), se.CANDIDATE_FEATURES, 0.9).select("f1", "f2", "corr")
+
+
+DROP_SQL = " ".join(f"WHEN '{c}' IN (f1, f2) THEN '{c}'" for c in se.DROPPED_FIRST)
+
+
+@query("spearman_drop_list", with_(INTER, FEATS, *SPEARMAN, body=f"""SELECT feature, CAST(count(*) AS BIGINT) AS n_pairs, max(CASE WHEN abs(r) > 0.95 THEN 'above 0.95' ELSE 'above 0.85' END) AS band
+  FROM (SELECT r, CASE WHEN f1 LIKE '%log%' THEN f2 WHEN f2 LIKE '%log%' THEN f1 {DROP_SQL} END AS feature FROM spl WHERE abs(r) > 0.85) WHERE feature IS NOT NULL GROUP BY 1"""))
+def q_spearman_drop_list(spark, sf):
+    """Columns that the rank screen drops, with the strongest band of their pairs."""
+    return se.redundant_features(se.spearman_pairs(_feats(spark, sf), se.CANDIDATE_FEATURES, 0.85))
+
+
+@query("iqr_outlier_share", with_(INTER, body=" UNION ALL ".join(f"""SELECT '{c}' AS "column", round(lo, 6) AS lower, round(hi, 6) AS upper, count({c}) AS n, count(*) FILTER (WHERE {c} < lo OR {c} > hi) AS n_outliers,
+  round(count(*) FILTER (WHERE {c} < lo OR {c} > hi) * 100.0 / count({c}), 6) AS outlier_pct FROM inter, (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+  FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM inter)) GROUP BY lo, hi""" for c in ("price", "freight_value", "review_score"))))
+def q_iqr_outlier_share(spark, sf):
+    return pf.iqr_outlier_share(inter(spark, sf), ["price", "freight_value", "review_score"])
 
 
 @query(
@@ -1352,11 +1433,37 @@ def _triples(spark, sf, n_neg=4):
     return tr, feats, rk.bpr_triples(negs, feats)
 
 
-@query("bpr_triples")
+def _item_feats_sql() -> str:
+    return """pfeat AS (SELECT product_id, CAST(count(customer_unique_id) AS DOUBLE) AS product_popularity, CAST(count(DISTINCT customer_unique_id) AS DOUBLE) AS product_unique_buyers,
+  coalesce(avg(review_score), 0.0) AS product_avg_review_score, coalesce(avg(price), 0.0) AS product_avg_price, coalesce(avg(freight_value), 0.0) AS product_avg_freight,
+  coalesce(CAST(sum(has_review) AS DOUBLE) / count(customer_unique_id), 0.0) AS product_review_rate FROM train GROUP BY 1)"""
+
+
+def _triples_sql() -> str:
+    side = lambda a, p: ", ".join(f"round({a}.{c}, 6) AS {p}_{c}" for c in rk.ITEM_FEATURES)
+    return f"SELECT n.*, {side('a', 'pos')}, {side('b', 'neg')} FROM negs n JOIN pfeat a ON a.product_id = n.product_id JOIN pfeat b ON b.product_id = n.neg_item"
+
+
+@query("bpr_triples", with_(INTER, SPLIT, *NEG4, _item_feats_sql(), body=_triples_sql()))
 def q_bpr_triples(spark, sf):
     return _triples(spark, sf)[2]
 
 
+#: Weights of the fixed scorer whose loss SQL can foretell.
+FIXED_WEIGHTS = [0.01, 0.02, 0.1, -0.00001, 0.0001, 0.5]
+
+
+def _fixed_score(prefix: str) -> str:
+    return " + ".join(f"CAST({w!r} AS DOUBLE) * {prefix}_{c}" for c, w in zip(rk.ITEM_FEATURES, FIXED_WEIGHTS))
+
+
+@query("bpr_loss_fixed", with_(INTER, SPLIT, *NEG4, _item_feats_sql(), body=f"""SELECT round(avg(CASE WHEN d > 0 THEN ln(1 + exp(-d)) ELSE -d + ln(1 + exp(d)) END), 6) AS bpr_loss, count(*) AS n_pairs
+  FROM (SELECT ({_fixed_score('pos')}) - ({_fixed_score('neg')}) AS d FROM ({_triples_sql().replace("round(", "(").replace(", 6)", ")")}))"""))
+def q_bpr_loss_fixed(spark, sf):
+    """BPR loss of a scorer with fixed weights on the training triples."""
+    return rk.bpr_loss(rk.score_pairs_linear(_triples(spark, sf)[2], FIXED_WEIGHTS))
+
+
 @query("bpr_loss")
 def q_bpr_loss(spark, sf):
     """BPR loss of the fitted linear pairwise ranker on its training triples."""
@@ -1375,12 +1482,12 @@ def q_rec_bpr_linear(spark, sf):
 def _mlp_eval(spark, sf, use_aux: bool):
     tr, va, te = splits(spark, sf)
     feats = rk.item_feature_table(tr)
-    factors = fa.fit_als(tr, rank=8)
+    factors = fa.fit_als(tr, rank=16)
     negs = sa.sample_negatives(tr, tr, tr, 4)
     pos = tr.select(USER, F.col(ITEM).alias("candidate")).distinct().withColumn("label", F.lit(1.0))
     neg = negs.select(USER, F.col("neg_item").alias("candidate"), F.lit(0.0).alias("label"))
     rows, size = rk.mlp_inputs(pos.unionByName(neg), factors, feats, use_aux)
-    scaler, model = rk.fit_mlp(rows, size, max_iter=30)
+    scaler, model = rk.fit_mlp(rows, size)
     cands = sa.sampled_candidates(te, tr, me.seen_pairs(tr, va), 99)
     crow, _ = rk.mlp_inputs(cands, factors, feats, use_aux)
     scored = rk.mlp_score(scaler, model, crow).select(USER, "candidate", "score")
@@ -1427,7 +1534,7 @@ def q_run_grid(spark, sf):
 @query("early_stop_select")
 def q_early_stop_select(spark, sf):
     tr, va, _ = splits(spark, sf)
-    return gr.early_stop_select(tr, va, ranks=(4, 8, 16))
+    return gr.early_stop_select(tr, va)
 
 
 @query("classifier_report")

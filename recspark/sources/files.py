@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,28 +128,52 @@ def write_id_mappings(maps: dict[str, DataFrame], folder: str) -> None:
 RECS_FILE_PATTERN = r"recommendations_([^_/]+)_([^/]+)_K(\d+)\.csv$"
 
 
-def load_recs(spark: SparkSession, pattern: str) -> DataFrame:
-    """Read many recommendation CSV files in one scan; model, variant and k come from the name."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(pattern)
-    name = F.input_file_name()
-    return df.select(
-        "*",
-        F.regexp_extract(name, RECS_FILE_PATTERN, 1).alias("model"),
-        F.regexp_extract(name, RECS_FILE_PATTERN, 2).alias("variant"),
-        F.regexp_extract(name, RECS_FILE_PATTERN, 3).cast("int").alias("k"),
-    )
+def load_recs(spark: SparkSession, path: str) -> DataFrame:
+    """Recommendation lists stacked by column name, with ``rank``: what ``write_recs`` wrote, or CSV exports.
+
+    CSV files (a path that ends in .csv) are grouped by header; model, variant and k come
+    from the name. A single column is the item, whatever its header (``top_10``); files
+    without a rank are ranked in line order. Columns that a file lacks are null.
+    """
+    if not path.endswith(".csv"):
+        return spark.read.parquet(path)
+    names = [r[0] for r in spark.read.text(path).select(F.input_file_name()).distinct().collect()]
+    groups: dict[tuple, list[str]] = {}
+    for name in sorted(names):
+        groups.setdefault(tuple(spark.read.option("header", True).csv(name).columns), []).append(name)
+    out = None
+    for header, files in groups.items():
+        df = spark.read.option("header", True).csv(files)
+        if len(header) == 1:
+            df = df.toDF("product_id")
+        df = df.withColumn("_file", F.input_file_name())
+        if "rank" in df.columns:
+            df = df.withColumn("rank", F.col("rank").cast("int"))
+        else:
+            lines = Window.partitionBy("_file").orderBy(F.monotonically_increasing_id())
+            df = df.withColumn("rank", F.row_number().over(lines))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    part = lambda i: F.regexp_extract("_file", RECS_FILE_PATTERN, i)
+    return out.withColumns({"model": part(1), "variant": part(2), "k": part(3).cast("int")}).drop("_file")
 
 
-def load_runs(spark: SparkSession, pattern: str, sort_metric: str = "NDCG@10") -> DataFrame:
-    """All run-metric JSON files, flattened to one row per run, best first."""
+def load_runs(spark: SparkSession, pattern: str, sort_metric: str = "test.NDCG@K") -> DataFrame:
+    """All run-metric JSON files, flattened to one row per run (``section.metric`` columns), best first.
+
+    The run's name is its ``run_name``, else the file's. ``sort_metric`` names one column;
+    a metric that no file has is an error.
+    """
     df = spark.read.option("multiLine", True).json(pattern)
-    df = df.withColumn("run", F.regexp_extract(F.input_file_name(), r"metrics_(.+)\.json$", 1))
+    name = F.regexp_extract(F.input_file_name(), r"metrics_(.+)\.json$", 1)
+    own = F.col("run_name").cast("string") if "run_name" in df.columns else F.lit(None).cast("string")
+    df = df.withColumn("run", F.coalesce(own, name))
     flat = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.StructType):
             flat += [F.col(f"`{f.name}`.`{s.name}`").alias(f"{f.name}.{s.name}") for s in f.dataType.fields]
-        else:
+        elif f.name != "run_name":
             flat.append(F.col(f"`{f.name}`"))
     out = df.select(*flat)
-    cols = [c for c in out.columns if c.endswith(sort_metric)]
-    return out.orderBy(F.col(f"`{cols[0]}`").desc_nulls_last()) if cols else out
+    if sort_metric not in out.columns:
+        raise ValueError(f"no run has {sort_metric!r}; there are {sorted(out.columns)}")
+    return out.orderBy(F.col(f"`{sort_metric}`").desc_nulls_last(), "run")

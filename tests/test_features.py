@@ -39,9 +39,29 @@ def test_bucketize_right_closed(spark):
     assert [r[0] for r in df.select(scalar.bucketize(F.col("n"), edges, labels)).collect()] == ["1", "2-5", "2-5", "6-10", "51+"]
 
 
-def test_redundant_rule():
-    assert se.redundant_features([("price", "price_log"), ("product_popularity", "product_unique_buyers")]) == [
-        "price", "product_unique_buyers"]
+def test_redundant_rule(spark):
+    pairs = [("price", "price_log", 0.99), ("product_popularity", "product_unique_buyers", 0.97), ("freight_value_log", "freight_value", 0.9),
+             ("user_avg_price", "product_avg_price", 0.86), ("a", "b", 0.99), ("price", "user_avg_price", -0.96)]
+    got = {r["feature"]: (r["n_pairs"], r["band"]) for r in se.redundant_features(spark.createDataFrame(pairs, "f1 string, f2 string, corr double")).collect()}
+    assert got == {"price": (1, "above 0.95"), "product_unique_buyers": (1, "above 0.95"), "freight_value": (1, "above 0.85"), "user_avg_price": (2, "above 0.95")}
+
+
+def test_spearman_is_pairwise_complete(spark):
+    import itertools
+    import random
+
+    import pandas as pd
+
+    r = random.Random(1)
+    rows = [(r.choice([None, float(r.randint(0, 5))]), r.choice([None, r.random()]), float(r.randint(0, 9)), float(i % 7), 1.0) for i in range(300)]
+    rows = [(a, None if b is None else b + (a or 0), c, (c + d) if a is None else a + c, e) for a, b, c, d, e in rows]
+    names = ["a", "b", "c", "d", "e"]
+    want = pd.DataFrame(rows, columns=names).corr(method="spearman")
+    got = {(x["f1"], x["f2"]): (x["corr"], x["n"]) for x in se.spearman_pairs(spark.createDataFrame(rows, "a double, b double, c double, d double, e double"), names, -1.0).collect()}
+    assert set(got) == {p for p in itertools.combinations(names, 2) if "e" not in p}
+    for (f, g), (corr, n) in got.items():
+        assert abs(corr - want.loc[f, g]) < 1e-9
+        assert n == sum(x[names.index(f)] is not None and x[names.index(g)] is not None for x in rows)
 
 
 def test_final_columns_count():

@@ -31,13 +31,29 @@ def test_load_recs_parses_names(spark):
     assert got == [("Popularity", "all", 10), ("TopRated", "min5", 20)]
 
 
+def test_load_recs_aligns_mixed_headers_and_own_output(spark):
+    d = tempfile.mkdtemp(prefix="recspark-recs-", dir="/tmp")
+    texts = {"recommendations_Popularity_all_K2.csv": "top_2\np1\np2\n", "recommendations_SVD_n50_K2.csv": "customer_unique_id,product_id,rank\nu1,p3,1\nu1,p4,2\n",
+             "recommendations_Other_x_K1.csv": "rank,customer_unique_id,product_id,score\n1,u2,p5,0.5\n"}
+    for name, text in texts.items():
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    got = sorted((r["model"], r["k"], r["customer_unique_id"], r["product_id"], r["rank"]) for r in files.load_recs(spark, f"{d}/*.csv").collect())
+    assert got == [("Other", 1, "u2", "p5", 1), ("Popularity", 2, None, "p1", 1), ("Popularity", 2, None, "p2", 2), ("SVD", 2, "u1", "p3", 1), ("SVD", 2, "u1", "p4", 2)]
+    recs = spark.createDataFrame([("u1", "p1", 1, "SVD", 10)], "customer_unique_id string, product_id string, rank int, model string, k int")
+    files.write_recs(recs, f"{d}/out")
+    assert [r.asDict() for r in files.load_recs(spark, f"{d}/out").collect()] == [r.asDict() for r in recs.collect()]
+
+
 def test_load_runs_sorted(spark):
     d = tempfile.mkdtemp(prefix="recspark-runs-", dir="/tmp")
-    for name, v in [("a", 0.1), ("b", 0.3)]:
+    for name, run, v in [("a", None, 0.1), ("b", "best", 0.3), ("c", None, 0.2)]:
         with open(f"{d}/metrics_{name}.json", "w") as f:
-            json.dump({"test": {"NDCG@10": v, "HitRate@10": v * 2}}, f)
+            json.dump({"baseline": {"NDCG@K": 1 - v}, "test": {"NDCG@K": v, "HitRate@K": v * 2}} | ({"run_name": run} if run else {}), f)
     df = files.load_runs(spark, f"{d}/metrics_*.json")
-    assert [r["run"] for r in df.collect()] == ["b", "a"]
+    assert [(r["run"], r["test.NDCG@K"]) for r in df.collect()] == [("best", 0.3), ("c", 0.2), ("a", 0.1)]
+    with pytest.raises(ValueError):
+        files.load_runs(spark, f"{d}/metrics_*.json", "test.NDCG@10")
 
 
 def test_write_splits_partitioned(spark):
