@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from recspark.llm import rolling as ro
-from recspark.llm.arrow import groups, in_arrow
+from recspark.llm.arrow import give_back, groups, in_arrow
 from recspark.llm.stages import plain
 
 U = np.uint64
@@ -166,11 +166,11 @@ class Vocabulary:
                 else:
                     have.append(at[i:j])
 
-        at = np.flatnonzero(nxt >= 0).astype(np.int32)
-        rank = self.ranks(sym[at], sym[nxt[at]])
-        if (rank >= 0).any():
-            enter(rank[rank >= 0], at[rank >= 0])
-        del at, rank
+        for lo in range(0, n, 1 << 18):  # blocks bound the work arrays
+            at = np.flatnonzero(nxt[lo:lo + (1 << 18)] >= 0).astype(np.int32) + np.int32(lo)
+            rank = self.ranks(sym[at], sym[nxt[at]])
+            if (rank >= 0).any():
+                enter(rank[rank >= 0], at[rank >= 0])
         while active:
             r = heapq.heappop(active)
             lists = index.pop(r)
@@ -274,11 +274,12 @@ class Slice:
     def encoded(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, offsets) of successive groups of the added texts."""
         marked = np.array([w[0] >= "\ud800" and w[0] < "" for w in self.words], dtype=bool)
-        raw = [w.encode() if not m else b"!" for w, m in zip(self.words, marked.tolist())]
-        ends = np.cumsum([len(w) for w in raw])
-        if raw:
-            ids, word = self.vocab.merge(b"".join(raw), ends)
-            count = np.bincount(word, minlength=len(raw))
+        plain_words = ["!" if m else w for w, m in zip(self.words, marked.tolist())]
+        ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in plain_words])
+        if plain_words:
+            ids, word = self.vocab.merge("".join(plain_words).encode(), ends)
+            count = np.bincount(word, minlength=len(plain_words))
+            del word
         else:
             ids, count = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
         off = np.concatenate([[0], np.cumsum(count)])
@@ -318,6 +319,7 @@ def encode_batches(batches: Iterable[pa.RecordBatch], path: str, most_bytes: int
         if size >= most_bytes or len(now.words) >= most_words:
             yield from flush()
             now, kept, size = Slice(vocab), [], 0
+            give_back()
     if kept:
         yield from flush()
 
