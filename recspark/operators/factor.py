@@ -181,6 +181,12 @@ def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, i
     Scores are rounded before they are compared. Items are sorted by id inside a block,
     a block gives its best k + |seen| per user, so no unseen item of the top k is lost.
     """
+    return score_blocks(model, train, k, lambda p, m: p @ m.T, model.rank, user, item, user_block, item_block)
+
+
+def score_blocks(model: FactorModel, train: DataFrame, k: int, scores, item_width: int, user: str = USER, item: str = ITEM,
+                 user_block: int = 1024, item_block: int = 4096) -> DataFrame:
+    """``score_topk`` with any function (user rows, item rows) → score matrix."""
     seen = train.select(user, item).distinct()
     n_seen = seen.groupBy(user).agg(F.count(F.lit(1)).alias("n_seen"))
     users = model.user_factors.join(n_seen, user, "left").select(user, "factors", F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
@@ -200,10 +206,10 @@ def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, i
             col = {c: b.column(j) for j, c in enumerate(b.schema.names)}
             for r in range(b.num_rows):
                 p = np.frombuffer(col["mat"][r].as_py(), dtype="<f8").reshape(-1, rank)
-                m = np.frombuffer(col["i_mat"][r].as_py(), dtype="<f8").reshape(-1, rank)
+                m = np.frombuffer(col["i_mat"][r].as_py(), dtype="<f8").reshape(-1, item_width)
                 keys, items, have = col["keys"][r].values, col["i_keys"][r].values, col["n_seen"][r].values.to_numpy()
                 for i in range(0, len(p), 128):
-                    s = np.round(p[i:i + 128] @ m.T, SCORE_DIGITS)
+                    s = np.round(scores(p[i:i + 128], m), SCORE_DIGITS)
                     top = [_best(row, k + int(h)) for row, h in zip(s, have[i:i + 128])]
                     n = [len(t) for t in top]
                     own, flat = np.repeat(np.arange(len(s)), n), np.concatenate(top)

@@ -175,6 +175,32 @@ def lift(candidate: DataFrame, baseline: DataFrame) -> DataFrame:
     return c.join(b, ["metric", "k"]).withColumn("lift", F.try_divide(F.col("value"), F.when(F.col("baseline") != 0, F.col("baseline"))))
 
 
+def split_gaps(train: DataFrame, val: DataFrame, test: DataFrame) -> DataFrame:
+    """A metric table per split side by side: train, val, test, train - val and val - test per (metric, k)."""
+    side = lambda df, name: df.select("metric", "k", F.col("value").alias(name))
+    t = side(train, "train").join(side(val, "val"), ["metric", "k"]).join(side(test, "test"), ["metric", "k"])
+    return t.withColumn("train_val_gap", F.col("train") - F.col("val")).withColumn("val_test_gap", F.col("val") - F.col("test"))
+
+
+def list_contract(recs: DataFrame, served: DataFrame, k: int, user: str, item: str, catalog: DataFrame) -> DataFrame:
+    """What holds of any personal top-k over the whole catalogue, whatever the model, as one row.
+
+    ``served`` has the history of the users to serve, ``catalog`` all items.
+    Users served, rows, and the numbers of users without exactly min(k, unseen) items, of
+    wrong ranks, of items the user has seen, and of scores above the one before.
+    """
+    seen = served.select(user, item).distinct()
+    total = catalog.select(item).distinct().count()
+    want = seen.groupBy(user).agg(F.least(F.lit(k), F.lit(total) - F.count("*")).alias("_want"))
+    order = Window.partitionBy(user).orderBy("rank")
+    marked = recs.withColumn("_pos", F.row_number().over(order)).withColumn("_before", F.lag("score").over(order))
+    marked = marked.join(seen.withColumn("_seen", F.lit(1)), [user, item], "left")
+    per = marked.groupBy(user).agg(F.count("*").alias("_n"), F.count_if(F.col("_pos") != F.col("rank")).alias("_r"), F.count("_seen").alias("_s"), F.count_if(F.col("score") > F.col("_before")).alias("_u"))
+    per = want.join(per, user, "full").na.fill(0)
+    return per.agg(F.count_if(F.col("_n") > 0).alias("n_users"), F.sum("_n").alias("n_rows"), F.count_if(F.col("_n") != F.col("_want")).alias("n_short"),
+                   F.sum("_r").alias("n_wrong_rank"), F.sum("_s").alias("n_seen"), F.sum("_u").alias("n_rising"))
+
+
 def eval_counts(train: DataFrame, test: DataFrame, user: str = USER) -> DataFrame:
     c = cold_warm(train, test, user)
     return c.select("n_test_users", F.col("n_warm").alias("n_evaluated"), (F.col("n_cold") / F.col("n_test_users")).alias("cold_start_rate"))

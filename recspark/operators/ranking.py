@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from recspark.operators import metrics as me
 from recspark.operators.models import topk_per_user
 from recspark.operators.prepare import ITEM, USER
+from recspark.session import cut_lineage
 
 ITEM_FEATURES = ["product_popularity", "product_unique_buyers", "product_avg_review_score", "product_avg_price",
                  "product_avg_freight", "product_review_rate"]
@@ -66,18 +67,25 @@ def personalize_shared(item_scores: DataFrame, users: DataFrame, seen: DataFrame
                        user: str = USER, item: str = ITEM) -> DataFrame:
     """Top k unseen items per user from one global ranking, without users × catalogue.
 
-    A user with s seen items needs at most the first k + s global positions: each user
-    row is exploded to those positions and equi-joined to the ranked catalogue.
+    The positions a user needs are found from the positions of their seen items alone:
+    k rows a user, no row per candidate.
     """
+    from recspark.operators.factor import _small
     from recspark.operators.order import global_index
 
-    ranked = global_index(item_scores.withColumn("_neg", -F.col("score")), ["_neg", item], "_g").drop("_neg")
-    n_seen = seen.groupBy(user).agg(F.count(F.lit(1)).alias("_s"))
-    u = users.select(user).distinct().join(n_seen, user, "left").na.fill(0, ["_s"])
-    slots = u.select(user, F.explode(F.sequence(F.lit(0), F.col("_s") + F.lit(k - 1))).alias("_g"))
-    cand = slots.join(ranked, "_g").join(seen.select(user, item), [user, item], "left_anti")
-    w = Window.partitionBy(user).orderBy("_g")
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(user, item, "score", "rank")
+    # a user's list is the first positions that their seen items don't hold: with the seen
+    # positions g_1 < g_2 < ..., the j-th free position is j plus the number of g_i with g_i - i <= j
+    ranked = cut_lineage(global_index(item_scores.withColumn("_neg", -F.col("score")), ["_neg", item], "_g").drop("_neg"))
+    taken = seen.select(user, item).distinct().join(ranked.select(item, "_g"), item)
+    low = F.row_number().over(Window.partitionBy(user).orderBy("_g")) - 1
+    steps = taken.select(user, (F.col("_g") - low).alias("_at"), F.lit(1).alias("_held")).where(F.col("_at") < k)
+    slots = users.select(user).distinct().select(user, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))).alias("_at"), F.lit(0).alias("_held"))
+    upto = Window.partitionBy(user).orderBy("_at", F.col("_held").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    free = slots.unionByName(steps).withColumn("_g", F.col("_at") + F.sum("_held").over(upto)).where("_held = 0")
+    # most users need positions 0 .. k-1; these k rows are broadcast, only deeper ones are joined by shuffle
+    first = free.where(F.col("_g") < 2 * k).join(F.broadcast(ranked.where(F.col("_g") < 2 * k)), "_g")
+    deep = free.where(F.col("_g") >= 2 * k).join(_small(ranked.where(F.col("_g") >= 2 * k), ranked.count(), 64), "_g")
+    return first.unionByName(deep).select(user, item, "score", (F.col("_at") + 1).cast("int").alias("rank"))
 
 
 def score_pairs_linear(triples: DataFrame, weights, cols=ITEM_FEATURES) -> DataFrame:
@@ -121,6 +129,48 @@ def mlp_score(scaler, model, rows: DataFrame) -> DataFrame:
     return out.withColumn("score", vector_to_array("probability")[1])
 
 
+def mlp_recommend(scaler, model, factors, item_feats: DataFrame, train: DataFrame, users: DataFrame, k: int = 10, use_aux: bool = True, cols=ITEM_FEATURES,
+                  user_block: int = 256, item_block: int = 4096) -> DataFrame:
+    """Top k unseen items of the whole catalogue per user by the network's score.
+
+    Users and items are packed in blocks that meet pairwise; a task runs the network's
+    layers (matrix products and logistic units, from the fitted weights) on a user
+    against a block and keeps the best k + |seen|. Ties go to the smaller item.
+    """
+    import numpy as np
+
+    from recspark.operators.factor import FactorModel, score_blocks
+
+    layers, weights = list(model.getLayers()), model.weights.toArray()
+    mats, at = [], 0
+    for a, b in zip(layers, layers[1:]):
+        mats.append((weights[at:at + a * b].reshape((b, a), order="F"), weights[at + a * b:at + a * b + b]))
+        at += a * b + b
+    mean, std = scaler.mean.toArray(), scaler.std.toArray()
+    scale = np.divide(1.0, std, out=np.zeros_like(std), where=std > 0)
+    side = item_feats.select(ITEM, *[F.col(c).cast("double").alias(c) for c in cols])
+    items = factors.item_factors
+    if use_aux:
+        items = items.join(side, ITEM, "left").select(ITEM, F.concat("factors", F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in cols])).alias("factors"))
+    known = factors.user_factors.join(users.select(USER).distinct(), USER, "left_semi")
+    rank = factors.rank
+
+    def scores(p: np.ndarray, m: np.ndarray) -> np.ndarray:
+        w, bias = mats[0]
+        left = ((p - mean[:rank]) * scale[:rank]) @ w[:, :rank].T
+        right = ((m - mean[rank:]) * scale[rank:]) @ w[:, rank:].T + bias
+        out = np.empty((len(p), len(m)))
+        for i, row in enumerate(left):  # the first layer splits into a user's and an item's part
+            h = row + right
+            for w2, b2 in mats[1:]:
+                h = (1 / (1 + np.exp(-h))) @ w2.T + b2
+            out[i] = 1 / (1 + np.exp(h[:, 0] - h[:, 1]))
+        return out
+
+    size = rank + (len(cols) if use_aux else 0)
+    return score_blocks(FactorModel(items, known, rank), train, k, scores, size, user_block=user_block, item_block=item_block)
+
+
 # ---------------------------------------------------------------- sampled evaluation
 def evaluate_sampled(scored: DataFrame, test: DataFrame, history: DataFrame, k: int = 10, warm_only: bool = True) -> DataFrame:
     """Top k of each user's candidate pool by score → HitRate, Recall, Precision, NDCG, MAP (hits).

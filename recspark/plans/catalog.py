@@ -1123,6 +1123,23 @@ def q_lift_table(spark, sf):
     return me.lift(cand, base)
 
 
+def _on_split(name: str) -> str:
+    here = lambda sql: sql.replace("FROM test", f"FROM {name}")
+    return f"WITH {metric_ctes(here(shared_hits('pop10')), here(EVAL_USERS))} {mean_long(METRICS5, rounded=False)}"
+
+
+@query(
+    "split_gaps",
+    with_(INTER, SPLIT, POP, body=f"""SELECT metric, k, round(a.value, 6) AS train, round(b.value, 6) AS val, round(c.value, 6) AS test, round(a.value - b.value, 6) AS train_val_gap, round(b.value - c.value, 6) AS val_test_gap
+      FROM ({_on_split('train')}) a JOIN ({_on_split('val')}) b USING (metric, k) JOIN ({_on_split('test')}) c USING (metric, k)"""),
+)
+def q_split_gaps(spark, sf):
+    """The popularity list scored on train, val and test, and the gaps between them."""
+    tr, va, te = splits(spark, sf)
+    recs = mo.popularity(tr, 10)
+    return me.split_gaps(*[me.evaluate(tr, s, recs, shared=True, metrics=METRICS5) for s in (tr, va, te)])
+
+
 @query(
     "eval_counts",
     with_(INTER, SPLIT, body=f"""SELECT count(*) AS n_test_users, count(*) FILTER (WHERE customer_unique_id IN ({TRAIN_USERS})) AS n_evaluated,
@@ -1479,8 +1496,8 @@ def q_rec_bpr_linear(spark, sf):
     return rk.personalize_shared(scores, te.select(USER), tr.select(USER, ITEM).distinct(), 10)
 
 
-def _mlp_eval(spark, sf, use_aux: bool):
-    tr, va, te = splits(spark, sf)
+def _mlp_fit(spark, sf, use_aux: bool):
+    tr, _, _ = splits(spark, sf)
     feats = rk.item_feature_table(tr)
     factors = fa.fit_als(tr, rank=16)
     negs = sa.sample_negatives(tr, tr, tr, 4)
@@ -1488,6 +1505,12 @@ def _mlp_eval(spark, sf, use_aux: bool):
     neg = negs.select(USER, F.col("neg_item").alias("candidate"), F.lit(0.0).alias("label"))
     rows, size = rk.mlp_inputs(pos.unionByName(neg), factors, feats, use_aux)
     scaler, model = rk.fit_mlp(rows, size)
+    return factors, feats, scaler, model
+
+
+def _mlp_eval(spark, sf, use_aux: bool):
+    tr, va, te = splits(spark, sf)
+    factors, feats, scaler, model = _mlp_fit(spark, sf, use_aux)
     cands = sa.sampled_candidates(te, tr, me.seen_pairs(tr, va), 99)
     crow, _ = rk.mlp_inputs(cands, factors, feats, use_aux)
     scored = rk.mlp_score(scaler, model, crow).select(USER, "candidate", "score")
@@ -1496,10 +1519,31 @@ def _mlp_eval(spark, sf, use_aux: bool):
 
 @query("rec_mlp")
 def q_rec_mlp(spark, sf):
-    """ALS factors + side features → MLP; top 10 of each user's sampled candidate pool."""
-    scored, _, _ = _mlp_eval(spark, sf, True)
-    pool = scored.groupBy(USER, F.col("candidate").alias(ITEM)).agg(F.max("score").alias("score"))
-    return mo.topk_per_user(pool.withColumn("score", F.round("score", 9)), 10)
+    """ALS factors + side features → MLP; top 10 unseen items of the whole catalogue for the train users of the test split."""
+    tr, _, te = splits(spark, sf)
+    factors, feats, scaler, model = _mlp_fit(spark, sf, True)
+    return rk.mlp_recommend(scaler, model, factors, feats, tr, te.select(USER), 10)
+
+
+CONTRACT = """SELECT count(*) AS n_users, CAST(sum(least(10, total - seen)) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_short, CAST(0 AS BIGINT) AS n_wrong_rank, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_rising
+  FROM (SELECT customer_unique_id, count(DISTINCT product_id) AS seen FROM train {where} GROUP BY 1), (SELECT count(DISTINCT product_id) AS total FROM train)"""
+
+
+def _contract(name: str, make, where: str = "") -> None:
+    @query(name, with_(INTER, SPLIT, body=CONTRACT.format(where=where)))
+    def run(spark, sf):
+        """Users served, list lengths, ranks, no seen item, no rising score: what SQL can foretell of a trained model."""
+        tr, _, te = splits(spark, sf)
+        base = tr.join(te.select(USER).distinct(), USER, "left_semi") if where else tr
+        return me.list_contract(make(spark, sf, tr, te), base, 10, USER, ITEM, tr)
+
+
+IN_TEST = "WHERE customer_unique_id IN (SELECT customer_unique_id FROM test)"
+_contract("rec_svd_contract", lambda spark, sf, tr, te: fa.recommend_svd(tr, 50, 10))
+_contract("rec_als_contract", lambda spark, sf, tr, te: fa.recommend_als(tr, 10, rank=16))
+_contract("rec_mlp_contract", lambda spark, sf, tr, te: q_rec_mlp(spark, sf), IN_TEST)
+_contract("rec_bpr_linear_contract", lambda spark, sf, tr, te: q_rec_bpr_linear(spark, sf).join(tr.select(USER).distinct(), USER, "left_semi"), IN_TEST)
+_contract("batch_recommend_contract", lambda spark, sf, tr, te: q_batch_recommend(spark, sf).where("source = 'model'").drop("source"), IN_TEST)
 
 
 @query("evaluate_sampled")

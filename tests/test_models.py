@@ -197,3 +197,46 @@ def test_negatives_cover_the_unseen_items_evenly(spark):
     assert {r["neg_item"] for r in negs if r["customer_unique_id"] == 2} == {9}
     full = sa.without_negatives(_df(spark, [(1, 0), (2, 0)]), spark.createDataFrame([(0,), (1,)], "product_id long"), _df(spark, [(1, 0), (2, 0), (2, 1)]))
     assert [r["customer_unique_id"] for r in full.collect()] == [2]
+
+
+def test_network_scores_over_the_catalogue_equal_the_model(spark):
+    from recspark.operators import ranking as rk
+
+    rng = np.random.default_rng(4)
+    users = spark.createDataFrame([(u, [float(x) for x in rng.normal(size=2)]) for u in range(6)], "customer_unique_id long, factors array<double>")
+    items = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=2)]) for i in range(9)], "product_id long, factors array<double>")
+    feats = spark.createDataFrame([(i, *[float(x) for x in rng.normal(size=6)]) for i in range(8)], "product_id long, " + ", ".join(f"{c} double" for c in rk.ITEM_FEATURES))
+    model = fa.FactorModel(items, users, 2)
+    pairs = spark.createDataFrame([(u, i, float((u + i) % 2)) for u in range(6) for i in range(9)], "customer_unique_id long, candidate long, label double")
+    rows, size = rk.mlp_inputs(pairs, model, feats)
+    scaler, net = rk.fit_mlp(rows, size, layers=(5, 3), max_iter=20)
+    want = {(r["customer_unique_id"], r["candidate"]): r["score"] for r in rk.mlp_score(scaler, net, rows).collect()}
+    seen = _df(spark, [(u, u) for u in range(6)])
+    got = rk.mlp_recommend(scaler, net, model, feats, seen, seen, 20, user_block=4, item_block=4).collect()
+    assert len(got) == 6 * 8
+    assert all(abs(want[r["customer_unique_id"], r["product_id"]] - r["score"]) < 1e-8 for r in got)
+
+
+def test_deep_shared_lists(spark):
+    """Users who have seen nothing, the head, scattered positions and almost all."""
+    from recspark.operators import ranking as rk
+
+    scores = spark.createDataFrame([(i, float(-i)) for i in range(60)], "product_id long, score double")
+    hist = {1: [], 2: range(10), 3: range(0, 60, 2), 4: range(58), 5: range(60), 6: [59]}
+    seen = _df(spark, [(u, i) for u, s in hist.items() for i in s])
+    users = spark.createDataFrame([(u,) for u in hist], "customer_unique_id long")
+    got = {u: [] for u in hist}
+    for r in sorted(rk.personalize_shared(scores, users, seen, 4).collect(), key=lambda r: r["rank"]):
+        got[r["customer_unique_id"]].append(r["product_id"])
+    assert got == {u: [i for i in range(60) if i not in set(s)][:4] for u, s in hist.items()}
+
+
+def test_class_scores_equal_hand_count(spark):
+    from recspark.operators.classify import class_scores
+
+    rows = [(0.0, 0.0)] * 3 + [(0.0, 1.0)] + [(1.0, 1.0)] * 2 + [(1.0, 0.0)] * 2 + [(2.0, 0.0)]
+    got = class_scores(spark.createDataFrame(rows, "label double, prediction double"))
+    assert got["accuracy"] == pytest.approx(5 / 9)
+    assert got["precision_macro"] == pytest.approx((3 / 6 + 2 / 3 + 0) / 3) and got["recall_macro"] == pytest.approx((3 / 4 + 2 / 4 + 0) / 3)
+    f = [2 * 0.5 * 0.75 / 1.25, 2 * (2 / 3) * 0.5 / (2 / 3 + 0.5), 0.0]
+    assert got["f1_macro"] == pytest.approx(sum(f) / 3) and got["f1_weighted"] == pytest.approx((4 * f[0] + 4 * f[1]) / 9)
