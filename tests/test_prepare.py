@@ -76,3 +76,13 @@ def test_k_core_fixed_point(spark):
     assert again.count() == out.count()
     empty, st = pr.k_core(df, 5, 5)
     assert empty.count() == 0 and st["final_rows"] == 0
+
+
+def test_k_core_goes_on_to_the_fixed_point(spark):
+    """A path of 104 users loses its two ends each round: more than 50 rounds until nothing is left."""
+    from recspark.operators import prepare as pr
+
+    rows = [(u, i) for u in range(104) for i in (u, u + 1)]
+    df = spark.createDataFrame(rows, "customer_unique_id long, product_id long")
+    out, stats = pr.k_core(df, 2, 2)
+    assert out.count() == 0 and stats["final_rows"] == 0 and stats["iterations"] > 50
