@@ -216,7 +216,7 @@ def vocabulary(path: str) -> Vocabulary:
 class Slice:
     """Texts as sequences of word numbers; each distinct word is kept once."""
 
-    BLOCK = 1 << 20
+    BLOCK = 1 << 17
 
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.number, self.words, self.docs = vocab, {}, [], []
@@ -340,7 +340,7 @@ def _decode(batches, path):
             yield pa.RecordBatch.from_arrays([*(part.column(part.schema.names.index(c)) for c in names), pa.array(text, type=pa.string())], names=[*names, "text"])
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = 32 << 20, most_words: int = 1_000_000) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = 16 << 20, most_words: int = 1_000_000) -> DataFrame:
     """``id_col`` and ``ids array<int>`` of every whole text (null: as empty), without special tokens added.
 
     Equal to the tokenizers library on the same file. A partition is encoded in slices:

@@ -272,7 +272,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train_r
     return train([r["text"] for r in chosen], [r["lang"] for r in chosen])
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", most_bytes: int = 2 << 20, most_words: int = 500_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", most_bytes: int = 1 << 20, most_words: int = 200_000) -> DataFrame:
     """Columns ``keep`` and ``lang_pred, score, n_words, n_switches, shares`` of every whole text.
 
     Each word of a line gets label marginals by forward-backward over the line; a

@@ -124,7 +124,7 @@ def _sets(batches: Iterable[pa.RecordBatch], width: int, chunk: int) -> Iterator
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5,
-                    bands: int = 32, rows: int = 4, chunk: int = 4 << 20, block: int = 512) -> DataFrame:
+                    bands: int = 32, rows: int = 4, chunk: int = 2 << 20, block: int = 512) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, component_id, kept``.
 
     Texts are linked when 100 * |A & B| >= percent * |A | B| over their distinct word

@@ -150,7 +150,7 @@ def _window_of(mixture: Mixture, queue: np.ndarray, at: np.ndarray, window: int)
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", window: int = 4096,
          end_id: int = 2, targets: dict[str | None, float] | None = None, most_queues: int = 256,
-         most_bytes: int = 32 << 20, most_words: int = 1_000_000) -> DataFrame:
+         most_bytes: int = 16 << 20, most_words: int = 1_000_000) -> DataFrame:
     """Pieces of token sequences: ``id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue``.
 
     A document is its ids (null text: none) and ``end_id``. Each source is a queue, a null

@@ -56,7 +56,7 @@ def slices(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-BLOCK = 1 << 21
+BLOCK = 1 << 18
 
 
 def words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
