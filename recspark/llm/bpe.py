@@ -251,11 +251,7 @@ class Slice:
         s = np.flatnonzero(start)
         gap = np.flatnonzero(kind == SPACE)
         e = np.minimum(np.append(s[1:], len(kind)), gap[np.minimum(np.searchsorted(gap, s), len(gap) - 1)]) if len(s) else s
-        v = codes.astype(U)
-        v += U(1)
-        v *= ro.powers(ro.BASE, len(v))
-        h = np.concatenate([[U(0)], np.cumsum(v)])
-        h = ro.mix(ro.slices(h, s, e) + (e - s).astype(U) * U(0xBF58476D1CE4E5B9))
+        h = ro.fingerprints(codes, s, e)
         local, distinct = pd.factorize(h)
         seen = np.full(len(distinct), -1, dtype=np.int64)
         seen[local[::-1]] = np.arange(len(s))[::-1]

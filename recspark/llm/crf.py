@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recspark.llm import rolling as ro
-from recspark.llm.arrow import groups, in_arrow
+from recspark.llm.arrow import give_back, groups, in_arrow
 from recspark.llm.bpe import LETTER, classes
 from recspark.llm.stages import plain
 
@@ -41,9 +41,7 @@ def split(texts: list[str | None]) -> Words:
     letter = classes(codes) == LETTER
     edge = np.diff(np.concatenate([[False], letter, [False]]).astype(np.int8))
     s, e = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    v = (codes.astype(U) + U(1)) * ro.powers(ro.BASE, len(codes))
-    h = np.concatenate([[U(0)], np.cumsum(v)])
-    fp = ro.mix(ro.slices(h, s, e) + (e - s).astype(U) * U(0xBF58476D1CE4E5B9))
+    fp = ro.fingerprints(codes, s, e)
     line = np.cumsum(codes == LINE)[s] if len(s) else s
     ends = np.cumsum([len(t) + 1 for t in low])
     return Words(codes, s, e, fp, line, np.searchsorted(ends, s, side="right"))
@@ -269,7 +267,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train_r
         if have.get(r["lang"], 0) < each:
             have[r["lang"]] = have.get(r["lang"], 0) + 1
             chosen.append(r)
-    return train([r["text"] for r in chosen], [r["lang"] for r in chosen])
+    model = train([r["text"] for r in chosen], [r["lang"] for r in chosen])
+    give_back()
+    return model
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", most_bytes: int = 1 << 20, most_words: int = 200_000) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recspark.llm.arrow import groups, in_arrow, texts
+from recspark.llm.arrow import give_back, groups, in_arrow, texts
 from recspark.llm.stages import cut, plain, small_side
 
 ORDER = 5
@@ -198,6 +198,8 @@ def perplexity(docs: DataFrame, model: Model, keep: list[str], text_col: str = "
         heads["grams", m] = _head(model.grams[m], "key", "p", head_rows)
         heads["backoff", m] = _head(model.backoff[m], "ctx", "g", head_rows)
     shared = docs.sparkSession.sparkContext.broadcast(heads)
+    del heads
+    give_back()
     rows = docs.select(*(plain(c).alias(f"k{i}") for i, c in enumerate(keep)), plain(text_col).alias("text"))
     kinds = [f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))]
     scored = in_arrow(rows, lambda it: _score(it, shared.value, most_bytes), ", ".join([*kinds, "n_bytes long, s1 double, s2 double, tail array<long>, times array<long>"]))

@@ -54,6 +54,20 @@ def slices(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return (h[end] - h[start]) * powers(INVERSE, len(h))[start]
 
 
+def fingerprints(codes: np.ndarray, start: np.ndarray, end: np.ndarray, span: int = 1 << 17) -> np.ndarray:
+    """Fingerprint of each ordered, disjoint slice codes[start:end]; in spans, so that work arrays stay small."""
+    out = np.empty(len(start), dtype=U)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + span, side="right")))
+        lo = int(start[i])
+        h = prefix_sums(codes[lo:int(end[j - 1])])
+        s, e = start[i:j] - lo, end[i:j] - lo
+        out[i:j] = mix(slices(h, s, e) + (e - s).astype(U) * U(0xBF58476D1CE4E5B9))
+        i = j
+    return out
+
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BLOCK = 1 << 18
