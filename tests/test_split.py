@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from recspark.operators import split as sp
 
