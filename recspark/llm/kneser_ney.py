@@ -214,17 +214,19 @@ def perplexity(docs: DataFrame, model: Model, keep: list[str], text_col: str = "
         *(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "n_bytes", mean.alias("mean"), F.sqrt(spread / n).alias("error"), F.exp(-mean).alias("perplexity"))
 
 
-def quantiles(scored: DataFrame, lang: str, low: float, high: float) -> DataFrame:
-    """Per language the ``low`` and ``high`` quantile of ``mean``, and over all rows as language ``null, overall true``.
+def quantiles(scored: DataFrame, lang: str, low: float, high: float, low_of: str = "mean", high_of: str = "mean") -> DataFrame:
+    """Per language the ``low`` quantile of ``low_of`` and the ``high`` one of ``high_of``, and over all rows as language ``null, overall true``.
 
     Read off exact counts in bins of 1 / BINS, which are few however many rows there are.
     """
-    bins = scored.select(plain(lang).alias("lang"), F.floor(F.col("mean") * BINS).alias("bin")).groupBy("lang", "bin").agg(F.count("*").alias("n"))
-    bins = bins.withColumn("overall", F.lit(False)).union(bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string"), "bin", "n", F.lit(True)))
-    key = ["overall", "lang"]
+    side = lambda upper, of: F.struct(F.lit(upper).alias("upper"), F.floor(F.col(of) * BINS).alias("bin"))
+    bins = scored.select(plain(lang).alias("lang"), F.explode(F.array(side(False, low_of), side(True, high_of))).alias("x"))
+    bins = bins.groupBy("lang", F.col("x.upper").alias("upper"), F.col("x.bin").alias("bin")).agg(F.count("*").alias("n"))
+    bins = bins.withColumn("overall", F.lit(False)).unionByName(bins.groupBy("upper", "bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "upper", "bin", "n", F.lit(True).alias("overall")))
+    key = ["overall", "lang", "upper"]
     bins = bins.withColumn("upto", F.sum("n").over(Window.partitionBy(key).orderBy("bin"))).withColumn("all", F.sum("n").over(Window.partitionBy(key)))
-    edge = lambda q: F.min(F.when(F.col("upto") >= F.ceil(q * F.col("all")), F.col("bin"))) / BINS
-    return bins.groupBy(key).agg(edge(low).alias("low"), edge(high).alias("high"), F.max("all").alias("rows"))
+    edge = lambda q, upper: F.min(F.when((F.col("upper") == upper) & (F.col("upto") >= F.ceil(q * F.col("all"))), F.col("bin"))) / BINS
+    return bins.groupBy("overall", "lang").agg(edge(low, False).alias("low"), edge(high, True).alias("high"), F.max("all").alias("rows"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", low: float = 0.005, high: float = 0.995,
@@ -235,9 +237,12 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     toxic. One in ``folds`` of them, by a hash of the text (so copies stay together),
     calibrates: the model is trained on all others, whose own perplexities would be too
     low, and each text's perplexity is held against the quantiles of the calibrating
-    texts of its language (of all languages where these are fewer than ``least_rows``). A text goes if its mean log probability is beyond the
-    quantiles by more than ``slack``, ``unsure`` over the root of the number of calibrating
-    texts of its language, and ``errors`` standard errors, so a short text or a little known
+    texts of its language (of all languages where these are fewer than ``least_rows``). What
+    counts is the mean log probability of a byte, length-adjusted: plus ``errors`` standard
+    errors (of the text itself) for the lower edge, minus as many for the upper one; the
+    quantiles are of just these numbers, so short texts don't widen the range for long ones.
+    A text goes if its number is beyond the quantile by more than ``slack`` and ``unsure``
+    over the root of the number of calibrating texts of its language, so a little known
     language needs a clearer case: too unlikely is noise, too likely is repetition. Texts without
     a non-blank character go. Without trusted texts nothing else goes. Null ids are never trusted;
     repeated rows are judged one by one; an empty table gives no rows.
@@ -254,14 +259,16 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = rows.withColumn("tested", F.coalesce(tested, F.lit(False)))
     model = fit(rows.where("trusted and not tested"))
     scored = cut(perplexity(rows, model, ["id", "lang", "trusted", "tested", "visible", *named], head_rows=head_rows))
-    edges = quantiles(scored.where("tested and n_bytes > 0"), "lang", low, high)
+    error = errors * F.col("error")
+    scored = scored.withColumns({"most": F.col("mean") + error, "least": F.col("mean") - error})
+    edges = quantiles(scored.where("tested and n_bytes > 0"), "lang", low, high, "most", "least")
     enough = F.col("rows") >= least_rows
     by_lang = edges.where(~F.col("overall")).select(F.col("lang").alias("e_lang"), F.when(enough, F.col("low")).alias("low"), F.when(enough, F.col("high")).alias("high"), F.col("rows").alias("e_rows"))
     overall = edges.where("overall").select("low", "high").collect()
     all_low, all_high = (overall[0]["low"], overall[0]["high"]) if overall else (float("-inf"), float("inf"))
     out = scored.join(F.broadcast(by_lang) if by_lang.count() <= 10_000 else by_lang, F.col("lang").eqNullSafe(F.col("e_lang")), "left")
     low_, high_ = F.coalesce("low", F.lit(all_low)), F.coalesce("high", F.lit(all_high))
-    margin = slack + unsure / F.sqrt(F.coalesce("e_rows", F.lit(1))) + errors * F.col("error")
-    inside = (F.col("mean") + margin >= low_) & (F.col("mean") - margin <= high_)
+    margin = slack + unsure / F.sqrt(F.coalesce("e_rows", F.lit(1)))
+    inside = (F.col("most") + margin >= low_) & (F.col("least") - margin <= high_)
     return out.select(F.col("id").alias(id_col), F.col("lang").alias(lang_col), "n_bytes", "perplexity", low_.alias("low"), high_.alias("high"), "trusted",
                       (inside & F.col("visible")).alias("kept"), *(F.col(n).alias(c) for n, c in zip(named, keep or [])))

@@ -101,3 +101,24 @@ def test_query_keeps_trusted_and_rejects_most_of_the_rest(spark):
     assert all(got[i] for i, r in labels.items() if r.quality == 1)
     bad = [got[i] for i, r in labels.items() if r.quality == 0]
     assert sum(bad) <= len(bad) / 5
+
+
+def test_recall_and_precision(spark):
+    from recspark.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = {r.doc_id: r.kept for r in QUERIES["op1_kneser_ney_quality"](spark, sf).collect()}
+    gone = [labels[i] for i, kept in got.items() if not kept and labels.get(i) is not None]
+    bad = sum(got.get(i) is not None and q == 0 for i, q in labels.items())
+    assert gone.count(0) >= 0.8 * bad and gone.count(0) >= 0.98 * len(gone)
+
+
+def test_short_trusted_texts_do_not_set_the_edge(spark):
+    clean = texts(5, 300)
+    rows = [(i, " ".join(clean[i:i + 4]), "en") for i in range(280)] + [(500 + i, t, "en") for i, t in enumerate("zq#wk jx!vp q%yz kk~pf zzxq w^jq vvqk xj=pz qqjw f@zk".split())]
+    letters = random.Random(9)
+    odd = [(1000 + i, " ".join("".join(letters.choice("theronati ") for _ in range(30)) for _ in range(8)), "en") for i in range(20)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    got = {g.doc_id: g.kept for g in classify(spark.createDataFrame(rows + odd, "doc_id long, text string, lang string"), labels).collect()}
+    assert sum(got[i] for i, _, _ in rows) >= len(rows) - 5 and not any(got[i] for i, _, _ in odd)
