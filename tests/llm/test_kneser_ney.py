@@ -122,3 +122,29 @@ def test_short_trusted_texts_do_not_set_the_edge(spark):
     labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
     got = {g.doc_id: g.kept for g in classify(spark.createDataFrame(rows + odd, "doc_id long, text string, lang string"), labels).collect()}
     assert sum(got[i] for i, _, _ in rows) >= len(rows) - 5 and not any(got[i] for i, _, _ in odd)
+
+
+@pytest.mark.parametrize("head_rows", [1 << 19, 60, 0])
+def test_models_side_by_side_equal_brute_force(spark, head_rows):
+    train = [(t, i % 3) for i, t in enumerate([*texts(1, 40), None, ""])]
+    ps = [brute_model([t for t, k in train if k != f]) for f in range(3)]
+    model = fit(spark.createDataFrame(train, "text string, fold int").repartition(3), most_bytes=100, most_keys=60, fold_col="fold", folds=3)
+    rows = [(i, t, i % 3) for i, t in enumerate([*texts(2, 12), *texts(1, 6), "XX!! ##", None])]
+    got = perplexity(spark.createDataFrame(rows, "doc_id long, text string, fold int").repartition(3), model, ["doc_id"], most_bytes=150, head_rows=head_rows, fold_col="fold").collect()
+    assert len(got) == len(rows)
+    for g in got:
+        b = b"\xff" * 4 + (rows[g.doc_id][1] or "").encode() + b"\xff"
+        lp = [math.log(ps[g.doc_id % 3](b[i:i + 5])) for i in range(len(b) - 4)]
+        assert g.mean == pytest.approx(sum(lp) / len(lp), rel=1e-5)
+
+
+def test_every_trusted_text_calibrates_and_unknown_languages_are_judged(spark):
+    clean = texts(5, 300)
+    rows = [(i, " ".join(clean[i:i + 4]), "en" if i < 230 else "de") for i in range(280)]
+    r = random.Random(9)
+    junk = [" ".join("".join(r.choice("theronati ") for _ in range(30)) for _ in range(8)) for _ in range(12)]
+    odd = [(1000 + i, t, [None, "xx", "de"][i % 3]) for i, t in enumerate(junk)] + [(2000, clean[0] * 3, None), (2001, " ".join(clean[40:44]), "xx")]
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    got = {g.doc_id: g for g in classify(spark.createDataFrame(rows + odd, "doc_id long, text string, lang string"), labels).collect()}
+    assert got[250].low != got[1000].low == got[1001].low  # 50 German texts have edges of their own
+    assert not any(got[1000 + i].kept for i in range(12)) and got[2001].kept
