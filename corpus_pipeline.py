@@ -37,7 +37,9 @@ def _without(docs: DataFrame, gone: DataFrame, on: str) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts that are null, have no letter, or are in no learned language.
 
-    The model learns from the documents' own ``lang``, but for the held-out quarter. If no
+    The latter are those of whose words too few are in training texts (``crf.identify``), and
+    those whose likeliest language has too small a mean probability. The model learns
+    from the documents' own ``lang``, but for the held-out quarter. If no
     row has a language nothing can be learnt and no row but those without letters goes.
     Repeated rows and null ids are judged like any other.
     """
@@ -45,7 +47,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = crf.identify(docs.select(*(plain(c).alias(f"c{i}") for i, c in enumerate(docs.columns)), plain("text").alias(_new(docs, "text_in"))),
                           model, [f"c{i}" for i in range(len(docs.columns))], text_col=_new(docs, "text_in"))
     if model.labels:
-        judged = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+        judged = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE) & ~F.col("strange"))
     else:
         judged = judged.where(F.coalesce(plain(f"c{docs.columns.index('text')}").rlike(r"\p{L}"), F.lit(False)))
     return judged.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

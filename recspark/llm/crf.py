@@ -125,12 +125,17 @@ def forward_backward(score: np.ndarray, first: np.ndarray, size: np.ndarray, tra
 
 @dataclass
 class Model:
-    """Weights of the field: labels, lexicon fingerprints, word features x labels, label x label."""
+    """Weights of the field: labels, lexicon fingerprints, word features x labels, label x label.
+
+    ``least`` is, per label, half the median share of a training text's distinct words that are in the
+    lexicon, less 1 over the root of the number of training texts: of few texts the lexicon tells little.
+    """
 
     labels: list[str]
     lexicon: np.ndarray
     weight: np.ndarray
     transition: np.ndarray
+    least: np.ndarray
 
     def scores(self, words: Words, at: np.ndarray) -> np.ndarray:
         """Summed feature weights of the words numbered ``at``."""
@@ -158,7 +163,11 @@ def train(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 4, ra
     transition = np.zeros((len(labels), len(labels)))
     sum_w, sum_t = np.full(weight.shape, 1e-2), np.full(transition.shape, 1e-2)
     r = np.random.default_rng(seed)
-    model = Model(labels, lexicon, weight, transition)
+    once = pd.DataFrame({"print": words.print, "doc": words.doc}).drop_duplicates()
+    shared = pd.Series(np.isin(once["print"].to_numpy().astype(U), lexicon)).groupby(once["doc"].to_numpy()).mean()
+    usual = shared.groupby(where[shared.index.to_numpy()]).agg(["median", "size"])
+    least = (usual["median"] / 2 - 1 / np.sqrt(usual["size"])).reindex(range(len(labels)), fill_value=0.0).to_numpy()
+    model = Model(labels, lexicon, weight, transition, least)
     n = len(words.start)
     for _ in range(epochs if n else 0):
         cuts, at = [], 0
@@ -195,6 +204,12 @@ def train(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 4, ra
     return model
 
 
+def _upper(share: np.ndarray, n: np.ndarray, z: float = 3.0) -> np.ndarray:
+    """Upper bound, ``z`` standard errors away (Wilson), of the share behind one seen in n words; 1 for no words."""
+    n = np.maximum(n, 1e-9)
+    return (share + z * z / (2 * n) + z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def _label(batches: Iterable[pa.RecordBatch], model: Model, most_bytes: int, most_words: int) -> Iterator[pa.RecordBatch]:
     known: dict[int, int] = {}
     table = np.zeros((1 << 12, len(model.labels)), dtype=np.float32)
@@ -204,6 +219,7 @@ def _label(batches: Iterable[pa.RecordBatch], model: Model, most_bytes: int, mos
         docs = len(texts)
         total, count = np.zeros((docs, len(model.labels))), np.zeros(docs, dtype=np.int64)
         switch = np.zeros(docs, dtype=np.int64)
+        met, kinds = np.zeros(docs), np.zeros(docs, dtype=np.int64)
         if len(words.start) and model.labels:
             local, distinct = pd.factorize(words.print)
             where = np.full(len(distinct), -1, dtype=np.int64)
@@ -222,6 +238,9 @@ def _label(batches: Iterable[pa.RecordBatch], model: Model, most_bytes: int, mos
             for k in range(len(model.labels)):
                 total[:, k] = np.bincount(words.doc, weights=gamma[:, k], minlength=docs)
             count = np.bincount(words.doc, minlength=docs)
+            own = np.unique(words.doc * len(distinct) + local)  # each word once a text: repeating it is no evidence
+            kinds = np.bincount(own // len(distinct), minlength=docs)
+            met = np.bincount(own // len(distinct), weights=np.isin(distinct.astype(U), model.lexicon)[own % len(distinct)], minlength=docs) / np.maximum(kinds, 1)
             best = gamma.argmax(axis=1)
             turn = np.flatnonzero((best[1:] != best[:-1]) & (words.doc[1:] == words.doc[:-1])) + 1
             switch = np.bincount(words.doc[turn], minlength=docs)
@@ -230,12 +249,13 @@ def _label(batches: Iterable[pa.RecordBatch], model: Model, most_bytes: int, mos
             top = share.argmax(axis=1)
             pred = [model.labels[k] if c else "und" for k, c in zip(top.tolist(), count.tolist())]
             score = np.clip(np.where(count > 0, share[np.arange(docs), top], 0.0), 0.0, 1.0)
+            strange = (count > 0) & (_upper(met, kinds) < model.least[top])
         else:
-            pred, score = ["und"] * docs, np.zeros(docs)
+            pred, score, strange = ["und"] * docs, np.zeros(docs), np.zeros(docs, dtype=bool)
         shares = pa.ListArray.from_arrays(pa.array(np.arange(docs + 1, dtype=np.int32) * len(model.labels)), pa.array(share.reshape(-1)))
         rest = [batch.column(k) for k, c in enumerate(batch.schema.names) if c != "text"]
-        yield pa.RecordBatch.from_arrays([*rest, pa.array(pred, type=pa.string()), pa.array(score), pa.array(count), pa.array(switch), shares],
-                                         names=[*(c for c in batch.schema.names if c != "text"), "lang_pred", "score", "n_words", "n_switches", "shares"])
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(pred, type=pa.string()), pa.array(score), pa.array(count), pa.array(switch), shares, pa.array(strange)],
+                                         names=[*(c for c in batch.schema.names if c != "text"), "lang_pred", "score", "n_words", "n_switches", "shares", "strange"])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -273,12 +293,15 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train_r
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", most_bytes: int = 1 << 20, most_words: int = 200_000) -> DataFrame:
-    """Columns ``keep`` and ``lang_pred, score, n_words, n_switches, shares`` of every whole text.
+    """Columns ``keep`` and ``lang_pred, score, n_words, n_switches, shares, strange`` of every whole text.
 
     Each word of a line gets label marginals by forward-backward over the line; a
     document's label has the largest mean marginal, which is its score. ``shares`` are
     the mean marginals in the order of ``model.labels``, ``n_switches`` counts changes
-    of the likeliest label from word to word. A text that is null or has no letter is
+    of the likeliest label from word to word. A text is ``strange``, likely in no learned
+    language, if the share of its distinct words that are in the lexicon is less than half of
+    the share usual in its language, surely so (3 standard errors, so a short text needs
+    a clearer case, and so does a language of few training texts); that does not depend on the number of labels. A text that is null or has no letter is
     ``und`` with score 0, and so is every text under a model without labels. Rows
     are returned one by one, repeated or not; an empty table gives none. Only the text
     enters a prediction. ``most_words`` bounds the kept word scores.
@@ -287,5 +310,5 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample: hashed weights and its lexicon
     rows = docs.select(*(plain(c).alias(f"k{i}") for i, c in enumerate(keep)), plain(text_col).alias("text"))
     kinds = [f"k{i} {rows.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    out = in_arrow(rows, lambda it: _label(it, shared.value, most_bytes, most_words), ", ".join([*kinds, "lang_pred string, score double, n_words long, n_switches long, shares array<double>"]))
-    return out.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score", "n_words", "n_switches", "shares")
+    out = in_arrow(rows, lambda it: _label(it, shared.value, most_bytes, most_words), ", ".join([*kinds, "lang_pred string, score double, n_words long, n_switches long, shares array<double>, strange boolean"]))
+    return out.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "lang_pred", "score", "n_words", "n_switches", "shares", "strange")

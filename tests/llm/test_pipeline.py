@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -85,3 +86,18 @@ def test_run(spark):
     whole = [g for g in got if g.start == 0 and g.length == g.doc_tokens]
     same = [g for g in whole if len(ids := t.encode(texts[g.doc_id], add_special_tokens=False).ids) + 1 == g.doc_tokens and zlib.crc32(np.array([*ids, 2], dtype="<u4").tobytes()) == g.ids_crc32]
     assert len(same) > len(whole) / 3 and cp.ORACLE_SQL is None
+
+
+@pytest.mark.parametrize("langs", [["en"], ["en", "de"], ["en", "de", "es", "fr"]])
+def test_language_id_rejects_unlearned_languages(spark, langs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("lang").isin(langs))
+    finnish = ("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on "
+               "toimittava toisiaan kohtaan veljeyden hengessä jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin ja vapauksiin")
+    letters = random.Random(1)
+    junk = " ".join("".join(letters.choice("bcdfghjklmnpqrtvwxz") for _ in range(6)) for _ in range(60))
+    odd = [(90_000, finnish, None), (90_001, junk, None), (90_002, junk[::-1], "en"), (90_003, "qzx", "en")]
+    more = spark.createDataFrame([(i, t, la, "src0", len(t)) for i, t, la in odd], docs.schema)
+    kept = {r.doc_id for r in cp.language_id(spark, docs.union(more), SF).collect()}
+    before = {r.doc_id for r in docs.collect()}
+    assert not kept & {90_000, 90_001, 90_002} and 90_003 in kept  # one word is no evidence
+    assert len(before - kept) <= len(before) / 100
