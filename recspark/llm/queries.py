@@ -140,3 +140,12 @@ def tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     calls, results = conversation_calls(table(spark, sf_dir, "conversations"))
     return formatted(calls, results, conversation_schemas(spark)).withColumn("errors", F.array_join("errors", ";"))
+
+
+@query("op13_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from recspark.llm.alignment import aligned
+
+    return aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
