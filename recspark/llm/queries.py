@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.llm.divergence import oracle as divergence_oracle
 from recspark.llm.licences import oracle as licence_oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +150,10 @@ def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recspark.llm.alignment import aligned
 
     return aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_source_divergence", divergence_oracle())
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
