@@ -7,6 +7,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from json import loads
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,11 @@ from recspark.llm.stages import cut, plain
 
 #: An id pair is one number, the A id above these bits.
 B_BITS = 21
-#: A single space between two ASCII letters: no token of either tokenizer holds it anywhere but at its start.
-SEAM = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: A single space between other characters than white space: no token of either tokenizer holds one after such a character.
+SEAM = re.compile(r"(?<=\S) (?=\S)")
+LATIN = re.compile("[\x00-\u024f]*")
+# fixed value: the split of byte-level BPE vocabularies
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def cuts(a: np.ndarray, b: np.ndarray, docs_a: np.ndarray, docs_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,7 +60,8 @@ def cuts(a: np.ndarray, b: np.ndarray, docs_a: np.ndarray, docs_b: np.ndarray) -
         found = at >= 0
         at, other = at[found], other[found]
         shared[at] = True
-        al, ah, bl, bh = (np.concatenate(x) for x in ((al[found], at + 1), (at + 1, ah[found]), (bl[found], other + 1), (other + 1, bh[found])))
+        halves = ((al[found], at + 1), (at + 1, ah[found]), (bl[found], other + 1), (other + 1, bh[found]))
+        al, ah, bl, bh = (np.stack(x, axis=1).reshape(-1) for x in halves)  # still in the order of the text
     in_a = np.flatnonzero(shared)
     return in_a, np.searchsorted(b, a[in_a])
 
@@ -74,6 +79,7 @@ class Pair:
     def __init__(self, json: str, proto: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(json)
@@ -84,6 +90,13 @@ class Pair:
         byte_of = _byte_of()
         self.bytes_a = [bytes(byte_of.get(c, 0x3F) for c in self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size())]
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.ranked = None
+        spec = loads(json)
+        made = [spec["model"]["vocab"].get("".join(m if isinstance(m, list) else m.split(" "))) for m in spec["model"]["merges"]]
+        added = {t["id"] for t in spec.get("added_tokens", [])}
+        if made == sorted(set(made) - {None}) and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}:
+            ranks = {self.bytes_a[i]: i for i in spec["model"]["vocab"].values() if i not in added}
+            self.ranked = tiktoken.Encoding("ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         self.length_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.length_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
         digits = lambda n, ends: [str(i).encode() + e for e in ends for i in range(n)]
@@ -94,17 +107,97 @@ class Pair:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, text: str, piece_chars: int) -> tuple[list[int], list[int]]:
-        """Ids of space + text under both; a very long text in pieces that end where no token can cross."""
-        a, b, at = [], [], 0
-        while at < len(text):
-            seam = SEAM.search(text, at + piece_chars) if len(text) - at > piece_chars else None
-            end = seam.start() if seam else len(text)
-            part = text[at:end]
-            a += self.a.encode(" " + part, add_special_tokens=False).ids
-            b += self.b.encode(part, num_threads=1)
-            at = end + 1
-        return a, b
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of space + text under both.
+
+        Where A's ids rise with its merges, merging by id is merging by rank; the faster library that does so
+        encodes Latin text, for which both libraries' character classes are the same.
+        """
+        if self.ranked and LATIN.fullmatch(text):
+            a = self.ranked.encode_ordinary(" " + text)
+        else:
+            a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        return np.array(a, dtype=np.int32), np.array(self.b.encode(text, num_threads=1), dtype=np.int32)
+
+    def gives_back(self, a: np.ndarray, b: np.ndarray, text: str) -> bool:
+        whole = b" " + text.encode()
+        return b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole == b"".join(map(self.bytes_b.__getitem__, b.tolist()))
+
+
+class Chunks:
+    """Ids of each distinct stretch between seams, encoded once until more than ``most_tokens`` are held."""
+
+    def __init__(self, pair: Pair, most_tokens: int, piece_chars: int):
+        self.pair, self.most, self.piece = pair, most_tokens, piece_chars
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.whole = np.zeros(0, dtype=bool)
+        self.off = [np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)]
+        self.ids = [np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)]
+
+    def _pieces(self, new: list[str]) -> Iterator[list[str]]:
+        """Stretches that may be encoded as one text: joined by single spaces, they are separated by seams again."""
+        pieces, chars = ([], []), [0, 0]
+        for c in new:
+            if not c or c[0].isspace() or c[-1].isspace():
+                yield [c]
+                continue
+            kind = LATIN.fullmatch(c) is None
+            pieces[kind].append(c)
+            chars[kind] += len(c) + 1
+            if chars[kind] > self.piece:
+                yield pieces[kind][:]
+                pieces[kind].clear()
+                chars[kind] = 0
+        yield from (p for p in pieces if p)
+
+    def _learn(self, new: list[str]) -> None:
+        whole, ids, sizes = [self.whole], [[self.ids[0]], [self.ids[1]]], [[], []]
+        todo = list(self._pieces(new))[::-1]
+        while todo:
+            piece = todo.pop()
+            text = " ".join(piece)
+            found = self.pair.encode(text)
+            good = self.pair.gives_back(*found, text)
+            if not good and len(piece) > 1:
+                todo += [[c] for c in piece[::-1]]
+                continue
+            ends = np.cumsum([len(c.encode()) + 1 for c in piece])
+            for side, length in enumerate((self.pair.length_a, self.pair.length_b)):
+                upto = np.searchsorted(np.cumsum(length[found[side]]), ends) + 1 if good else np.array([len(found[side])])
+                sizes[side].append(np.diff(upto, prepend=0))
+                ids[side].append(found[side])
+            whole.append(np.full(len(piece), good))
+            for c in piece:
+                self.place[c] = len(self.place)
+        self.whole = np.concatenate(whole)
+        for side in (0, 1):
+            self.ids[side] = np.concatenate(ids[side])
+            self.off[side] = np.concatenate([self.off[side], self.off[side][-1] + np.cumsum(np.concatenate(sizes[side]))])
+
+    def encode(self, raws: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of either side all ids, and the bounds of each text's; texts that are not given back have none."""
+        if len(self.ids[0]) + len(self.ids[1]) > self.most:
+            self.forget()
+        parts = [SEAM.split(raw.decode()) if raw else [] for raw in raws]
+        new = [c for c in dict.fromkeys(c for part in parts for c in part) if c not in self.place]
+        if new:
+            self._learn(new)
+        size = np.array([len(part) for part in parts], dtype=np.int64)
+        code = np.array([self.place[c] for part in parts for c in part], dtype=np.int64)
+        text = np.repeat(np.arange(len(raws)), size)
+        bad = np.bincount(text, weights=~self.whole[code], minlength=len(raws)) > 0
+        code, text = code[~bad[text]], text[~bad[text]]
+        out = []
+        for side in (0, 1):
+            start = self.off[side][code]
+            n = self.off[side][code + 1] - start
+            at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            each = np.bincount(text, weights=n, minlength=len(raws)).astype(np.int64)
+            out.append((self.ids[side][at].astype(np.int64), np.concatenate([[0], np.cumsum(each)])))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -112,22 +205,14 @@ def _pair(json: str, proto: bytes) -> Pair:
     return Pair(json, proto)
 
 
-def align(pair: Pair, raws: list[bytes | None], piece_chars: int = 1 << 20) -> dict:
+def align(chunks: Chunks, raws: list[bytes | None]) -> dict:
     """Per text ``n_a, n_b, n_groups`` and ``groups`` (the written groups), and per link its text and id pair.
 
     Texts that are null, empty, or not given back by either tokenizer's tokens have none.
     """
-    ids_a, ids_b = [], []
-    for raw in raws:
-        a, b = pair.encode(raw.decode(), piece_chars) if raw else ([], [])
-        whole = b" " + (raw or b"")
-        if b"".join(map(pair.bytes_a.__getitem__, a)) != whole or b"".join(map(pair.bytes_b.__getitem__, b)) != whole:
-            a, b = [], []
-        ids_a.append(np.array(a, dtype=np.int64))
-        ids_b.append(np.array(b, dtype=np.int64))
-    n_a, n_b = np.array([len(x) for x in ids_a], dtype=np.int64), np.array([len(x) for x in ids_b], dtype=np.int64)
-    docs_a, docs_b = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
-    a, b = np.concatenate([*ids_a, np.zeros(0, dtype=np.int64)]), np.concatenate([*ids_b, np.zeros(0, dtype=np.int64)])
+    pair = chunks.pair
+    (a, docs_a), (b, docs_b) = chunks.encode(raws)
+    n_a, n_b = np.diff(docs_a), np.diff(docs_b)
     at_a, at_b = cuts(np.cumsum(pair.length_a[a]), np.cumsum(pair.length_b[b]), docs_a, docs_b)
     # a group ends with one token of each side, which are its only pair of equal ends
     first = np.searchsorted(at_a, docs_a)  # of each text's groups
@@ -169,11 +254,11 @@ class _Counts:
 BLOCK = "kind int, docs binary, links binary, pair array<long>, n array<long>"
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], load, most_bytes: int, most_pairs: int, piece_chars: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterable[pa.RecordBatch], load, most_bytes: int, most_pairs: int, most_tokens: int, piece_chars: int) -> Iterator[pa.RecordBatch]:
     """Rows of kind 0: a block of texts, packed. Rows of kind 1: id pairs and their links in this task."""
     import zstandard
 
-    counts, pair = _Counts(most_pairs), None
+    counts, chunks = _Counts(most_pairs), None
     names = ["kind", "docs", "links", "pair", "n"]
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
@@ -181,10 +266,11 @@ def _blocks(batches: Iterable[pa.RecordBatch], load, most_bytes: int, most_pairs
         return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(values, kinds)], names=names)
 
     for batch in groups(batches, "text", most_bytes):
-        pair = pair or load()
-        found = align(pair, texts(batch, "text"), piece_chars)
+        chunks = chunks or Chunks(load(), most_tokens, piece_chars)
+        found = align(chunks, texts(batch, "text"))
         # within a text the links are a multiset: distinct pairs in order, and how often
-        key, n = np.unique(np.stack([found["text"], found["pair"]]), axis=1, return_counts=True) if len(found["pair"]) else (np.zeros((2, 0), dtype=np.int64), np.zeros(0, dtype=np.int64))
+        both, n = np.unique(found["text"] << 2 * B_BITS | found["pair"], return_counts=True)
+        key = both >> 2 * B_BITS, both & ((1 << 2 * B_BITS) - 1)
         sha = [hashlib.sha256(g).hexdigest() if g else "" for g in found["groups"]]
         docs = pa.RecordBatch.from_arrays(
             [*(batch.column(k) for k, c in enumerate(batch.schema.names) if c != "text"), pa.array(found["n_a"]), pa.array(found["n_b"]), pa.array(found["n_groups"]), pa.array(sha),
@@ -254,7 +340,7 @@ def _head(table: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, keep: list[str] | None = None, text_col: str = "text", most_bytes: int = 2 << 20,
-            most_pairs: int = 1 << 21, head_rows: int = 1 << 20, piece_chars: int = 1 << 20) -> DataFrame:
+            most_pairs: int = 1 << 21, head_rows: int = 1 << 20, most_tokens: int = 1 << 23, piece_chars: int = 1 << 16) -> DataFrame:
     """Columns ``keep`` and ``n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row.
 
     A is a byte-level BPE of the tokenizers library (JSON file), B a sentencepiece model;
@@ -270,15 +356,17 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, keep: list[str] | None =
     Texts are encoded once: blocks of texts keep their links packed (checkpointed) while
     tasks sum the links by id pair, which a group-by completes. The ``head_rows`` most
     counted pairs are broadcast (a fixed bound of 24 bytes a pair); a text's other pairs
-    are joined with the whole table, so results do not depend on the bound. Texts over
-    ``piece_chars`` are encoded in pieces that end before a single space between letters,
-    which no token of either side crosses.
+    are joined with the whole table, so results do not depend on the bound. What lies
+    between two seams (single spaces between visible characters) is the same tokens
+    wherever it stands, as no token crosses a seam: a task encodes each distinct stretch once,
+    many joined by seams at a time, and holds ``most_tokens`` ids. A text without seams is
+    one stretch.
     """
     spark = docs.sparkSession
     keep = ["doc_id"] if keep is None else keep
     files = spark.sparkContext.broadcast((open(path_a, encoding="utf-8").read(), open(path_b, "rb").read()))
     rows = docs.select(*(plain(c).alias(f"k{i}") for i, c in enumerate(keep)), plain(text_col).alias("text"))
-    blocks = cut(in_arrow(rows, lambda it: _blocks(it, lambda: _pair(*files.value), most_bytes, most_pairs, piece_chars), BLOCK))
+    blocks = cut(in_arrow(rows, lambda it: _blocks(it, lambda: _pair(*files.value), most_bytes, most_pairs, most_tokens, piece_chars), BLOCK))
     each = blocks.where("kind = 1").select(F.explode(F.arrays_zip("pair", "n")).alias("x")).select("x.pair", "x.n")
     counted = cut(each.groupBy("pair").agg(F.sum("n").alias("n")))
     b_id = F.col("pair").bitwiseAND((1 << B_BITS) - 1)

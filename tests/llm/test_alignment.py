@@ -9,7 +9,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recspark.llm.alignment import Pair, aligned, align, cuts
+from recspark.llm.alignment import Chunks, Pair, align, aligned, cuts
 from recspark.llm.queries import QUERIES
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -53,7 +53,7 @@ def test_equals_brute_force_for_any_bound(spark):
     rows = list(enumerate(ODD)) + [(50 + i, " ".join("".join(r.choice("théaàoun's.,!1 ") for _ in range(r.randint(1, 9))) for _ in range(r.randint(0, 60)))) for i in range(60)] + [(None, "null id"), (3, "again")]
     want = brute(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_a", F.lit("clash")).withColumn("pair", F.lit(1)).repartition(3)
-    for bounds in ({}, {"head_rows": 7, "most_bytes": 300, "most_pairs": 20}, {"head_rows": 0, "piece_chars": 15}):
+    for bounds in ({}, {"head_rows": 7, "most_bytes": 300, "most_pairs": 20, "most_tokens": 50}, {"head_rows": 0, "piece_chars": 15}):
         got = [tuple(x) for x in aligned(df, A, B, **bounds).collect()]
         assert sorted(got, key=str) == want
     assert sum(x[3] > 1 for x in want) > 60
@@ -75,16 +75,35 @@ def test_cuts_equal_set_intersection():
 
 
 def test_no_piece_crosses_a_seam():
-    """What encoding in pieces rests on: no token holds a space after a letter."""
+    """What encoding in stretches rests on: no token holds a space after a visible character."""
     pair = Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
-    assert not [x for side in (pair.bytes_a, pair.bytes_b) for x in side if re.search(rb"[A-Za-z] ", x)]
-    text = "the cat sat on the mat, and 12 x  y z " * 50
-    assert pair.encode(text, 1 << 20) == pair.encode(text, 3)
+    assert not [x for side in (pair.bytes_a, pair.bytes_b) for x in side if re.search(r"\S ", x.decode(errors="ignore"))]
+    r = random.Random(9)
+    texts = ["".join(r.choice(["a", "the", " ", " ", "  ", "\n", "\t", "1", "'s", ".", "\xa0", "\u3000", "\x85", "\x1c", "\u200b", "é", "漢", "😀", "Ω"]) for _ in range(r.randint(1, 60))) for _ in range(3000)]
+    for piece in (1, 200):
+        (a, docs_a), (b, docs_b) = Chunks(pair, 1 << 20, piece).encode([x.encode() for x in texts])
+        for i, x in enumerate(texts):
+            want = pair.encode(x)
+            if pair.gives_back(*want, x):
+                assert a[docs_a[i]:docs_a[i + 1]].tolist() == want[0].tolist() and b[docs_b[i]:docs_b[i + 1]].tolist() == want[1].tolist()
+            else:
+                assert docs_a[i] == docs_a[i + 1] and docs_b[i] == docs_b[i + 1]
+
+
+def test_ranks_merge_as_the_library():
+    pair = Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    assert pair.ranked
+    r = random.Random(2)
+    letters = [chr(c) for c in range(0x250)] + list("etaoinshr ") * 40
+    for _ in range(4000):
+        text = "".join(r.choices(letters, k=r.randint(1, 80)))
+        assert pair.ranked.encode_ordinary(" " + text) == pair.a.encode(" " + text, add_special_tokens=False).ids
 
 
 def test_very_long_text_and_no_rows(spark):
     pair = Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
     text = "some words of a very long text " * 30000
-    whole, parts = align(pair, [text.encode()], 1 << 30), align(pair, [text.encode()], 1 << 12)
-    assert whole["groups"] == parts["groups"] and whole["n_a"] == parts["n_a"]
+    found = align(Chunks(pair, 10, 50), [text.encode(), b"", b"some words"])
+    a, b = pair.encode(text)
+    assert found["n_a"].tolist()[:2] == [len(a), 0] and found["n_b"].tolist()[:2] == [len(b), 0] and found["groups"][1] == b""
     assert aligned(spark.createDataFrame([], "doc_id long, text string"), A, B).collect() == []
