@@ -157,3 +157,12 @@ def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recspark.llm.divergence import audit
 
     return audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_katz_backoff")
+def katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recspark.llm.katz import score
+
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    out = score(table(spark, sf_dir, "documents"), ~held)
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
