@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from recspark.llm import rolling as ro
 from recspark.llm.arrow import groups, in_arrow, texts
-from recspark.llm.stages import cut, plain
+from recspark.llm.stages import cut, let_go, plain
 
 U = np.uint64
 START, END = U(0x5AB1E5EED0000001), U(0x5AB1E5EED0000003)  # symbols before and after the words of a text
@@ -331,12 +331,15 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     bits = max(4, math.ceil(math.log2(max(1, 6 * tokens / shard_bytes))))
     asked = in_arrow(blocks.select("block", "words", "codes", "parts"), lambda it: _asked(it, order, bits), "m int, shard int, block long, keys binary, own binary, held binary")
     answers = cut(asked.groupBy("m", "shard").applyInArrow(_answered, ANSWER))
-    del asked  # its shuffle can go
+    del asked
+    let_go(docs.sparkSession)  # the keys' shuffle
     found = answers.where("block is null").select("m", F.explode(F.arrays_zip("r", "n")).alias("x")).groupBy("m", "x.r").agg(F.sum("x.n").alias("n")).orderBy("m", "r").toPandas()
     levels = {m: GoodTuring(*(found.loc[found["m"] == m, c].to_numpy().astype(np.int64) for c in ("r", "n"))) for m in range(1, order + 1)}
     texts_trained = rows.where("train").count()
     told = answers.where("block is not null").select("block", "m", "shard", "total", "flags")
     scored = cut(blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda a, b: _scored(a, b, order, levels, texts_trained), SCORED))
+    del blocks, answers, told
+    let_go(docs.sparkSession)  # blocks and answers
     taken = scored.where("context is not null").groupBy("context").agg(F.sum("left").alias("left"), F.sum("below").alias("below"))
     weights = cut(taken.select("context", F.log10(F.col("left") / F.greatest(F.lit(1) - F.col("below"), F.lit(1e-300))).alias("weight")))
     parts = scored.where("context is null")

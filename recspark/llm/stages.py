@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.session import cut_lineage
@@ -16,6 +18,15 @@ def cut(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark's cleaner remove the shuffles and checkpoints that nothing refers to any more.
+
+    The cleaner follows the driver's garbage collections, which may be an hour apart.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df`` marked for broadcast when its measured size is under the bound, else as it is."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
