@@ -13,19 +13,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     component is the smallest node reachable. Loops, repeated edges and either
     direction are fine; rows with a null end are no edges; no edges give no rows.
-    Each round hangs a node's larger neighbours on its smallest one (a large hub
-    only meets its minimum, by an equi-join that may be split), then does the same
-    for its smaller neighbours; the number of rounds is logarithmic in the node
-    count. The edge table is checkpointed once a round.
+    Each round hangs a node's larger neighbours on its smallest one, then does the same for
+    its smaller neighbours; the number of rounds is logarithmic in the node count. The
+    edges and each node's smallest neighbour are checkpointed as tables, so that the join of
+    both may split a large hub (Spark splits no side that it has just aggregated).
     """
     e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = _state(e)
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = cut(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         e = cut(small.distinct())
         now = _state(e)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from recspark.llm import rolling as ro
 from recspark.llm.arrow import groups, in_arrow, texts
 from recspark.llm.components import components
-from recspark.llm.stages import cut, plain, small_side
+from recspark.llm.stages import cut, let_go, plain, small_side
 
 U = np.uint64
 W = np.uint32
@@ -136,12 +136,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     * each class is first linked with the class of its buckets that meets most others, and
       the link is verified on full sets; that settles most groups of copies without
       enumerating pairs;
-    * buckets that still hold different components are compared block by block of
-      ``block`` members, so that a large bucket spreads over tasks: pairs of different
-      components, of fitting sizes and with two equal bands are verified there, on full
-      sets, and a spanning forest of the links found is returned rather than all pairs.
-      Nothing is capped. Of 32 bands of 4 rows, a pair at a similarity of 0.85 shares
-      fewer than two with probability 2e-9, at 0.8 with 1e-6.
+    * buckets that still hold different components are compared in cells, pairs of blocks of
+      about ``block`` members (see ``crossing``), so that a large bucket spreads over tasks and a
+      set is sent once for each block that its own one meets: pairs of different components and
+      fitting sizes are verified there, on full sets, and a spanning forest of the links found
+      is returned rather than all pairs. Nothing is capped. One shared bucket is enough: of
+      32 bands of 4 rows, a pair at a similarity of 0.85 shares none with probability 6e-11, at
+      0.8 with 5e-8.
 
     Null or blank texts have no shingles and link with nothing. Rows that share an id
     are one node: each of its texts' links are the node's, and each row is returned.
@@ -152,7 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = cut(in_arrow(source, lambda it: _signed(it, width, bands, rows, chunk), "id long, n long, s1 long, s2 long, bands array<long>"))
     usable = signed.where("n > 0 and id is not null")
     same = ["n", "s1", "s2"]
-    first = usable.groupBy(same).agg(F.min("id").alias("rep"))
+    first = cut(usable.groupBy(same).agg(F.min("id").alias("rep")))  # as a table, so that a join may split a hot class
     classes = cut(usable.join(first, same).where("id = rep").select("rep", "n", "s1", "bands").dropDuplicates(["rep", "n", "s1"]))
     buckets = classes.select("rep", "n", "s1", F.explode("bands").alias("key"))
     met = buckets.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -160,26 +161,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # one link a class: with the member of its buckets that meets most others, as an original meets its copies
     weight = shared.groupBy("rep").agg(F.sum("members").alias("weight"))
-    hubs = shared.join(weight, "rep").groupBy("key").agg(F.max_by("rep", "weight").alias("hub"), F.max("weight").alias("weight"))
+    hubs = cut(shared.join(weight, "rep").groupBy("key").agg(F.max_by("rep", "weight").alias("hub"), F.max("weight").alias("weight")))
     star = shared.join(hubs, "key").where("rep <> hub").groupBy("rep", "n", "s1").agg(F.max_by("hub", "weight").alias("hub"))
     other = classes.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("s1").alias("b1"))
     star = star.join(other, "hub").where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
     linked = cut(_verified(source, star.select(F.col("rep").alias("a"), F.col("s1").alias("a1"), F.col("hub").alias("b"), "b1"), percent, width, chunk))
     label = components(linked).withColumnRenamed("node", "rep")
 
-    # what is left: buckets of several components, in blocks that meet block by block
-    named = shared.join(label, "rep", "left").select("key", "rep", "n", "s1", "members", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    own, parts = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"), F.ceil(F.col("members") / block).cast("int")
-    blocks = named.join(mixed, "key").withColumn("parts", parts).withColumn("own", own)
-    blocks = blocks.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = blocks.join(classes.select("rep", "s1", "bands"), ["rep", "s1"]).select(
-        "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "rep", "n", "s1", "component", "bands")
-    cell = ["key", "i", "j"]
-    fields = "key long, i int, j int, own int, rep long, n long, s1 long, component long, bands array<long>"
-    near = cut(blocks.groupBy(cell).applyInArrow(lambda t: _candidates(t, percent), fields))
+    # what is left: buckets of several components, whose members meet block by block
+    named = shared.join(label, "rep", "left").select("key", "rep", "n", "s1", F.coalesce("component", "rep").alias("component"))
+    cell = ["a", "b"]
+    near = cut(crossing(named, block).groupBy(cell).applyInArrow(lambda t: _candidates(t, percent), CELL))
     sets = _full_sets(source, near.select("rep").distinct(), near.count(), width, chunk).withColumnRenamed("id", "rep")
     more = near.join(sets, ["rep", "s1"]).select(*near.columns, "elements").groupBy(cell).applyInArrow(lambda t: _links(t, percent), "a long, b long")
+    more = cut(more)
+    let_go(docs.sparkSession)  # the sets
 
     equal = usable.join(first, same).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     node = components(linked.union(more).union(equal)).withColumnRenamed("node", "id")
@@ -208,24 +204,42 @@ def _full_sets(source: DataFrame, ids: DataFrame, rows: int, width: int, chunk:
     return sets.dropDuplicates(["id", "s1"])
 
 
+CELL = "a long, b long, blk long, rep long, n long, s1 long, component long"
+
+
+def crossing(named: DataFrame, block: int, elements: int = 1 << 19) -> DataFrame:
+    """Cells for members ``key, rep, n, s1, component`` of buckets: each pair of blocks that has to meet, with the members that do.
+
+    A member's block is a part of its home, the largest of its buckets that hold several
+    components: about ``block`` members, or ``elements`` shingles. So members that share many
+    buckets share a home, and whatever number of buckets two of them share, they meet
+    in one cell. In a bucket only those outside its commonest component meet all others,
+    the members of that component meet just the blocks of such strays.
+    """
+    inside = named.groupBy("key", "component").agg(F.count("*").alias("m"))
+    held = inside.groupBy("key").agg(F.count("*").alias("kinds"), F.max_by("component", "m").alias("main"), F.sum("m").alias("members"))
+    mixed = cut(named.join(cut(held.where("kinds > 1").drop("kinds")), "key"))
+    home = cut(mixed.groupBy("rep", "n", "s1", "component").agg(F.max(F.struct("members", "key")).alias("home")))
+    size = home.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / elements)).alias("parts"))
+    part = F.pmod(F.xxhash64("rep", "s1"), F.col("parts"))
+    who = cut(home.join(cut(size), "home").select(F.xxhash64("home.key", part).alias("blk"), "rep", "n", "s1", "component"))
+    placed = cut(mixed.join(who.select("rep", "s1", "blk"), ["rep", "s1"]).select("key", "rep", "s1", "blk", (F.col("component") != F.col("main")).alias("stray")))
+    there = cut(placed.groupBy("key", F.col("blk").alias("other")).agg(F.max("stray").alias("strays")))
+    met = placed.join(there, "key").where("stray or strays")
+    met = met.select(F.least("blk", "other").alias("a"), F.greatest("blk", "other").alias("b"), "rep", "s1").distinct()
+    return met.join(who, ["rep", "s1"]).select("a", "b", "blk", "rep", "n", "s1", "component")
+
+
 def _pairs(cell: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the two blocks of a cell (the same rows on its diagonal), and which pairs to verify here."""
-    col = {c: cell.column(c).combine_chunks() for c in ("key", "i", "j", "own", "rep", "n", "component", "bands")}
-    own, i, j, n, component, rep = (col[c].to_numpy() for c in ("own", "i", "j", "n", "component", "rep"))
-    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    bands = col["bands"].flatten().to_numpy().reshape(len(rep), -1)
+    a, b, blk, rep, n, component = (cell.column(c).to_numpy() for c in ("a", "b", "blk", "rep", "n", "component"))
+    left, right = np.flatnonzero(blk == a), np.flatnonzero(blk == b)
     size = n.astype(np.int64)
     ok = component[left, None] != component[None, right]
     ok &= 100 * np.minimum(size[left, None], size[None, right]) >= percent * np.maximum(size[left, None], size[None, right])
-    if i[0] == j[0]:
+    if a[0] == b[0]:
         ok &= np.arange(len(left))[:, None] < np.arange(len(right))
-    equal = np.zeros(ok.shape, dtype=np.int16)
-    for b in range(bands.shape[1]):
-        same = bands[left, b][:, None] == bands[right, b]
-        first = same & (equal == 0)  # a pair is verified in the first bucket that it shares
-        ok &= ~first | (bands[left, b][:, None] == col["key"][0].as_py())
-        equal += same
-    return left, right, ok & (equal >= 2)
+    return left, right, ok
 
 
 def _candidates(cell: pa.Table, percent: int) -> pa.Table:

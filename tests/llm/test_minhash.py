@@ -6,7 +6,7 @@ import pytest
 
 from recspark.llm import rolling as ro
 from recspark.llm.components import components
-from recspark.llm.minhash import near_duplicates, shingle_sets, signatures
+from recspark.llm.minhash import crossing, near_duplicates, shingle_sets, signatures
 
 
 def brute(rows, percent):
@@ -65,6 +65,34 @@ def test_empty_and_clashing_columns(spark):
     assert sorted(tuple(r) for r in near_duplicates(df).collect()) == [(1, 1, 1, True), (2, 1, 1, False)]
 
 
+def test_large_group_meets_in_few_cells(spark):
+    """3,000 members of 30 buckets: each set goes once to every block that its own one meets, and every cross pair has its cell."""
+    r = random.Random(4)
+    members = [(k, i, 100, i * 7, 0 if i % 100 else i) for i in range(3000) for k in r.sample(range(30), 20)]
+    df = spark.createDataFrame(members, "key long, rep long, n long, s1 long, component long")
+    cells = crossing(df, 512).collect()
+    blocks = {c.rep: c.blk for c in cells}
+    assert 6 <= len(set(blocks.values())) <= 40
+    strays = {blocks[i] for i in range(3000) if i and i % 100 == 0}
+    assert len(cells) <= sum(1 if i % 100 else 0 for i in range(3000)) * len(strays) + 30 * len(set(blocks.values()))
+    together = {}
+    for c in cells:
+        together.setdefault((c.a, c.b), set()).add(c.rep)
+    for i in range(100, 3000, 100):
+        for j in range(3000):
+            if i != j:
+                a, b = sorted((blocks[i], blocks[j]))
+                assert {i, j} <= together[a, b]
+    few = [(c.a, c.b, c.rep) for c in crossing(df.where("rep < 400"), 512).collect()]
+    assert len(few) == len(set(few)) and len(few) <= 3 * 400
+
+
+def test_many_copies_of_one_text(spark):
+    rows = [(i, "one text that very many documents hold word by word") for i in range(4000)] + [(5000, "and another one that is not a copy of it")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).where("kept").collect()
+    assert [x.doc_id for x in got] == [0, 5000]
+
+
 def test_words_across_blocks(monkeypatch):
     monkeypatch.setattr(ro, "BLOCK", 7)
     raw = b"  alpha\x0bbeta gamma alpha  supercalifragilistic x beta"
