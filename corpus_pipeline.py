@@ -13,12 +13,9 @@ from pyspark.sql import functions as F
 
 from recspark.llm import crf, kneser_ney, minhash, packing, suffix_dedup
 from recspark.llm.queries import table, vocabulary_path
-from recspark.llm.stages import cut, plain, small_side
+from recspark.llm.stages import cut, let_go, plain, small_side
 from recspark.session import checkpoint_dir
 
-#: A document whose likeliest language has a smaller mean probability is in none of them.
-LEAST_LANGUAGE_SCORE = 0.3
-
 
 def _new(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` doesn't have, whatever the case."""
@@ -37,9 +34,8 @@ def _without(docs: DataFrame, gone: DataFrame, on: str) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts that are null, have no letter, or are in no learned language.
 
-    The latter are those of whose words too few are in training texts (``crf.identify``), and
-    those whose likeliest language has too small a mean probability. The model learns
-    from the documents' own ``lang``, but for the held-out quarter. If no
+    The latter are those of whose words too few are in training texts (``crf.identify``). The
+    model learns from the documents' own ``lang``, but for the held-out quarter. If no
     row has a language nothing can be learnt and no row but those without letters goes.
     Repeated rows and null ids are judged like any other.
     """
@@ -47,7 +43,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = crf.identify(docs.select(*(plain(c).alias(f"c{i}") for i, c in enumerate(docs.columns)), plain("text").alias(_new(docs, "text_in"))),
                           model, [f"c{i}" for i in range(len(docs.columns))], text_col=_new(docs, "text_in"))
     if model.labels:
-        judged = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE) & ~F.col("strange"))
+        judged = judged.where((F.col("lang_pred") != "und") & ~F.col("strange"))
     else:
         judged = judged.where(F.coalesce(plain(f"c{docs.columns.index('text')}").rlike(r"\p{L}"), F.lit(False)))
     return judged.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
@@ -103,11 +99,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``; each one's result is written and read again."""
+    """All stages on the documents of ``sf_dir``; each one's result is written and read again.
+
+    A stage's input is deleted once its output is written; the last output stays.
+    """
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}", None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            old = spark._jvm.org.apache.hadoop.fs.Path(before)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        before = path
+        let_go(spark)
     return docs

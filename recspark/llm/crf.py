@@ -8,13 +8,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.llm import rolling as ro
 from recspark.llm.arrow import give_back, groups, in_arrow
 from recspark.llm.bpe import LETTER, classes
-from recspark.llm.stages import plain
+from recspark.llm.stages import cut, plain, small_side
 
 U = np.uint64
 HASHED = 1 << 18
@@ -263,31 +263,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train_rows: int = 2400, train_chars: int = 2000, most_langs: int = 200) -> Model:
-    """A model from a bounded sample of labelled rows: about ``train_rows``, in equal parts per language.
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", train_rows: int = 2400, train_chars: int = 2000) -> Model:
+    """A model from a bounded sample of labelled rows: about ``train_rows``, in equal parts per language, one text of each at least.
 
     Of each sampled text a stretch of ``train_chars`` characters is learnt from. Rows
-    are chosen by a hash of their text, so the sample does not depend on partitions.
-    Rows with a null text or language teach nothing; without any the model has no labels.
+    are chosen by a hash of their text, so the sample does not depend on partitions, and
+    a language's share is one of its distinct texts, however many copies they have. All
+    languages are learnt. Rows with a null text or language teach nothing; without any the model has no labels.
     """
     rows = docs.select(plain(text_col).alias("text"), plain(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()}
-    if not counts:
+    counts = cut(rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count("*").alias("n_texts")))
+    langs = counts.count()
+    if not langs:
         return train([], [])
-    each = max(1, train_rows // len(counts))
+    each = max(1, train_rows // langs)
     draw = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
-    kept = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        kept = kept | ((F.col("lang") == lang) & (draw < int(min(1.0, 1.5 * each / n) * (1 << 30))))
+    wanted = rows.join(small_side(counts, langs, 64), "lang").where(draw < F.least(F.lit(1.0), (1.5 * each + 3) / F.col("n_texts")) * (1 << 30))
     middle = F.greatest(F.lit(1), F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.length("text") - train_chars)).cast("int"))
-    sample = rows.where(kept).select("lang", draw.alias("draw"), F.substring(F.col("text"), middle, F.lit(train_chars)).alias("text"))
-    sample = sample.distinct().orderBy("draw", "text").limit(3 * train_rows).collect()
-    chosen, have = [], {}
-    for r in sample:
-        if have.get(r["lang"], 0) < each:
-            have[r["lang"]] = have.get(r["lang"], 0) + 1
-            chosen.append(r)
-    model = train([r["text"] for r in chosen], [r["lang"] for r in chosen])
+    sample = wanted.select("lang", draw.alias("draw"), F.substring(F.col("text"), middle, F.lit(train_chars)).alias("text")).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
+    sample = sample.withColumn("place", place).where(F.col("place") <= each).orderBy("draw", "text").collect()
+    model = train([r["text"] for r in sample], [r["lang"] for r in sample])
     give_back()
     return model
 

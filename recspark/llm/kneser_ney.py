@@ -261,7 +261,7 @@ def quantiles(scored: DataFrame, lang: str, low: float, high: float, low_of: str
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", low: float = 0.005, high: float = 0.995,
-             slack: float = 0.1, folds: int = 5, least_rows: int = 20, errors: float = 3.0, unsure: float = 2.0, head_rows: int = 1 << 19, keep: list[str] | None = None) -> DataFrame:
+             slack: float = 0.1, folds: int = 5, prior_rows: int = 20, errors: float = 3.0, unsure: float = 2.0, head_rows: int = 1 << 19, keep: list[str] | None = None) -> DataFrame:
     """``id_col, lang_col, n_bytes, perplexity, low, high, trusted, kept`` and columns ``keep`` of every row of ``docs``.
 
     Trusted texts are those whose id is labelled quality 1 and never quality 0 or
@@ -275,8 +275,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     quantile by more than ``slack`` and ``unsure`` over the root of the number of texts
     behind the quantile: too unlikely is noise, too likely is repetition.
 
-    A null language, or one of fewer than ``least_rows`` trusted texts, is held against the
-    quantiles of all languages together, with the number of all trusted texts in the margin.
+    A language's quantiles and margin are weighed with those of all languages together, by its
+    number of trusted texts against ``prior_rows``; a null language, or one without trusted
+    texts, is held against those of all languages alone.
     Texts without a non-blank character go. Where no other fold holds a trusted text, and
     so without trusted texts at all, nothing else goes. Null ids are never trusted;
     repeated rows are judged one by one; an empty table gives no rows.
@@ -295,12 +296,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     error = errors * F.col("error")
     scored = cut(scored.join(side, by_id, "left").select("*", F.col("t_id").isNotNull().alias("trusted"), (F.col("mean") + error).alias("most"), (F.col("mean") - error).alias("least")).drop("t_id"))
     edges = cut(quantiles(scored.where("trusted and n_bytes > 0 and not blind"), "lang", low, high, "most", "least"))
-    by_lang = edges.where(~F.col("overall") & (F.col("rows") >= least_rows) & F.col("lang").isNotNull()).select(F.col("lang").alias("e_lang"), "low", "high", F.col("rows").alias("e_rows"))
     overall = edges.where("overall").select("low", "high", "rows").collect()
     all_low, all_high, all_rows = overall[0] if overall else (float("-inf"), float("inf"), 1)
+    own = F.col("rows") / (F.col("rows") + prior_rows)
+    by_lang = edges.where(~F.col("overall") & F.col("lang").isNotNull()).select(F.col("lang").alias("e_lang"), *((own * F.col(c) + (1 - own) * F.lit(float(x))).alias(c) for c, x in (("low", all_low), ("high", all_high))),
+                                                                                (own / F.sqrt("rows") + (1 - own) / all_rows**0.5).alias("unsure"))
     out = scored.join(F.broadcast(by_lang) if by_lang.count() <= 10_000 else by_lang, F.col("lang") == F.col("e_lang"), "left")
     low_, high_ = F.coalesce("low", F.lit(all_low)), F.coalesce("high", F.lit(all_high))
-    margin = slack + unsure / F.sqrt(F.coalesce("e_rows", F.lit(all_rows)))
+    margin = slack + unsure * F.coalesce("unsure", F.lit(1 / all_rows**0.5))
     inside = F.col("blind") | ((F.col("most") + margin >= low_) & (F.col("least") - margin <= high_))
     return out.select(F.col("id").alias(id_col), F.col("lang").alias(lang_col), "n_bytes", "perplexity", low_.alias("low"), high_.alias("high"), "trusted",
                       (inside & F.col("visible")).alias("kept"), *(F.col(n).alias(c) for n, c in zip(named, keep or [])))

@@ -1,4 +1,5 @@
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -71,3 +72,18 @@ def test_edge_cases(spark):
     assert identify(empty, model, ["doc_id"]).count() == 0
     none = fit(empty)
     assert isinstance(none, Model) and [r.lang_pred for r in identify(spark.createDataFrame(odd[3:4], schema), none, ["doc_id"]).collect()] == ["und"]
+
+
+def test_every_language_is_learnt(spark):
+    """201 languages, one of which is nearly all rows, and they copies of one text."""
+    from recspark.llm.crf import fit, identify
+
+    r = random.Random(8)
+    words = {k: ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for k in range(201)}
+    rows = [(f"l{k}", " ".join(r.choices(words[k], k=12))) for k in range(201) for _ in range(4)]
+    rows += [("l0", " ".join(words[0]))] * 3000
+    model = fit(spark.createDataFrame(rows, "lang string, text string"), train_rows=402, train_chars=100)
+    assert len(model.labels) == 201
+    asked = [(k, " ".join(words[k][:8])) for k in (0, 17, 100, 200)]
+    got = {x.k: x.lang_pred for x in identify(spark.createDataFrame(asked, "k long, text string"), model, ["k"]).collect()}
+    assert got == {k: f"l{k}" for k, _ in asked}
