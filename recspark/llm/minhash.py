@@ -224,10 +224,12 @@ def crossing(named: DataFrame, block: int, elements: int = 1 << 19) -> DataFrame
     part = F.pmod(F.xxhash64("rep", "s1"), F.col("parts"))
     who = cut(home.join(cut(size), "home").select(F.xxhash64("home.key", part).alias("blk"), "rep", "n", "s1", "component"))
     placed = cut(mixed.join(who.select("rep", "s1", "blk"), ["rep", "s1"]).select("key", "rep", "s1", "blk", (F.col("component") != F.col("main")).alias("stray")))
-    there = cut(placed.groupBy("key", F.col("blk").alias("other")).agg(F.max("stray").alias("strays")))
-    met = placed.join(there, "key").where("stray or strays")
-    met = met.select(F.least("blk", "other").alias("a"), F.greatest("blk", "other").alias("b"), "rep", "s1").distinct()
-    return met.join(who, ["rep", "s1"]).select("a", "b", "blk", "rep", "n", "s1", "component")
+    there = cut(placed.groupBy("key").agg(F.collect_set("blk").alias("blocks"), F.collect_set(F.when(F.col("stray"), F.col("blk"))).alias("strays")))
+    others = placed.join(there, "key").select("rep", "s1", F.when(F.col("stray"), F.col("blocks")).otherwise(F.col("strays")).alias("others"))
+    # a member's buckets are united before it is sent anywhere
+    met = others.groupBy("rep", "s1").agg(F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    met = met.join(who, ["rep", "s1"]).withColumn("other", F.explode("others"))
+    return met.select(F.least("blk", "other").alias("a"), F.greatest("blk", "other").alias("b"), "blk", "rep", "n", "s1", "component")
 
 
 def _pairs(cell: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
