@@ -1,9 +1,7 @@
 """Latent-factor recommenders: truncated SVD of the interaction matrix and implicit ALS.
 
-Both factor tables stay distributed and both models end in the same scorer: users and
-items are packed into blocks, every block of users meets every block of items, and a
-task keeps the best k + |seen| items of its block per user. One path at every size; only
-width × width matrices reach the driver.
+Both factor tables stay distributed and both models end in the same bounded scorer
+(``topk``). One path at every size; only width × width matrices reach the driver.
 """
 
 from __future__ import annotations
@@ -17,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.operators.models import SCORE_DIGITS, interaction_counts, topk_per_user
+from recspark.operators import topk
+from recspark.operators.models import interaction_counts
 from recspark.operators.prepare import ITEM, USER
 from recspark.session import cut_lineage
 
 BROADCAST_BYTES = 64 << 20  # a measured side up to this size is broadcast, a larger one is joined by shuffle
-SALTS = 64  # tasks that list the pairs of blocks
 
 
 @dataclass
@@ -37,10 +35,7 @@ def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
-def _vectors(col: pa.Array) -> np.ndarray:
-    """A list column of equal lengths as a matrix."""
-    flat = col.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(col), -1)
+_vectors = topk.matrix
 
 
 def _lists(x: np.ndarray) -> pa.Array:
@@ -143,80 +138,14 @@ def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: st
     return FactorModel(v.withColumnRenamed("vals", "factors"), users.withColumnRenamed("vals", "factors"), len(order), sv)
 
 
-def _blocks(df: DataFrame, key: str, extra: list[str], size: int, name: str) -> DataFrame:
-    """Rows packed as ``name`` (block number), ``keys``, ``mat`` (doubles) and the extra columns as lists.
-
-    Rows keep their order; a block is a run of at most ``size`` rows of one partition.
-    """
-    from pyspark import TaskContext
-
-    kinds = dict(df.dtypes)
-
-    def pack(batches):
-        n = 0
-        for b in batches:
-            for part in (b.slice(i, size) for i in range(0, b.num_rows, size)):
-                lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], type=pa.int32()), part.column(c)) for c in (0, *range(2, 2 + len(extra)))]
-                mat = np.ascontiguousarray(_vectors(part.column(1))).astype("<f8").tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 32) + n]), lists[0], pa.array([mat], type=pa.binary()), *lists[1:]], names=[name, "keys", "mat", *extra])
-                n += 1
-
-    schema = ", ".join([f"{name} long, keys array<{kinds[key]}>, mat binary", *(f"{c} array<{kinds[c]}>" for c in extra)])
-    return df.select(key, "factors", *extra).mapInArrow(pack, schema)
+def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, item: str = ITEM, **bounds) -> DataFrame:
+    """Top k unseen items per user by factors · item factors, see ``topk.score_topk``."""
+    return topk.score_topk(model.user_factors, model.item_factors, train, k, user, item, **bounds)
 
 
-def _best(scores: np.ndarray, take: int) -> np.ndarray:
-    """Positions of the ``take`` largest scores, ties to the earlier position."""
-    if take >= len(scores):
-        return np.arange(len(scores))
-    least = np.partition(scores, len(scores) - take)[len(scores) - take]
-    above = np.flatnonzero(scores > least)
-    return np.concatenate([above, np.flatnonzero(scores == least)[: take - len(above)]])
-
-
-def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, item: str = ITEM,
-               user_block: int = 1024, item_block: int = 4096) -> DataFrame:
-    """Top k unseen items per user by factors · item factors; ties go to the smaller item.
-
-    Scores are rounded before they are compared. Items are sorted by id inside a block,
-    a block gives its best k + |seen| per user, so no unseen item of the top k is lost.
-    """
-    return score_blocks(model, train, k, lambda p, m: p @ m.T, model.rank, user, item, user_block, item_block)
-
-
-def score_blocks(model: FactorModel, train: DataFrame, k: int, scores, item_width: int, user: str = USER, item: str = ITEM,
-                 user_block: int = 1024, item_block: int = 4096) -> DataFrame:
-    """``score_topk`` with any function (user rows, item rows) → score matrix."""
-    seen = train.select(user, item).distinct()
-    n_seen = seen.groupBy(user).agg(F.count(F.lit(1)).alias("n_seen"))
-    users = model.user_factors.join(n_seen, user, "left").select(user, "factors", F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
-    mine = cut_lineage(_blocks(users, user, ["n_seen"], user_block, "ub"))
-    ordered = model.item_factors.repartitionByRange(F.col(item)).sortWithinPartitions(item)
-    theirs = cut_lineage(_blocks(ordered, item, [], item_block, "ib").select("ib", F.col("keys").alias("i_keys"), F.col("mat").alias("i_mat")))
-    size = theirs.agg(F.coalesce(F.sum(F.length("i_mat")), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
-    # every pair of block numbers is one row, made in SALTS tasks; blocks are then fetched by number
-    salted = mine.select("ub", F.pmod(F.xxhash64("ub"), F.lit(SALTS)).cast("int").alias("salt"))
-    pairs = salted.join(theirs.select("ib", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")), "salt").select("ub", "ib")
-    pairs = pairs.repartition("ub", "ib")
-    met = pairs.join(mine, "ub").join(_small(theirs, 1, 2 * size["b"]), "ib")
-    kinds, rank = dict(train.dtypes), model.rank
-
-    def scorer(batches):
-        for b in batches:
-            col = {c: b.column(j) for j, c in enumerate(b.schema.names)}
-            for r in range(b.num_rows):
-                p = np.frombuffer(col["mat"][r].as_py(), dtype="<f8").reshape(-1, rank)
-                m = np.frombuffer(col["i_mat"][r].as_py(), dtype="<f8").reshape(-1, item_width)
-                keys, items, have = col["keys"][r].values, col["i_keys"][r].values, col["n_seen"][r].values.to_numpy()
-                for i in range(0, len(p), 128):
-                    s = np.round(scores(p[i:i + 128], m), SCORE_DIGITS)
-                    top = [_best(row, k + int(h)) for row, h in zip(s, have[i:i + 128])]
-                    n = [len(t) for t in top]
-                    own, flat = np.repeat(np.arange(len(s)), n), np.concatenate(top)
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(own + i)), items.take(pa.array(flat)), pa.array(s[own, flat])], names=[user, item, "score"])
-
-    cand = met.select("keys", "mat", "n_seen", "i_keys", "i_mat").mapInArrow(scorer, f"{user} {kinds[user]}, {item} {kinds[item]}, score double")
-    return topk_per_user(cand.join(seen, [user, item], "left_anti"), k, user, item)
+def score_blocks(model: FactorModel, train: DataFrame, k: int, scores, user: str = USER, item: str = ITEM, **bounds) -> DataFrame:
+    """``score_topk`` with any function (user rows, item rows) → score matrix, and so without a bound."""
+    return topk.score_topk(model.user_factors, model.item_factors, train, k, user, item, scores, **bounds)
 
 
 def recommend_svd(train: DataFrame, n_components: int = 50, k: int = 10, user: str = USER, item: str = ITEM) -> DataFrame:

@@ -130,12 +130,12 @@ def mlp_score(scaler, model, rows: DataFrame) -> DataFrame:
 
 
 def mlp_recommend(scaler, model, factors, item_feats: DataFrame, train: DataFrame, users: DataFrame, k: int = 10, use_aux: bool = True, cols=ITEM_FEATURES,
-                  user_block: int = 256, item_block: int = 4096) -> DataFrame:
+                  **bounds) -> DataFrame:
     """Top k unseen items of the whole catalogue per user by the network's score.
 
-    Users and items are packed in blocks that meet pairwise; a task runs the network's
-    layers (matrix products and logistic units, from the fitted weights) on a user
-    against a block and keeps the best k + |seen|. Ties go to the smaller item.
+    Users walk all blocks of items; a task runs the network's layers (matrix products and
+    logistic units, from the fitted weights) on a user against a block and keeps the best
+    k. Ties go to the smaller item.
     """
     import numpy as np
 
@@ -167,8 +167,7 @@ def mlp_recommend(scaler, model, factors, item_feats: DataFrame, train: DataFram
             out[i] = 1 / (1 + np.exp(h[:, 0] - h[:, 1]))
         return out
 
-    size = rank + (len(cols) if use_aux else 0)
-    return score_blocks(FactorModel(items, known, rank), train, k, scores, size, user_block=user_block, item_block=item_block)
+    return score_blocks(FactorModel(items, known, rank), train, k, scores, **bounds)
 
 
 # ---------------------------------------------------------------- sampled evaluation
