@@ -6,16 +6,13 @@ Both factor tables stay distributed and both models end in the same bounded scor
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.operators import topk
+from recspark.operators import tiles, topk
 from recspark.operators.models import interaction_counts
 from recspark.operators.prepare import ITEM, USER
 from recspark.session import cut_lineage
@@ -35,107 +32,39 @@ def _small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
-_vectors = topk.matrix
-
-
-def _lists(x: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(np.ascontiguousarray(x).reshape(-1)))
-
-
-def _combined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per key and batch: the sum of v · vals."""
-    for b in batches:
-        if b.num_rows:
-            code, keys = pd.factorize(b.column(0).to_numpy(zero_copy_only=False))
-            x = _vectors(b.column(2)) * b.column(1).to_numpy()[:, None]
-            order = np.argsort(code, kind="stable")
-            sums = np.add.reduceat(x[order], np.searchsorted(code[order], np.arange(len(keys))), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, type=b.schema.field(0).type), pa.array(np.ones(len(keys))), _lists(sums)], names=b.schema.names)
-
-
-def _product(cells: DataFrame, side: DataFrame, on: str, key: str, rows: int, width: int) -> DataFrame:
-    """X · Z (or its transpose): per ``key`` the sum of v · vals over ``side`` (on, vals).
-
-    Partial sums are formed per Arrow batch before and after the shuffle on ``key``; the
-    rest of the sum is a plain aggregate per component, so a hot key is many partial rows.
-    """
-    kind = dict(cells.dtypes)[key]
-    schema = f"{key} {kind}, v double, vals array<double>"
-    part = cells.join(_small(side, rows, 8 * width + 32), on).select(key, "v", "vals").mapInArrow(_combined, schema)
-    part = part.repartition(F.col(key)).sortWithinPartitions(key).mapInArrow(_combined, schema)
-    return cut_lineage(part.groupBy(key).agg(*[F.sum(F.get("vals", F.lit(j))).alias(f"x{j}") for j in range(width)]).select(key, F.array(*[f"x{j}" for j in range(width)]).alias("vals")))
-
-
-def _gram(rows: DataFrame, width: int) -> np.ndarray:
-    """VᵀV of the ``vals`` rows, summed from one width × width part per task."""
-    def partial(batches):
-        acc = np.zeros((width, width))
-        for b in batches:
-            if b.num_rows:
-                x = _vectors(b.column(0))
-                acc += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(acc.ravel())], names=["idx", "g"])
-
-    g = np.zeros(width * width)
-    for r in rows.select("vals").mapInArrow(partial, "idx long, g double").groupBy("idx").agg(F.sum("g").alias("g")).collect():
-        g[r["idx"]] = r["g"]
-    return g.reshape(width, width)
-
-
-def _projected(rows: DataFrame, key: str, t: np.ndarray) -> DataFrame:
-    """(key, vals · t); t is width × width at most."""
-    def project(batches):
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column(0), _lists(_vectors(b.column(1)) @ t)], names=[key, "vals"])
-
-    return rows.select(key, "vals").mapInArrow(project, f"{key} {dict(rows.dtypes)[key]}, vals array<double>")
-
-
-def _orthonormal(rows: DataFrame, key: str, width: int) -> tuple[DataFrame, int]:
+def _orthonormal(blocks: DataFrame, width: int) -> tuple[DataFrame, int]:
     """Rows turned into an orthonormal basis of their columns (Gram eigenvectors), and its size."""
-    lam, w = np.linalg.eigh(_gram(rows, width))
+    lam, w = np.linalg.eigh(tiles.gram(blocks, width))
     keep = lam > max(lam.max(), 0.0) * 1e-12
     if not keep.any():
         keep[-1] = True
-    return _projected(rows, key, w[:, keep] / np.sqrt(np.maximum(lam[keep], 1e-300))), int(keep.sum())
-
-
-def _gaussian(items: DataFrame, item: str, width: int, seed: int) -> DataFrame:
-    """Standard-normal (item, vals) from key hashes (Box-Muller): the same on every retry."""
-    two53 = float(2**53)
-    def normal(j):
-        u1 = (F.shiftrightunsigned(F.xxhash64(F.col(item), F.lit(j), F.lit(seed)), 11).cast("double") + 1.0) / two53
-        u2 = F.shiftrightunsigned(F.xxhash64(F.col(item), F.lit(j), F.lit(seed + 1)), 11).cast("double") / two53
-        return F.sqrt(-2.0 * F.log(u1)) * F.cos(2 * np.pi * u2)
-
-    return items.select(item, F.array(*[normal(j) for j in range(width)]).alias("vals"))
+    return tiles.times(blocks, w[:, keep] / np.sqrt(np.maximum(lam[keep], 1e-300))), int(keep.sum())
 
 
 def fit_svd(train: DataFrame, n_components: int = 50, user: str = USER, item: str = ITEM,
-            oversample: int = 10, power_iters: int = 2, seed: int = 42) -> FactorModel:
+            oversample: int = 10, power_iters: int = 2, seed: int = 42, block: int | None = None) -> FactorModel:
     """Truncated SVD of X (users × items, cell = row count) by a randomized range finder.
 
     Q spans X·Ω after ``power_iters`` rounds of XᵀQ and XZ; B = QᵀX stays distributed by
     item, B Bᵀ (width²) gives the singular values and rotates B into V; user factors are
-    X·V. With as many columns as items the range is whole and the result exact.
+    X·V. With as many columns as items the range is whole and the result exact. All products
+    run on a grid of tiles (``tiles``), ``block`` users by ``block`` items each.
     """
     cells = cut_lineage(interaction_counts(train, user, item).select(user, item, F.col("v").cast("double").alias("v")))
-    items = cells.select(item).distinct()
-    sizes = cells.agg(F.count_distinct(user).alias("u"), F.count_distinct(item).alias("i")).first()
-    rank = max(1, min(n_components, sizes["i"] - 1))
-    width = max(1, min(sizes["i"], rank + oversample))
-    z, w = _gaussian(items, item, width, seed), width
+    x = tiles.tiled(cells, user, item, block)
+    rank = max(1, min(n_components, x.count["i"] - 1))
+    width = max(1, min(x.count["i"], rank + oversample))
+    z, w = tiles.gaussian(x, "i", width, seed), width
     for _ in range(power_iters + 1):
-        q, n = _orthonormal(_product(cells, z, item, user, sizes["i"], w), user, w)
-        z, w = _product(cells, q, user, item, sizes["u"], n), n
-    lam, u = np.linalg.eigh(_gram(z, w))
+        q, n = _orthonormal(tiles.product(x, z, "u", w), w)
+        z, w = tiles.product(x, q, "i", n), n
+    lam, u = np.linalg.eigh(tiles.gram(z, w))
     order = np.argsort(lam)[::-1][:rank]
     order = order[lam[order] > max(lam.max(), 0.0) * 1e-12] if lam.max() > 0 else order[:1]
     sv = np.sqrt(np.maximum(lam[order], 1e-300))
-    v = cut_lineage(_projected(z, item, u[:, order] / sv))
-    users = _product(cells, v, item, user, sizes["i"], len(order))
-    return FactorModel(v.withColumnRenamed("vals", "factors"), users.withColumnRenamed("vals", "factors"), len(order), sv)
+    v = cut_lineage(tiles.times(z, u[:, order] / sv))
+    users = tiles.product(x, v, "u", len(order))
+    return FactorModel(tiles.rows_of(x, v, "i", len(order), "factors").select(item, "factors"), tiles.rows_of(x, users, "u", len(order), "factors").select(user, "factors"), len(order), sv)
 
 
 def score_topk(model: FactorModel, train: DataFrame, k: int, user: str = USER, item: str = ITEM, **bounds) -> DataFrame:
