@@ -1439,6 +1439,7 @@ def q_k_core_filter(spark, sf):
 
 
 # ====================================================================== learned rankers, sampled evaluation, grids
+from recspark.operators import pairwise as pw  # noqa: E402
 from recspark.operators import ranking as rk  # noqa: E402
 from recspark.plans import grid as gr  # noqa: E402
 
@@ -1496,6 +1497,26 @@ def q_rec_bpr_linear(spark, sf):
     return rk.personalize_shared(scores, te.select(USER), tr.select(USER, ITEM).distinct(), 10)
 
 
+def _pairwise(spark, sf):
+    tr, _, te = splits(spark, sf)
+    return pw.fit_pairwise(tr), tr, te
+
+
+@query("rec_bpr_factors")
+def q_rec_bpr_factors(spark, sf):
+    """Personal pairwise factors: top 10 unseen items of the whole catalogue for every train user."""
+    model, tr, _ = _pairwise(spark, sf)
+    return fa.score_topk(model, tr, 10)
+
+
+@query("bpr_factor_loss")
+def q_bpr_factor_loss(spark, sf):
+    """BPR loss of the linear ranker and of the personal factors on the same training triples."""
+    _, _, t = _triples(spark, sf)
+    linear = rk.bpr_loss(rk.score_pairs_linear(t, rk.fit_bpr_linear(t))).withColumn("model", F.lit("linear"))
+    return linear.unionByName(rk.bpr_loss(pw.pair_scores(t, _pairwise(spark, sf)[0])).withColumn("model", F.lit("factors")))
+
+
 def _mlp_fit(spark, sf, use_aux: bool):
     tr, _, _ = splits(spark, sf)
     feats = rk.item_feature_table(tr)
@@ -1541,6 +1562,7 @@ def _contract(name: str, make, where: str = "") -> None:
 IN_TEST = "WHERE customer_unique_id IN (SELECT customer_unique_id FROM test)"
 _contract("rec_svd_contract", lambda spark, sf, tr, te: fa.recommend_svd(tr, 50, 10))
 _contract("rec_als_contract", lambda spark, sf, tr, te: fa.recommend_als(tr, 10, rank=16))
+_contract("rec_bpr_factors_contract", lambda spark, sf, tr, te: q_rec_bpr_factors(spark, sf))
 _contract("rec_mlp_contract", lambda spark, sf, tr, te: q_rec_mlp(spark, sf), IN_TEST)
 _contract("rec_bpr_linear_contract", lambda spark, sf, tr, te: q_rec_bpr_linear(spark, sf).join(tr.select(USER).distinct(), USER, "left_semi"), IN_TEST)
 _contract("batch_recommend_contract", lambda spark, sf, tr, te: q_batch_recommend(spark, sf).where("source = 'model'").drop("source"), IN_TEST)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder: survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Tables:
+    """Successive tables of a loop, written in the shared folder and read again.
+
+    Spark multiplies the estimated sizes of joined sides and keeps the estimate over a
+    checkpoint, so in a long loop of joins the number itself grows without bound; a written
+    table has its true size. ``drop`` deletes a table that nothing reads any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.made = spark, f"{checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}", 0
+
+    def write(self, df: DataFrame) -> tuple[DataFrame, str]:
+        path = f"{self.folder}/{self.made}"
+        self.made += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def drop(self, path: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
