@@ -71,16 +71,13 @@ def _blocks(batches: Iterable[pa.RecordBatch], order: int, most_tokens: int, mos
     streams, parts, have = [], [], 0
 
     def out():
-        code, words = pd.factorize(np.concatenate(streams))
-        rank = np.argsort(words)
-        place = np.empty(len(rank), dtype=np.int64)
-        place[rank] = np.arange(len(rank))
+        code, words = pd.factorize(np.concatenate(streams))  # by first appearance: common words get small numbers
         table = pa.table({c: pa.array(v, type=t) for c, v, t in zip(("row", "id", "train", "first", "n"), zip(*parts), (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64()))})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema) as to:
             to.write_table(table)
         return pa.RecordBatch.from_arrays(
-            [pa.array([stamp + made]), pa.array([have]), *(pa.array([x], type=pa.binary()) for x in (pack_sorted(words[rank]), pack(place[code]), sink.getvalue().to_pybytes()))],
+            [pa.array([stamp + made]), pa.array([have]), *(pa.array([x], type=pa.binary()) for x in (pack(words), pack(code), sink.getvalue().to_pybytes()))],
             names=["block", "n", "words", "codes", "parts"])
 
     for batch in groups(batches, "text", most_bytes):
@@ -124,7 +121,11 @@ class Grams:
         self.opening = first[self.part] & (offset[self.at] == order - 1)  # nothing but start symbols before
         self.trained = train[self.part]
         held = ~train[part]
-        self.key, self.code, self.own, self.held = {1: unpack_sorted(words)}, {1: unpack(codes).astype(np.int64)}, {}, {}
+        words = unpack(words)
+        rank = np.argsort(words)
+        place = np.empty(len(rank), dtype=np.int64)
+        place[rank] = np.arange(len(rank))
+        self.key, self.code, self.own, self.held = {1: words[rank]}, {1: place[unpack(codes).astype(np.int64)]}, {}, {}
         width = len(self.key[1])
         for m in range(2, order + 1):
             inside = np.flatnonzero(offset >= m - 1)
@@ -234,11 +235,11 @@ class GoodTuring:
 
 # --- scores ----------------------------------------------------------------------------------
 
-SCORED = "row long, id long, train boolean, tokens long, known long, base double, score double, asked array<long>, times array<long>, context long, left double, below double"
+SCORED = "row long, id long, train boolean, tokens long, known long, base double, score double, asked array<long>, times array<long>, context array<long>, left array<double>, below array<double>"
 
 
 def _scored(block: pa.Table, answers: pa.Table, order: int, levels: dict[int, GoodTuring], texts_trained: int) -> pa.Table:
-    """Of a block: a row per text part, with the histories whose weight it needs; a row per history with what its owned n-grams take."""
+    """Of a block: a row per text part, with the histories whose weight it needs; a row of histories and what their owned n-grams take."""
     answers = answers.sort_by([("m", "ascending"), ("shard", "ascending")])
     grams = Grams(*(block[c][0].as_py() for c in ("words", "codes", "parts")), order)
     total, flags = {}, {}
@@ -284,16 +285,16 @@ def _scored(block: pa.Table, answers: pa.Table, order: int, levels: dict[int, Go
     tokens = np.bincount(grams.part, minlength=docs)
     context, left, below = (np.concatenate(x) for x in zip(*below_rows)) if below_rows else (np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0))
     nulls = lambda n, t: pa.nulls(n, type=t)
-    lists = pa.list_(pa.int64())
+    lists, reals = pa.list_(pa.int64()), pa.list_(pa.float64())
     names = [x.split(" ")[0] for x in SCORED.split(", ")]
     top = [grams.row.combine_chunks(), grams.id.combine_chunks(), pa.array(grams.trained[grams.starts]), pa.array(tokens), pa.array(sums(known.astype(np.int64))), pa.array(sums(base)), pa.array(sums(lp)),
-           pa.ListArray.from_arrays(off, pa.array(key[order_])), pa.ListArray.from_arrays(off, pa.array(n[order_])), nulls(docs, pa.int64()), nulls(docs, pa.float64()), nulls(docs, pa.float64())]
-    k = len(context)
-    rest = [nulls(k, pa.int64()), nulls(k, pa.int64()), nulls(k, pa.bool_()), nulls(k, pa.int64()), nulls(k, pa.int64()), nulls(k, pa.float64()), nulls(k, pa.float64()), nulls(k, lists), nulls(k, lists), pa.array(context), pa.array(left), pa.array(below)]
+           pa.ListArray.from_arrays(off, pa.array(key[order_])), pa.ListArray.from_arrays(off, pa.array(n[order_])), nulls(docs, lists), nulls(docs, reals), nulls(docs, reals)]
+    off = pa.array([0, len(context)], type=pa.int32())
+    rest = [*(nulls(1, t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), lists, lists)), *(pa.ListArray.from_arrays(off, pa.array(x)) for x in (context, left, below))]
     return pa.concat_tables([pa.table(dict(zip(names, top))), pa.table(dict(zip(names, rest)))])
 
 
-def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, block_tokens: int = 3 << 19, part_bytes: int = 4 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, block_tokens: int = 1 << 22, part_bytes: int = 4 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """``id_col, train, n_tokens, n_known, train_tokens, base_score, score`` of every row; ids are longs.
 
     The model learns from the rows where ``train`` is true. A text's tokens are its words
@@ -340,7 +341,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     scored = cut(blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda a, b: _scored(a, b, order, levels, texts_trained), SCORED))
     del blocks, answers, told
     let_go(docs.sparkSession)  # blocks and answers
-    taken = scored.where("context is not null").groupBy("context").agg(F.sum("left").alias("left"), F.sum("below").alias("below"))
+    taken = scored.where("context is not null").select(F.explode(F.arrays_zip("context", "left", "below")).alias("x")).groupBy("x.context").agg(F.sum("x.left").alias("left"), F.sum("x.below").alias("below"))
     weights = cut(taken.select("context", F.log10(F.col("left") / F.greatest(F.lit(1) - F.col("below"), F.lit(1e-300))).alias("weight")))
     parts = scored.where("context is null")
     need = parts.select("row", F.explode(F.arrays_zip("asked", "times")).alias("x")).select("row", F.col("x.asked").alias("context"), "x.times")
