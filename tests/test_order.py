@@ -55,3 +55,56 @@ def test_iqr_without_values(spark):
     assert profile.iqr_bounds(df.limit(0), "y") == (None, None)
     got = profile.iqr_outlier_share(df, ["x", "y"]).collect()
     assert [(r["column"], r["n"], r["n_outliers"], r["outlier_pct"]) for r in got] == [("y", 4, 1, 25.0)]
+
+
+def _brute(rows, positions):
+    key = lambda r: tuple((v is None, 0 if v is None else v) for v in r)
+    ranked = sorted(rows, key=key)
+    return {p: ranked[p] for p in positions}
+
+
+@pytest.mark.parametrize("cells,listed,few", [(1000, 1 << 24, 4096), (8, 40, 5), (8, 0, 1)])
+def test_selection_in_rounds_equals_a_sort(spark, monkeypatch, cells, listed, few):
+    for name, v in (("CELLS", cells), ("LISTED", listed), ("FEW", few)):
+        monkeypatch.setattr(order, name, v)
+    rng = np.random.default_rng(3)
+    words = ["", "a", "a\0", "ab", "abcdefg", "abcdefgh", "abcdefghijklmnop", "é", "漢字漢字漢字", None]
+    rows = [
+        (None if i % 11 == 0 else 7 if i % 3 else int(rng.integers(-(2**62), 2**62)), words[int(rng.integers(10))], float(rng.integers(4)))
+        for i in range(600)
+    ]
+    df = spark.createDataFrame(rows, "a bigint, b string, c double")
+    n, got = order.kth_keys(df, ["a", "b", "c"], lambda n: [0, 100, 300, 301, 599, 600])
+    key = [(r[0], None if r[1] is None else r[1].encode(), r[2]) for r in rows]
+    want = _brute(key, [0, 100, 300, 301, 599])
+    assert n == 600 and {p: (v[0], None if v[1] is None else v[1].encode(), v[2]) for p, v in got.items()} == want
+
+
+def test_quantiles_in_rounds_on_uneven_values(spark, monkeypatch):
+    monkeypatch.setattr(order, "CELLS", 8)
+    monkeypatch.setattr(order, "LISTED", 30)
+    rng = np.random.default_rng(5)
+    sets = {"wide": np.exp(rng.normal(0, 40, 700)), "hot": np.concatenate([np.zeros(500), rng.normal(size=200)]), "one": np.array([4.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in sets.items() for v in vs], "g string, x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    for r in order.grouped_quantiles(df, "g", "x", probs).collect():
+        vs = sets[r["g"]]
+        assert r["n"] == len(vs) and [r[f"q{j}"] for j in range(6)] == pytest.approx(list(np.quantile(vs, probs)))
+
+
+def test_selection_has_no_range_exchange(spark, monkeypatch, capsys):
+    monkeypatch.setattr(order, "cut_lineage", lambda d: d)  # the plan shown is the whole one
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.5).alias("x"))
+    order.grouped_quantiles(df, "g", "x", [0.5]).explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning" in plan and "rangepartitioning" not in plan
+
+
+def test_cuts_of_times_and_of_missing_columns(spark):
+    df = spark.sql("select timestamp_ntz'2020-01-01' + make_dt_interval(0, 0, 0, id % 900) as t, if(id % 2 = 0, null, id) as k from range(20000)")
+    rows = [tuple(r) for r in df.collect()]
+    n, got = order.kth_keys(df, ["t", "k"], lambda n: [n // 2, n - 1])
+    assert got == _brute(rows, [n // 2, n - 1])
+    empty = spark.createDataFrame([(None, None)] * 5000, "a double, b date")
+    assert order.kth_keys(empty, ["a", "b"], lambda n: [17]) == (5000, {17: (None, None)})
+    assert order.kth_keys(empty.limit(0), ["a", "b"], lambda n: [0]) == (0, {})
