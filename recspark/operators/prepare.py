@@ -7,7 +7,7 @@ the joins, as in the source pipeline, and Catalyst pushes it into the orders sca
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 USER, ITEM, CAT = "customer_unique_id", "product_id", "product_category_name_english"
@@ -171,35 +171,82 @@ def sparsity(df: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
     )
 
 
-def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, user: str = USER, item: str = ITEM):
+def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, user: str = USER, item: str = ITEM, buckets: int = 256):
     """Repeat (drop users with < min_user rows, then items with < min_item rows) until stable.
 
-    Each round is a group-by + semi join; the surviving rows are checkpointed into the
-    shared checkpoint folder so the plan does not grow with the rounds. Returns (df, stats).
+    The first round is a group-by and a semi join a side. What survives is written as two
+    adjacency tables, by user and by item, in ``buckets`` of hashed nodes, with a table of
+    degrees a side. From then on a round takes the nodes that fell below their threshold,
+    reads only the buckets that hold them and lowers the degrees at the other end, so an
+    edge is read when its user goes and when its item goes, not in every round. Edges of
+    nodes gone earlier may be met again; they only lower degrees of nodes that are gone.
+    Rows with a null user or item go in the first round. Returns (df, stats); ``edges`` in
+    stats are the distinct pairs after the first round, ``edges_read`` those in the buckets read.
     """
-    from recspark.session import cut_lineage
-
-    def counts(d):
-        r = d.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(user).alias("u"), F.count_distinct(item).alias("i")).first()
-        return r["n"], r["u"], r["i"]
-
-    n0, u0, i0 = counts(df)
-    cur, prev, rounds = df, n0, 0
-    while True:
+    from recspark.session import Tables, cut_lineage
+
+    least = {"u": max(1, min_user), "i": max(1, min_item)}
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(user).alias("u"), F.count_distinct(item).alias("i")).first()
+    n0, u0, i0 = r["n"], r["u"], r["i"]
+    rows = df.select(F.col(user).alias("u"), F.col(item).alias("i"))
+    for side in ("u", "i"):
+        counted = rows.groupBy(side).agg(F.count(F.lit(1)).alias("_c"))
+        rows = rows.join(counted.where(F.col("_c") >= least[side]).select(side), side, "left_semi")
+    tables = Tables(df.sparkSession)
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    edges, state, held = {}, {}, {}
+    pairs = rows.groupBy("u", "i").agg(F.count(F.lit(1)).alias("n"))
+    for side, other in (("u", "i"), ("i", "u")):
+        dealt = pairs.withColumn("bucket", bucket(side))
+        # a range may end inside a node, so a node with very many edges is several files
+        dealt = dealt.repartitionByRange("bucket", side, other).sortWithinPartitions("bucket", side)
+        edges[side], _ = pairs, _ = tables.write(dealt, by=["bucket"])
+        held[side] = {x["bucket"]: x["count"] for x in edges[side].groupBy("bucket").count().collect()}
+        state[side] = edges[side].groupBy(F.col(side).alias("node")).agg(F.sum("n").alias("degree"))
+    n1 = edges["u"].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    paths = {"u": None, "i": None}
+
+    def settle(side: str, lost: DataFrame | None) -> tuple[DataFrame, list[int]]:
+        """Lower the side's degrees; returns its nodes now below the threshold and their buckets."""
+        now = state[side]
+        if lost is not None:
+            now = now.join(lost, "node", "left").select("node", (F.col("degree") - F.coalesce("lost", F.lit(0))).alias("degree"))
+        seen = Observation()
+        now = now.withColumn("gone", F.col("degree") < least[side])
+        now = now.observe(seen, F.collect_set(F.when(F.col("gone"), bucket("node"))).alias("buckets"))
+        before = paths[side]
+        now, paths[side] = tables.write(now)
+        if before:
+            tables.drop(before)
+        state[side] = now.where("not gone").select("node", "degree")
+        return now.where("gone").select("node"), list(seen.get["buckets"])
+
+    rounds, read = 1, 0
+    changed = n1 < n0
+    going = settle("u", None) if changed else (None, [])
+    while changed:
         rounds += 1
-        ok_u = cur.groupBy(user).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_user).select(user)
-        cur = cur.join(ok_u, user, "left_semi")
-        ok_i = cur.groupBy(item).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= min_item).select(item)
-        cur = cut_lineage(cur.join(ok_i, item, "left_semi").select(*df.columns))
-        n = cur.count()
-        if n == prev:
+        if not going[1]:
             break
-        prev = n
-    n1, u1, i1 = counts(cur)
+        for side, other in (("u", "i"), ("i", "u")):
+            gone, hit = going
+            if not hit:
+                break
+            read += sum(held[side][b] for b in hit)
+            met = edges[side].where(F.col("bucket").isin(hit)).join(gone.withColumnRenamed("node", side), side)
+            going = settle(other, met.groupBy(F.col(other).alias("node")).agg(F.sum("n").alias("lost")))
+    out = df
+    if changed:
+        for side, column in (("u", user), ("i", item)):
+            out = out.join(state[side].select(F.col("node").alias(column)), column, "left_semi")
+    out = cut_lineage(out.select(*df.columns))
+    n1, u1, i1 = out.count(), state["u"].count(), state["i"].count()
     stats = {
         "initial_rows": n0, "initial_users": u0, "initial_products": i0, "iterations": rounds,
         "final_rows": n1, "final_users": u1, "final_products": i1,
         "initial_sparsity": 1 - n0 / (u0 * i0) if u0 and i0 else 0.0,
         "final_sparsity": 1 - n1 / (u1 * i1) if u1 and i1 else 0.0,
+        "edges": sum(held["u"].values()), "edges_read": read,
     }
-    return cur, stats
+    tables.drop(tables.folder)
+    return out, stats

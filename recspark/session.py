@@ -73,10 +73,10 @@ class Tables:
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self.made = spark, f"{checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}", 0
 
-    def write(self, df: DataFrame) -> tuple[DataFrame, str]:
+    def write(self, df: DataFrame, by=()) -> tuple[DataFrame, str]:
         path = f"{self.folder}/{self.made}"
         self.made += 1
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path
 
     def drop(self, path: str) -> None:

@@ -64,6 +64,33 @@ def test_spearman_is_pairwise_complete(spark):
         assert n == sum(x[names.index(f)] is not None and x[names.index(g)] is not None for x in rows)
 
 
+def test_spearman_joins_no_value_with_many_rows(spark, monkeypatch):
+    """A 0/1 flag and a price that is 0 for half of the rows: only values of few rows are joined."""
+    import random
+
+    import pandas as pd
+
+    r = random.Random(5)
+    rows = [(float(r.random() < 0.3), 0.0 if r.random() < 0.5 else r.random(), float(i % 400)) for i in range(2000)]
+    rows = [(a, b + a, c) for a, b, c in rows]
+    joined, join = [], type(spark.range(1)).join
+
+    def watched(self, other, *args, **kw):
+        if "rank" in other.columns and args[1:] != ("left",):
+            joined.extend(self.groupBy("at", "x").count().collect())
+        return join(self, other, *args, **kw)
+
+    monkeypatch.setattr(type(spark.range(1)), "join", watched)
+    got = {(x["f1"], x["f2"]): x["corr"] for x in se.spearman_pairs(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"], -1.0).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr(method="spearman")
+    assert all(abs(corr - want.loc[f, g]) < 1e-9 for (f, g), corr in got.items()) and len(got) == 3
+    assert joined and all(x["count"] * 100 < len(rows) for x in joined)
+
+
+def test_spearman_of_no_rows(spark):
+    assert se.spearman_pairs(spark.createDataFrame([], "a double, b double"), ["a", "b"], -1.0).count() == 0
+
+
 def test_final_columns_count():
     assert len(fe.FINAL_COLUMNS) == 42
     assert len(se.SELECTED_NUMERIC) == 18

@@ -79,10 +79,40 @@ def test_k_core_fixed_point(spark):
 
 
 def test_k_core_goes_on_to_the_fixed_point(spark):
-    """A path of 104 users loses its two ends each round: more than 50 rounds until nothing is left."""
-    from recspark.operators import prepare as pr
+    """A path of 104 users loses its two ends each round: more than 50 rounds until nothing is left.
 
+    Only the edges of the nodes that just went are read: each at most once from each end.
+    """
     rows = [(u, i) for u in range(104) for i in (u, u + 1)]
     df = spark.createDataFrame(rows, "customer_unique_id long, product_id long")
-    out, stats = pr.k_core(df, 2, 2)
+    out, stats = pr.k_core(df, 2, 2, buckets=1 << 16)
     assert out.count() == 0 and stats["final_rows"] == 0 and stats["iterations"] > 50
+    assert 0 < stats["edges_read"] <= 2 * stats["edges"]
+
+
+def test_k_core_equals_plain_rounds(spark):
+    """Random rows with repeats, nulls and a hot item against the rounds done row by row."""
+    import random
+    from collections import Counter
+
+    for seed in range(3):
+        r = random.Random(seed)
+        rows = [(r.choice([None, *[f"u{int(r.paretovariate(0.7)) % 60}" for _ in range(9)]]), r.choice([None, *[r.randint(0, 40) if r.random() < 0.7 else 0 for _ in range(9)]])) for _ in range(260)]
+        left = [x for x in rows if x[0] is not None]
+        rounds, before = 0, None
+        while before != len(left):
+            before, rounds = len(left), rounds + 1
+            for side, least in ((0, 4), (1, 5)):
+                n = Counter(x[side] for x in left)
+                left = [x for x in left if x[side] is not None and n[x[side]] >= least]
+        df = spark.createDataFrame([(*x, k) for k, x in enumerate(rows)], "customer_unique_id string, product_id long, k long")
+        out, stats = pr.k_core(df, 4, 5, buckets=8)
+        got = out.collect()
+        assert sorted(rows[x["k"]] for x in got) == sorted(left)
+        assert len({x["k"] for x in got}) == len(got) == stats["final_rows"]
+        assert stats["final_users"] == len({x[0] for x in left}) and stats["final_products"] == len({x[1] for x in left})
+
+
+def test_k_core_of_no_rows(spark):
+    out, stats = pr.k_core(spark.createDataFrame([], "customer_unique_id string, product_id string"), 2, 2)
+    assert out.count() == 0 and stats["iterations"] == 1 and stats["final_users"] == 0
