@@ -171,12 +171,12 @@ def sparsity(df: DataFrame, user: str = USER, item: str = ITEM) -> DataFrame:
     )
 
 
-def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, user: str = USER, item: str = ITEM, buckets: int = 256):
+def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, user: str = USER, item: str = ITEM, buckets: int | None = None):
     """Repeat (drop users with < min_user rows, then items with < min_item rows) until stable.
 
     The first round is a group-by and a semi join a side. What survives is written as two
-    adjacency tables, by user and by item, in ``buckets`` of hashed nodes, with a table of
-    degrees a side. From then on a round takes the nodes that fell below their threshold,
+    adjacency tables, by user and by item, in ``buckets`` of hashed nodes (by default one per
+    65,536 rows, 8 to 4,096), with a table of degrees a side. From then on a round takes the nodes that fell below their threshold,
     reads only the buckets that hold them and lowers the degrees at the other end, so an
     edge is read when its user goes and when its item goes, not in every round. Edges of
     nodes gone earlier may be met again; they only lower degrees of nodes that are gone.
@@ -188,6 +188,7 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, user: str = USER
     least = {"u": max(1, min_user), "i": max(1, min_item)}
     r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(user).alias("u"), F.count_distinct(item).alias("i")).first()
     n0, u0, i0 = r["n"], r["u"], r["i"]
+    buckets = buckets or min(4096, max(8, n0 >> 16))
     rows = df.select(F.col(user).alias("u"), F.col(item).alias("i"))
     for side in ("u", "i"):
         counted = rows.groupBy(side).agg(F.count(F.lit(1)).alias("_c"))
@@ -201,9 +202,10 @@ def k_core(df: DataFrame, min_user: int = 5, min_item: int = 5, user: str = USER
         # a range may end inside a node, so a node with very many edges is several files
         dealt = dealt.repartitionByRange("bucket", side, other).sortWithinPartitions("bucket", side)
         edges[side], _ = pairs, _ = tables.write(dealt, by=["bucket"])
-        held[side] = {x["bucket"]: x["count"] for x in edges[side].groupBy("bucket").count().collect()}
+        sizes = edges[side].groupBy("bucket").agg(F.count(F.lit(1)).alias("pairs"), F.sum("n").alias("rows")).collect()
+        held[side] = {x["bucket"]: x["pairs"] for x in sizes}
         state[side] = edges[side].groupBy(F.col(side).alias("node")).agg(F.sum("n").alias("degree"))
-    n1 = edges["u"].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n1 = sum(x["rows"] for x in sizes)
     paths = {"u": None, "i": None}
 
     def settle(side: str, lost: DataFrame | None) -> tuple[DataFrame, list[int]]:
