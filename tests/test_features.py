@@ -91,6 +91,30 @@ def test_spearman_of_no_rows(spark):
     assert se.spearman_pairs(spark.createDataFrame([], "a double, b double"), ["a", "b"], -1.0).count() == 0
 
 
+def test_mutual_info_counts_in_tasks(spark):
+    import math
+    import random
+    from collections import Counter
+
+    r = random.Random(2)
+    rows = [(None if i % 9 == 0 else r.random() * 3, float(i % 2), 7.0, None if i % 11 == 0 else float(r.randint(1, 5))) for i in range(500)]
+    got = {x["feature"]: x["mi"] for x in se.mutual_info(spark.createDataFrame(rows, "a double, b double, c double, y double"), ["a", "b", "c"], "y").collect()}
+    ys = sorted(x[3] for x in rows if x[3] is not None)
+    med = (ys[(len(ys) - 1) // 2] + ys[len(ys) // 2]) / 2
+
+    def bins(values):
+        lo, hi = min(values), max(values)
+        return [0 if hi == lo else min(9, math.floor((v - lo) / (hi - lo) * 10)) for v in values]
+
+    y = bins([med if x[3] is None else x[3] for x in rows])
+    for at, name in enumerate("abc"):
+        x = bins([0.0 if row[at] is None else row[at] for row in rows])
+        xy, nx, ny = Counter(zip(x, y)), Counter(x), Counter(y)
+        want = sum(n / 500 * math.log(n * 500 / (nx[a] * ny[b])) for (a, b), n in xy.items())
+        assert abs(got[name] - want) < 1e-9
+    assert set(got) == {"a", "b", "c"}
+
+
 def test_final_columns_count():
     assert len(fe.FINAL_COLUMNS) == 42
     assert len(se.SELECTED_NUMERIC) == 18
