@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.operators.prepare import ITEM, USER
+from recspark.session import cut_lineage
 
 
 def draw(*keys: Column, seed: int) -> Column:
@@ -25,7 +26,7 @@ def catalog_index(items: DataFrame, item: str = ITEM) -> DataFrame:
 
 
 def sample_negatives(pos: DataFrame, catalog: DataFrame, seen: DataFrame, n: int, seed: int = 42,
-                     user: str = USER, item: str = ITEM, exclude: DataFrame | None = None) -> DataFrame:
+                     user: str = USER, item: str = ITEM, exclude: DataFrame | None = None, cut: int = 1 << 16) -> DataFrame:
     """``n`` uniform items per positive (user, item) row, never one the user has seen.
 
     With replacement: draw j of a pair is a number r below the count of the user's unseen
@@ -35,22 +36,51 @@ def sample_negatives(pos: DataFrame, catalog: DataFrame, seen: DataFrame, n: int
     user. No rejection, no rounds, no complement. A user who has seen the whole catalogue
     has no negatives: their pairs give no rows (``without_negatives`` lists them).
     Returns (user, item, neg_item, j) with j = 0 … n-1.
+
+    A running count never spans a whole user: positions are cut every ``cut`` of them, each
+    cut starts from the sum of those before, and a user with more draws than positions has
+    them dealt over copies of the seen positions. Copies never outnumber draws and positions.
     """
-    idx = catalog_index(catalog, item)
+    idx = cut_lineage(catalog_index(catalog, item))
     n_items = idx.count()
-    banned = _banned(seen, exclude, idx, user, item)
-    low = F.row_number().over(Window.partitionBy(user).orderBy("_idx")) - 1
-    steps = banned.select(user, (F.col("_idx") - low).alias("_at"))
-    free = banned.groupBy(user).agg((F.lit(n_items) - F.count(F.lit(1))).alias("_free"))
-    pairs = pos.select(user, item).distinct().join(free, user, "left").select(user, item, F.coalesce("_free", F.lit(n_items)).alias("_free")).where("_free > 0")
-    draws = pairs.select(user, item, "_free", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"))
-    draws = draws.select(user, item, "j", F.pmod(draw(F.col(user), F.col(item), F.col("j"), seed=seed), F.col("_free")).alias("_at"))
-    both = draws.withColumn("_seen", F.lit(0)).unionByName(steps.withColumn("_seen", F.lit(1)), allowMissingColumns=True)
-    upto = Window.partitionBy(user).orderBy(F.col("_at"), F.col("_seen").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = both.withColumn("_idx", F.col("_at") + F.sum("_seen").over(upto)).where("_seen = 0")
+    banned = cut_lineage(_banned(seen, exclude, idx, user, item))
+    both = draws_and_steps(pos.select(user, item).distinct(), banned, n_items, n, seed, user, item, cut)
+    upto = Window.partitionBy(user, "_part", "_deal").orderBy(F.col("_at"), F.col("_n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = F.sum("_n").over(upto)
+    if n_items > cut:
+        # copies of a cut hold the same positions, so its first copy has its sum
+        sums = both.groupBy(user, "_part").agg(F.sum(F.when(F.col("_deal") == 0, F.col("_n"))).alias("_n"))
+        both, below = both.join(_ahead(sums, user), [user, "_part"]), below + F.col("_ahead")
+    picked = both.withColumn("_idx", F.col("_at") + below).where("_n = 0")
     return picked.join(idx.select("_idx", F.col(item).alias("neg_item")), "_idx").select(user, item, "neg_item", F.col("j").cast("int"))
 
 
+def draws_and_steps(pairs: DataFrame, banned: DataFrame, n_items: int, n: int, seed: int, user: str, item: str, cut: int) -> DataFrame:
+    """Draws (``_n`` 0) and seen positions (``_n`` of them at ``_at``) in groups (user, _part, _deal) of bounded size."""
+    part = lambda c: F.floor(F.col(c) / F.lit(cut))
+    cuts = banned.withColumn("_part", part("_idx"))
+    counts = cuts.groupBy(user, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    inside = F.row_number().over(Window.partitionBy(user, "_part").orderBy("_idx")) - 1
+    low = cuts.withColumn("_low", inside).join(_ahead(counts, user), [user, "_part"])
+    steps = low.groupBy(user, (F.col("_idx") - F.col("_low") - F.col("_ahead")).alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    free = counts.groupBy(user).agg((F.lit(n_items) - F.sum("_n")).alias("_free"))
+    drawn = pairs.groupBy(user).agg((F.count(F.lit(1)) * n).alias("_drawn")).join(free, user, "left")
+    users = drawn.select(user, F.coalesce("_free", F.lit(n_items)).alias("_free"), "_drawn").where("_free > 0")
+    # written, so that the joins below have a plain side and a user with many rows may be split
+    users = cut_lineage(users.withColumn("_deals", (F.lit(1) + F.floor(F.col("_drawn") / F.greatest(F.lit(cut), "_free"))).cast("int")).drop("_drawn"))
+    draws = pairs.join(users, user).select(user, item, "_free", "_deals", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"))
+    draws = draws.withColumn("_at", F.pmod(draw(F.col(user), F.col(item), F.col("j"), seed=seed), F.col("_free")))
+    draws = draws.select(user, item, "j", "_at", F.lit(0).cast("long").alias("_n"), F.pmod(F.xxhash64(item, "j"), "_deals").cast("int").alias("_deal"))
+    steps = steps.join(users, user).select(user, "_at", "_n", F.explode(F.sequence(F.lit(0), F.col("_deals") - 1)).alias("_deal"))
+    return draws.unionByName(steps, allowMissingColumns=True).withColumn("_part", part("_at"))
+
+
+def _ahead(sums: DataFrame, user: str) -> DataFrame:
+    """``user, _part, _ahead``: the sum of ``_n`` over the user's parts before each (one row a part)."""
+    before = Window.partitionBy(user).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(user, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+
+
 def _banned(seen: DataFrame, exclude: DataFrame | None, idx: DataFrame, user: str, item: str) -> DataFrame:
     rows = seen.select(user, item) if exclude is None else seen.select(user, item).union(exclude.select(user, item))
     return rows.distinct().join(idx, item).select(user, "_idx")

@@ -240,3 +240,29 @@ def test_class_scores_equal_hand_count(spark):
     assert got["precision_macro"] == pytest.approx((3 / 6 + 2 / 3 + 0) / 3) and got["recall_macro"] == pytest.approx((3 / 4 + 2 / 4 + 0) / 3)
     f = [2 * 0.5 * 0.75 / 1.25, 2 * (2 / 3) * 0.5 / (2 / 3 + 0.5), 0.0]
     assert got["f1_macro"] == pytest.approx(sum(f) / 3) and got["f1_weighted"] == pytest.approx((4 * f[0] + 4 * f[1]) / 9)
+
+
+def test_negative_samples_of_an_active_user_are_cut(spark):
+    """One user has seen most of the catalogue and has most draws: same rows in cuts of 16, groups of bounded size."""
+    import random
+
+    from recspark.operators import sampling as sa
+
+    r = random.Random(3)
+    items = spark.createDataFrame([(f"p{i:04d}",) for i in range(400)], "product_id string")
+    hot = [("hot", f"p{i:04d}") for i in sorted(r.sample(range(400), 370))]
+    rows = hot + [("none_left", f"p{i:04d}") for i in range(400)] + [(f"u{u}", f"p{r.randrange(400):04d}") for u in range(30) for _ in range(3)]
+    seen = spark.createDataFrame(sorted(set(rows)), "customer_unique_id string, product_id string")
+    whole = sorted(tuple(x) for x in sa.sample_negatives(seen, items, seen, 5).collect())
+    assert whole == sorted(tuple(x) for x in sa.sample_negatives(seen, items, seen, 5, cut=16).collect())
+    own = {}
+    for u, i in rows:
+        own.setdefault(u, set()).add(i)
+    unseen = {u: [f"p{i:04d}" for i in range(400) if f"p{i:04d}" not in s] for u, s in own.items()}
+    assert len(whole) == sum(5 * len(s) for u, s in own.items() if u != "none_left")
+    assert all(neg in unseen[u] for u, _, neg, _ in whole)
+    assert {neg for u, _, neg, _ in whole if u == "hot"} == set(unseen["hot"])
+    idx = sa.catalog_index(items)
+    both = sa.draws_and_steps(seen, sa._banned(seen, None, idx, "customer_unique_id", "product_id"), 400, 5, 42, "customer_unique_id", "product_id", 16)
+    groups = both.groupBy("customer_unique_id", "_part", "_deal").count().collect()
+    assert max(g["count"] for g in groups) <= 6 * 16 and sum(g["count"] for g in groups) < 3 * 5 * len(rows)
