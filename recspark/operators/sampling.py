@@ -34,8 +34,8 @@ def sample_negatives(pos: DataFrame, catalog: DataFrame, seen: DataFrame, n: int
     (from 0) has s_i - i unseen ones below it, the r-th unseen index is r plus the number
     of seen indices with s_i - i <= r, a running count over draws and seen indices of the
     user. No rejection, no rounds, no complement. A user who has seen the whole catalogue
-    has no negatives: their pairs give no rows (``without_negatives`` lists them).
-    Returns (user, item, neg_item, j) with j = 0 … n-1.
+    has no negatives: their pairs give no rows (``without_negatives`` lists them); nor do
+    pairs of a null user. Returns (user, item, neg_item, j) with j = 0 … n-1.
 
     A running count never spans a whole user: positions are cut every ``cut`` of them, each
     cut starts from the sum of those before, and a user with more draws than positions has
