@@ -77,3 +77,13 @@ def test_svd_on_many_tiles_equals_numpy(spark):
     got = {r[0]: np.array(r["factors"]) for r in model.user_factors.collect()}
     v = np.array([r["factors"] for r in sorted(model.item_factors.collect(), key=lambda r: r[0])])
     assert np.allclose([got[f"u{u}"] @ v.T for u in range(30)], x @ vt[:4].T @ vt[:4], atol=1e-6)
+
+
+def test_a_large_dense_side_is_not_broadcast(spark, monkeypatch):
+    """Spark takes blocks for short rows: without a hint it broadcast random blocks of any size."""
+    plans, cut = [], ti.cut_lineage
+    t = ti.tiled(frame(spark, matrix()), "user", "item", 8)
+    monkeypatch.setattr(ti, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(ti, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().toString()) or cut(df))
+    ti.product(t, ti.gaussian(t, "i", 3, 1), "u", 3)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0].split("== Physical Plan ==")[1]
