@@ -3,7 +3,8 @@
 The product of two vectors is at most the product of their lengths. Items are cut into blocks
 along falling length; a user's walk ends at the first block whose longest item, times the
 user's own length, stays below the user's k-th score so far. The running top k never
-leaves the task, so at most k rows a user do.
+leaves the task, so at most k rows a user do. Products are screened in single precision: only
+pairs that may be among the best, by the bound on its error, are computed in double.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from recspark.operators.models import SCORE_DIGITS
 from recspark.session import cut_lineage
 
-SHELF_BYTES = 16 << 20  # items that meet a user at once, in the memory of a task
+SHELF_BYTES, MOST_SHELF = 16 << 20, 8  # items that meet a user at once, in the memory of a task: first so many, then up to 8 times as many
+GROUP_BYTES = 64 << 20  # factors and lists of the users of a task
 SLACK = 1e-9  # a bound this close to a score may tie with it after rounding
 
 
@@ -45,8 +47,12 @@ class Walk:
     """Running top k of some users. ``met`` counts the (user, block) pairs whose scores were computed."""
 
     def __init__(self, p: np.ndarray, seen: list[np.ndarray], s: np.ndarray, r: np.ndarray, scores: Callable | None = None):
-        self.p, self.seen, self.s, self.r, self.scores, self.met = p, seen, s, r, scores, 0
+        self.p, self.s, self.r, self.scores, self.met = p, s, r, scores, 0
         self.length = np.sqrt((p * p).sum(axis=1))
+        some = [x for x in seen if len(x)]
+        flat = np.concatenate(some) if some else np.zeros(0, dtype=r.dtype)
+        order = np.argsort(flat, kind="stable")
+        self.seen, self.owner = flat[order], np.repeat(np.arange(len(p)), [len(x) for x in seen])[order]
 
     def open(self, top: float) -> np.ndarray:
         """Users for whom an item of length ``top`` may still matter; all of them without a bound."""
@@ -54,32 +60,74 @@ class Walk:
             return np.arange(len(self.p))
         return np.flatnonzero(self.length * top * (1 + SLACK) + SLACK >= self.s[:, -1])
 
-    def block(self, top: float, keys: np.ndarray, mat: np.ndarray) -> bool:
+    def _held(self, users: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``users`` (rising) and in ``keys`` the pairs are that the users have seen."""
+        low, high = (np.searchsorted(self.seen, keys, side) for side in ("left", "right"))
+        n = high - low
+        at = np.full(len(self.p), -1)
+        at[users] = np.arange(len(users))
+        row = at[self.owner[np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)]]
+        order = np.argsort(row, kind="stable")
+        order = order[np.searchsorted(row[order], 0):]
+        return row[order], np.repeat(np.arange(len(keys)), n)[order]
+
+    def block(self, top: float, keys: np.ndarray, mat: np.ndarray, step: int = 512) -> bool:
         """Meet one block, its keys rising; False if no user had to."""
         users, k = self.open(top), self.s.shape[1]
         self.met += len(users)
-        for at in range(0, len(users), 128):
-            own = users[at:at + 128]
-            score = np.round(self.scores(self.p[own], mat) if self.scores else self.p[own] @ mat.T, SCORE_DIGITS)
-            for row, u in enumerate(own.tolist()):
-                if len(self.seen[u]):
-                    place = np.minimum(np.searchsorted(keys, self.seen[u]), len(keys) - 1)
-                    score[row, place[keys[place] == self.seen[u]]] = -np.inf
-            rows = np.flatnonzero((score.max(axis=1) >= self.s[own, -1]) & np.isfinite(score.max(axis=1)))
-            if not len(rows):
+        if not len(users):
+            return False
+        seen_row, seen_col = self._held(users, keys)
+        # error of a product in single precision: a share of the product of the lengths
+        error = self.length * np.sqrt((mat * mat).sum(axis=1).max()) * (mat.shape[1] + 4) * 2.0**-23 if self.scores is None else np.zeros(len(self.p))
+        single = self.scores is None and np.isfinite(error).all() and error.max() < 1e20
+        right = (mat.astype(np.float32) if single else mat).T
+        room = np.empty((min(step, len(users)), len(keys)), dtype=right.dtype)
+        for at in range(0, len(users), step):
+            own = users[at:at + step]
+            rough = self.scores(self.p[own], mat) if self.scores else np.matmul(self.p[own].astype(right.dtype), right, out=room[:len(own)])
+            low, high = np.searchsorted(seen_row, (at, at + step))
+            rough[seen_row[low:high] - at, seen_col[low:high]] = -np.inf
+            least = self.s[own, -1] - error[own]
+            fresh = np.flatnonzero(~np.isfinite(least))
+            if len(fresh) and k < len(keys):  # no k items yet: what stays below the k-th best of the block is out
+                least[fresh] = np.partition(rough[fresh], len(keys) - k, axis=1)[:, len(keys) - k] - 2 * error[own[fresh]]
+            least = np.maximum(least - SLACK, -1e300 if rough.dtype == np.float64 else -3e38)
+            if rough.dtype == np.float32:  # rounded down, so that no pair is lost
+                least = np.nextafter(least.astype(np.float32), np.float32(-np.inf))
+                least = np.maximum(least, np.float32(-3e38))
+            hits = np.flatnonzero(rough >= least[:, None])
+            if not len(hits):
                 continue
-            take = [best(score[x], k) for x in rows.tolist()]
-            width = max(map(len, take))
+            row, col = np.divmod(hits, len(keys))
+            many = np.flatnonzero(np.bincount(row, minlength=len(own)) > 4 * k)
+            if len(many):  # ties, mostly: the best k of each
+                few = ~np.isin(row, many)
+                lists = []
+                for x in many.tolist():
+                    open_ = np.flatnonzero(np.isfinite(rough[x]))
+                    lists.append(open_[best(self._exact(own, np.full(len(open_), x), open_, rough, mat), k)])
+                row = np.concatenate([row[few], np.repeat(many, [len(x) for x in lists])])
+                col = np.concatenate([col[few], *lists])
+                order = np.argsort(row, kind="stable")
+                row, col = row[order], col[order]
+            score = self._exact(own, row, col, rough, mat)
+            rows, first, n = np.unique(row, return_index=True, return_counts=True)
+            place, width = np.arange(len(row)) - np.repeat(first, n), n.max()
             new_s, new_r = np.full((len(rows), width), -np.inf), np.zeros((len(rows), width), dtype=np.promote_types(self.r.dtype, keys.dtype))
-            for x, (row, t) in enumerate(zip(rows.tolist(), take)):
-                new_s[x, :len(t)], new_r[x, :len(t)] = score[row, t], keys[t]
+            line = np.repeat(np.arange(len(rows)), n)
+            new_s[line, place], new_r[line, place] = score, keys[col]
             both_s = np.concatenate([self.s[own[rows]], new_s], axis=1)
             both_r = np.concatenate([self.r[own[rows]], new_r], axis=1)
             order = np.lexsort((both_r, -both_s), axis=1)[:, :k]
             if self.r.dtype != both_r.dtype:
                 self.r = self.r.astype(both_r.dtype)
             self.s[own[rows]], self.r[own[rows]] = np.take_along_axis(both_s, order, axis=1), np.take_along_axis(both_r, order, axis=1)
-        return len(users) > 0
+        return True
+
+    def _exact(self, own: np.ndarray, row: np.ndarray, col: np.ndarray, rough: np.ndarray, mat: np.ndarray) -> np.ndarray:
+        """Rounded scores of pairs (row of ``own``, column)."""
+        return np.round(rough[row, col] if self.scores else np.einsum("ij,ij->i", self.p[own[row]], mat[col]), SCORE_DIGITS)
 
 
 def _blocks(items: DataFrame, item: str, size: int) -> DataFrame:
@@ -102,7 +150,7 @@ def _blocks(items: DataFrame, item: str, size: int) -> DataFrame:
 
 
 def score_topk(user_factors: DataFrame, item_factors: DataFrame, train: DataFrame, k: int, user: str, item: str,
-               scores: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, user_block: int = 4096, item_block: int = 2048, shelf_bytes: int = SHELF_BYTES) -> DataFrame:
+               scores: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, user_block: int | None = None, item_block: int = 2048, shelf_bytes: int = SHELF_BYTES) -> DataFrame:
     """``user, item, score, rank``: the k best items that ``train`` does not hold for the user.
 
     ``user_factors`` and ``item_factors`` hold one row per key with ``factors``. The score is
@@ -110,10 +158,12 @@ def score_topk(user_factors: DataFrame, item_factors: DataFrame, train: DataFram
     ``scores(user rows, item rows)``, which has no bound, so that every block is met. Users without
     k unseen items get them all, users without factors none.
 
-    Blocks of items are put on shelves of ``shelf_bytes`` along falling length. A round brings one
-    shelf to every group of about ``user_block`` users that can still change, and only those
-    go on to the next (through a checkpoint); most catalogues are one shelf, which is one round
-    without a checkpoint. Neither side is held whole by a task or the driver.
+    Blocks of items are put on shelves along falling length, the first of ``shelf_bytes``, each
+    later one twice as large up to ``MOST_SHELF`` times. A round brings one shelf to every group
+    of about ``user_block`` users (by default as many as fill ``GROUP_BYTES``, or a quarter of a core's
+    share) that can still change, and only those go on to the next (through a checkpoint); most
+    catalogues are one shelf, which is one round without a checkpoint. A shelf is shuffled once
+    a group, so groups are few and large. Neither side is held whole by a task or the driver.
     """
     kinds = dict(item_factors.dtypes) | {f"u_{c}": t for c, t in user_factors.dtypes}
     length = F.sqrt(F.aggregate("factors", F.lit(0.0), lambda s, x: s + x * x)) if scores is None else F.lit(0.0)
@@ -121,13 +171,20 @@ def score_topk(user_factors: DataFrame, item_factors: DataFrame, train: DataFram
     order = [F.desc("_len"), F.asc(item)]
     blocks = cut_lineage(_blocks(rows.repartitionByRange(*order).sortWithinPartitions(*order), item, item_block))
     upto = Window.orderBy(F.desc("top"), "block").rowsBetween(Window.unboundedPreceding, -1)  # one short row per block
-    shelved = blocks.select("block", "top", "n_bytes").withColumn("shelf", F.floor(F.coalesce(F.sum("n_bytes").over(upto), F.lit(0)) / shelf_bytes))
+    units = F.coalesce(F.sum("n_bytes").over(upto), F.lit(0)) / F.lit(shelf_bytes)
+    small = 2 * MOST_SHELF - 1  # units on the shelves of 1, 2, ... MOST_SHELF
+    shelf = F.when(units < small, F.floor(F.log2(units + 1))).otherwise(F.lit(MOST_SHELF.bit_length()) + F.floor((units - small) / MOST_SHELF))
+    shelved = blocks.select("block", "top", "n_bytes").withColumn("shelf", shelf)
     tops = [(r["shelf"], r["top"]) for r in shelved.groupBy("shelf").agg(F.max("top").alias("top")).orderBy("shelf").collect()]
     numbers = shelved.select("block", "shelf")
 
     held = train.select(user, item).distinct().groupBy(user).agg(F.sort_array(F.collect_list(item)).alias("seen"))
     users = user_factors.select(user, F.col("factors").cast("array<double>").alias("factors")).join(held, user, "left")
-    parts = max(int(user_factors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-user_factors.count() // user_block))
+    size = user_factors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factors")).alias("width")).first()
+    user_block = user_block or max(1 << 12, GROUP_BYTES // (8 * ((size["width"] or 0) + 2 * k)))
+    cores = user_factors.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(4 * cores, -(-size["n"] // 256)), -(-size["n"] // user_block))
+    tasks = max(4 * parts, int(user_factors.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so that groups seldom meet in a task
     state = users.select(F.pmod(F.xxhash64(user), F.lit(parts)).cast("int").alias("part"), user, "factors", "seen", F.lit(None).cast("array<double>").alias("s"), F.lit(None).cast(f"array<{kinds[item]}>").alias("r"))
     schema = f"part int, {user} {kinds['u_' + user]}, factors array<double>, seen array<{kinds[item]}>, s array<double>, r array<{kinds[item]}>, open boolean"
 
@@ -167,7 +224,7 @@ def score_topk(user_factors: DataFrame, item_factors: DataFrame, train: DataFram
     for j, (shelf, _) in enumerate(tops):
         after = tops[j + 1][1] if j + 1 < len(tops) else None
         here = blocks.join(F.broadcast(numbers.where(F.col("shelf") == shelf)), "block").select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "block", "top", "keys", "mat")
-        out = state.groupBy("part").cogroup(here.groupBy("part")).applyInArrow(meet(after), schema)
+        out = state.repartition(tasks, "part").groupBy("part").cogroup(here.repartition(tasks, "part").groupBy("part")).applyInArrow(meet(after), schema)
         if after is None:
             done.append(out)
             break

@@ -76,3 +76,31 @@ def test_blocks_that_cannot_matter_are_skipped():
     """Of 100 blocks: lengths as of popular and rare items leave few to meet, equal lengths all."""
     assert walked(np.random.default_rng(5).lognormal(0, 1.5, 10_000)) < 0.05
     assert walked(np.ones(10_000)) == 1.0
+
+
+def test_pairs_closer_than_single_precision_are_ranked_in_double():
+    r = np.random.default_rng(8)
+    items = np.ones((3000, 6)) + r.normal(size=(3000, 6)) * 1e-8
+    p = np.abs(r.normal(size=(700, 6))) + 0.5
+    walk = tk.Walk(p, [np.arange(i % 4) for i in range(700)], np.full((700, 5), -np.inf), np.zeros((700, 5), dtype=np.int64))
+    for at in range(0, 3000, 500):
+        walk.block(3.0, np.arange(at, at + 500), items[at:at + 500])
+    for i, u in enumerate(p):
+        score = np.round(np.einsum("j,ij->i", u, items), 9)
+        score[:i % 4] = -np.inf
+        best = np.lexsort((np.arange(3000), -score))[:5]
+        assert np.allclose(walk.s[i], score[best], rtol=0, atol=2e-9)
+
+
+def test_shelves_grow_and_are_sent_to_few_groups(spark, monkeypatch):
+    """A shelf is shuffled once a group: 3,000 users were as many groups as there are shuffle partitions."""
+    sent, cut = [], tk.cut_lineage
+    monkeypatch.setattr(tk, "cut_lineage", lambda df: sent.append(cut(df)) or sent[-1])
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    users, items = {f"u{i}": np.ones(2) for i in range(300)}, {f"i{i:03d}": np.ones(2) * (1 + i) for i in range(40)}
+    lists, _ = run(spark, users, items, {("u0", "i039")}, 3, item_block=4, shelf_bytes=64)
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert {tuple(i for i, _ in v) for u, v in lists.items() if u != "u0"} == {("i039", "i038", "i037")} and [i for i, _ in lists["u0"]] == ["i038", "i037", "i036"]
+    rounds = sent[1:]
+    assert max(df.select("part").distinct().count() for df in rounds) <= 2
