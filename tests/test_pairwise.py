@@ -67,3 +67,31 @@ def test_negatives_are_unseen_and_users_of_all_items_stay():
 def test_no_cells(spark):
     model = pw.fit_pairwise(spark.createDataFrame([], "customer_unique_id string, product_id long"), epochs=1)
     assert model.user_factors.collect() == model.item_factors.collect() == []
+
+
+def test_rounds_grow_with_the_square_root_of_the_cells():
+    assert pw.blocks_for(150_000, 30_000, 100_000, 500_000) == 2
+    assert pw.blocks_for(8_400_000, 2_100_000, 100_000, 500_000) == 10  # a block for each 100,000 cells made 84
+    assert pw.blocks_for(1_000, 5_000_000, 100_000, 500_000) == 10
+
+
+def test_scores_of_pairs_without_factors_are_zero(spark):
+    model = fa.FactorModel(spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.5, 1.0])], "product_id long, factors array<double>"),
+                           spark.createDataFrame([("a", [2.0, 1.0])], "customer_unique_id string, factors array<double>"), 2)
+    t = spark.createDataFrame([("a", 1, 2), ("a", 1, 9), ("a", 9, 2), ("b", 1, 2), ("a", None, 2), ("a", 1, 2)], "customer_unique_id string, product_id long, neg_item long")
+    got = sorted(((r[0], r[1] or 0, r[2], r[3], r[4]) for r in pw.pair_scores(t, model).collect()))
+    assert got == [("a", 0, 2, 0.0, 2.0), ("a", 1, 2, 4.0, 2.0), ("a", 1, 2, 4.0, 2.0), ("a", 1, 9, 4.0, 0.0), ("a", 9, 2, 0.0, 2.0), ("b", 1, 2, 0.0, 0.0)]
+
+
+def test_linear_fit_reads_its_triples_as_often_as_one_side(spark):
+    """Both rows of a triple come from one reading: a union read every triple twice."""
+    n, seen = 200, spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    t = spark.range(n).selectExpr("cast(id % 7 as double) as pos_x", "cast(id % 5 as double) as neg_x").mapInArrow(count, "pos_x double, neg_x double")
+    w = rk.fit_bpr_linear(t, cols=["x"], max_iter=5)
+    assert w[0] > 0 and seen.value <= 2 * n  # a summary and the training blocks
