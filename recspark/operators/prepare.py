@@ -65,19 +65,30 @@ def join_payments_left(df: DataFrame, payments: DataFrame) -> DataFrame:
     return df.join(dedup_payments(payments), "order_id", "left")
 
 
-def merge_tables(t: dict) -> DataFrame:
-    """The six joins. Order-keyed joins first (one shared partitioning), dimensions after."""
-    df = join_orders_items(t["orders"], t["items"])
-    if t.get("payments") is not None:
-        df = join_payments_left(df, t["payments"])
-    if t.get("reviews") is not None:
-        df = join_reviews_left(df, t["reviews"])
-    df = join_customers(df, t["customers"])
+def merge_tables(t: dict, few_orders: bool = False) -> DataFrame:
+    """The six joins. Customers and payments meet the orders, which are fewer and narrower than their
+    lines, so the lines are shuffled twice: with the products while they are narrow, then with their
+    orders; the other way round with ``few_orders``, as a filter on orders then leaves fewer lines."""
+    orders, payments, reviews, customers, items = (t.get(x) for x in ("orders", "payments", "reviews", "customers", "items"))
     products = t["products"]
     if t.get("translation") is not None and "product_category_name" in products.columns:
         # the dimension takes the translation: rows are never shuffled on a category
         products = join_translation_left(products, t["translation"])
-    return join_products(df, products)
+    df = join_customers(orders, customers)
+    if payments is not None:
+        df = join_payments_left(df, payments)
+    df = join_orders_items(df, items if few_orders else join_products(items, products))
+    if reviews is not None:
+        df = join_reviews_left(df, reviews)
+    if few_orders:
+        df = join_products(df, products)
+    # columns stand as the joins one after the other would leave them, keys first
+    rows = ["order_id"]
+    for side in (orders, items, payments, reviews):
+        rows += [c for c in (side.columns if side is not None else []) if c != "order_id"]
+    for key, side in (("customer_id", customers), ("product_id", products)):
+        rows = [key, *[c for c in rows if c != key], *[c for c in side.columns if c != key]]
+    return df.select(*rows)
 
 
 def filter_status(df: DataFrame, col: str = "order_status", value: str = "delivered") -> DataFrame:
@@ -134,7 +145,7 @@ def aggregate_interactions(df: DataFrame, keys=INTERACTION_KEYS, order_cols=("or
 
 def build_interactions(t: dict, order_cols=("order_id",), status: str = "delivered") -> DataFrame:
     """Full prepare stage as one lazy plan: joins → delivered → clean → aggregate."""
-    merged = merge_tables(t)
+    merged = merge_tables(t, few_orders=True)
     return aggregate_interactions(clean(filter_status(merged, value=status)), order_cols=order_cols)
 
 

@@ -116,3 +116,18 @@ def test_k_core_equals_plain_rounds(spark):
 def test_k_core_of_no_rows(spark):
     out, stats = pr.k_core(spark.createDataFrame([], "customer_unique_id string, product_id string"), 2, 2)
     assert out.count() == 0 and stats["iterations"] == 1 and stats["final_users"] == 0
+
+
+def test_order_lines_meet_products_while_narrow(spark):
+    """Products join the lines before the orders do; columns and rows stand as the joins one after the other leave them."""
+    t = {
+        "orders": spark.createDataFrame([(1, 10, "F"), (2, 11, "F"), (2, 11, "O"), (3, None, "F")], "order_id long, customer_id long, order_status string"),
+        "items": spark.createDataFrame([(1, 5, 1.0), (2, 6, 2.0), (2, 5, 3.0), (2, 9, 4.0), (None, 5, 5.0)], "order_id long, product_id long, price double"),
+        "customers": spark.createDataFrame([(10, 100), (11, 110)], "customer_id long, customer_unique_id long"),
+        "products": spark.createDataFrame([(5, "a"), (6, None)], "product_id long, product_category_name string"),
+        "payments": spark.createDataFrame([(1, 1, "card"), (2, 2, "cash"), (2, 1, None)], "order_id long, payment_sequential int, payment_type string"),
+    }
+    want = pr.join_products(pr.join_customers(pr.join_payments_left(pr.join_orders_items(t["orders"], t["items"]), t["payments"]), t["customers"]), t["products"])
+    for few in (False, True):
+        got = pr.merge_tables(t, few_orders=few)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
