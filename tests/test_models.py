@@ -266,3 +266,15 @@ def test_negative_samples_of_an_active_user_are_cut(spark):
     both = sa.draws_and_steps(seen, sa._banned(seen, None, idx, "customer_unique_id", "product_id"), 400, 5, 42, "customer_unique_id", "product_id", 16)
     groups = both.groupBy("customer_unique_id", "_part", "_deal").count().collect()
     assert max(g["count"] for g in groups) <= 6 * 16 and sum(g["count"] for g in groups) < 3 * 5 * len(rows)
+
+
+def test_item_cf_deals_busy_users_over_parts(spark, monkeypatch):
+    """Users whose items reach more neighbours than a task takes are dealt over parts by candidate: same lists."""
+    rng = np.random.default_rng(8)
+    df = _df(spark, sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, 12, 150), rng.integers(0, 40, 150))}))
+    sim = mo.item_cosine(df).cache()
+    want = sorted(tuple(r) for r in mo.recommend_item_cf(df, sim, 5).collect())
+    monkeypatch.setattr(mo, "ROWS_A_TASK", 20)
+    got = mo.recommend_item_cf(df, sim, 5)
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) == 12 * 5
+    sim.unpersist()
