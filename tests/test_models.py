@@ -278,3 +278,19 @@ def test_item_cf_deals_busy_users_over_parts(spark, monkeypatch):
     got = mo.recommend_item_cf(df, sim, 5)
     assert sorted(tuple(r) for r in got.collect()) == want and len(want) == 12 * 5
     sim.unpersist()
+
+
+def test_light_users_are_drawn_where_they_land(spark):
+    """Users with few rows are one group, however large the catalogue is; busy ones are cut."""
+    from recspark.operators import sampling as sa
+
+    items = spark.createDataFrame([(i,) for i in range(200)], "product_id long")
+    seen = _df(spark, [(1, 3 * i) for i in range(4)] + [(2, i) for i in range(60)])
+    idx = sa.catalog_index(items)
+    both = sa.draws_and_steps(seen, sa._banned(seen, None, idx, "customer_unique_id", "product_id"), 200, 2, 42, "customer_unique_id", "product_id", 16)
+    parts = {r["customer_unique_id"]: r["n"] for r in both.groupBy("customer_unique_id").agg(F.count_distinct("_part").alias("n")).collect()}
+    assert parts[1] == 1 and parts[2] > 5
+    got = sa.sample_negatives(seen, items, seen, 2, cut=16).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, sa.sample_negatives(seen, items, seen, 2).collect()))
+    held = {(r["customer_unique_id"], r["product_id"]) for r in seen.collect()}
+    assert len(got) == 128 and all((r["customer_unique_id"], r["neg_item"]) not in held for r in got)
