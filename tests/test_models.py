@@ -294,3 +294,25 @@ def test_light_users_are_drawn_where_they_land(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, sa.sample_negatives(seen, items, seen, 2).collect()))
     held = {(r["customer_unique_id"], r["product_id"]) for r in seen.collect()}
     assert len(got) == 128 and all((r["customer_unique_id"], r["neg_item"]) not in held for r in got)
+
+
+def test_network_screen_keeps_the_exact_best(spark):
+    """Rough scores lie within their error, so the walk over blocks finds what double precision finds, ties included."""
+    from recspark.operators import ranking as rk
+    from recspark.operators.topk import Walk
+
+    rng = np.random.default_rng(5)
+    sizes = [(7, 9), (4, 7), (2, 4)]
+    net = rk.Network([(rng.normal(size=s) * 2, rng.normal(size=s[0])) for s in sizes], rng.normal(size=9), np.abs(rng.normal(size=9)) + 0.2, 3)
+    p, m = rng.normal(size=(40, 3)) * 3, rng.normal(size=(300, 6)) * 3
+    m[200:] = m[:100]
+    exact = np.array([net.exact(np.repeat(row[None], len(m), 0), m) for row in p])
+    rough, off = net.rough(p, m)
+    assert (np.abs(rough - np.log(exact / (1 - exact))) <= off[:, None] + 1e-9).all() and off.max() < 0.01
+    walk = Walk(p, [np.array([i]) for i in range(40)], np.full((40, 5), -np.inf), np.zeros((40, 5), dtype=np.int64), net)
+    for at in range(0, 300, 64):
+        walk.block(0.0, np.arange(at, min(at + 64, 300)), m[at:at + 64])
+    shown = np.round(exact, 9)
+    for i in range(40):
+        best = sorted((-s, j) for j, s in enumerate(shown[i]) if j != i)[:5]
+        assert walk.r[i].tolist() == [j for _, j in best] and walk.s[i].tolist() == [-s for s, _ in best]
