@@ -87,6 +87,37 @@ def test_spearman_joins_no_value_with_many_rows(spark, monkeypatch):
     assert joined and all(x["count"] * 100 < len(rows) for x in joined)
 
 
+def test_spearman_shuffles_chunks_not_cells(spark, monkeypatch):
+    """Many small chunks and ranges, nulls in two columns, NaN and both zeros: same ranks, and a chunk is one joined row."""
+    import random
+
+    import pandas as pd
+
+    r = random.Random(9)
+    monkeypatch.setattr(se, "CHUNK", 100)
+    monkeypatch.setattr(se, "STEP", 4)
+    monkeypatch.setattr(se, "RANGE", 64)
+    rows = [(r.choice([None, float(r.randint(0, 3))]), r.choice([None, r.gauss(0, 1)]), r.choice([0.0, -0.0, r.random()]), r.random(), r.choice([float("nan"), r.random()])) for _ in range(1500)]
+    rows = [(a, b, c, d + c, e) for a, b, c, d, e in rows]
+    joined, join = [], type(spark.range(1)).join
+
+    def watched(self, other, *args, **kw):
+        joined.append(self.count())
+        return join(self, other, *args, **kw)
+
+    monkeypatch.setattr(type(spark.range(1)), "join", watched)
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(3)
+    got = {(x["f1"], x["f2"]): (x["corr"], x["n"]) for x in se.spearman_pairs(df, list("abcde"), -1.0).collect()}
+    # Spark orders NaN after all other values
+    want = pd.DataFrame([(*x[:4], 9.0 if x[4] != x[4] else x[4]) for x in rows], columns=list("abcde"))
+    corr = want.corr(method="spearman")
+    assert len(got) == 10
+    for (f, g), (rho, n) in got.items():
+        assert abs(rho - corr.loc[f, g]) < 1e-9
+        assert n == (want[f].notna() & want[g].notna()).sum()
+    assert sum(joined) <= 1500 / 100 + 3
+
+
 def test_spearman_of_no_rows(spark):
     assert se.spearman_pairs(spark.createDataFrame([], "a double, b double"), ["a", "b"], -1.0).count() == 0
 
