@@ -24,15 +24,18 @@ BINS = 10_000  # of the quantile histograms, per unit of mean log probability
 def keys(raws: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """The 5-grams that end at each byte and at the end of each text, as 40-bit numbers, and offsets."""
     joined = b"".join(EDGE * (ORDER - 1) + (r or b"") + EDGE for r in raws)
-    b = np.frombuffer(joined, dtype=np.uint8).astype(np.int64)
+    b = np.frombuffer(joined, dtype=np.uint8)
     k = np.zeros(max(0, len(b) - ORDER + 1), dtype=np.int64)
     for j in range(ORDER):
         k <<= 8
         k |= b[j:len(b) - ORDER + 1 + j]
     n = np.array([len(r or b"") + 1 for r in raws], dtype=np.int64)
     off = np.concatenate([[0], np.cumsum(n)])
-    first = np.arange(len(raws)) * (ORDER - 1)  # each text's pad lies between its 5-grams and the ones before
-    return k[np.repeat(first, n) + np.arange(off[-1])], off
+    own = np.ones(len(k), dtype=bool)
+    after = off[1:-1] + np.arange(max(0, len(raws) - 1)) * (ORDER - 1)  # each text's pad lies between its 5-grams and the next ones
+    for j in range(ORDER - 1):
+        own[after + j] = False
+    return k[own], off
 
 
 def _folds(batch: pa.RecordBatch, off: np.ndarray) -> np.ndarray:
@@ -40,6 +43,14 @@ def _folds(batch: pa.RecordBatch, off: np.ndarray) -> np.ndarray:
     return np.repeat(batch.column(batch.schema.names.index("fold")).to_numpy().astype(np.int64) << 8 * ORDER, np.diff(off))
 
 
+def _coded(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the 5-grams of each text, with the text's fold, the distinct ones that they stand for, and offsets."""
+    key, off = keys(texts(batch, "text"))
+    key |= _folds(batch, off)
+    code, distinct = pd.factorize(key, size_hint=len(key) >> 3)  # most come often; the table grows where they don't
+    return code.astype(np.int32), distinct, off
+
+
 def _count(batches: Iterable[pa.RecordBatch], most_bytes: int, most_keys: int) -> Iterator[pa.RecordBatch]:
     total = pd.Series(dtype="int64")
 
@@ -48,8 +59,7 @@ def _count(batches: Iterable[pa.RecordBatch], most_bytes: int, most_keys: int) -
 
     parts = []
     for batch in groups(batches, "text", most_bytes):
-        key, off = keys(texts(batch, "text"))
-        code, distinct = pd.factorize(key | _folds(batch, off))
+        code, distinct, _ = _coded(batch)
         parts.append(pd.Series(np.bincount(code, minlength=len(distinct)), index=distinct))
         if sum(map(len, parts)) > most_keys:
             total = pd.concat([total, *parts])
@@ -181,14 +191,12 @@ def local_scores(key: np.ndarray, heads: dict) -> np.ndarray:
 
 def _score(batches: Iterable[pa.RecordBatch], heads: dict, most_bytes: int) -> Iterator[pa.RecordBatch]:
     for batch in groups(batches, "text", most_bytes):
-        key, off = keys(texts(batch, "text"))
-        code, distinct = pd.factorize(key | _folds(batch, off))
+        code, distinct, off = _coded(batch)
         value = local_scores(distinct, heads)
         tail = np.isnan(value)
         value[tail] = 0.0
-        each = value[code]
         docs = batch.num_rows
-        s1, s2 = np.add.reduceat(each, off[:-1]), np.add.reduceat(each * each, off[:-1])
+        s1, s2 = (np.add.reduceat(x[code], off[:-1]) for x in (value, value * value))
         at = np.flatnonzero(tail[code])
         doc = np.searchsorted(off, at, side="right") - 1
         pairs, count = np.unique(np.stack([doc, code[at]]), axis=1, return_counts=True) if len(at) else (np.zeros((2, 0), dtype=np.int64), np.zeros(0, dtype=np.int64))

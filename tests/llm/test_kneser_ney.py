@@ -148,3 +148,26 @@ def test_every_trusted_text_calibrates_and_unknown_languages_are_judged(spark):
     got = {g.doc_id: g for g in classify(spark.createDataFrame(rows + odd, "doc_id long, text string, lang string"), labels).collect()}
     assert got[250].low != got[1000].low == got[1001].low  # 50 German texts have edges of their own
     assert not any(got[1000 + i].kept for i in range(12)) and got[2001].kept
+
+
+def test_a_group_of_texts_takes_little_memory():
+    """Scoring 1 MB of texts takes under 40 bytes a byte at its peak."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from recspark.llm import kneser_ney
+
+    texts = [f"line {i % 97} of a text that is long enough. " * 250 for i in range(100)] + [None, ""]
+    size = sum(len(t or "") for t in texts)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "fold": pa.array([i % 5 for i in range(len(texts))])})
+    none = (np.zeros(0, dtype=np.int64), np.zeros((0, 5), dtype=np.float32), True)
+    heads = {(kind, m): none for kind in ("grams", "backoff") for m in range(1, kneser_ney.ORDER + 1)}
+    tracemalloc.start()
+    got = list(kneser_ney._score(iter([batch]), heads, 2 << 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [n for b in got for n in b.column(0).to_pylist()] == [len(t or "") for t in texts]
+    assert all(abs(s + (len(t or "") + 1) * np.log(256)) < 1e-6 for b in got for s, t in zip(b.column(1).to_pylist(), texts))
+    assert peak < 40 * size
