@@ -149,3 +149,29 @@ def test_mutual_info_counts_in_tasks(spark):
 def test_final_columns_count():
     assert len(fe.FINAL_COLUMNS) == 42
     assert len(se.SELECTED_NUMERIC) == 18
+
+
+def test_joins_move_raw_columns_only(spark, monkeypatch):
+    """Rows meet users and products before anything is derived from them; buyers are counted once, null ones not."""
+    import datetime as dt
+
+    from recspark.operators.prepare import CAT, ITEM, TS, USER
+
+    rows = [(u, p, dt.datetime(2020, 1, d), float(d), 1.0, r, int(r is not None), 1, c, "voucher")
+            for u, p, d, r, c in [(1, 10, 1, 5.0, "a"), (1, 10, 2, None, "a"), (2, 10, 3, 3.0, None), (4, 11, 4, 4.0, "b"), (None, 11, 4, 4.0, "b"), (None, 10, 5, 1.0, "a"), (2, None, 6, 2.0, "b"), (3, None, 7, 2.0, "b")]]
+    names = [USER, ITEM, TS, "price", "freight_value", "review_score", "has_review", "purchase_count", CAT, "payment_type"]
+    df = spark.createDataFrame(rows, f"{USER} long, {ITEM} long, {TS} timestamp_ntz, price double, freight_value double, review_score double, has_review int, purchase_count long, {CAT} string, payment_type string")
+    assert df.columns == names
+    got = {r[ITEM]: (r["product_unique_buyers"], r["product_popularity"]) for r in fe.product_features(df).collect()}
+    assert got == {10: (2, 3), 11: (1, 1), None: (2, 2)}
+    sides, join = [], type(df).join
+
+    def watched(self, other, *args, **kw):
+        if isinstance(args[0], str) and args[0] in (USER, ITEM) and "price" in self.columns:
+            sides.append(self.columns)
+        return join(self, other, *args, **kw)
+
+    monkeypatch.setattr(type(df), "join", watched)
+    out = fe.features(df)
+    assert out.columns == fe.FINAL_COLUMNS and out.count() == len(rows)
+    assert len(sides) == 2 and not any({"price_log", "purchase_year", "category_target_enc"} & set(s) for s in sides)
