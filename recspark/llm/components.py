@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.llm.stages import cut
+from recspark.llm.stages import cut, narrow
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,18 +16,22 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hangs a node's larger neighbours on its smallest one, then does the same for
     its smaller neighbours; the number of rounds is logarithmic in the node count. The
     edges and each node's smallest neighbour are checkpointed as tables, so that the join of
-    both may split a large hub (Spark splits no side that it has just aggregated).
+    both may split a large hub (Spark splits no side that it has just aggregated). No table of
+    a round has more rows than twice the edges, which are counted, so each is as many
+    tasks wide as that needs.
     """
     e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = _state(e)
+    few = lambda df: narrow(df, 2 * state[0], 16)
+    e = few(e)
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large)
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = cut(few(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))))
+        large = few(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+        large = cut(few(large))
+        low = cut(few(large.groupBy("u").agg(F.min("v").alias("m"))))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        e = cut(small.distinct())
+        e = cut(few(few(small).distinct()))
         now = _state(e)
         if now == state:
             break

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recspark.llm.arrow import give_back, groups, in_arrow, texts
-from recspark.llm.stages import cut, plain, small_side
+from recspark.llm.stages import cut, let_go, narrow, plain, small_side
 
 ORDER = 5
 EDGE = b"\xff"  # before and after a text; no UTF-8 byte
@@ -74,16 +74,17 @@ def _count(batches: Iterable[pa.RecordBatch], most_bytes: int, most_keys: int) -
         yield out()
 
 
-def _discounts(table: DataFrame, width: int) -> list[list[float]]:
-    """Of each model D1, D2, D3+ from the numbers of n-grams counted once to four times."""
+def _discounts(table: DataFrame, width: int) -> tuple[int, list[list[float]]]:
+    """Rows of the table, and of each model D1, D2, D3+ from the numbers of n-grams counted once to four times."""
     times = [F.coalesce(F.sum((F.col(f"c{f}") == k).cast("long")), F.lit(0)) for f in range(width) for k in (1, 2, 3, 4)]
-    found = [float(x) for x in table.agg(*(t.alias(f"n{i}") for i, t in enumerate(times))).first()]
+    rows, *found = table.agg(F.count("*").alias("rows"), *(t.alias(f"n{i}") for i, t in enumerate(times))).first()
+    found = [float(x) for x in found]
     out = []
     for n1, n2, n3, n4 in (found[4 * f:4 * f + 4] for f in range(width)):
         y = n1 / (n1 + 2 * n2) if n1 else 0.5
         d = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
         out.append([min(max(x, 0.05), k + 0.95) for k, x in enumerate(d)])
-    return out
+    return rows, out
 
 
 @dataclass
@@ -105,34 +106,45 @@ def fit(trusted: DataFrame, text_col: str = "text", most_bytes: int = 2 << 20, m
     that precede an n-gram; each order is interpolated with the next lower one, the
     lowest with the uniform distribution. All tables stay sharded by key. With
     ``fold_col`` (0 to ``folds`` - 1) there are ``folds`` models, the f-th of all texts
-    but those of fold f; all are built by the same joins.
+    but those of fold f; all are built by the same joins. An order has no more n-grams than
+    the next higher one, which are counted, so a table is as many tasks wide as that needs.
     """
     rows = trusted.select(plain(text_col).alias("text"), (plain(fold_col) if fold_col else F.lit(0)).cast("long").alias("fold"))
     counted = in_arrow(rows, lambda it: _count(it, most_bytes, most_keys), "key long, c long")
     own = [F.sum(F.when(F.shiftright("key", 8 * ORDER) != f, F.col("c")).otherwise(0) if fold_col else F.col("c")).alias(f"c{f}") for f in range(folds)]
     table = {ORDER: cut(counted.groupBy(F.col("key").bitwiseAND(KEY).alias("k")).agg(*own).withColumnRenamed("k", "key"))}
     every = range(folds)
+    wide = 8 * (2 * folds + 4)  # bytes of a row
+    size, discounts = {}, {}
+    size[ORDER], discounts[ORDER] = _discounts(table[ORDER], folds)
+    table[ORDER] = narrow(table[ORDER], size[ORDER], wide)
     seen = lambda f: F.col(f"c{f}") > 0
     largest = lambda of: F.greatest(*of) if len(of) > 1 else of[0]
     for m in range(ORDER - 1, 0, -1):
-        table[m] = cut(table[m + 1].groupBy((F.col("key").bitwiseAND((1 << 8 * m) - 1)).alias("key")).agg(*(F.sum(seen(f).cast("long")).alias(f"c{f}") for f in every)))
+        lower = table[m + 1].groupBy((F.col("key").bitwiseAND((1 << 8 * m) - 1)).alias("key")).agg(*(F.sum(seen(f).cast("long")).alias(f"c{f}") for f in every))
+        table[m] = cut(narrow(lower, min(size[m + 1], SYMBOLS**m), wide))
+        size[m], discounts[m] = _discounts(table[m], folds)
+        table[m] = narrow(table[m], size[m], wide)
     grams, backoff = {}, {}
     lower = None
     for m in range(1, ORDER + 1):
-        discounts = _discounts(table[m], folds)
+        few = lambda df, m=m: narrow(df, size[m], wide)
         ctx = F.shiftright("key", 8).alias("ctx")
-        off = [F.when(F.col(f"c{f}") == 0, 0.0).when(F.col(f"c{f}") == 1, d1).when(F.col(f"c{f}") == 2, d2).otherwise(d3) for f, (d1, d2, d3) in enumerate(discounts)]
+        off = [F.when(F.col(f"c{f}") == 0, 0.0).when(F.col(f"c{f}") == 1, d1).when(F.col(f"c{f}") == 2, d2).otherwise(d3) for f, (d1, d2, d3) in enumerate(discounts[m])]
         stats = table[m].groupBy(ctx).agg(*(F.sum(f"c{f}").alias(f"s{f}") for f in every), *(F.sum(off[f]).alias(f"d{f}") for f in every))
         share = [F.when(F.col(f"s{f}") > 0, F.col(f"d{f}") / F.col(f"s{f}")) for f in every]
+        stats = few(stats)
         backoff[m] = cut(stats.select("ctx", *(share[f].alias(f"g{f}") for f in every), largest([F.col(f"s{f}") for f in every]).alias("c")))
         own = table[m].select("key", *(f"c{f}" for f in every), ctx, *((F.col(f"c{f}") - off[f]).alias(f"over{f}") for f in every)).join(stats, "ctx")
+        own = few(own)
         own = own.withColumn("low", F.col("key").bitwiseAND((1 << 8 * (m - 1)) - 1))
         below = [F.lit(1.0 / SYMBOLS) for _ in every]
         if lower is not None:
             own = own.join(lower.select(F.col("key").alias("low"), *(F.col(f"p{f}").alias(f"p_low{f}") for f in every)), "low")
             below = [F.col(f"p_low{f}") for f in every]
         p = [F.when(seen(f), F.col(f"over{f}") / F.col(f"s{f}") + share[f] * below[f]) for f in every]
-        grams[m] = lower = cut(own.select("key", *(p[f].alias(f"p{f}") for f in every), largest([F.col(f"c{f}") for f in every]).alias("c")))
+        grams[m] = lower = cut(few(own).select("key", *(p[f].alias(f"p{f}") for f in every), largest([F.col(f"c{f}") for f in every]).alias("c")))
+    let_go(trusted.sparkSession)
     known = table[ORDER].agg(*(F.coalesce(F.max(seen(f)), F.lit(False)).alias(f"k{f}") for f in every)).first()
     return Model(grams, backoff, [not k for k in known])
 
@@ -208,15 +220,15 @@ def _score(batches: Iterable[pa.RecordBatch], heads: dict, most_bytes: int) -> I
         )
 
 
-def _sharded(tail: DataFrame, model: Model) -> DataFrame:
-    """Log probability of each distinct tail 5-gram, by joins with the sharded tables order by order."""
+def _sharded(tail: DataFrame, model: Model, rows: int) -> DataFrame:
+    """Log probability of each distinct tail 5-gram, of which there are ``rows``, by joins with the sharded tables order by order."""
     mine = lambda kind: F.element_at(F.array(*(f"{kind}{f}" for f in range(len(model.empty)))), F.shiftright("key", 8 * ORDER).cast("int") + 1)
     out = tail.withColumn("sofar", F.lit(0.0)).withColumn("v", F.lit(None).cast("double"))
     for m in range(ORDER, 0, -1):
         low = F.col("key").bitwiseAND((1 << 8 * m) - 1)
         out = out.withColumn("low", low).withColumn("ctx", F.shiftright("low", 8))
-        out = out.join(model.grams[m].drop("c").withColumnRenamed("key", "low"), "low", "left")
-        out = out.join(model.backoff[m].drop("c"), "ctx", "left")
+        out = narrow(out.join(model.grams[m].drop("c").withColumnRenamed("key", "low"), "low", "left"), rows, 64)
+        out = narrow(out.join(model.backoff[m].drop("c"), "ctx", "left"), rows, 64)
         out = out.select("key", F.coalesce("v", F.col("sofar") + F.log(mine("p"))).alias("v"), (F.col("sofar") + F.coalesce(F.log(mine("g")), F.lit(0.0))).alias("sofar"))
     return out.select("key", F.coalesce("v", F.col("sofar") - float(np.log(SYMBOLS))).alias("v"))
 
@@ -244,7 +256,9 @@ def perplexity(docs: DataFrame, model: Model, keep: list[str], text_col: str = "
     scored = in_arrow(rows, lambda it: _score(it, shared.value, most_bytes), ", ".join([*kinds, "n_bytes long, s1 double, s2 double, tail array<long>, times array<long>"]))
     scored = cut(scored).withColumn("row", F.monotonically_increasing_id())
     tail = scored.select("row", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("row", F.col("x.tail").alias("key"), F.col("x.times").alias("times"))
-    value = _sharded(tail.select("key").distinct(), model)
+    keys_ = cut(tail.select("key").distinct())
+    n_keys = keys_.count()
+    value = _sharded(narrow(keys_, n_keys, 64), model, n_keys)
     more = tail.join(value, "key").groupBy("row").agg(F.sum(F.col("v") * F.col("times")).alias("m1"), F.sum(F.col("v") * F.col("v") * F.col("times")).alias("m2"))
     n = F.col("n_bytes") + 1
     mean = (F.col("s1") + F.coalesce("m1", F.lit(0.0))) / n

@@ -166,12 +166,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = classes.select(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("s1").alias("b1"))
     star = star.join(other, "hub").where(f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)")
     linked = cut(_verified(source, star.select(F.col("rep").alias("a"), F.col("s1").alias("a1"), F.col("hub").alias("b"), "b1"), percent, width, chunk))
+    let_go(docs.sparkSession)  # the sets
     label = components(linked).withColumnRenamed("node", "rep")
 
     # what is left: buckets of several components, whose members meet block by block
     named = shared.join(label, "rep", "left").select("key", "rep", "n", "s1", F.coalesce("component", "rep").alias("component"))
     cell = ["a", "b"]
     near = cut(crossing(named, block).groupBy(cell).applyInArrow(lambda t: _candidates(t, percent), CELL))
+    let_go(docs.sparkSession)
     sets = _full_sets(source, near.select("rep").distinct(), near.count(), width, chunk).withColumnRenamed("id", "rep")
     more = near.join(sets, ["rep", "s1"]).select(*near.columns, "elements").groupBy(cell).applyInArrow(lambda t: _links(t, percent), "a long, b long")
     more = cut(more)

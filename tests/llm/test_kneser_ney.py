@@ -171,3 +171,23 @@ def test_a_group_of_texts_takes_little_memory():
     assert [n for b in got for n in b.column(0).to_pylist()] == [len(t or "") for t in texts]
     assert all(abs(s + (len(t or "") + 1) * np.log(256)) < 1e-6 for b in got for s, t in zip(b.column(1).to_pylist(), texts))
     assert peak < 40 * size
+
+
+def test_small_tables_of_a_model_take_few_tasks(spark):
+    """Empty tasks of a wide session would each leave files and events for every table."""
+    wide = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wide}
+    docs = spark.createDataFrame([("the cat sat on the mat",), ("a dog ran to the cat",), (None,), ("",)], "text string")
+    try:
+        narrow = fit(docs)
+        plain = {m: sorted(map(tuple, narrow.grams[m].collect())) for m in narrow.grams}
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        model = fit(docs)
+        assert all(t.rdd.getNumPartitions() <= 2 for t in [*model.grams.values(), *model.backoff.values()])
+        for m, rows in plain.items():
+            got = sorted(map(tuple, model.grams[m].collect()))
+            assert [r[0] for r in got] == [r[0] for r in rows] and [r[1:] for r in got] == [pytest.approx(r[1:]) for r in rows]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

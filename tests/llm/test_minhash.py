@@ -120,3 +120,25 @@ def test_components_of_chains_and_hubs(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def test_rounds_over_few_edges_take_few_tasks(spark):
+    """Empty tasks of a wide session would each leave files and events in every round."""
+    wide = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wide}
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 12)] + [(1000, 1001), (1001, 1000), (5, 5), (None, 7)], "a long, b long")
+    try:
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("components-tasks", "")
+        got = {r.node: r.component for r in components(edges).collect()}
+        status = spark.sparkContext.statusTracker()
+        stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("components-tasks") for s in status.getJobInfo(j).stageIds]
+        tasks = [s.numTasks for s in stages if s]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 1 for i in range(1, 13)} | {1000: 1000, 1001: 1000}
+    assert len(tasks) > 10 and sum(n >= 64 for n in tasks) < len(tasks) / 4  # of the first table, and of sides that turn out to fit a broadcast
