@@ -36,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
-    roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    roots = few(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
