@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from recspark.operators import factor as fa
+from recspark.operators import models as mo
 from recspark.operators import topk as tk
 from recspark.session import Tables, checkpoint_dir, cut_lineage, drop_checkpoint
 
@@ -51,3 +52,19 @@ def test_groups_land_in_a_task_each(spark):
         labels = tk.part_labels(spark, n)
         got = spark.createDataFrame([(x,) for x in labels], "part int").repartition(n, "part").select(F.spark_partition_id().alias("p")).distinct().count()
         assert len(labels) == n and got == n
+
+
+def test_item_cf_in_waves_equals_one_pass(spark, monkeypatch):
+    rows = [(None if u == 3 else u, (u * 7 + j * j * (1 + u % 3)) % 29) for u in range(80) for j in range(6)]
+    df = spark.createDataFrame(rows + rows[:40], "customer_unique_id long, product_id long")
+    sim, made = mo.item_cosine(df), []
+    lists = lambda: sorted(map(tuple, mo.recommend_item_cf(df, sim, 5).select("customer_unique_id", "product_id", "score", "rank").collect()), key=str)
+    once = lists()
+    monkeypatch.setattr(mo, "ROWS_A_WAVE", 3000)
+    one = mo._item_cf_lists
+    monkeypatch.setattr(mo, "_item_cf_lists", lambda seen, *rest: made.append(seen.count()) or one(seen, *rest))
+    got = mo.recommend_item_cf(df, sim, 5)
+    assert len(made) > 2 and max(made) < sum(made) == df.distinct().count()
+    monkeypatch.setattr(mo, "_item_cf_lists", one)
+    assert lists() == once == sorted(map(tuple, got.select("customer_unique_id", "product_id", "score", "rank").collect()), key=str)
+    assert len(once) > 300
